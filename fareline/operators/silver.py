@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
@@ -60,6 +62,8 @@ MAX_TOTAL = 1000
 PASSENGERS = (1, 6)
 UNKNOWN_RATE = 99
 
+COPIES_PER_TASK = 1_000_000
+
 
 def typed(bronze: DataFrame) -> DataFrame:
     """Snake-case names and proper types; values are not corrected yet."""
@@ -140,19 +144,6 @@ def _is_negative() -> Column:
     return F.coalesce(F.col("total_amount") < 0, F.lit(False))
 
 
-def dedup_rank(rows: DataFrame) -> DataFrame:
-    """Position of each row among the rows of its trip that are as valid as itself."""
-    group = Win.partitionBy("trip_id", F.col("broken_rule").isNull())
-    return rows.withColumn("dedup_rank", F.row_number().over(group.orderBy(*keep_order())))
-
-
-def reversal_flag(rows: DataFrame) -> DataFrame:
-    """True on every row of a trip that has a negative total in any row, valid or not."""
-    return rows.withColumn(
-        "has_reversal", F.max(_is_negative()).over(Win.partitionBy("trip_id"))
-    )
-
-
 def hot_trips(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Trips with too many rows for one task, and whether they have a reversal."""
     parts = [
@@ -162,6 +153,62 @@ def hot_trips(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return hot_keys(rows, "trip_id", parts, [F.max(_is_negative()).alias("has_reversal")], hot_rows)
 
 
+def dedup_rank(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Position of each row among the rows of its trip that are as valid as itself."""
+    rows = rows.withColumn("_valid", F.col("broken_rule").isNull())
+    hot = hot_trips(rows, hot_rows)
+    is_hot = rows.trip_id.eqNullSafe(hot.trip_id)
+    group = Win.partitionBy("trip_id", "_valid").orderBy(*keep_order())
+    ordinary = rows.join(F.broadcast(hot), is_hot, "left_anti").withColumn(
+        "dedup_rank", F.row_number().over(group).cast("bigint")
+    )
+    large = rows.join(F.broadcast(hot), is_hot, "left_semi")
+    return ordinary.unionByName(_rank_by_counting(large)).drop("_valid")
+
+
+def _rank_by_counting(rows: DataFrame) -> DataFrame:
+    """The same position without sorting a whole trip in one task.
+
+    Equal rows are counted instead of carried along. The leading order columns cut a trip
+    into slices; the rows before a slice are a running sum over slice sizes, the rows before
+    it inside the slice a running sum over the slice. Copies are written out again at the
+    end, in chunks, each with its own position.
+    """
+    head, tail = keep_order()[:3], keep_order()[3:]
+    slice_of = ["trip_id", "_valid", "total_amount", "_loaded_at", "_source_file"]
+    copies = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
+    earlier_slices = (
+        Win.partitionBy("trip_id", "_valid").orderBy(*head).rowsBetween(Win.unboundedPreceding, -1)
+    )
+    slices = copies.groupBy(*slice_of).agg(F.sum("_n").alias("_rows")).select(
+        *[F.col(c).alias(f"_s{i}") for i, c in enumerate(slice_of)],
+        F.coalesce(F.sum("_rows").over(earlier_slices), F.lit(0)).alias("_before"),
+    )
+    same = reduce(
+        lambda a, b: a & b,
+        [copies[c].eqNullSafe(slices[f"_s{i}"]) for i, c in enumerate(slice_of)],
+    )
+    # Columns outside the order (they tie only in equal trips) keep the order total.
+    earlier_rows = (
+        Win.partitionBy(*slice_of)
+        .orderBy(*tail, "pickup_datetime", "dropoff_datetime", "vendor_id")
+        .rowsBetween(Win.unboundedPreceding, -1)
+    )
+    chunks = (
+        copies.join(slices, same)
+        .withColumn(
+            "_first", F.col("_before") + F.coalesce(F.sum("_n").over(earlier_rows), F.lit(0)) + 1
+        )
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) div {COPIES_PER_TASK}"))))
+        .withColumn("_from", F.col("_first") + F.col("_chunk") * COPIES_PER_TASK)
+        .withColumn("_to", F.least(F.col("_from") + (COPIES_PER_TASK - 1), F.col("_first") + F.col("_n") - 1))
+        .repartition("trip_id", "_valid", "_from")
+    )
+    return chunks.withColumn("dedup_rank", F.explode(F.sequence("_from", "_to"))).select(
+        *rows.columns, "dedup_rank"
+    )
+
+
 def with_duplicates(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds `has_reversal` and `is_repeat` (a valid row that loses against another valid one).
 

@@ -133,7 +133,7 @@ def _steps(words: W.Words) -> dict[str, str]:
                    {_broken_rule(words)} AS broken_rule
             FROM typed""",
         "ranked": f"""
-            SELECT *, CAST(row_number() OVER (PARTITION BY trip_id, broken_rule IS NULL ORDER BY {KEPT_FIRST}) AS INTEGER) AS dedup_rank,
+            SELECT *, row_number() OVER (PARTITION BY trip_id, broken_rule IS NULL ORDER BY {KEPT_FIRST}) AS dedup_rank,
                    bool_or(coalesce(total_amount < 0, false)) OVER (PARTITION BY trip_id) AS has_reversal
             FROM ruled""",
         "evaluated": f"""

@@ -412,7 +412,7 @@ def silver_dedup_rank(spark, d):
 
 @query
 def silver_reversal(spark, d):
-    return silver.reversal_flag(silver.prepared(_bronze(spark, d))).select(
+    return silver.with_duplicates(silver.prepared(_bronze(spark, d))).select(
         "trip_id", "total_amount", "has_reversal"
     )
 

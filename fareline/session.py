@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Wide projections generate methods the JVM would never compile; let Spark split them.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Enough open files per task for the valid / rejected split without sorting for it.
+    "spark.sql.maxConcurrentOutputFileWriters": "2",
 }
 
 
