@@ -126,9 +126,8 @@ def land(store: Store, request: Request) -> DataFrame:
 def check(store: Store, layer: str, words: W.Words = W.SOURCE) -> None:
     """Run a layer's checks, keep their result, and stop the run on any offender."""
     results = quality.layer_results(layer, store.read, words).withColumn("layer", F.lit(layer))
-    path = f"{store.path('check_results')}/{layer}"
-    tables.overwrite(results.coalesce(1), path)
-    quality.gate(layer, store.spark.read.parquet(path))
+    tables.replace_by_file(results.coalesce(1), store.path("check_results"), key="layer")
+    quality.gate(layer, store.read("check_results").filter(F.col("layer") == layer))
 
 
 def build_seeds(store: Store) -> None:

@@ -53,7 +53,9 @@ class Built:
             self.done.add(step)
 
     def _land(self) -> None:
-        raw = standin.raw_trips(self.spark, self.sf_dir)
+        # Rows of a month come from all over the join; bring them together before writing by
+        # file. Rebalancing splits a month that is too large for one task.
+        raw = standin.raw_trips(self.spark, self.sf_dir).hint("rebalance", "_source_file")
         tables.overwrite(raw, self.store.path("yellow_trips"), partition_by="_source_file")
         self.store.write("taxi_zones", standin.raw_zones(self.spark, self.sf_dir))
 
