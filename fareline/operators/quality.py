@@ -229,13 +229,11 @@ def count_orphans(child: DataFrame, references: dict[str, tuple[DataFrame, str]]
             for c, (parent, key) in references.items()
         ],
     )
-    lost = values.join(parents, ["name", "value"], "left_anti").groupBy("name").agg(F.sum("n").alias("n"))
-    # Every reference gets a line, also the ones without offenders.
-    names = parents.select("name").distinct()
-    lines = names.join(lost, "name", "left")
-    return _results(
-        lines, F.concat(F.lit(f"{prefix}.references."), "name"), F.coalesce("n", F.lit(0))
-    )
+    lost = values.join(parents, ["name", "value"], "left_anti").select("name", "n")
+    # Every reference gets a line, also one without offenders or with an empty parent.
+    zero = child.sparkSession.createDataFrame([(c, 0) for c in references], "name string, n bigint")
+    lines = lost.unionByName(zero).groupBy("name").agg(F.sum("n").alias("n"))
+    return _results(lines, F.concat(F.lit(f"{prefix}.references."), "name"), F.col("n"))
 
 
 def count_repeats(table: DataFrame, column: str, name: str) -> DataFrame:

@@ -221,12 +221,18 @@ def with_duplicates(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     hot = hot_trips(rows, hot_rows)
     is_hot = rows.trip_id.eqNullSafe(hot.trip_id)
 
-    trip = Win.partitionBy("trip_id")
+    # Both windows have one partitioning and one order, so a single window operator runs them.
+    trip = Win.partitionBy("trip_id").orderBy(F.desc("_valid"), *keep_order())
+    whole_trip = trip.rowsBetween(Win.unboundedPreceding, Win.unboundedFollowing)
     ordinary = (
         rows.withColumn("_valid", valid)
         .join(F.broadcast(hot), is_hot, "left_anti")
-        .withColumn("_place", F.row_number().over(trip.orderBy(F.desc("_valid"), *keep_order())))
-        .withColumn("has_reversal", F.max(_is_negative()).over(trip))
+        .withColumns(
+            {
+                "_place": F.row_number().over(trip),
+                "has_reversal": F.max(_is_negative()).over(whole_trip),
+            }
+        )
     )
 
     slice_best = Win.partitionBy("trip_id", "_slice").orderBy(F.desc("_valid"), *keep_order())

@@ -513,6 +513,7 @@ def statements() -> dict[str, str]:
         "bronze_incremental": chain("target", _per_file(
             "(SELECT * FROM target UNION ALL SELECT * FROM bronze WHERE _loaded_at > (SELECT max(_loaded_at) FROM target))")),
         "bronze_full_refresh": chain("bronze", _per_file("bronze")),
+        "bronze_stream_refresh": chain("bronze", _per_file("bronze")),
         "bronze_zones": chain("zones bronze", _with_trips("zones", "locationid", "bronze", "pulocationid")),
         "silver_typed": chain("typed", "SELECT * FROM typed"),
         "silver_duration": chain("bronze", """SELECT date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime) AS seconds,

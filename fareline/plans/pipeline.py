@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fareline import words as W
 from fareline.operators import bronze, gold, quality, silver
 from fareline.schemas import SEEDS, TRIP_FILE_PREFIX, ZONE_FILE
+from fareline.session import sized_for
 from fareline.sources import landing, ledger, tables
 from fareline.sources.store import Store
 
@@ -174,14 +175,15 @@ def build_gold(store: Store, words: W.Words = W.SOURCE) -> None:
 
 def build(store: Store, words: W.Words = W.SOURCE, full_refresh: bool = False) -> None:
     """Everything after landing, in order, each layer behind its checks."""
-    build_seeds(store)
-    check(store, "raw", words)
-    build_bronze(store, full_refresh)
-    check(store, "bronze", words)
-    build_silver(store, words)
-    check(store, "silver", words)
-    build_gold(store, words)
-    check(store, "gold", words)
+    with sized_for(store.spark, tables.stored_bytes(store.spark, store.path("yellow_trips"))):
+        build_seeds(store)
+        check(store, "raw", words)
+        build_bronze(store, full_refresh)
+        check(store, "bronze", words)
+        build_silver(store, words)
+        check(store, "silver", words)
+        build_gold(store, words)
+        check(store, "gold", words)
 
 
 def run(spark: SparkSession, root: str, request: Request) -> DataFrame:

@@ -20,6 +20,7 @@ from fareline.plans import pipeline
 from fareline.session import prepare, scratch_path
 from fareline.sources import landing, ledger, tables
 from fareline.sources.store import REJECTED, Store
+from fareline.streaming.bronze_stream import refresh_bronze
 
 TODAY = date(2001, 12, 15)
 FIRST, LAST = date(1994, 11, 1), date(2001, 12, 1)
@@ -352,6 +353,15 @@ def bronze_full_refresh(spark, d):
     return _per_file(store.read("bronze_yellow_trips"))
 
 
+@query
+def bronze_stream_refresh(spark, d):
+    """Bronze filled by the streaming job instead of the high-water mark."""
+    store = Store(spark, scratch_path(spark, "stream"))
+    tables.overwrite(_raw(spark, d), store.path("yellow_trips"), partition_by="_source_file")
+    refresh_bronze(store, scratch_path(spark, "checkpoint")).awaitTermination()
+    return _per_file(store.read("bronze_yellow_trips"))
+
+
 @query
 def bronze_zones(spark, d):
     zones = _plain(_zones(spark, d)).drop("_loaded_at")

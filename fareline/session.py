@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -14,8 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Wide projections generate methods the JVM would never compile; let Spark split them.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Enough open files per task for the valid / rejected split without sorting for it.
-    "spark.sql.maxConcurrentOutputFileWriters": "2",
 }
 
 
@@ -35,6 +36,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Stored (compressed) bytes one shuffle task should handle, and a limit on their number
+# that keeps the shuffle's own bookkeeping small; beyond it a task sorts more and spills.
+BYTES_PER_PARTITION = 256 << 20
+MOST_PARTITIONS = 100_000
+
+
+def shuffle_partitions(stored_bytes: int, configured: int) -> int:
+    """Partitions for a shuffle of a whole table; adaptive execution merges small ones."""
+    return max(configured, min(MOST_PARTITIONS, math.ceil(stored_bytes / BYTES_PER_PARTITION)))
+
+
+@contextmanager
+def sized_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
+    """Raise the number of shuffle partitions to fit a table, for the steps inside."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(shuffle_partitions(stored_bytes, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the cluster names in `spark.checkpoint.dir`.
 

@@ -10,6 +10,7 @@ import pytest
 from helpers import GOOD, bronze, rows
 from pyspark.sql import functions as F
 
+from fareline import session
 from fareline.functions.medians import grouped_median
 from fareline.operators import bronze as bronze_layer
 from fareline.operators import gold, profile, quality, silver
@@ -149,6 +150,12 @@ class TestChecks:
         got = quality.count_orphans(child, {"a": (parent, "id"), "b": (parent, "id")}, "t")
         assert self.offenders(got) == {"t.references.a": 2, "t.references.b": 2}
 
+    def test_empty_parent_makes_every_reference_an_orphan(self, spark):
+        child = spark.createDataFrame([(1, 1), (2, None)], "a int, b int")
+        parent = spark.createDataFrame([(1,)], "id int")
+        got = quality.count_orphans(child, {"a": (parent.filter("false"), "id"), "b": (parent, "id")}, "t")
+        assert self.offenders(got) == {"t.references.a": 2, "t.references.b": 0}
+
     def test_file_counts(self, spark):
         raw = spark.createDataFrame([("a",), ("a",), ("b",)], "_source_file string")
         assert quality.file_count_gaps(raw, raw).isEmpty()
@@ -176,3 +183,11 @@ class TestChecks:
                 for kind in ("not_null", "unique", "references", "accepted"):
                     per_kind[kind] += len(getattr(checks, kind))
         assert per_kind == {"not_null": 53, "unique": 15, "references": 14, "accepted": 1}
+
+
+def test_shuffle_partitions_follow_the_stored_size():
+    gib = 1 << 30
+    assert session.shuffle_partitions(0, 200) == 200
+    assert session.shuffle_partitions(gib, 200) == 200
+    assert session.shuffle_partitions(1000 * gib, 200) == 4000
+    assert session.shuffle_partitions(100_000 * gib, 200) == session.MOST_PARTITIONS
