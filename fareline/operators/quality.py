@@ -236,8 +236,26 @@ def count_orphans(child: DataFrame, references: dict[str, tuple[DataFrame, str]]
     return _results(lines, F.concat(F.lit(f"{prefix}.references."), "name"), F.col("n"))
 
 
-def count_repeats(table: DataFrame, column: str, name: str) -> DataFrame:
-    return _results(repeated_values(table, column).agg(F.count("*").alias("n")), name, F.col("n"))
+def count_repeats(columns: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Repeated values of many columns, also of different tables, from a single shuffle."""
+    names = list(columns)
+    values = reduce(
+        DataFrame.unionByName,
+        [
+            table.select(F.lit(i).alias("i"), F.col(column).cast("string").alias("value"))
+            for i, (table, column) in enumerate(columns.values())
+        ],
+    )
+    repeated = (
+        values.filter(F.col("value").isNotNull())
+        .groupBy("i", "value").agg(F.count("*").alias("copies"))
+        .select("i", F.when(F.col("copies") > 1, 1).otherwise(0).alias("n"))
+    )
+    # Every column gets a line, also one of an empty table.
+    spark = values.sparkSession
+    zero = spark.createDataFrame([(i, 0) for i in range(len(names))], "i int, n int")
+    lines = repeated.unionByName(zero).groupBy("i").agg(F.sum("n").alias("n"))
+    return _results(lines, C.pick(F.col("i") + 1, tuple(names)), F.col("n"))
 
 
 def count_rows(offenders: DataFrame, name: str) -> DataFrame:
@@ -252,7 +270,6 @@ def table_results(
     tests |= {f"{name}.accepted.{c}": ~F.col(c).isin(*v) for c, v in checks.accepted.items()}
     tests |= row_tests or {}
     out = [count_row_tests(table, tests)] if tests else []
-    out += [count_repeats(table, c, f"{name}.unique.{c}") for c in checks.unique]
     if checks.references:
         parents = {c: (read(parent), key) for c, (parent, key) in checks.references.items()}
         out.append(count_orphans(table, parents, name))
@@ -261,10 +278,13 @@ def table_results(
 
 def layer_results(layer: str, read: Callable[[str], DataFrame], words: W.Words = W.SOURCE) -> DataFrame:
     """(check, offenders) for every check of a layer, reconciliations included."""
-    parts = []
+    parts, unique = [], {}
     for name, checks in declared(words)[layer].items():
         row_tests = {"silver_rules": silver_rule()} if name == "silver_yellow_trips" else None
         parts += table_results(name, checks, read, row_tests)
+        unique |= {f"{name}.unique.{c}": (read(name), c) for c in checks.unique}
+    if unique:
+        parts.append(count_repeats(unique))
     if layer == "bronze":
         gaps = file_count_gaps(read("yellow_trips"), read("bronze_yellow_trips"))
         parts.append(count_rows(gaps, "raw_equals_bronze"))

@@ -15,11 +15,12 @@ plan branch that joins to the empty list.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 16
 HOT_SHARE = 4
-HOT_ROWS = 1_000_000
+HOT_ROWS = 5_000_000  # a task still sorts this many rows in reasonable time
 
 
 def hot_keys(
@@ -40,14 +41,15 @@ def hot_keys(
     bucket = F.when(missing, -1).otherwise(F.pmod(F.xxhash64(*bucket_on), F.lit(BUCKETS)))
     bucketed = rows.withColumn("_bucket", bucket)
 
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    limit = sizes.agg(
-        F.greatest(F.lit(hot_rows), F.coalesce(F.sum("_n"), F.lit(0)) * HOT_SHARE / BUCKETS)
-    ).scalar()
-    hot_buckets = sizes.filter(F.col("_n") > limit).select("_bucket")
+    # The window has no partitioning on purpose: it sees one row per bucket.
+    everything = Win.partitionBy()
+    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n")).withColumn(
+        "_limit", F.greatest(F.lit(hot_rows), F.sum("_n").over(everything) * HOT_SHARE / BUCKETS)
+    )
+    hot_buckets = sizes.filter(F.col("_n") > F.col("_limit")).select("_bucket", "_limit")
     per_key = (
         bucketed.join(F.broadcast(hot_buckets), "_bucket")
         .groupBy(key)
-        .agg(F.count("*").alias("_n"), *summary)
+        .agg(F.count("*").alias("_n"), F.max("_limit").alias("_limit"), *summary)
     )
-    return per_key.filter(F.col("_n") > limit).drop("_n")
+    return per_key.filter(F.col("_n") > F.col("_limit")).drop("_n", "_limit")

@@ -68,6 +68,14 @@ LEDGER = T.StructType(
     ]
 )
 
+CHECK_RESULTS = T.StructType(
+    [
+        T.StructField("check", T.StringType()),
+        T.StructField("offenders", T.LongType()),
+        T.StructField("layer", T.StringType()),
+    ]
+)
+
 # The three code lists of the data dictionary.
 VENDORS = [
     (1, "Creative Mobile Technologies, LLC"),

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.schemas import LEDGER, RAW_TRIPS, TABLES, Layout
+from fareline.schemas import CHECK_RESULTS, LEDGER, RAW_TRIPS, TABLES, Layout
 from fareline.sources import tables
 
 REJECTED = "silver_yellow_trips_rejected"
 EVALUATED = "silver_yellow_trips_evaluated"
-EMPTY = {"yellow_trips": RAW_TRIPS, "ingestion_log": LEDGER}
+# Tables that grow by partition or by append: read by declared schema, empty until written.
+GROWING = {"yellow_trips": RAW_TRIPS, "ingestion_log": LEDGER, "check_results": CHECK_RESULTS}
 
 
 class Store:
@@ -24,15 +25,20 @@ class Store:
         return self.layout.path(table)
 
     def has(self, table: str) -> bool:
-        return tables.exists(self.spark, self.path(table))
+        if table in GROWING:
+            return tables.exists(self.spark, self.path(table))
+        return tables.finished(self.spark, self.path(table))
 
     def read(self, table: str) -> DataFrame:
         if table == REJECTED:
             return self._evaluated(rejected=True)
         if table == EVALUATED:
             return self._evaluated()
-        if table in EMPTY and not self.has(table):
-            return self.spark.createDataFrame([], EMPTY[table])
+        if table in GROWING:
+            schema = GROWING[table]
+            if not self.has(table):
+                return self.spark.createDataFrame([], schema)
+            return self.spark.read.schema(schema).parquet(self.path(table))
         return self.spark.read.parquet(self.path(table))
 
     def write(self, table: str, df: DataFrame) -> None:

@@ -222,3 +222,13 @@ def test_quarantine_reads_only_its_partition(spark, place):
     plan = store.read(REJECTED)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_rejected" in plan
     assert store.read(REJECTED).count() == 0
+
+
+def test_unfinished_bronze_is_rebuilt(spark, place):
+    folder, root = place
+    store = Store(spark, root)
+    pipeline.land(store, request(folder))
+    pipeline.build_bronze(store)
+    os.rename(f"{store.path('bronze_yellow_trips')}/_SUCCESS", f"{store.path('bronze_yellow_trips')}/_crashed")
+    pipeline.build_bronze(store)
+    assert store.read("bronze_yellow_trips").count() == 50

@@ -142,6 +142,8 @@ class TestChecks:
     def test_repeats_ignore_null(self, spark):
         df = spark.createDataFrame([(None,), (None,), (1,), (1,), (1,), (2,)], "a int")
         assert [tuple(r) for r in quality.repeated_values(df, "a").collect()] == [(1, 3)]
+        both = quality.count_repeats({"x": (df, "a"), "y": (df.filter("a = 2"), "a"), "z": (df.filter("false"), "a")})
+        assert self.offenders(both) == {"x": 1, "y": 0, "z": 0}
 
     def test_references_ignore_null(self, spark):
         child = spark.createDataFrame([(1, 1), (2, 1), (None, 9), (2, 9)], "a int, b int")
