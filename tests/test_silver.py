@@ -16,37 +16,31 @@ from fareline.words import ENGLISH, SOURCE
 START = GOOD["tpep_pickup_datetime"]
 
 
-def reason(spark, **change):
-    return silver.evaluate(bronze(spark, change), ENGLISH).first()["rejection_reason"]
-
-
-@pytest.mark.parametrize(
-    "change, expected",
-    [
-        ({}, None),
-        ({"total_amount": -1.0, "fare_amount": -1.0}, "negative_total"),
-        ({"fare_amount": -1.0}, "negative_fare"),
-        ({"tpep_dropoff_datetime": START - timedelta(seconds=1)}, "dropoff_before_pickup"),
-        ({"tpep_dropoff_datetime": START + timedelta(hours=24)}, None),
-        ({"tpep_dropoff_datetime": START + timedelta(hours=24, seconds=30)}, "over_24h"),
-        ({"_source_file": "yellow_tripdata_2025-02.parquet"}, "outside_period"),
-        ({"tpep_dropoff_datetime": START, "trip_distance": 0.004}, "no_movement"),
-        ({"tpep_dropoff_datetime": START, "trip_distance": 0.01}, None),
-        ({"trip_distance": 200.0}, None),
-        ({"trip_distance": 200.01}, "distance_over_200"),
-        ({"total_amount": 1000.01}, "total_over_1000"),
-        ({"trip_distance": -1.0}, None),
-        ({"total_amount": None}, None),
-        ({"VendorID": 42}, None),
-    ],
-)
-def test_first_broken_rule(spark, change, expected):
-    assert reason(spark, **change) == expected
-
-
-def test_first_rule_wins(spark):
-    both = {"total_amount": -1.0, "trip_distance": 900.0}
-    assert reason(spark, **both) == "negative_total"
+CASES = [
+    ({}, None),
+    ({"total_amount": -1.0, "fare_amount": -1.0}, "negative_total"),
+    ({"total_amount": -1.0, "trip_distance": 900.0}, "negative_total"),  # the first rule wins
+    ({"fare_amount": -1.0}, "negative_fare"),
+    ({"tpep_dropoff_datetime": START - timedelta(seconds=1)}, "dropoff_before_pickup"),
+    ({"tpep_dropoff_datetime": START + timedelta(hours=24)}, None),
+    ({"tpep_dropoff_datetime": START + timedelta(hours=24, seconds=30)}, "over_24h"),
+    ({"_source_file": "yellow_tripdata_2025-02.parquet"}, "outside_period"),
+    ({"tpep_dropoff_datetime": START, "trip_distance": 0.004}, "no_movement"),
+    ({"tpep_dropoff_datetime": START, "trip_distance": 0.01}, None),
+    ({"trip_distance": 200.0}, None),
+    ({"trip_distance": 200.01}, "distance_over_200"),
+    ({"total_amount": 1000.01}, "total_over_1000"),
+    ({"trip_distance": -1.0}, None),
+    ({"total_amount": None}, None),
+    ({"VendorID": 42}, None),
+]
+
+
+def test_first_broken_rule(spark):
+    # One destination per case keeps the trips apart.
+    data = bronze(spark, *[{"DOLocationID": i, **change} for i, (change, _) in enumerate(CASES)])
+    judged = rows(silver.evaluate(data, ENGLISH), "dropoff_location_id", "rejection_reason")
+    assert dict(judged) == {i: expected for i, (_, expected) in enumerate(CASES)}
 
 
 def test_stored_words_by_default(spark):
@@ -101,53 +95,61 @@ def test_money_is_rounded_half_up(spark):
     assert rows(typed, "fare_amount", "tip_amount") == [(Decimal("1.01"), Decimal("0.15"))]
 
 
-def judged(spark, *changes, hot_rows=silver.HOT_ROWS):
-    df = silver.evaluate(bronze(spark, *changes), ENGLISH, hot_rows)
-    return rows(df, "total_amount", "rejection_reason", "has_reversal")
+# Groups of rows of one trip, and what becomes of them: (total, reason, reversal flag, tip).
+GROUPS = {
+    "highest total stays": (
+        [{"total_amount": 10.0}, {"total_amount": 12.0}, {"total_amount": 11.0}],
+        [(10.0, "duplicate", False, 2.0), (11.0, "duplicate", False, 2.0), (12.0, None, False, 2.0)],
+    ),
+    "latest load breaks the tie": (
+        [{}, {"_loaded_at": datetime(2025, 4, 1), "tip_amount": 9.0}],
+        [(14.0, "duplicate", False, 2.0), (14.0, None, False, 9.0)],
+    ),
+    "invalid rows do not displace valid ones": (
+        [{"total_amount": 5000.0}, {"total_amount": 10.0}],
+        [(10.0, None, False, 2.0), (5000.0, "total_over_1000", False, 2.0)],
+    ),
+    "a reversal marks the whole trip": (
+        [{}, {"total_amount": -14.0, "fare_amount": -10.0}],
+        [(-14.0, "negative_total", True, 2.0), (14.0, None, True, 2.0)],
+    ),
+    "exact copies leave one": (
+        [{}] * 5,
+        [(14.0, "duplicate", False, 2.0)] * 4 + [(14.0, None, False, 2.0)],
+    ),
+    "a missing total ranks first": (
+        [{"total_amount": None}, {"total_amount": 3.0}],
+        [(3.0, "duplicate", False, 2.0), (None, None, False, 2.0)],
+    ),
+    "rows without a key form one group": (
+        [
+            {"VendorID": None, "total_amount": 1.0},
+            {"tpep_pickup_datetime": None, "total_amount": 2.0},
+            {"VendorID": None, "total_amount": -3.0},
+        ],
+        [(-3.0, "negative_total", True, 2.0), (1.0, "duplicate", True, 2.0), (2.0, None, True, 2.0)],
+    ),
+}
 
 
 @pytest.mark.parametrize("hot_rows", [silver.HOT_ROWS, 1])
-class TestDuplicates:
-    """Every case on the ordinary path and, with a limit of one row, on the path for hot trips."""
-
-    def test_highest_total_stays(self, spark, hot_rows):
-        got = judged(spark, {"total_amount": 10.0}, {"total_amount": 12.0}, {"total_amount": 11.0}, hot_rows=hot_rows)
-        assert [(float(t), r) for t, r, _ in got] == [(10.0, "duplicate"), (11.0, "duplicate"), (12.0, None)]
-
-    def test_latest_load_breaks_the_tie(self, spark, hot_rows):
-        later = {"_loaded_at": datetime(2025, 4, 1), "tip_amount": 9.0}
-        df = silver.evaluate(bronze(spark, {}, later), ENGLISH, hot_rows)
-        assert float(silver.accepted(df).first()["tip_amount"]) == 9.0
-
-    def test_invalid_rows_do_not_displace_valid_ones(self, spark, hot_rows):
-        got = judged(spark, {"total_amount": 5000.0}, {"total_amount": 10.0}, hot_rows=hot_rows)
-        assert [r for _, r, _ in got] == [None, "total_over_1000"]
-
-    def test_reversal_marks_the_whole_trip(self, spark, hot_rows):
-        got = judged(
-            spark, {"total_amount": 14.0}, {"total_amount": -14.0, "fare_amount": -10.0}, hot_rows=hot_rows
-        )
-        assert [(r, flag) for _, r, flag in got] == [("negative_total", True), (None, True)]
-
-    def test_exact_copies_leave_one(self, spark, hot_rows):
-        got = judged(spark, *[{}] * 7, hot_rows=hot_rows)
-        assert sorted(r or "" for _, r, _ in got) == [""] + ["duplicate"] * 6
-
-    def test_rows_without_a_key_form_one_group(self, spark, hot_rows):
-        got = judged(
-            spark, {"VendorID": None, "total_amount": 1.0}, {"PULocationID": None, "total_amount": 2.0},
-            {"VendorID": None, "total_amount": -3.0}, hot_rows=hot_rows,
-        )
-        assert [(r, flag) for _, r, flag in got] == [
-            ("negative_total", True), ("duplicate", True), (None, True),
+def test_duplicates(spark, hot_rows):
+    """Every group on the ordinary path and, with a limit of one row, on the path for hot trips."""
+    changes = [
+        {"DOLocationID": i, **change} for i, (group, _) in enumerate(GROUPS.values()) for change in group
+    ]
+    judged = silver.evaluate(bronze(spark, *changes), ENGLISH, hot_rows).collect()
+    for i, (name, (_, expected)) in enumerate(GROUPS.items()):
+        got = [
+            (r.total_amount if r.total_amount is None else float(r.total_amount), r.rejection_reason,
+             r.has_reversal, float(r.tip_amount))
+            for r in judged if r.dropoff_location_id == i
         ]
-
-    def test_null_total_ranks_first(self, spark, hot_rows):
-        df = silver.evaluate(bronze(spark, {"total_amount": None}, {"total_amount": 3.0}), ENGLISH, hot_rows)
-        assert silver.accepted(df).first()["total_amount"] is None
+        assert sorted(got, key=repr) == sorted(expected, key=repr), name
 
 
-def _skewed(spark):
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
     """Stand-in trips plus copies, so that one trip and the trips without key are large."""
     trips = standin.raw_trips(spark, SF).withColumn(
         "_source_period", C.file_period(F.col("_source_file"))
@@ -156,19 +158,20 @@ def _skewed(spark):
     many = one.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(900))))
     varied = many.withColumn("total_amount", F.floor(F.col("i") / 9).cast("double")).drop("i")
     keyless = trips.filter("pulocationid % 3 = 0").withColumn("vendorid", F.lit(None).cast("bigint"))
-    return trips.unionByName(many.drop("i")).unionByName(varied).unionByName(keyless).repartition(6)
+    path = str(tmp_path_factory.mktemp("skewed") / "trips")
+    trips.unionByName(many.drop("i")).unionByName(varied).unionByName(keyless).repartition(6).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def test_hot_path_equals_ordinary_path(spark):
-    df = _skewed(spark)
-    plain = silver.evaluate(df, ENGLISH)
-    hot = silver.evaluate(df, ENGLISH, hot_rows=20)
-    assert silver.hot_trips(silver.prepared(df), 20).count() > 1
+def test_hot_path_equals_ordinary_path(skewed):
+    plain = silver.evaluate(skewed, ENGLISH)
+    hot = silver.evaluate(skewed, ENGLISH, hot_rows=20)
+    assert silver.hot_trips(silver.prepared(skewed), 20).count() > 1
     assert plain.exceptAll(hot).isEmpty() and hot.exceptAll(plain).isEmpty()
 
 
-def test_rank_by_counting_equals_window_rank(spark):
-    prepared = silver.prepared(_skewed(spark), ENGLISH)
+def test_rank_by_counting_equals_window_rank(skewed):
+    prepared = silver.prepared(skewed, ENGLISH)
     columns = ["trip_id", "total_amount", "_source_file", "passenger_count", "broken_rule", "dedup_rank"]
     plain = silver.dedup_rank(prepared).select(columns)
     hot = silver.dedup_rank(prepared, hot_rows=20).select(columns)
