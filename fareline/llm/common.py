@@ -6,7 +6,6 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,13 +110,13 @@ class PieceCache:
         """All ids one after another, and the number of ids of each piece."""
         if not pieces:
             return np.empty(0, np.int32), np.empty(0, np.int64)
-        codes, distinct = pd.factorize(np.array(pieces, dtype=object))
-        if len(self.row) + len(distinct) > self.limit:
+        fresh = set(pieces).difference(self.row)
+        if fresh and len(self.row) + len(fresh) > self.limit:
             self.clear()
-        fresh = [p for p in distinct if p not in self.row]
+            fresh = set(pieces)
         if fresh:
-            self._append(fresh)
-        rows = np.fromiter((self.row[p] for p in distinct), np.int64, len(distinct))[codes]
+            self._append(list(fresh))
+        rows = np.fromiter(map(self.row.__getitem__, pieces), np.int64, len(pieces))
         lengths = self.lengths[rows]
         return gather(self.ids, self.starts[rows], lengths), lengths
 

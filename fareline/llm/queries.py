@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from fareline.llm import exact_dedup, mixing
+from fareline.llm import exact_dedup, mixing, sentence_pieces, token_files, warc
 
 QUERIES = {
+    "op1_token_files": token_files.op1_token_files,
+    "op3_warc": warc.op3_warc,
     "op7_mixing": mixing.op7_mixing,
+    "op9_sentence_pieces": sentence_pieces.op9_sentence_pieces,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op3_warc": warc.OP3_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }
