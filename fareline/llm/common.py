@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -152,3 +153,79 @@ def encode_texts(
 
 def strings(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
+
+
+# --- Words by name ---------------------------------------------------------------------
+
+_WORDS = re.compile(r"[^\t-\r ]+")
+_SPACE = re.compile(r"[\t-\r ]")
+_names: dict[str, int] = {}
+MOST_NAMES = 1_000_000
+
+
+def names(words: list[str]) -> np.ndarray:
+    """64-bit XXH3 of the UTF-8 bytes of words; those met before are kept per worker."""
+    fresh = set(words).difference(_names)
+    if len(_names) + len(fresh) > MOST_NAMES:
+        _names.clear()
+        fresh = set(words)
+    digest = xxhash.xxh3_64_intdigest
+    _names.update((w, digest(w.encode("utf-8", "surrogatepass"))) for w in fresh)
+    return np.fromiter(map(_names.__getitem__, words), np.uint64, len(words))
+
+
+def named_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Names of all words of some texts, one text after another, and the words of each text."""
+    parts = [(k, p) for k, t in enumerate(texts) for p in cut(t, _SPACE)]
+    found, sizes = [], np.zeros(len(texts), np.int64)
+    for first, last in sliced([p for _, p in parts]):
+        words = [_WORDS.findall(p) for _, p in parts[first:last]]
+        np.add.at(sizes, [k for k, _ in parts[first:last]], [len(w) for w in words])
+        found.append(names([w for own in words for w in own]))
+    return np.concatenate(found) if found else np.empty(0, np.uint64), sizes
+
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One 64-bit name for an ordered pair of names."""
+    with np.errstate(over="ignore"):
+        out = (a ^ (a >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b
+        out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return out ^ (out >> np.uint64(31))
+
+
+# --- Connected components --------------------------------------------------------------
+
+
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """`node`, `component` (the smallest node reachable) of every node of edges (a, b).
+
+    Every node takes the smallest label among its neighbours, then the label of its label,
+    until nothing changes. Both steps are joins and `min` aggregates; each round is written.
+    """
+    both = stored(
+        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
+        f"{name}-edges",
+    )
+    labels = stored(
+        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+        .select("node", F.least("node", "low").alias("component")),
+        f"{name}-labels",
+    )
+    while True:
+        near = (
+            both.join(labels.withColumnRenamed("node", "b"), "b")
+            .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("low"))
+        )
+        lower = stored(
+            labels.join(near, "node").select(
+                "node", F.least("component", "low").alias("component"), F.col("component").alias("before")
+            ),
+            f"{name}-lower",
+        )
+        if lower.filter(F.col("component") != F.col("before")).isEmpty():
+            return labels
+        roots = lower.select(F.col("node").alias("component"), F.col("component").alias("root"))
+        labels = stored(
+            lower.join(roots, "component").select("node", F.least("component", "root").alias("component")),
+            f"{name}-labels",
+        )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from fareline.llm import exact_dedup, mixing, sentence_pieces, suffix_tree, token_files, warc
+from fareline.llm import exact_dedup, jaccard_join, mixing, sentence_pieces, suffix_tree, token_files, warc
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op3_warc": warc.op3_warc,
     "op4_suffix_tree": suffix_tree.op4_suffix_tree,
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op7_mixing": mixing.op7_mixing,
     "op9_sentence_pieces": sentence_pieces.op9_sentence_pieces,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
