@@ -16,7 +16,7 @@ from fareline.session import scratch_path
 # A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 32 << 20
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,10 +40,8 @@ def text_or_empty(name: str) -> Column:
 
 
 def ascii_lower(texts: Iterable[str]) -> list[str]:
-    return [t.translate(_LOWER) for t in texts]
-
-
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+    """A-Z lower-cased and nothing else; bytes.lower does just that."""
+    return [t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass") for t in texts]
 
 
 def sliced(texts: list[str], chars: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
@@ -83,7 +81,7 @@ class PieceCache:
     `encode_many` maps a list of distinct pieces to a list of id lists.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list], limit: int = 1_000_000):
+    def __init__(self, encode_many: Callable[[list[str]], list], limit: int = 400_000):
         self.encode_many, self.limit = encode_many, limit
         self.clear()
 
@@ -160,7 +158,7 @@ def strings(column: pa.ChunkedArray | pa.Array) -> list[str]:
 _WORDS = re.compile(r"[^\t-\r ]+")
 _SPACE = re.compile(r"[\t-\r ]")
 _names: dict[str, int] = {}
-MOST_NAMES = 1_000_000
+MOST_NAMES = 500_000
 
 
 def names(words: list[str]) -> np.ndarray:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from fareline.llm import exact_dedup, jaccard_join, mixing, sentence_pieces, suffix_tree, token_files, warc
+from fareline.llm import (
+    exact_dedup, jaccard_join, mixing, sentence_pieces, substring_dedup, suffix_tree, token_files, warc,
+)
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_warc": warc.op3_warc,
     "op4_suffix_tree": suffix_tree.op4_suffix_tree,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,

@@ -29,7 +29,6 @@ row.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    ascii_lower, bounded_batches, cut, sliced, stored, strings, table, text_or_empty,
+    ascii_lower, bounded_batches, named_words, sliced, stored, strings, table, text_or_empty,
 )
 
 DEPTH = 3
@@ -52,44 +51,18 @@ BLOCK_BYTES = 16 << 20
 WORD_BITS = 21  # room for the number of a frequent word, at most 1 / P_MIN
 
 END = np.int64(np.uint64(xxhash.xxh3_64_intdigest(b"\n")).view(np.int64))  # no word holds a line end
-_WORDS = re.compile(r"[^\t-\r ]+")
-_SPACE = re.compile(r"[\t-\r ]")
-_names: dict[str, int] = {}
-
-
-def names(words: list[str]) -> np.ndarray:
-    """64-bit names; those of words met before are kept per worker."""
-    fresh = set(words).difference(_names)
-    if len(_names) + len(fresh) > 1_000_000:
-        _names.clear()
-        fresh = set(words)
-    digest = xxhash.xxh3_64_intdigest
-    _names.update((w, digest(w.encode("utf-8", "surrogatepass"))) for w in fresh)
-    return np.fromiter(map(_names.__getitem__, words), np.uint64, len(words)).view(np.int64)
 
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Names of all tokens of some texts, one text after another, and the number of each text."""
-    parts = []
-    for text in ascii_lower(texts):
-        parts += [names(_WORDS.findall(p)) for p in cut(text, _SPACE)] if len(text) > 100_000 else [text]
-        parts.append(None)
-    # Short texts share one lookup.
-    plain = [_WORDS.findall(p) if isinstance(p, str) else p for p in parts]
-    found = names([w for p in plain if isinstance(p, list) for w in p])
-    out, sizes, at, size = [], [], 0, 0
-    for p in plain:
-        if p is None:
-            out.append(np.array([END]))
-            sizes.append(size + 1)
-            size = 0
-        elif isinstance(p, list):
-            out.append(found[at : at + len(p)])
-            at, size = at + len(p), size + len(p)
-        else:
-            out.append(p)
-            size += len(p)
-    return np.concatenate(out), np.array(sizes, np.int64)
+    words, sizes = named_words(ascii_lower(texts))
+    sizes = sizes + 1
+    ends = np.cumsum(sizes)
+    found = np.full(int(ends[-1]) if len(ends) else 0, END)
+    real = np.ones(len(found), bool)
+    real[ends - 1] = False
+    found[real] = words.view(np.int64)
+    return found, sizes
 
 
 @dataclass

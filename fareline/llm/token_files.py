@@ -7,8 +7,9 @@ encoded. Stripes are read in parallel, and a filter on `doc_id` skips files, str
 groups by their minimum and maximum and by the Bloom filters. `part` numbers the files; the
 ids before a file are summed from `part` and `n_tokens` alone, without reading an id.
 
-Texts are cut at ASCII white space, which the tokenizer drops, and every distinct word is
-encoded once per worker; ids are then looked up for whole batches.
+Texts are cut at ASCII white space, which the tokenizer drops, and A-Z is lower-cased, as the
+tokenizer does itself (not where a text may hold a special token, which is matched before);
+every distinct word is then encoded once per worker and looked up for whole batches.
 
 Defined results: a null text is empty and has the end id only; null ids come first; rows with
 the same id are ordered by a hash of the text; rows equal in both are interchangeable. An
@@ -30,7 +31,7 @@ from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    PieceCache, bounded_batches, encode_texts, strings, table, text_or_empty,
+    PieceCache, ascii_lower, bounded_batches, encode_texts, strings, table, text_or_empty,
 )
 from fareline.session import scratch_path
 
@@ -77,7 +78,8 @@ def encode(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> DataFr
         tail = np.array([end_id], np.int32)
         for batch in batches:
             at = 0
-            for ids in encode_texts(strings(batch.column(1)), _WORDS, _SPACE, cache):
+            texts = [t if "<|" in t else ascii_lower([t])[0] for t in strings(batch.column(1))]
+            for ids in encode_texts(texts, _WORDS, _SPACE, cache):
                 flat = np.concatenate([x for own in ids for x in (own, tail)])
                 lengths = np.fromiter((len(own) + 1 for own in ids), np.int64, len(ids))
                 ends = np.cumsum(lengths)
