@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from fareline.llm import (
-    exact_dedup, jaccard_join, mixing, sentence_pieces, substring_dedup, suffix_tree, token_files, warc,
+    embedding_dedup, exact_dedup, jaccard_join, mixing, quality, sentence_pieces, substring_dedup,
+    suffix_tree, token_files, warc,
 )
 
 QUERIES = {
@@ -12,7 +13,9 @@ QUERIES = {
     "op3_warc": warc.op3_warc,
     "op4_suffix_tree": suffix_tree.op4_suffix_tree,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
+    "op6_quality": quality.op6_quality,
     "op7_mixing": mixing.op7_mixing,
+    "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_sentence_pieces": sentence_pieces.op9_sentence_pieces,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }

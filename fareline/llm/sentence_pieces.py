@@ -28,7 +28,6 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fareline.llm.common import (
     PieceCache, bounded_batches, encode_texts, strings, table, text_or_empty,
@@ -214,6 +213,16 @@ def digests(docs: DataFrame, model_file: str, text_col: str = "text") -> DataFra
     return _mapped(docs, model_file, text_col, fields, _digests)
 
 
+def encode_and_decode(docs: DataFrame, model_file: str, text_col: str = "text") -> DataFrame:
+    """The columns of `docs`, the ids as `piece_ids`, and the text decoded from them."""
+    return _mapped(docs, model_file, text_col, "piece_ids array<int>, decoded_text string", _both)
+
+
+def _both(model: Model, ids: list[np.ndarray]) -> list[pa.Array]:
+    decoded = model.library.decode([own.tolist() for own in ids], num_threads=1)
+    return [*_ids(model, ids), pa.array(decoded, pa.string())]
+
+
 def _ids(model: Model, ids: list[np.ndarray]) -> list[pa.Array]:
     edges = np.concatenate([[0], np.cumsum([len(own) for own in ids])]).astype(np.int32)
     return [pa.ListArray.from_arrays(edges, np.concatenate(ids))]
@@ -257,5 +266,4 @@ def _mapped(docs: DataFrame, model_file: str, text_col: str, fields: str, make)
 
 def op9_sentence_pieces(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    plain = docs.select("doc_id", F.col("text"))
-    return digests(plain, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+    return digests(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
