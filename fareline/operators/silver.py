@@ -123,20 +123,28 @@ def with_fingerprint(rows: DataFrame) -> DataFrame:
     return rows.withColumn("row_fingerprint", F.xxhash64(*rows.columns))
 
 
+# The columns that order the rows of a trip, the leading ones first. All columns of a row are
+# here or follow from those that are (the key, the broken rule), so rows that tie are equal.
+KEEP_FIRST = ["total_amount", "_loaded_at", "_source_file"]
+KEEP_THEN = [
+    "passenger_count", "trip_distance_miles", "rate_code_id", "is_store_and_forward",
+    "payment_type_id", "fare_amount", "extra_amount", "mta_tax_amount", "tip_amount", "tolls_amount",
+    "improvement_surcharge_amount", "congestion_surcharge_amount", "airport_fee_amount",
+    "cbd_congestion_fee_amount", "pickup_datetime", "dropoff_datetime", "vendor_id",
+    "pickup_location_id", "dropoff_location_id", "_source_period", "duration_seconds",
+]
+
+
 def keep_order() -> list[Column]:
-    """Which row of a trip is kept: highest total, latest load, then a fixed total order.
+    """Which row of a trip is kept: highest total, latest load, then all other columns.
 
-    Rows that tie on all of these are equal in every column, so either may stay.
+    The order is total: whatever the order of the input and however a trip's rows are dealt
+    out, the same row stays. Only rows that are equal in every column tie.
     """
+    total, loaded, file = KEEP_FIRST
     return [
-        F.desc_nulls_first("total_amount"),
-        F.desc_nulls_first("_loaded_at"),
-        F.asc_nulls_last("_source_file"),
-        *[
-            F.asc_nulls_last(name)
-            for name in TYPED_COLUMNS[4:]
-            if name not in ("pickup_location_id", "dropoff_location_id", "total_amount")
-        ],
+        F.desc_nulls_first(total), F.desc_nulls_first(loaded), F.asc_nulls_last(file),
+        *[F.asc_nulls_last(name) for name in KEEP_THEN],
     ]
 
 
@@ -174,8 +182,8 @@ def _rank_by_counting(rows: DataFrame) -> DataFrame:
     it inside the slice a running sum over the slice. Copies are written out again at the
     end, in chunks, each with its own position.
     """
-    head, tail = keep_order()[:3], keep_order()[3:]
-    slice_of = ["trip_id", "_valid", "total_amount", "_loaded_at", "_source_file"]
+    head, tail = keep_order()[: len(KEEP_FIRST)], keep_order()[len(KEEP_FIRST) :]
+    slice_of = ["trip_id", "_valid", *KEEP_FIRST]
     copies = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
     earlier_slices = (
         Win.partitionBy("trip_id", "_valid").orderBy(*head).rowsBetween(Win.unboundedPreceding, -1)
@@ -188,12 +196,7 @@ def _rank_by_counting(rows: DataFrame) -> DataFrame:
         lambda a, b: a & b,
         [copies[c].eqNullSafe(slices[f"_s{i}"]) for i, c in enumerate(slice_of)],
     )
-    # Columns outside the order (they tie only in equal trips) keep the order total.
-    earlier_rows = (
-        Win.partitionBy(*slice_of)
-        .orderBy(*tail, "pickup_datetime", "dropoff_datetime", "vendor_id")
-        .rowsBetween(Win.unboundedPreceding, -1)
-    )
+    earlier_rows = Win.partitionBy(*slice_of).orderBy(*tail).rowsBetween(Win.unboundedPreceding, -1)
     chunks = (
         copies.join(slices, same)
         .withColumn(

@@ -1,25 +1,26 @@
 """Finding the few keys that hold far more rows than one task should sort.
 
+A key is hot when it has more than `HOT_ROWS` rows, a fixed amount of work for one task. At
+most one key per `HOT_ROWS` rows can be hot: 100 TB of trips, about 10^12 rows, have at most
+200,000, some 10 MB.
+
 The search is two narrow counting passes, both combined on the map side:
 
-1. rows are counted in a fixed number of hash buckets; a bucket is hot when it holds more
-   than `HOT_SHARE` times the mean (and more than `HOT_ROWS` rows). At most
-   `BUCKETS / HOT_SHARE` buckets can be hot, whatever the size of the data.
-2. only inside hot buckets, rows are counted per key with the same limit, so the list of
-   hot keys has the same fixed bound and is safe to broadcast.
+1. rows are counted in a fixed number of hash buckets; only a bucket with more rows than the
+   limit can hold a hot key.
+2. inside those buckets rows are counted per key.
 
-On ordinary data step 1 finds nothing; adaptive execution then drops step 2 and every
-plan branch that joins to the empty list.
+While buckets are below the limit, step 1 finds nothing; adaptive execution then drops step 2
+and every plan branch that joins to the empty list. Hot keys are ranked by another plan, in the
+same total order, so the limit decides where rows are sorted and never which row is kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 16
-HOT_SHARE = 4
 HOT_ROWS = 5_000_000  # a task still sorts this many rows in reasonable time
 
 
@@ -41,15 +42,9 @@ def hot_keys(
     bucket = F.when(missing, -1).otherwise(F.pmod(F.xxhash64(*bucket_on), F.lit(BUCKETS)))
     bucketed = rows.withColumn("_bucket", bucket)
 
-    # The window has no partitioning on purpose: it sees one row per bucket.
-    everything = Win.partitionBy()
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n")).withColumn(
-        "_limit", F.greatest(F.lit(hot_rows), F.sum("_n").over(everything) * HOT_SHARE / BUCKETS)
-    )
-    hot_buckets = sizes.filter(F.col("_n") > F.col("_limit")).select("_bucket", "_limit")
+    hot_buckets = bucketed.groupBy("_bucket").count().filter(F.col("count") > hot_rows).select("_bucket")
+    # At most BUCKETS + 1 rows, whatever the size of the data.
     per_key = (
-        bucketed.join(F.broadcast(hot_buckets), "_bucket")
-        .groupBy(key)
-        .agg(F.count("*").alias("_n"), F.max("_limit").alias("_limit"), *summary)
+        bucketed.join(F.broadcast(hot_buckets), "_bucket").groupBy(key).agg(F.count("*").alias("_n"), *summary)
     )
-    return per_key.filter(F.col("_n") > F.col("_limit")).drop("_n", "_limit")
+    return per_key.filter(F.col("_n") > hot_rows).drop("_n")

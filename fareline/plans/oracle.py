@@ -36,7 +36,9 @@ KEPT_FIRST = """total_amount DESC NULLS FIRST, _loaded_at DESC NULLS FIRST, _sou
     is_store_and_forward NULLS LAST, payment_type_id NULLS LAST, fare_amount NULLS LAST,
     extra_amount NULLS LAST, mta_tax_amount NULLS LAST, tip_amount NULLS LAST, tolls_amount NULLS LAST,
     improvement_surcharge_amount NULLS LAST, congestion_surcharge_amount NULLS LAST,
-    airport_fee_amount NULLS LAST, cbd_congestion_fee_amount NULLS LAST"""
+    airport_fee_amount NULLS LAST, cbd_congestion_fee_amount NULLS LAST,
+    pickup_datetime NULLS LAST, dropoff_datetime NULLS LAST, vendor_id NULLS LAST,
+    pickup_location_id NULLS LAST, dropoff_location_id NULLS LAST, _source_period NULLS LAST"""
 TYPED_COLUMNS = (
     "vendor_id, pickup_datetime, dropoff_datetime, duration_seconds, passenger_count, trip_distance_miles, "
     "rate_code_id, is_store_and_forward, pickup_location_id, dropoff_location_id, payment_type_id, fare_amount, "
@@ -60,7 +62,7 @@ def _broken_rule(words: W.Words) -> str:
     return f"CASE {lines} END"
 
 
-def _steps(words: W.Words) -> dict[str, str]:
+def _steps(words: W.Words, typed_from: str = "bronze") -> dict[str, str]:
     return {
         "src": """
             SELECT l.*, s.sgn FROM lineitem l, (VALUES (1, 0), (1, 7), (1, 8), (-1, 8)) s(sgn, r)
@@ -101,6 +103,16 @@ def _steps(words: W.Words) -> dict[str, str]:
             FROM base""",
         "bronze": """
             SELECT *, CAST(regexp_extract(_source_file, '\\d{4}-\\d{2}') || '-01' AS DATE) AS _source_period FROM raw""",
+        "ties": """
+            SELECT * FROM bronze
+            UNION ALL SELECT * REPLACE (tpep_pickup_datetime + INTERVAL 200 MILLISECOND AS tpep_pickup_datetime,
+                                        tpep_dropoff_datetime + INTERVAL 200 MILLISECOND AS tpep_dropoff_datetime)
+            FROM bronze WHERE pulocationid % 7 = 0
+            UNION ALL SELECT * REPLACE (NULL::BIGINT AS vendorid) FROM bronze WHERE pulocationid % 11 = 0
+            UNION ALL SELECT * REPLACE (NULL::BIGINT AS vendorid,
+                                        tpep_pickup_datetime + INTERVAL 3 HOUR AS tpep_pickup_datetime,
+                                        tpep_dropoff_datetime + INTERVAL 3 HOUR AS tpep_dropoff_datetime)
+            FROM bronze WHERE pulocationid % 11 = 0""",
         "zones": """
             SELECT id AS locationid,
                    CASE id WHEN 265 THEN '' WHEN 264 THEN ' ' ELSE r_name END AS borough,
@@ -125,7 +137,7 @@ def _steps(words: W.Words) -> dict[str, str]:
                    CAST(airport_fee AS {MONEY}) AS airport_fee_amount,
                    CAST(cbd_congestion_fee AS {MONEY}) AS cbd_congestion_fee_amount,
                    CAST(total_amount AS {MONEY}) AS total_amount, _source_file, _source_period, _loaded_at
-            FROM bronze""",
+            FROM {typed_from}""",
         "ruled": f"""
             SELECT *, md5(vendor_id || '|' || strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') || '|'
                           || strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S') || '|'
@@ -229,7 +241,7 @@ def _steps(words: W.Words) -> dict[str, str]:
 
 # Steps each step reads from.
 NEEDS = {
-    "base": ["src"], "raw": ["base"], "bronze": ["raw"], "typed": ["bronze"], "ruled": ["typed"],
+    "base": ["src"], "raw": ["base"], "bronze": ["raw"], "ties": ["bronze"], "ruled": ["typed"],
     "ranked": ["ruled"], "evaluated": ["ranked"], "trips": ["evaluated"], "silver": ["trips"],
     "szones": ["zones"], "fact": ["silver"], "dates": ["silver"], "dzones": ["szones"],
     "files": ["bronze"], "ledger": ["files"], "verdicts": ["files"], "faulty": ["silver"],
@@ -237,12 +249,13 @@ NEEDS = {
 }
 
 
-def chain(needed: str, body: str, words: W.Words = SOURCE) -> str:
-    steps = _steps(words)
+def chain(needed: str, body: str, words: W.Words = SOURCE, typed_from: str = "bronze") -> str:
+    """`typed_from` names the step that the typed rows come from."""
+    steps = _steps(words, typed_from)
     wanted: set[str] = set()
 
     def add(name: str) -> None:
-        for other in NEEDS.get(name, []):
+        for other in [typed_from] if name == "typed" else NEEDS.get(name, []):
             add(other)
         wanted.add(name)
 
@@ -524,9 +537,10 @@ def statements() -> dict[str, str]:
         "silver_rules": chain("ruled", "SELECT trip_id, total_amount, _source_file, broken_rule FROM ruled"),
         "silver_fingerprint": chain("typed", f"""SELECT copies, count(*) AS fingerprints FROM (
             SELECT count(*) AS copies FROM typed GROUP BY {TYPED_COLUMNS}, _source_file, _source_period, _loaded_at) GROUP BY copies"""),
-        "silver_dedup_rank": chain("ranked", "SELECT trip_id, broken_rule IS NULL AS is_valid, total_amount, _source_file, dedup_rank FROM ranked"),
-        "silver_reversal": chain("ranked", "SELECT trip_id, total_amount, has_reversal FROM ranked"),
-        "silver_reason": chain("evaluated", "SELECT * FROM evaluated"),
+        "silver_dedup_rank": chain("ranked", """SELECT trip_id, broken_rule IS NULL AS is_valid, total_amount, _source_file,
+            vendor_id, pickup_datetime, pickup_location_id, dedup_rank FROM ranked""", typed_from="ties"),
+        "silver_reversal": chain("ranked", "SELECT trip_id, pickup_datetime, total_amount, has_reversal FROM ranked", typed_from="ties"),
+        "silver_reason": chain("evaluated", "SELECT * FROM evaluated", typed_from="ties"),
         "silver_reason_english": chain("evaluated", "SELECT rejection_reason, has_reversal, count(*) AS rows FROM evaluated GROUP BY ALL", ENGLISH),
         "silver_valid": chain("evaluated", "SELECT * EXCLUDE (rejection_reason) FROM evaluated WHERE rejection_reason IS NULL"),
         "silver_quarantine": chain("evaluated", "SELECT * FROM evaluated WHERE rejection_reason IS NOT NULL"),

@@ -86,6 +86,22 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_odd_ties(trips: DataFrame) -> DataFrame:
+    """The trips and copies of some that tie in all but the columns a key drops or lacks.
+
+    Every 7th pickup zone again a fifth of a second later (the same key); every 11th without
+    vendor (no key), once as it was and once three hours later.
+    """
+    zone, start, end = F.col("pulocationid"), "tpep_pickup_datetime", "tpep_dropoff_datetime"
+
+    def later(rows: DataFrame, unit: str, n: int) -> DataFrame:
+        return rows.withColumns({c: F.expr(f"timestampadd({unit}, {n}, {c})") for c in (start, end)})
+
+    soon = later(trips.filter(zone % 7 == 0), "MILLISECOND", 200)
+    keyless = trips.filter(zone % 11 == 0).withColumn("vendorid", F.lit(None).cast("bigint"))
+    return trips.unionByName(soon).unionByName(keyless).unionByName(later(keyless, "HOUR", 3))
+
+
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone list with the blanks the two special ids come with."""
     region = table(spark, sf_dir, "region")
