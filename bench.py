@@ -36,7 +36,7 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - begin, 3)
 
     layers = registered.layers(spark, SF_DIR)
-    timed("land_standin", layers.raw)
+    layers.raw()  # the stand-in's landing tables are a fixture, not a measured step
     timed("build_bronze", layers.bronze)
     timed("build_silver", layers.silver)
     timed("build_gold", layers.gold)
@@ -47,7 +47,8 @@ def main() -> None:
         timed(name, lambda: query(spark, SF_DIR).write.mode("overwrite").format("noop").save())
 
     rows = layers.store.read("bronze_yellow_trips").count()
-    built = [s for n, s in seconds.items() if n.startswith(("build_", "check_"))]
+    build = sum(seconds[n] for n in ("build_bronze", "build_silver", "build_gold"))
+    check = sum(seconds[f"check_{layer}"] for layer in ("raw", "bronze", "silver", "gold"))
     print(
         json.dumps(
             {
@@ -57,7 +58,9 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
                 "bronze_rows": rows,
-                "bronze_rows_per_sec_through_build_and_checks": round(rows / sum(built)),
+                "bronze_rows_per_sec_through_build": round(rows / build),
+                "bronze_rows_per_sec_through_checks": round(rows / check),
+                "bronze_rows_per_sec_through_build_and_checks": round(rows / (build + check)),
             }
         )
     )

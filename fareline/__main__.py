@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import argparse
+import sys
 from datetime import date, datetime
 
+from pyspark.sql import DataFrame
+
 from fareline import words as W
 from fareline.plans import pipeline
 from fareline.session import build_session
 from fareline.sources import ledger
 
 
+MESSAGE_SHOWN = 1000  # the ledger keeps whole messages
+
+
 def month(text: str) -> date:
     try:
         return datetime.strptime(text, "%Y-%m").date()
@@ -35,9 +41,19 @@ def main() -> None:
         force=args.force, full_refresh=args.full_refresh,
         words=W.ENGLISH if args.english else W.SOURCE,
     )
-    results = pipeline.run(spark, args.root, request)
-    ledger.run_lines(results).show(1000, truncate=False)
-    ledger.run_total(results).show()
+    try:
+        report(pipeline.run(spark, args.root, request))
+    except pipeline.LoadFailed as failure:
+        report(failure.results)
+        sys.exit(str(failure))
+
+
+def report(results: DataFrame) -> None:
+    """Every file of the run, cut at MESSAGE_SHOWN characters of message, and the rows present."""
+    for line in ledger.run_lines(results).toLocalIterator():
+        message = (line.message or "")[:MESSAGE_SHOWN]
+        print(line.source_file, line.status, "-" if line.rows_loaded is None else line.rows_loaded, message, sep="\t")
+    print("trip rows", ledger.run_total(results).first()["trip_rows"], sep="\t")
 
 
 if __name__ == "__main__":

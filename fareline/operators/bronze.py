@@ -9,8 +9,6 @@ from fareline.functions import columns as C
 from fareline.schemas import TRIP_COLUMNS
 
 LINEAGE = ["_source_file", "_source_period", "_file_last_modified", "_loaded_at"]
-BEGINNING = "1900-01-01"
-
 
 def bronze_trips(raw: DataFrame) -> DataFrame:
     """The 20 source columns as they came, their lineage, and the time of writing."""
@@ -34,18 +32,22 @@ def bronze_zones(raw_zones: DataFrame) -> DataFrame:
     )
 
 
-def newer_rows(raw: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows loaded after the newest row of the target; all rows when the target is empty."""
-    newest = target.agg(
-        F.coalesce(F.max("_loaded_at"), F.lit(BEGINNING).cast("timestamp"))
-    ).scalar()
-    return raw.filter(F.col("_loaded_at") > newest)
+def changed_files(raw: DataFrame, target: DataFrame) -> DataFrame:
+    """_source_file of the files whose newest load is not the target's; one row per file.
 
+    The mark is kept per file: if a refresh dies after some of its files, the others are
+    still behind and are found by the next one. `gone` marks files without rows in `raw`.
+    """
+    def newest(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("_source_file").agg(F.max("_loaded_at").alias(name))
 
-def replace_files(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """The target after every file of the batch took the place of its old rows.
+    marks = newest(raw, "landed").join(newest(target, "kept"), "_source_file", "full")
+    gone = F.col("landed").isNull()
+    return marks.filter(gone | F.col("kept").isNull() | (F.col("landed") > F.col("kept"))).select(
+        "_source_file", gone.alias("gone")
+    )
 
-    The stored form of this is a dynamic partition overwrite (`tables.replace_by_file`).
-    """
-    files = batch.select("_source_file").distinct()
-    return target.join(files, "_source_file", "left_anti").unionByName(batch)
+
+def newer_rows(raw: DataFrame, target: DataFrame) -> DataFrame:
+    """Rows of the files that were loaded again after the target took them, or never taken."""
+    return raw.join(changed_files(raw, target), "_source_file", "left_semi")

@@ -216,7 +216,7 @@ def _steps(words: W.Words, typed_from: str = "bronze") -> dict[str, str]:
         "ledger": """
             SELECT source_file, 'LOADED' AS status, n AS rows_loaded, 'ok' AS message, period + 41 AS done, n * 100 AS size FROM files
             UNION ALL SELECT source_file, 'LOADED', n - 1, 'ok', period + 31, n * 100 FROM files WHERE m % 2 = 0
-            UNION ALL SELECT source_file, 'FAILED', NULL, repeat('x', 1000), period + 51, n * 100 FROM files WHERE m % 5 = 0""",
+            UNION ALL SELECT source_file, 'FAILED', NULL, repeat('x', 1200), period + 51, n * 100 FROM files WHERE m % 5 = 0""",
         "verdicts": """
             SELECT source_period, 'trips_' || strftime(source_period, '%Y-%m') || '.parquet' AS source_file,
                    CAST(n * 100 + CASE WHEN m = 3 THEN 1 ELSE 0 END AS BIGINT) AS size_bytes,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -18,7 +18,11 @@ from fareline.sources.store import Store
 
 
 class LoadFailed(RuntimeError):
-    """At least one requested file could not be loaded."""
+    """At least one requested file could not be loaded; `results` has the run's ledger rows."""
+
+    def __init__(self, message: str, results: DataFrame):
+        super().__init__(message)
+        self.results = results
 
 
 @dataclass(frozen=True)
@@ -49,41 +53,59 @@ def _attempt(request: Request, file: str, period, status, rows, size, started, m
 
 def load_zones(store: Store, request: Request) -> tuple:
     """Replace the zone list as a whole; a failure becomes a ledger row."""
-    started = _now()
+    started, size = _now(), None
+    path = f"{request.landing.rstrip('/')}/{ZONE_FILE}"
     try:
-        rows = landing.read_zone_file(store.spark, f"{request.landing.rstrip('/')}/{ZONE_FILE}")
-        store.write("taxi_zones", rows)
+        size = tables.file_bytes(store.spark, path)
+        store.write("taxi_zones", landing.read_zone_file(store.spark, path))
         count = store.read("taxi_zones").count()
     except Exception as error:
-        return _attempt(request, ZONE_FILE, None, W.FAILED, None, None, started, str(error))
-    return _attempt(request, ZONE_FILE, None, W.LOADED, count, None, started, "ok")
+        return _attempt(request, ZONE_FILE, None, W.FAILED, None, size, started, str(error))
+    return _attempt(request, ZONE_FILE, None, W.LOADED, count, size, started, "ok")
 
 
-def load_files(store: Store, request: Request, wanted: list) -> list[tuple]:
-    """Replace the rows of the wanted files in one job.
+def load_files(store: Store, request: Request, wanted: list) -> Iterator[list[tuple]]:
+    """Replace the rows of the wanted files; yields the attempts as they end.
 
-    When the job fails the files are tried one by one, so that one bad file does not keep
-    the others out; it ends as a FAILED row.
+    Files whose footer cannot be read fail at once. The others are loaded in one job; if that
+    fails, one by one, so that one bad file does not keep the others out.
     """
-    if not wanted:
-        return []
     started = _now()
     path = store.path("yellow_trips")
+    folder = request.landing.rstrip("/")
+    files = {w.source_file: f"{folder}/{w.source_file}" for w in wanted}
+    schemas, broken = landing.footers(store.spark, list(files.values()))
+
+    def failed(one, message: str) -> tuple:
+        return _attempt(request, one.source_file, one.source_period, W.FAILED, None, one.size_bytes, started, message)
+
+    bad = [w for w in wanted if files[w.source_file] in broken]
+    if bad:
+        yield [failed(w, broken[files[w.source_file]]) for w in bad]
+    good = [w for w in wanted if files[w.source_file] in schemas]
+    if not good:
+        return
     try:
-        folder = request.landing.rstrip("/")
-        batch = landing.read_trip_files(store.spark, [f"{folder}/{w.source_file}" for w in wanted])
-        tables.replace_by_file(batch, path)
-        counts = {r["_source_file"]: r["count"] for r in batch.groupBy("_source_file").count().collect()}
-        for one in wanted:
-            if one.source_file not in counts:
-                tables.empty_file(batch, path, one.source_file)
+        yield _replaced(store, request, good, [files[w.source_file] for w in good], schemas, path, started)
     except Exception as error:
-        if len(wanted) > 1:
-            return [row for one in wanted for row in load_files(store, request, [one])]
-        one = wanted[0]
-        return [
-            _attempt(request, one.source_file, one.source_period, W.FAILED, None, one.size_bytes, started, str(error))
-        ]
+        if len(good) == 1:
+            yield [failed(good[0], str(error))]
+            return
+        for one in good:
+            yield from load_files(store, request, [one])
+
+
+def _replaced(store, request: Request, wanted: list, paths: list[str], schemas: dict, path: str, started) -> list[tuple]:
+    """Replace the rows of files in one job; the counts are those of the written partitions."""
+    batch = landing.read_trip_files(store.spark, paths, schemas)
+    tables.replace_by_file(batch, path)
+    names = [w.source_file for w in wanted]
+    written = store.read("yellow_trips").filter(F.col("_source_file").isin(names))
+    # A file that came without rows is not in the batch; what is there of it is older.
+    fresh = written.filter(F.col("_loaded_at") >= F.lit(started)).groupBy("_source_file").count()
+    counts = {r["_source_file"]: r["count"] for r in fresh.collect()}
+    for name in set(names) - set(counts):
+        tables.empty_file(batch, path, name)
     return [
         _attempt(
             request, w.source_file, w.source_period, W.LOADED,
@@ -95,9 +117,20 @@ def load_files(store: Store, request: Request, wanted: list) -> list[tuple]:
 
 
 def land(store: Store, request: Request) -> DataFrame:
-    """Bring the requested files into the landing tables; returns this run's ledger rows."""
+    """Bring the requested files into the landing tables; returns this run's ledger rows.
+
+    Rows are appended to the ledger when their attempt ends, so a run that dies later leaves
+    what it did until then.
+    """
     spark = store.spark
-    attempts = [load_zones(store, request)]
+    attempts: list[tuple] = []
+
+    def log(rows: list[tuple]) -> None:
+        if rows:
+            attempts.extend(rows)
+            tables.append(ledger.entries(spark, rows).coalesce(1), store.path("ingestion_log"))
+
+    log([load_zones(store, request)])
     verdicts = landing.load_verdicts(
         landing.requested_periods(spark, request.first, request.last, request.prefix),
         landing.inventory(spark, request.landing),
@@ -107,18 +140,16 @@ def land(store: Store, request: Request) -> DataFrame:
         request.force,
     )
     decided = verdicts.orderBy("source_period").collect()  # one row per requested month
-    for row in decided:
-        if row.verdict != landing.LOAD:
-            attempts.append(
-                _attempt(
-                    request, row.source_file, row.source_period, row.verdict,
-                    row.rows_loaded, row.size_bytes, _now(), row.message,
-                )
-            )
-    attempts += load_files(store, request, [r for r in decided if r.verdict == landing.LOAD])
-    results = ledger.entries(spark, attempts)
-    tables.append(results.coalesce(1), store.path("ingestion_log"))
-    return results
+    log([
+        _attempt(
+            request, row.source_file, row.source_period, row.verdict,
+            row.rows_loaded, row.size_bytes, _now(), row.message,
+        )
+        for row in decided if row.verdict != landing.LOAD
+    ])
+    for ended in load_files(store, request, [r for r in decided if r.verdict == landing.LOAD]):
+        log(ended)
+    return ledger.entries(spark, attempts)
 
 
 # --- Layers ----------------------------------------------------------------------------
@@ -136,26 +167,43 @@ def build_seeds(store: Store) -> None:
         store.write(name, landing.seed(store.spark, name))
 
 
+def _sized(store: Store):
+    return sized_for(store.spark, tables.stored_bytes(store.spark, store.path("yellow_trips")))
+
+
 def build_bronze(store: Store, full_refresh: bool = False) -> None:
     raw, target = store.read("yellow_trips"), "bronze_yellow_trips"
-    if full_refresh or not store.has(target):
-        tables.overwrite(bronze.bronze_trips(raw), store.path(target), partition_by="_source_file")
-    else:
-        batch = bronze.newer_rows(raw, store.read(target))
+    with _sized(store):
+        if full_refresh or not store.has(target):
+            tables.overwrite(bronze.bronze_trips(raw), store.path(target), partition_by="_source_file")
+        else:
+            _refresh_bronze(store, raw, target)
+        store.write("bronze_taxi_zones", bronze.bronze_zones(store.read("taxi_zones")))
+
+
+def _refresh_bronze(store: Store, raw: DataFrame, target: str) -> None:
+    """Replace the changed files alone; their names prune the partitions that are read."""
+    changed = bronze.changed_files(raw, store.read(target)).collect()  # one row per file
+    names = [r["_source_file"] for r in changed if not r.gone]
+    if names:
+        batch = raw.filter(F.col("_source_file").isin(names))
         tables.replace_by_file(bronze.bronze_trips(batch), store.path(target))
-    store.write("bronze_taxi_zones", bronze.bronze_zones(store.read("taxi_zones")))
+    for row in changed:
+        if row.gone:
+            tables.empty_file(store.read(target), store.path(target), row["_source_file"])
 
 
 def build_silver(store: Store, words: W.Words = W.SOURCE) -> None:
     now = F.current_timestamp().alias("_silver_loaded_at")
-    judged = silver.evaluate(store.read("bronze_yellow_trips"), words)
-    store.write_evaluated(judged.select("*", now))
-    valid = store.accepted()
-    store.write(
-        "silver_yellow_trips",
-        silver.repaired(valid).select(*silver.SILVER_COLUMNS, "_silver_loaded_at"),
-    )
-    store.write("silver_taxi_zones", silver.silver_zones(store.read("bronze_taxi_zones")))
+    with _sized(store):
+        judged = silver.evaluate(store.read("bronze_yellow_trips"), words)
+        store.write_evaluated(judged.select("*", now))
+        valid = store.accepted()
+        store.write(
+            "silver_yellow_trips",
+            silver.repaired(valid).select(*silver.SILVER_COLUMNS, "_silver_loaded_at"),
+        )
+        store.write("silver_taxi_zones", silver.silver_zones(store.read("bronze_taxi_zones")))
 
 
 def build_gold(store: Store, words: W.Words = W.SOURCE) -> None:
@@ -169,13 +217,14 @@ def build_gold(store: Store, words: W.Words = W.SOURCE) -> None:
         "dim_rate_code": lambda: gold.dim_rate_code(read("ref_rate_codes")),
         "dim_payment_type": lambda: gold.dim_payment_type(read("ref_payment_types"), words),
     }
-    for name, model in models.items():
-        store.write(name, model())
+    with _sized(store):
+        for name, model in models.items():
+            store.write(name, model())
 
 
 def build(store: Store, words: W.Words = W.SOURCE, full_refresh: bool = False) -> None:
     """Everything after landing, in order, each layer behind its checks."""
-    with sized_for(store.spark, tables.stored_bytes(store.spark, store.path("yellow_trips"))):
+    with _sized(store):
         build_seeds(store)
         check(store, "raw", words)
         build_bronze(store, full_refresh)
@@ -191,7 +240,7 @@ def run(spark: SparkSession, root: str, request: Request) -> DataFrame:
     store = Store(spark, root)
     results = land(store, request)
     if not results.filter(F.col("status") == W.FAILED).isEmpty():
-        raise LoadFailed("some files failed, see the ledger")
+        raise LoadFailed("some files failed, see the ledger", results)
     build(store, request.words, request.full_refresh)
     return results
 

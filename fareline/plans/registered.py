@@ -177,7 +177,7 @@ def ledger_append(spark, d):
     attempts = standin.ledger(_raw(spark, d))
     path = scratch_path(spark, "ledger")
     for part in (F.col("status") == W.LOADED, F.col("status") != W.LOADED):
-        tables.append(ledger.cut_messages(attempts.filter(part)), path)
+        tables.append(attempts.filter(part), path)
     stored = spark.read.parquet(path)
     return stored.groupBy("status").agg(
         F.count("*").alias("attempts"),
@@ -193,8 +193,7 @@ def ledger_latest_load(spark, d):
 
 @query
 def ledger_listing(spark, d):
-    rows = ledger.cut_messages(standin.ledger(_raw(spark, d)))
-    return _plain(ledger.listing(rows))
+    return _plain(ledger.listing(standin.ledger(_raw(spark, d))))
 
 
 @query
@@ -328,6 +327,19 @@ def _per_file(rows: DataFrame) -> DataFrame:
     )
 
 
+def _beside(spark, d, name: str) -> Store:
+    """An empty store over the landing tables of the built one; they are not copied."""
+    landed = layers(spark, d).raw()
+    return Store(spark, scratch_path(spark, name), {t: landed.path(t) for t in ("yellow_trips", "taxi_zones")})
+
+
+def _stopped(spark, d) -> Store:
+    """A store whose bronze table stopped at the high-water mark."""
+    store = _beside(spark, d, "refresh")
+    tables.overwrite(_incremental(spark, d)[1], store.path("bronze_yellow_trips"), partition_by="_source_file")
+    return store
+
+
 @query
 def bronze_new_rows(spark, d):
     raw, target = _incremental(spark, d)
@@ -337,18 +349,14 @@ def bronze_new_rows(spark, d):
 @query
 def bronze_incremental(spark, d):
     """The target lacks a vendor in its old files; only files past the mark are replaced."""
-    raw, target = _incremental(spark, d)
-    batch = bronze.bronze_trips(bronze.newer_rows(raw, target))
-    return _per_file(bronze.replace_files(target, batch))
+    store = _stopped(spark, d)
+    pipeline.build_bronze(store)
+    return _per_file(store.read("bronze_yellow_trips"))
 
 
 @query
 def bronze_full_refresh(spark, d):
-    raw, target = _incremental(spark, d)
-    store = Store(spark, scratch_path(spark, "refresh"))
-    tables.overwrite(target, store.path("bronze_yellow_trips"), partition_by="_source_file")
-    tables.overwrite(raw, store.path("yellow_trips"), partition_by="_source_file")
-    store.write("taxi_zones", layers(spark, d).raw().read("taxi_zones"))
+    store = _stopped(spark, d)
     pipeline.build_bronze(store, full_refresh=True)
     return _per_file(store.read("bronze_yellow_trips"))
 
@@ -356,8 +364,7 @@ def bronze_full_refresh(spark, d):
 @query
 def bronze_stream_refresh(spark, d):
     """Bronze filled by the streaming job instead of the high-water mark."""
-    store = Store(spark, scratch_path(spark, "stream"))
-    tables.overwrite(_raw(spark, d), store.path("yellow_trips"), partition_by="_source_file")
+    store = _beside(spark, d, "stream")
     refresh_bronze(store, scratch_path(spark, "checkpoint")).awaitTermination()
     return _per_file(store.read("bronze_yellow_trips"))
 
@@ -701,10 +708,6 @@ def profile_zero_matrix(spark, d):
 @query
 def pipeline_run(spark, d):
     """A full checked build from the landing table to gold in a store of its own."""
-    source = layers(spark, d).raw()
-    store = Store(spark, scratch_path(spark, "run"))
-    for name in ("yellow_trips", "taxi_zones"):
-        partition = "_source_file" if name == "yellow_trips" else None
-        tables.overwrite(source.read(name), store.path(name), partition_by=partition)
+    store = _beside(spark, d, "run")
     pipeline.build(store)
     return gold.additive(store.read("fct_trips"), ["vendor_key", "has_reversal"])

@@ -37,22 +37,23 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 # Stored (compressed) bytes one shuffle task should handle, and a limit on their number
-# that keeps the shuffle's own bookkeeping small; beyond it a task sorts more and spills.
+# that keeps the shuffle's own bookkeeping small. Beyond MOST_PARTITIONS * BYTES_PER_PARTITION,
+# about 25 TB, tasks grow past 256 MB and spill; pass a larger `most` if the cluster bears it.
 BYTES_PER_PARTITION = 256 << 20
 MOST_PARTITIONS = 100_000
 
 
-def shuffle_partitions(stored_bytes: int, configured: int) -> int:
+def shuffle_partitions(stored_bytes: int, configured: int, most: int = MOST_PARTITIONS) -> int:
     """Partitions for a shuffle of a whole table; adaptive execution merges small ones."""
-    return max(configured, min(MOST_PARTITIONS, math.ceil(stored_bytes / BYTES_PER_PARTITION)))
+    return max(configured, min(most, math.ceil(stored_bytes / BYTES_PER_PARTITION)))
 
 
 @contextmanager
-def sized_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
+def sized_for(spark: SparkSession, stored_bytes: int, most: int = MOST_PARTITIONS) -> Iterator[None]:
     """Raise the number of shuffle partitions to fit a table, for the steps inside."""
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    spark.conf.set(setting, str(shuffle_partitions(stored_bytes, int(before))))
+    spark.conf.set(setting, str(shuffle_partitions(stored_bytes, int(before), most)))
     try:
         yield
     finally:
@@ -67,7 +68,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="fareline-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

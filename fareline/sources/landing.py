@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -17,6 +18,7 @@ from fareline.schemas import (
 
 # Fixed value: a file this many months young may still be unpublished.
 GRACE_MONTHS = 4
+FOOTERS_AT_ONCE = 16
 LOAD = "LOAD"
 
 
@@ -109,18 +111,41 @@ def _bound(file_schema: T.StructType, field: T.StructField) -> Column:
     return column.cast(field.dataType).alias(field.name)
 
 
-def read_trip_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+def footers(spark: SparkSession, paths: list[str]) -> tuple[dict[str, T.StructType], dict[str, str]]:
+    """Schema of each readable file, and what is wrong with each other one.
+
+    Footers are read by Spark jobs, many at a time; only schemas reach the driver.
+    """
+
+    def one(path: str) -> tuple[str, T.StructType | None, str]:
+        try:
+            return path, spark.read.parquet(path).schema, ""
+        except Exception as error:
+            return path, None, str(error)
+
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        found = list(pool.map(one, paths))
+    return {p: s for p, s, _ in found if s is not None}, {p: e for p, s, e in found if s is None}
+
+
+def read_trip_files(
+    spark: SparkSession, paths: list[str], schemas: dict[str, T.StructType] | None = None
+) -> DataFrame:
     """Trip files with the declared columns and types plus their lineage.
 
     Files may differ in column case, in missing or extra columns and in number types, which
     one common read cannot reconcile; files with the same footer schema are read together.
     """
+    if schemas is None:
+        schemas, broken = footers(spark, paths)
+        if broken:
+            raise ValueError("; ".join(broken.values()))
     alike = defaultdict(list)
     for path in paths:
-        alike[spark.read.parquet(path).schema.json()].append(path)
+        alike[schemas[path].json()].append(path)
     parts = []
-    for schema_json, same in alike.items():
-        files = spark.read.parquet(*same)
+    for same in alike.values():
+        files = spark.read.schema(schemas[same[0]]).parquet(*same)
         parts.append(
             files.select(
                 *[_bound(files.schema, field) for field in TRIP_FIELDS.fields],

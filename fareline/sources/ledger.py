@@ -10,15 +10,9 @@ from pyspark.sql import functions as F
 from fareline import words as W
 from fareline.schemas import LEDGER, ZONE_FILE
 
-MESSAGE_LENGTH = 1000  # fixed value
-
-
-def cut_messages(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("message", F.substring("message", 1, MESSAGE_LENGTH))
-
 
 def entries(spark: SparkSession, rows: Iterable[Row | tuple]) -> DataFrame:
-    return cut_messages(spark.createDataFrame(list(rows), LEDGER))
+    return spark.createDataFrame(list(rows), LEDGER)
 
 
 def latest_loads(ledger: DataFrame) -> DataFrame:

@@ -15,14 +15,19 @@ GROWING = {"yellow_trips": RAW_TRIPS, "ingestion_log": LEDGER, "check_results":
 
 
 class Store:
-    """Reads and writes the tables below one root directory."""
+    """Reads and writes the tables below one root directory.
 
-    def __init__(self, spark: SparkSession, root: str):
+    `elsewhere` gives the path of tables that lie outside of it, such as a landing table that
+    several stores share.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, elsewhere: dict[str, str] | None = None):
         self.spark = spark
         self.layout = Layout(root)
+        self.elsewhere = elsewhere or {}
 
     def path(self, table: str) -> str:
-        return self.layout.path(table)
+        return self.elsewhere.get(table) or self.layout.path(table)
 
     def has(self, table: str) -> bool:
         if table in GROWING:

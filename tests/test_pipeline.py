@@ -10,7 +10,8 @@ from helpers import GOOD, rows
 from pyspark.sql import functions as F
 
 from fareline import words as W
-from fareline.operators import quality
+from fareline.__main__ import report
+from fareline.operators import bronze, quality
 from fareline.plans import pipeline
 from fareline.sources import landing, ledger, tables
 from fareline.sources.store import REJECTED, Store
@@ -108,12 +109,12 @@ def test_damaged_file_does_not_keep_the_others_out(spark, place):
     folder, root = place
     with open(f"{folder}/yellow_tripdata_2025-02.parquet", "wb") as broken:
         broken.write(b"this is no parquet file")
-    with pytest.raises(pipeline.LoadFailed):
+    with pytest.raises(pipeline.LoadFailed) as failure:
         pipeline.run(spark, root, request(folder))
+    assert statuses(failure.value.results)["2025-02"] == ("FAILED", None)
     store = Store(spark, root)
     log = {r.source_file[-15:-8]: (r.status, r.rows_loaded) for r in store.read("ingestion_log").collect() if "trip" in r.source_file}
     assert log == {"2025-01": ("LOADED", 30), "2025-02": ("FAILED", None)}
-    assert store.read("ingestion_log").agg(F.max(F.length("message"))).first()[0] <= 1000
     assert not store.has("fct_trips")
 
 
@@ -198,7 +199,66 @@ def test_latest_load_and_listing_order(spark):
     assert rows(ledger.latest_loads(log), "source_file", "logged_rows") == [("a", 6), ("b", 8)]
     listed = ledger.listing(log).collect()
     assert listed[0].finished_at is None and listed[1].status == W.FAILED
-    assert len(listed[0].message) == 1000
+    assert len(listed[0].message) == 2000
+
+
+def test_ledger_rows_are_written_when_an_attempt_ends(spark, place, monkeypatch):
+    folder, root = place
+
+    def lost(*_):
+        raise OSError("the folder cannot be listed")
+
+    monkeypatch.setattr(landing, "inventory", lost)
+    with pytest.raises(OSError):
+        pipeline.run(spark, root, request(folder))
+    kept = rows(Store(spark, root).read("ingestion_log"), "source_file", "status", "rows_loaded", "file_size_bytes")
+    assert kept == [("taxi_zone_lookup.csv", W.LOADED, 5, os.path.getsize(f"{folder}/taxi_zone_lookup.csv"))]
+
+
+def test_report_prints_every_file(spark, capsys):
+    many = [(f"f{k:04}", None, "u", W.SKIPPED, k, 1, datetime(2025, 1, 1), None, "m" * 3000) for k in range(1200)]
+    report(ledger.entries(spark, many))
+    lines = capsys.readouterr().out.splitlines()
+    assert len(lines) == 1201 and lines[1199].startswith("f1199") and lines[-1] == f"trip rows\t{sum(range(1200))}"
+
+
+def test_bronze_heals_after_a_crash_between_two_files(spark, place):
+    folder, root = place
+    store = Store(spark, root)
+    pipeline.land(store, request(folder))
+    pipeline.build_bronze(store)
+    month_file(folder, "2025-01", 31)
+    month_file(folder, "2025-02", 22)
+    pipeline.land(store, request(folder))
+    raw = store.read("yellow_trips")
+    first = raw.filter(F.col("_source_file").contains("2025-01"))  # the crash came after this one
+    tables.replace_by_file(bronze.bronze_trips(first), store.path("bronze_yellow_trips"))
+    pipeline.build_bronze(store)
+    counts = rows(store.read("bronze_yellow_trips").groupBy("_source_file").count(), "_source_file", "count")
+    assert [n for _, n in counts] == [31, 22]
+
+    # A file that lost all its rows leaves bronze too.
+    month_file(folder, "2025-02", 0)
+    pipeline.land(store, request(folder))
+    pipeline.build_bronze(store)
+    counts = rows(store.read("bronze_yellow_trips").groupBy("_source_file").count(), "_source_file", "count")
+    assert [n for _, n in counts] == [31]
+
+
+def test_lineage_and_stamps(spark, place):
+    folder, root = place
+    store = Store(spark, root)
+    begun = datetime.now()
+    pipeline.land(store, request(folder))
+    pipeline.build_bronze(store)
+    raw, kept = store.read("yellow_trips"), store.read("bronze_yellow_trips")
+    assert raw.filter("_source_file IS NULL OR _file_last_modified IS NULL OR _loaded_at IS NULL").isEmpty()
+    for name, modified in rows(raw.select("_source_file", "_file_last_modified").distinct(), "_source_file", "_file_last_modified"):
+        assert abs(modified.timestamp() - os.path.getmtime(f"{folder}/{name}")) < 1
+    assert raw.filter(F.col("_loaded_at") < F.lit(begun)).isEmpty()
+    assert kept.filter("_bronze_loaded_at IS NULL OR _bronze_loaded_at < _loaded_at").isEmpty()
+    zones = store.read("bronze_taxi_zones")
+    assert zones.count() == 5 and zones.filter("_bronze_loaded_at IS NULL OR _loaded_at IS NULL").isEmpty()
 
 
 def test_streaming_refresh_equals_the_batch(spark, place, tmp_path):
