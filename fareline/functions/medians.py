@@ -17,10 +17,17 @@ def grouped_median(counted: DataFrame, keys: list[str], value: str, weight: str)
     Callers count equal values first, so a group shrinks to its distinct values before it
     is shuffled. The middle is then found in two steps: whole-unit slices of the group are
     summed to see which slice holds it, and only that slice is sorted by value. The result
-    (column `median`) is the mean of the two middle values; NULL values do not count.
+    (column `median`) is the mean of the two middle values; NULL values and rows of weight 0
+    do not count. They are weighed out instead of filtered: a filter would sink below the
+    callers' count and make a second scan and shuffle of it.
     """
-    sliced = counted.filter(F.col(value).isNotNull()).withColumn("_slice", F.floor(value))
-    slices = sliced.groupBy(*keys, "_slice").agg(F.sum(weight).alias("_rows"))
+    sliced = counted.withColumns(
+        {
+            "_slice": F.coalesce(F.floor(value), F.lit(0)),
+            "_weight": F.when(F.col(value).isNotNull(), F.col(weight)).otherwise(0),
+        }
+    )
+    slices = sliced.groupBy(*keys, "_slice").agg(F.sum("_weight").alias("_rows")).filter("_rows > 0")
     group = Win.partitionBy(*keys)
     placed = (
         slices.withColumn("_upto", F.sum("_rows").over(group.orderBy("_slice")))
@@ -41,8 +48,8 @@ def grouped_median(counted: DataFrame, keys: list[str], value: str, weight: str)
     )
     in_slice = Win.partitionBy(*keys, "_slice").orderBy(value)
     ranked = sliced.join(middle, same).withColumn(
-        "_last", F.col("_before") + F.sum(weight).over(in_slice)
-    ).withColumn("_first", F.col("_last") - F.col(weight) + 1)
+        "_last", F.col("_before") + F.sum("_weight").over(in_slice)
+    ).withColumn("_first", F.col("_last") - F.col("_weight") + 1)
 
     def value_at(place: str):
         here = F.col(place).between(F.col("_first"), F.col("_last"))

@@ -166,7 +166,8 @@ def negative_amounts(bronze: DataFrame) -> DataFrame:
     counts = counted.groupBy(*by).agg(
         F.sum("n").alias("rows"), rows_where("both"), rows_where("fare_only"), rows_where("total_only")
     )
-    medians = grouped_median(counted.filter("fare_only"), by, "total", "n").select(
+    weighed = counted.withColumn("w", F.when(F.col("fare_only"), F.col("n")).otherwise(0))
+    medians = grouped_median(weighed, by, "total", "w").select(
         *[F.col(c).alias(f"_{c}") for c in by],
         F.round("median", 2).cast(MONEY).alias("median_total_fare_only"),
     )

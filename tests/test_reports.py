@@ -7,10 +7,11 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from conftest import SF
 from helpers import GOOD, bronze, rows
 from pyspark.sql import functions as F
 
-from fareline import session
+from fareline import session, standin
 from fareline.functions.medians import grouped_median
 from fareline.operators import bronze as bronze_layer
 from fareline.operators import gold, profile, quality, silver
@@ -116,16 +117,15 @@ def test_profile_orphans_keep_null_ids(spark):
     assert [tuple(r) for r in got.collect()] == [("dropoff", 200, 2), ("pickup", None, 1)]
 
 
-def test_replacing_files_in_a_target(spark):
+def test_files_that_changed_after_the_target_took_them(spark):
     a, b = {}, {"_source_file": "yellow_tripdata_2025-02.parquet", "_loaded_at": datetime(2025, 5, 1)}
     target = bronze(spark, a, a, b)
     batch = bronze_layer.newer_rows(bronze(spark, a, {**b, "_loaded_at": datetime(2025, 6, 1)}), target)
-    after = bronze_layer.replace_files(target, batch).groupBy("_source_file").count()
-    assert batch.count() == 1
-    assert rows(after, "_source_file", "count") == [
-        ("yellow_tripdata_2025-01.parquet", 2), ("yellow_tripdata_2025-02.parquet", 1),
+    assert rows(batch.groupBy("_source_file").count(), "_source_file", "count") == [
+        ("yellow_tripdata_2025-02.parquet", 1)
     ]
-    assert bronze_layer.newer_rows(target, target.filter("false")).count() == 3
+    gone = rows(bronze_layer.changed_files(bronze(spark, a), target), "_source_file", "gone")
+    assert gone == [("yellow_tripdata_2025-02.parquet", True)]
 
 
 class TestChecks:
@@ -193,3 +193,14 @@ def test_shuffle_partitions_follow_the_stored_size():
     assert session.shuffle_partitions(gib, 200) == 200
     assert session.shuffle_partitions(1000 * gib, 200) == 4000
     assert session.shuffle_partitions(100_000 * gib, 200) == session.MOST_PARTITIONS
+
+
+@pytest.mark.parametrize("report", [profile.negative_amounts, profile.zero_matrix])
+def test_medians_scan_the_table_once(spark, tmp_path, report):
+    """Counts and medians share one scan and its shuffle."""
+    path = str(tmp_path / "trips")
+    standin.raw_trips(spark, SF).write.parquet(path)
+    found = report(spark.read.parquet(path))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") >= 2 and plan.count("FileScan parquet") == 1
