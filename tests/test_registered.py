@@ -8,6 +8,7 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as contract
+from fareline.plans import oracle, registered
 
 CHECKED = [
     "requested_periods", "file_inventory_verdict", "ledger_latest_load", "replace_by_file",
@@ -27,7 +28,9 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registered.QUERIES) == set(oracle.statements())
+    assert set(registered.QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", CHECKED)
