@@ -98,7 +98,7 @@ def near_copy_rows(seed, groups=6, members=25):
     return rows
 
 
-@pytest.mark.parametrize("frequent", [2, 50])
+@pytest.mark.parametrize("frequent", [2, 16])
 def test_near_copies_in_groups(spark, monkeypatch, frequent):
     """With `frequent` 2 nearly all shingles are indexed in combinations."""
     monkeypatch.setattr(jaccard_join, "LEAST_FREQUENT", frequent)
@@ -152,6 +152,25 @@ def test_repeats_of_all_documents(spark):
     assert sum(r[2] for r in found) > 0
 
 
+def test_repeats_in_texts_of_few_words(spark):
+    """Runs, periods and passages of other passages, where anchors repeat inside a document."""
+    random.seed(4)
+    rows = []
+    for k in range(120):
+        letters = "ab" if k % 3 else "abcdefgh"
+        words = [random.choice(letters) for _ in range(random.randint(1, 90))]
+        if k % 4 == 0:
+            words = words[:3] * random.randint(2, 30)
+        if rows and k % 5 == 0:
+            other = rows[random.randrange(len(rows))][1].split()
+            words = words[:4] + other[2:60] + words[4:9]
+        rows.append((k, " ".join(words), "en", "a", 1))
+    docs = spark.createDataFrame(rows, plain.DOCUMENTS)
+    for window in (4, 9, 35):
+        found = substring_dedup.without_repeats(docs, window=window)
+        assert removed(found) == plain.sorted_rows(plain.repeats([(r[0], r[1]) for r in rows], window))
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(3)
     for letters in (1, 2, 3, 40):
