@@ -487,6 +487,44 @@ def _orphan_line(column: str, parent: str, key: str) -> str:
         WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = b.{column})"""
 
 
+def _gate_damaged() -> str:
+    """Silver checks over the broken trips, zones that lack some ids and repeat others, and two
+    reasons gone wrong. Every count is written out over the damaged rows."""
+    zones = "(SELECT * FROM szones WHERE location_id % 53 <> 0 UNION ALL SELECT * FROM szones WHERE location_id % 53 <> 0 AND location_id % 40 = 1)"
+    trips, lines = "silver_yellow_trips", []
+
+    def count(name: str, table: str, where: str) -> None:
+        lines.append(f"SELECT '{name}' AS \"check\", count(*) AS offenders FROM {table} WHERE {where}")
+
+    def repeated(name: str, table: str, column: str) -> None:
+        count(name, f"(SELECT {column} FROM {table} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)", "true")
+
+    count("silver_yellow_trips_evaluated.not_null.trip_id", "evaluated", "trip_id IS NULL")
+    count("silver_yellow_trips_evaluated.accepted.rejection_reason", "evaluated", f"rejection_reason = {_quoted(SOURCE.no_movement)}")
+    count("silver_yellow_trips_rejected.not_null.rejection_reason", "evaluated", f"rejection_reason = {_quoted(SOURCE.over_24h)}")
+    for c in (
+        "trip_id pickup_datetime dropoff_datetime vendor_id rate_code_id pickup_location_id dropoff_location_id "
+        "payment_type_id total_amount has_reversal"
+    ).split():
+        count(f"{trips}.not_null.{c}", "broken", f"{c} IS NULL")
+    repeated(f"{trips}.unique.trip_id", "broken", "trip_id")
+    for c, parent in (
+        ("vendor_id", "SELECT vendor_key FROM vendors"), ("rate_code_id", "SELECT rate_code_key FROM rates"),
+        ("pickup_location_id", f"SELECT location_id FROM {zones}"), ("dropoff_location_id", f"SELECT location_id FROM {zones}"),
+        ("payment_type_id", "SELECT payment_type_key FROM payments"),
+    ):
+        count(f"{trips}.references.{c}", "broken", f"{c} IS NOT NULL AND {c} NOT IN ({parent})")
+    count("silver_rules", "broken", SILVER_RULE)
+    for c in "location_id borough zone_name service_zone".split():
+        count(f"silver_taxi_zones.not_null.{c}", zones, f"{c} IS NULL")
+    repeated("silver_taxi_zones.unique.location_id", zones, "location_id")
+    count(
+        "bronze_equals_silver_and_rejected", "(SELECT 1)",
+        "(SELECT count(*) FROM bronze) <> (SELECT count(*) FROM broken) + (SELECT count(*) FROM evaluated WHERE rejection_reason IS NOT NULL)",
+    )
+    return " UNION ALL ".join(lines)
+
+
 def statements() -> dict[str, str]:
     part_zones = "(SELECT * FROM szones WHERE location_id % 53 <> 0)"
     return {
@@ -594,6 +632,7 @@ def statements() -> dict[str, str]:
             CAST(sum(total_amount) FILTER (WHERE NOT has_reversal) AS DECIMAL(28,2)) AS gold_total FROM fact
             HAVING count(*) <> count(*) FILTER (WHERE NOT has_reversal)"""),
         "quality_gate": chain("raw zones vendors rates payments evaluated silver szones fact dates times dzones", _gate()),
+        "quality_gate_damaged": chain("bronze vendors rates payments evaluated broken szones", _gate_damaged()),
         "profile_completeness": chain("bronze", _completeness()),
         "profile_categories": chain("bronze", _categories()),
         "profile_duplicates": chain("bronze", _duplicates()),

@@ -658,6 +658,25 @@ def quality_gate(spark, d):
     return out
 
 
+@query
+def quality_gate_damaged(spark, d):
+    """The silver checks over tables in which every kind of check has offenders."""
+    store = layers(spark, d).silver()
+    zones = standin.partial_zones(store.read("silver_taxi_zones"), "location_id")
+    reason = F.col("rejection_reason")
+    damaged = {
+        "silver_yellow_trips": _broken(spark, d),
+        "silver_taxi_zones": zones.unionByName(zones.filter("location_id % 40 = 1")),
+        "silver_yellow_trips_evaluated": store.read("silver_yellow_trips_evaluated").withColumn(
+            "rejection_reason", F.when(reason == W.SOURCE.no_movement, "unheard of").otherwise(reason)
+        ),
+        REJECTED: store.read(REJECTED).withColumn(
+            "rejection_reason", F.when(reason != W.SOURCE.over_24h, reason)
+        ),
+    }
+    return quality.layer_results("silver", lambda name: damaged[name] if name in damaged else store.read(name))
+
+
 # --- Profiles --------------------------------------------------------------------------
 
 
