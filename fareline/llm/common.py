@@ -8,8 +8,10 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from fareline.session import scratch_path
 
@@ -30,6 +32,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SMALL_ROWS = 250_000
+
+
+def small_side(rows: DataFrame) -> DataFrame:
+    """A stored table of a few numbers per row as the smaller side of a join: broadcast while it
+    has at most `SMALL_ROWS` rows, some 10 MB, else shuffled and hashed by partition."""
+    return F.broadcast(rows) if rows.count() <= SMALL_ROWS else rows.hint("shuffle_hash")
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Limit the Arrow batches sent to Python by bytes, so that long texts don't add up."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -153,10 +164,32 @@ def strings(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def packed(rows: DataFrame, text_col: str = "text") -> DataFrame:
+    """`rows` with the text, as the last column, compressed before it is moved."""
+    names = [c for c in rows.columns if c != text_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            data, edges = text_bytes(batch.column(len(names)))
+            texts = [packer.compress(data[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(texts, pa.binary())], names=[*names, "packed"]
+            )
+
+    ordered = rows.select(*names, text_col)
+    schema = StructType([*(f for f in ordered.schema.fields if f.name != text_col), StructField("packed", BinaryType())])
+    return ordered.mapInArrow(run, schema)
+
+
+def unpacked(texts: pa.Array) -> pa.Array:
+    """The string column that `packed` compressed."""
+    unpacker = zstandard.ZstdDecompressor()
+    return pa.array([unpacker.decompress(t.as_buffer()) for t in texts], pa.binary()).cast(pa.string())
+
+
 # --- Words by name ---------------------------------------------------------------------
 
-_WORDS = re.compile(r"[^\t-\r ]+")
-_SPACE = re.compile(r"[\t-\r ]")
 _names: dict[str, int] = {}
 MOST_NAMES = 500_000
 
@@ -172,17 +205,90 @@ def names(words: list[str]) -> np.ndarray:
     return np.fromiter(map(_names.__getitem__, words), np.uint64, len(words))
 
 
-def named_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Names of all words of some texts, one text after another, and the words of each text."""
-    parts = [(k, p) for k, t in enumerate(texts) for p in cut(t, _SPACE)]
-    found, sizes = [], np.zeros(len(texts), np.int64)
-    for first, last in sliced([p for _, p in parts]):
-        words = [_WORDS.findall(p) for _, p in parts[first:last]]
-        np.add.at(sizes, [k for k, _ in parts[first:last]], [len(w) for w in words])
-        found.append(names([w for own in words for w in own]))
+_SPACES = np.zeros(256, bool)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [0xFFFFFFFFFFFFFFFF], np.uint64)
+SLICE_BYTES = 4 << 20
+LONG_WORD = 256
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a string column, and where each text begins and ends in them."""
+    if not pa.types.is_string(texts.type):
+        texts = texts.cast(pa.string())
+    _, offsets, data = texts.buffers()
+    edges = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    whole = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    return whole[edges[0] : edges[-1]], edges - edges[0]
+
+
+def text_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts with about `size` bytes together."""
+    _, edges = text_bytes(texts)
+    begin = 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + size, "right")) - 1)
+        yield begin, end
+        begin = end
+
+
+def named_words(texts: pa.Array | list[str], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Names of all words of some texts, one text after another, and the words of each text.
+
+    A name mixes the bytes of a word, eight at a time, and their number into 64 bits. `lower`
+    folds A-Z first. Bytes are handled as arrays; nothing is done per word.
+    """
+    if isinstance(texts, list):
+        texts = pa.array(texts, pa.string())
+    data, edges = text_bytes(texts)
+    sizes, found, begin = np.zeros(len(texts), np.int64), [], 0
+    while begin < len(data):
+        # Very long texts in parts that end with white space.
+        end = min(begin + 2 * SLICE_BYTES, len(data))
+        if end < len(data):
+            spaces = np.flatnonzero(_SPACES[data[begin:end]])
+            end = begin + int(spaces[-1]) + 1 if len(spaces) else len(data)
+        part = LOWER[data[begin:end]] if lower else data[begin:end]
+        first, last = np.searchsorted(edges, [begin, end], "left")
+        starts, ends = word_places(part, edges[first:last] - begin)
+        found.append(word_names(part, starts, ends))
+        owner = np.searchsorted(edges, starts + begin, "right") - 1
+        sizes += np.bincount(owner, minlength=len(texts) + 1)[: len(texts)]
+        begin = end
     return np.concatenate(found) if found else np.empty(0, np.uint64), sizes
 
 
+def word_places(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end; `breaks` are places where a text begins."""
+    solid = np.zeros(len(data) + 2, bool)
+    np.logical_not(_SPACES[data], out=solid[1:-1])
+    starts = solid[1:-1] & ~solid[:-2]
+    ends = solid[1:-1] & ~solid[2:]  # the last byte of a word
+    inside = breaks[(breaks > 0) & (breaks < len(data))]
+    starts[inside] = solid[1:-1][inside]
+    ends[inside - 1] = solid[1:-1][inside - 1]
+    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
+
+
+def word_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the 8 bytes at every place
+    lengths = ends - starts
+    out = mixed(lengths.astype(np.uint64), eight[starts] & _LOW_BYTES[np.minimum(lengths, 8)])
+    more = np.flatnonzero((lengths > 8) & (lengths <= LONG_WORD))
+    at = 8
+    while len(more):
+        rest = np.minimum(lengths[more] - at, 8)
+        out[more] = mixed(out[more], eight[starts[more] + at] & _LOW_BYTES[rest])
+        at += 8
+        more = more[lengths[more] > at]
+    for k in np.flatnonzero(lengths > LONG_WORD):
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]].tobytes())
+    return out
+
+
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """One 64-bit name for an ordered pair of names."""
     with np.errstate(over="ignore"):

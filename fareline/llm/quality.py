@@ -22,7 +22,6 @@ columns are carried in a struct and may have any name.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    bounded_batches, cut, mixed, names, sliced, strings, table, text_or_empty,
+    LOWER, bounded_batches, mixed, named_words, strings, table, text_bytes, text_or_empty, text_slices,
+    word_names, word_places,
 )
 
 BITS = 16
 SAMPLE = 8_000
 CUT = 0.5
 ROUNDS = 200
+SLICE = 1 << 20  # bytes of texts looked at together
 LABELLERS = ("shouting", "symbols", "tables", "repetition", "echo", "lines", "common_words", "sentences")
 
 # Frequent words of the four languages.
@@ -47,64 +48,58 @@ COMMON_WORDS = frozenset(
     avec dans de des du en est et il la le les ne par pas pour que qui se sur un une
     con del el en es la las lo los no para por que se su un una y""".split()
 )
-_WORDS = re.compile(r"[^\t-\r ]+")
-_SPACE = re.compile(r"[\t-\r ]")
-_RUN = re.compile(r"([^\w\s])\1")
-_LETTER = re.compile(r"\w")
 UPPER, SYMBOLS, BARE, COMMON, STOP = 1, 2, 4, 8, 16
-_known: dict[str, tuple[int, int]] = {}
-
-
-def _look(word: str) -> tuple[int, int]:
-    """Flags of a word and the name of its shape."""
-    flags = 0
-    if word.isupper() and len(word) >= 2:
-        flags |= UPPER
-    if not word.isalnum():
-        if not _LETTER.search(word):
-            flags |= BARE
-        elif _RUN.search(word):
-            flags |= SYMBOLS
-        if word[-1] in ".!?":
-            flags |= STOP
-    if len(word) < 10 and word.lower().strip(".,;:") in COMMON_WORDS:
-        flags |= COMMON
-    edges = "".join("a" if c.isalpha() else "0" if c.isalnum() else c for c in (word[0], word[-1]))
-    return flags, (flags << 8 | min(len(word), 12)) << 42 | ord(edges[0]) << 21 | ord(edges[1])
-
-
-def _looks(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    fresh = set(words).difference(_known)
-    if len(_known) + len(fresh) > 400_000:
-        _known.clear()
-        fresh = set(words)
-    _known.update((w, _look(w)) for w in fresh)
-    found = [_known[w] for w in words]
-    return (
-        np.fromiter((f for f, _ in found), np.int64, len(found)),
-        np.fromiter((s for _, s in found), np.uint64, len(found)),
-    )
+_CLASS = np.zeros(256, np.uint8)  # 0 other ASCII, 1 A-Z, 2 a-z, 3 digits, 4 bytes of other characters
+_CLASS[0x41:0x5B], _CLASS[0x61:0x7B], _CLASS[0x30:0x3A], _CLASS[0x80:] = 1, 2, 3, 4
+_ENDS = np.zeros(256, bool)
+_ENDS[[0x21, 0x2E, 0x3F]] = True
+_COMMON_NAMES = np.unique(named_words([w + end for w in sorted(COMMON_WORDS) for end in ("", ".", ",", ";", ":")])[0])
 
 
 class Slice:
     """Words, shapes and repetitions of some texts, and shares of them per text."""
 
-    def __init__(self, texts: list[str]):
-        words = [[w for p in cut(t, _SPACE) for w in _WORDS.findall(p)] for t in texts]
-        self.sizes = np.array([len(w) for w in words], np.int64)
-        flat = [w for own in words for w in own]
-        self.doc = np.repeat(np.arange(len(texts)), self.sizes)
-        self.flags, self.shapes = _looks(flat)
-        self.names = names(flat)
+    def __init__(self, texts: pa.Array):
+        data, edges = text_bytes(texts)
+        starts, ends = word_places(data, edges[:-1])
+        self.names = word_names(LOWER[data], starts, ends)  # A-Z folded
+        self.doc = np.searchsorted(edges, starts, "right") - 1
+        self.sizes = np.bincount(self.doc, minlength=len(texts))
+        self._look(data, starts, ends)
         # The distance, up to 4, to the nearest equal word before; 0 where there is none.
-        self.back = np.zeros(len(flat), np.int64)
+        self.back = np.zeros(len(starts), np.int64)
         for d in range(4, 0, -1):
             same = (self.names[d:] == self.names[:-d]) & (self.doc[d:] == self.doc[:-d])
             self.back[d:][same] = d
-        lines = [[x for x in t.split("\n") if x.strip()] for t in texts]
+        lines = [[x for x in t.split("\n") if x.strip()] for t in strings(texts)]
         self.lines = np.array([len(x) for x in lines], np.int64)
         self.again = np.array([len(x) - len(set(x)) for x in lines], np.int64)
 
+    def _look(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Flags and shape (flags, length, classes of the first and the last byte) of each word."""
+        kind = _CLASS[data]
+
+        def count(which: np.ndarray) -> np.ndarray:
+            total = np.concatenate([[0], np.cumsum(which, dtype=np.int64)])
+            return total[ends] - total[starts]
+
+        upper, lower = count(kind == 1), count(kind == 2)
+        solid = upper + lower + count(kind >= 3)
+        twice = np.zeros(len(data), bool)
+        twice[:-1] = (data[:-1] == data[1:]) & (kind[:-1] == 0) & (data[:-1] > 0x20)
+        runs = count(twice)
+        common = np.minimum(np.searchsorted(_COMMON_NAMES, self.names), len(_COMMON_NAMES) - 1)
+        self.flags = (
+            UPPER * ((upper >= 2) & (lower == 0)) + SYMBOLS * ((runs > 0) & (solid > 0)) + BARE * (solid == 0)
+            + COMMON * (_COMMON_NAMES[common] == self.names) + STOP * _ENDS[data[ends - 1]]
+        )
+
+        def edge(at: np.ndarray) -> np.ndarray:
+            return np.where(kind[at] == 0, data[at], kind[at]).astype(np.uint64)
+
+        size = np.minimum(ends - starts, 12).astype(np.uint64)
+        self.shapes = (self.flags.astype(np.uint64) << np.uint64(4) | size) << np.uint64(16) | edge(starts) << np.uint64(8) | edge(ends - 1)
+
     def share(self, which: np.ndarray) -> np.ndarray:
         return np.bincount(self.doc[which], minlength=len(self.sizes)) / np.maximum(self.sizes, 1)
 
@@ -211,10 +206,10 @@ def _mapped(rows: DataFrame, text: int, make, schema: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = strings(batch.column(text))
-            for begin, end in sliced(texts):
+            texts = batch.column(text)
+            for begin, end in text_slices(texts, SLICE):
                 own = batch.slice(begin, end - begin)
-                arrays, columns = make(Slice(texts[begin:end])), list(own.columns)
+                arrays, columns = make(Slice(texts.slice(begin, end - begin))), list(own.columns)
                 yield pa.RecordBatch.from_arrays(
                     [*columns[:text], *arrays.values(), *columns[text + 1 :]],
                     names=[*batch.schema.names[:text], *arrays, *batch.schema.names[text + 1 :]],
