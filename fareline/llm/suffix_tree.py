@@ -16,10 +16,11 @@ s gives P(w | s) = (n(s w) + MASS * P(w | suffix of s)) / (n(s) + MASS), where n
 count of s w if that is frequent, else 0, and n(s) is the sum of these. A word is scored by the
 longest retained context in front of it. Documents begin without context; their end is a token.
 
-Word counts reach the documents by block: documents are dealt into blocks of about
-`BLOCK_BYTES` by a hash of their row, a block asks once or twice for every distinct word in it,
-and the answers come back to the block's task. Neither documents nor answers pass the driver.
-Words are named by the 64-bit XXH3 of their UTF-8 bytes.
+Texts are read once. The task that reads them stores blocks of about `BLOCK_TOKENS` tokens: the
+distinct words of a block, and its tokens as places among them. Counting, growing and scoring
+read the blocks. A block asks once for every distinct word in it, and the answers come back to
+the block's task; neither tokens nor answers pass the driver. Words go by 64-bit names (see
+`named_words`).
 
 Defined results: a null text is empty and has the end token only. Every row is scored, so
 repeated rows and repeated or null ids give a row each; a null id counts as the text "" for the
@@ -35,11 +36,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    ascii_lower, bounded_batches, named_words, sliced, stored, strings, table, text_or_empty,
+    bounded_batches, named_words, stored, table, text_or_empty, text_slices,
 )
 
 DEPTH = 3
@@ -47,15 +50,16 @@ P_MIN = 1e-6
 LEAST_GAIN = 8.0
 MASS = 4.0
 FOLDS, HELD_OUT = 5, 1
-BLOCK_BYTES = 16 << 20
+BLOCK_TOKENS = 1_000_000
+SLICE_TOKENS = 200_000
 WORD_BITS = 21  # room for the number of a frequent word, at most 1 / P_MIN
 
-END = np.int64(np.uint64(xxhash.xxh3_64_intdigest(b"\n")).view(np.int64))  # no word holds a line end
+END = np.int64(np.uint64(xxhash.xxh3_64_intdigest(b"\n")).view(np.int64))  # the name of no word but by a clash
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Names of all tokens of some texts, one text after another, and the number of each text."""
-    words, sizes = named_words(ascii_lower(texts))
+    words, sizes = named_words(texts, lower=True)
     sizes = sizes + 1
     ends = np.cumsum(sizes)
     found = np.full(int(ends[-1]) if len(ends) else 0, END)
@@ -84,21 +88,26 @@ def lookup(ordered: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(ordered[at] == wanted, at, -1)
 
 
-def numbered(levels: list[Strings], found: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """For each length, the number of the frequent string that ends at each token, or -1."""
-    first = np.zeros(len(found), bool)
-    first[np.cumsum(sizes)[:-1]] = True
-    first[:1] = True
-    words = lookup(levels[0].keys, found)
+def numbered(levels: list[Strings], words: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """For each length, the number of the frequent string that ends at each token, or -1.
+
+    `words` has the numbers of length one, `first` marks the first token of each document.
+    """
     out = [words]
     for level in levels[1:]:
-        here = np.full(len(found), -1)
+        here = np.full(len(words), -1)
         place = candidates(out[-1], words, first)
         here[place] = lookup(level.keys, out[-1][place - 1] << WORD_BITS | words[place])
         out.append(here)
     return out
 
 
+def firsts(sizes: np.ndarray) -> np.ndarray:
+    out = np.zeros(int(sizes.sum()), bool)
+    out[np.cumsum(sizes) - sizes] = True
+    return out
+
+
 def candidates(shorter: np.ndarray, words: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Places where strings one longer may end: the string up to the word before is frequent,
     the word is, and so is the string without its first word."""
@@ -110,46 +119,123 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-# --- Growing ---------------------------------------------------------------------------
+# --- Blocks ----------------------------------------------------------------------------
+
+
+@dataclass
+class Block:
+    """Tokens of some documents as places in `words`, the distinct names, most frequent first."""
+
+    ids: pa.Array
+    held_out: np.ndarray
+    sizes: np.ndarray
+    words: np.ndarray
+    tokens: np.ndarray
+
+    def training(self) -> "Block":
+        """The training documents alone."""
+        kept = ~np.repeat(self.held_out, self.sizes)
+        return Block(self.ids, self.held_out, self.sizes[~self.held_out], self.words, self.tokens[kept])
+
+    def slices(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Tokens and sizes of a bounded stretch of documents at a time."""
+        ends = np.cumsum(self.sizes)
+        begin = 0
+        while begin < len(ends):
+            start = ends[begin] - self.sizes[begin]
+            end = max(begin + 1, int(np.searchsorted(ends, start + SLICE_TOKENS, "right")))
+            yield self.tokens[start : ends[end - 1]], self.sizes[begin:end]
+            begin = end
+
+
+def _blocks(rows: DataFrame, id_type: str) -> DataFrame:
+    """A row per block; the tokens are packed, as they are moved once more for scoring."""
+
+    def whole(values) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+    def packed(number: int, held: list) -> pa.RecordBatch:
+        sizes = np.concatenate([h[3] for h in held]).astype(np.int32)
+        words, place, counts = np.unique(
+            np.concatenate([h[2] for h in held]), return_inverse=True, return_counts=True
+        )
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([number], pa.int64()), whole(pa.concat_arrays([h[0] for h in held])),
+                whole(pa.concat_arrays([h[1] for h in held])), whole(pa.array(sizes)),
+                whole(pa.array(words[order])), pa.array([zstandard.compress(rank[place].tobytes(), 1)], pa.binary()),
+            ],
+            names=["block", "ids", "held_out", "sizes", "words", "tokens"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            texts = batch.column(2)
+            for begin, end in text_slices(texts):
+                found, sizes = tokens(texts.slice(begin, end - begin))
+                held.append([batch.column(k).slice(begin, end - begin) for k in (0, 1)] + [found, sizes])
+                size += len(found)
+                if size >= BLOCK_TOKENS:
+                    yield packed(number, held)
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield packed(number, held)
+
+    fields = (
+        f"block long, ids array<{id_type}>, held_out array<boolean>, sizes array<int>, "
+        "words array<long>, tokens binary"
+    )
+    return rows.select("id", "held_out", "text").mapInArrow(run, fields)
 
 
-def _batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple]:
-    """Each batch in slices of bounded size: (rows of the slice, tokens, tokens per row)."""
-    for batch in batches:
-        texts = strings(batch.column(text))
-        for begin, end in sliced(texts):
-            yield batch.slice(begin, end - begin), *tokens(texts[begin:end])
+def _unpacked(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, Block]]:
+    for k in range(batch.num_rows):
+        row = [batch.column(c)[k] for c in range(6)]
+        yield row[0].as_py(), Block(
+            row[1].values, row[2].values.to_numpy(zero_copy_only=False), row[3].values.to_numpy().astype(np.int64),
+            row[4].values.to_numpy(), np.frombuffer(zstandard.decompress(row[5].as_buffer()), np.int32),
+        )
 
 
-def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(key, return_counts=True)
+# --- Growing ---------------------------------------------------------------------------
 
 
-def word_counts(training: DataFrame) -> DataFrame:
+def word_counts(blocks: DataFrame) -> DataFrame:
     """word, n over all training tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, found, _ in _batches(batches, 0):
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in _counted(found)], names=["word", "n"])
+        for batch in batches:
+            for _, block in _unpacked(batch):
+                n = np.bincount(block.training().tokens, minlength=len(block.words))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block.words[n > 0]), pa.array(n[n > 0])], names=["word", "n"]
+                )
 
-    return training.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return blocks.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _longer(training: DataFrame, levels: list[Strings], least: int) -> Strings:
+def _longer(blocks: DataFrame, levels: list[Strings], least: int) -> Strings:
     """Frequent strings one word longer than the last level."""
-    shared = training.sparkSession.sparkContext.broadcast(levels)
+    shared = blocks.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for _, found, sizes in _batches(batches, 0):
-            numbers = numbered(known, found, sizes)
-            first = np.zeros(len(found), bool)
-            first[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = True
-            place = candidates(numbers[-1], numbers[0], first)
-            key = numbers[-1][place - 1] << WORD_BITS | numbers[0][place]
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in _counted(key)], names=["key", "n"])
-
-    counted = training.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        for batch in batches:
+            for _, block in _unpacked(batch):
+                number, keys = lookup(known[0].keys, block.words), [np.empty(0, np.int64)]
+                for place, sizes in block.training().slices():
+                    words, first = number[place], firsts(sizes)
+                    last = numbered(known, words, first)[-1]
+                    at = candidates(last, words, first)
+                    keys.append(last[at - 1] << WORD_BITS | words[at])
+                key, n = np.unique(np.concatenate(keys), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
+
+    counted = blocks.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     # At most 1 / P_MIN rows: each makes up P_MIN of the tokens.
     rows = counted.filter(F.col("n") >= least).toArrow().sort_by("key")
     shared.unpersist()
@@ -162,7 +248,7 @@ def _longer(training: DataFrame, levels: list[Strings], least: int) -> Strings:
 
 
 def grow(
-    training: DataFrame, counts: DataFrame, n: int, v: int,
+    blocks: DataFrame, counts: DataFrame, n: int, v: int,
     depth: int = DEPTH, p_min: float = P_MIN, least_gain: float = LEAST_GAIN,
 ) -> list[Strings]:
     """Frequent strings of 1 to depth + 1 words, with the contexts to use marked."""
@@ -170,7 +256,7 @@ def grow(
     words = counts.filter(F.col("n") >= least).toArrow().sort_by("word")
     levels = [Strings(words["word"].to_numpy(), words["n"].to_numpy(), np.zeros(len(words), np.int64))]
     for _ in range(depth):
-        levels.append(_longer(training, levels, least))
+        levels.append(_longer(blocks, levels, least))
     retain(levels, n, v, least_gain)
     return levels
 
@@ -193,12 +279,12 @@ def retain(levels: list[Strings], n: int, v: int, least_gain: float) -> None:
         above = contexts.suffix[contexts.retained]
 
 
-def probabilities(levels: list[Strings], found: np.ndarray, sizes: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """Of each token, from its base probability."""
-    numbers = numbered(levels, found, sizes)
+def probabilities(levels: list[Strings], words: np.ndarray, sizes: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Of each token, from its number as a frequent word and its base probability."""
+    first = firsts(sizes)
+    numbers = numbered(levels, words, first)
     out = base.copy()
-    place = np.arange(1, len(found))
-    place = place[~np.isin(place, np.cumsum(sizes)[:-1], assume_unique=True)]
+    place = np.flatnonzero(~first)
     for contexts, pairs, context, pair in zip(levels, levels[1:], numbers, numbers[1:]):
         state = context[place - 1]
         place, state = place[state >= 0], state[state >= 0]
@@ -215,17 +301,18 @@ def probabilities(levels: list[Strings], found: np.ndarray, sizes: np.ndarray, b
 
 
 def _asked(blocks: DataFrame) -> DataFrame:
-    """block, word: the distinct words of each block, as far as a batch holds it."""
+    """word, block, place: the distinct words of each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, found, sizes in _batches(batches, 3):
-            block = np.repeat(rows.column(0).to_numpy(), sizes)
-            order = np.lexsort((found, block))
-            block, word = block[order], found[order]
-            new = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (word[1:] != word[:-1])]))
-            yield pa.RecordBatch.from_arrays([pa.array(block[new]), pa.array(word[new])], names=["block", "word"])
+        for batch in batches:
+            for number, block in _unpacked(batch):
+                n = len(block.words)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block.words), pa.array(np.full(n, number)), pa.array(np.arange(n, dtype=np.int32))],
+                    names=["word", "block", "place"],
+                )
 
-    return blocks.mapInArrow(run, "block int, word long")
+    return blocks.mapInArrow(run, "word long, block long, place int")
 
 
 SCORES = (
@@ -244,44 +331,37 @@ def scores(
     rows = docs.select(
         F.col(id_col).alias("id"), held_out.alias("held_out"), text_or_empty(text_col).alias("text")
     )
-    training = rows.filter(~F.col("held_out")).select("text")
-    counts = stored(word_counts(training), "word-counts")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    blocks = stored(_blocks(rows, id_type), "token-blocks")
+    counts = stored(word_counts(blocks), "word-counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    levels = spark.sparkContext.broadcast(grow(training, counts, n, v, depth, p_min, least_gain))
-
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, size // BLOCK_BYTES)
-    deal = F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int")
-    dealt = rows.select(deal.alias("block"), "id", "held_out", "text").repartition("block")
-    answers = _asked(dealt).join(counts, "word").select("block", "word", "n")
+    levels = spark.sparkContext.broadcast(grow(blocks, counts, n, v, depth, p_min, least_gain))
+    answers = _asked(blocks).join(counts, "word").select("block", "place", "n")
     base_total = n + 0.5 * (v + 1)
 
-    def run(own: pa.Table, words: pa.Table) -> pa.Table:
-        words = words.sort_by("word")
-        word, count = words["word"].to_numpy(), words["n"].to_numpy()
-        whole = pa.Table.combine_chunks(own)
-        texts, parts = strings(whole["text"]), []
-        for begin, end in sliced(texts):
-            found, sizes = tokens(texts[begin:end])
-            at = lookup(word, found)
-            c = np.where(at >= 0, count[at], 0) if len(count) else np.zeros(len(found))
-            base = (c + 0.5) / base_total
-            better = probabilities(levels.value, found, sizes, base)
-            starts = np.cumsum(sizes) - sizes
-            parts.append([
-                sizes, np.add.reduceat((c > 0).astype(np.int64), starts), np.full(len(sizes), n),
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        _, block = next(_unpacked(own.combine_chunks()))
+        count = np.zeros(len(block.words), np.int64)
+        count[found["place"].to_numpy()] = found["n"].to_numpy()
+        base_of, number = (count + 0.5) / base_total, lookup(levels.value[0].keys, block.words)
+        parts = []
+        for place, sizes in block.slices():
+            base, starts = base_of[place], np.cumsum(sizes) - sizes
+            better = probabilities(levels.value, number[place], sizes, base)
+            parts.append((
+                np.add.reduceat((count[place] > 0).astype(np.int64), starts),
                 np.add.reduceat(np.log10(base), starts), np.add.reduceat(np.log10(better), starts),
-            ])
-        n_tokens, n_known, total, base_score, score = (np.concatenate(p) for p in zip(*parts))
+            ))
+        known, base_score, score = (np.concatenate(p) for p in zip(*parts))
         return pa.table(
             {
-                "id": whole["id"], "held_out": whole["held_out"], "n_tokens": n_tokens, "n_known": n_known,
-                "train_tokens": total, "base_score": base_score, "score": score,
+                "id": block.ids, "held_out": block.held_out, "n_tokens": block.sizes, "n_known": known,
+                "train_tokens": np.full(len(known), n), "base_score": base_score, "score": score,
             }
         )
 
-    fields = SCORES.replace("id string", f"id {docs.schema[id_col].dataType.simpleString()}")
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, fields)
+    fields = SCORES.replace("id string", f"id {id_type}")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, fields)
 
 
 def op4_suffix_tree(spark, sf_dir: str) -> DataFrame:
