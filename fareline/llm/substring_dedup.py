@@ -12,9 +12,11 @@ words that holds this range holds the symbol, and so does every equal window.
 1. Each window takes the longest symbol it decides (its anchor; the window itself where no
    symbol is decided). Neighbouring windows with the same occurrence of an anchor are one row.
    Anchors are counted, and rows whose anchor occurs once are done: their windows occur once.
-2. Windows of shared anchors are verified by a 128-bit name of their words; those counted
-   once are dropped.
-3. Words under verified windows are removed.
+2. The words of a row, up to the end of its last window, have a name. All windows of rows that
+   share anchor and name are repeated. Where the rows of an anchor differ, the windows of one
+   row of each kind are named by 128 bits and counted, and those of single rows that occur
+   elsewhere are repeated too.
+3. Words under repeated windows are removed.
 
 Rows are keyed by hashes of id and text, so copies of a row share one key and rows are never
 numbered. Counts are combined on the map side, joins are on written tables with plain exchanges
@@ -36,7 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    bounded_batches, cut, gather, mixed, named_words, sliced, stored, strings, table, text_or_empty,
+    bounded_batches, cut, gather, mixed, named_words, packed, sliced, small_side, stored, strings,
+    table, text_or_empty, text_slices, unpacked,
 )
 
 WINDOW = 35
@@ -198,50 +201,55 @@ def _fits(sizes: np.ndarray, window: int) -> np.ndarray:
 
 
 def _anchored(rows: DataFrame, window: int) -> DataFrame:
-    """anchor, k1, k2, begin, windows: rows of neighbouring windows with one anchor."""
+    """anchor, body, k1, k2, begin, windows: rows of neighbouring windows with one anchor.
+
+    `body` names the words of the row: its first and last window together hold them all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2 = (batch.column(k).to_numpy() for k in (0, 1))
-            texts = strings(batch.column(2))
-            for begin, end in sliced(texts):
-                words, sizes = named_words(texts[begin:end])
+            texts = batch.column(2)
+            for begin, end in text_slices(texts):
+                words, sizes = named_words(texts.slice(begin, end - begin))
                 place = np.flatnonzero(_fits(sizes, window))
                 if not len(place):
                     continue
                 anchor, first = (a[place] for a in anchors(words, sizes, window))
+                names = window_names(words, window, 1)[place]
                 bare = anchor == 0
-                if bare.any():
-                    anchor[bare] = window_names(words, window, 1)[place[bare]] | np.uint64(1 << 63)
+                anchor[bare] = names[bare] | np.uint64(1 << 63)
                 doc = np.repeat(np.arange(len(sizes)), sizes)[place]
                 other = np.concatenate([[True], (np.diff(doc) != 0) | (anchor[1:] != anchor[:-1])])
                 new = np.flatnonzero(other | first | bare)
+                last = np.append(new[1:], len(place)) - 1
                 at = begin + doc[new]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(anchor[new].view(np.int64)), pa.array(k1[at]), pa.array(k2[at]),
+                        pa.array(anchor[new].view(np.int64)), pa.array(mixed(names[new], names[last]).view(np.int64)),
+                        pa.array(k1[at]), pa.array(k2[at]),
                         pa.array((place[new] - (np.cumsum(sizes) - sizes)[doc[new]]).astype(np.int32)),
-                        pa.array(np.diff(np.append(new, len(place))).astype(np.int32)),
+                        pa.array((last - new + 1).astype(np.int32)),
                     ],
-                    names=["anchor", "k1", "k2", "begin", "windows"],
+                    names=["anchor", "body", "k1", "k2", "begin", "windows"],
                 )
 
-    return rows.mapInArrow(run, "anchor long, k1 long, k2 long, begin int, windows int")
+    return rows.mapInArrow(run, "anchor long, body long, k1 long, k2 long, begin int, windows int")
 
 
 def _windows(rows: DataFrame, window: int) -> DataFrame:
-    """h1, h2, k1, k2, at: names of the windows in `ranges` of each document."""
+    """h1, h2, doc, at, single: names of the windows in `ranges` of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k1, k2 = (batch.column(k).to_numpy() for k in (0, 1))
-            texts, ranges = strings(batch.column(2)), batch.column(3)
-            for begin, end in sliced(texts):
-                words, sizes = named_words(texts[begin:end])
+            number, texts, ranges = batch.column(0).to_numpy(), unpacked(batch.column(1)), batch.column(2)
+            for begin, end in text_slices(texts):
+                words, sizes = named_words(texts.slice(begin, end - begin))
                 own = ranges.slice(begin, end - begin)
                 counts = np.diff(own.offsets.to_numpy())
                 flat = own.flatten()
                 first, many = (flat.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+                single = flat.field(2).to_numpy(zero_copy_only=False)
                 doc = np.repeat(np.arange(end - begin), counts)
                 start = (np.cumsum(sizes) - sizes)[doc]
                 place = gather(np.arange(len(words)), first + start, many)
@@ -249,31 +257,37 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(pa.array(window_names(words, window, seed)[place].view(np.int64)) for seed in (1, 2)),
-                        pa.array(k1[begin + doc]), pa.array(k2[begin + doc]),
+                        pa.array(number[begin + doc]),
                         pa.array((place - (np.cumsum(sizes) - sizes)[doc]).astype(np.int32)),
+                        pa.array(np.repeat(single, many)),
                     ],
-                    names=["h1", "h2", "k1", "k2", "at"],
+                    names=["h1", "h2", "doc", "at", "single"],
                 )
 
-    return rows.mapInArrow(run, "h1 long, h2 long, k1 long, k2 long, at int")
+    return rows.mapInArrow(run, "h1 long, h2 long, doc long, at int, single boolean")
 
 
 def _cleaned(rows: DataFrame, window: int, id_type: str) -> DataFrame:
-    """id, n_words, removed (ranges of words), kept text; column 2 lists windows to remove."""
+    """id, n_words, removed (ranges of words), kept text; column 2 lists ranges of repeated windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, places = strings(batch.column(1)), batch.column(2)
+            texts, places = strings(unpacked(batch.column(1))), batch.column(2)
             for begin, end in sliced(texts):
                 n_words, spans, kept = [], [], []
                 for k in range(begin, end):
                     words = [w for part in cut(texts[k], _SPACE) for w in _WORDS.findall(part)]
                     found = []
                     if places[k].is_valid:
-                        at = np.sort(places[k].values.to_numpy())
-                        breaks = np.flatnonzero(np.diff(at) > window)
-                        firsts, lasts = at[np.concatenate([[0], breaks + 1])], at[np.append(breaks, len(at) - 1)]
-                        found = list(zip(firsts.tolist(), (lasts + window).tolist()))
+                        ranges = places[k].values
+                        first, many = (ranges.field(f).to_numpy().astype(np.int64) for f in (0, 1))
+                        order = np.argsort(first, kind="stable")
+                        first, after = first[order], np.maximum.accumulate((first + many - 1 + window)[order])
+                        breaks = np.flatnonzero(first[1:] > after[:-1])
+                        found = list(zip(
+                            first[np.concatenate([[0], breaks + 1])].tolist(),
+                            after[np.append(breaks, len(after) - 1)].tolist(),
+                        ))
                     n_words.append(len(words))
                     spans.append([{"begin": a, "end": b} for a, b in found])
                     for a, b in reversed(found):
@@ -303,20 +317,36 @@ def without_repeats(
     keyed = rows.select("k1", "k2", "text")
     found = _anchored(keyed, window)
     shared = stored(found.groupBy("anchor").count().filter("count > 1").select("anchor"), "shared-anchors")
+    # Stored, so the numbers of the rows stay.
+    parts = stored(
+        found.join(shared, "anchor", "left_semi").withColumn("part", F.monotonically_increasing_id()), "candidates"
+    )
+    kind = ["anchor", "body", "windows"]
+    kinds = stored(parts.groupBy(*kind).agg(F.count("*").alias("n"), F.min("part").alias("part")), "kinds")
+    repeated = parts.join(stored(kinds.filter("n > 1").select(*kind), "repeated"), kind, "left_semi")
+
+    # Anchors whose rows differ: one row of each kind is looked at window by window.
+    differ = stored(kinds.groupBy("anchor").count().filter("count > 1").select("anchor"), "differing")
+    chosen = kinds.join(differ, "anchor", "left_semi").select("part", (F.col("n") == 1).alias("single"))
     ranges = stored(
-        found.join(shared, "anchor", "left_semi").groupBy("k1", "k2").agg(
-            F.collect_set(F.struct("begin", "windows")).alias("ranges")
-        ),
-        "candidates",
+        parts.join(chosen, "part").groupBy("k1", "k2").agg(
+            F.collect_set(F.struct("begin", "windows", "single")).alias("ranges")
+        ).withColumn("doc", F.monotonically_increasing_id()),
+        "to-verify",
     )
-    candidates = keyed.join(ranges.hint("shuffle_hash"), ["k1", "k2"]).select("k1", "k2", "text", "ranges")
-    windows = stored(_windows(candidates, window), "windows")
+    needed = packed(keyed.join(small_side(ranges.select("k1", "k2")), ["k1", "k2"], "left_semi"))
+    texts = needed.join(ranges.hint("shuffle_hash"), ["k1", "k2"]).select("doc", "packed", "ranges")
+    windows = stored(_windows(texts, window), "windows")
     twice = stored(windows.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2"), "twice")
+    single = windows.filter("single").join(twice, ["h1", "h2"], "left_semi").join(ranges.select("doc", "k1", "k2"), "doc")
+
     places = stored(
-        windows.join(twice, ["h1", "h2"], "left_semi").groupBy("k1", "k2").agg(F.collect_set("at").alias("places")),
+        repeated.select("k1", "k2", "begin", "windows")
+        .unionByName(single.select("k1", "k2", F.col("at").alias("begin"), F.lit(1).alias("windows")))
+        .groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "windows")).alias("places")),
         "places",
     )
-    joined = rows.join(places.hint("shuffle_hash"), ["k1", "k2"], "left").select("id", "text", "places")
+    joined = packed(rows).join(places.hint("shuffle_hash"), ["k1", "k2"], "left").select("id", "packed", "places")
     return _cleaned(joined, window, docs.schema[id_col].dataType.simpleString())
 
 
