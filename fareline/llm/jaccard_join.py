@@ -12,17 +12,20 @@ either, so they meet in the first n - o + 1 of the order:
   the power of two below the larger set's size, and a set is indexed for each size class in
   which it can meet a partner; so a set of n shingles has O(n) pairs, however frequent they are.
 
-Frequent shingles are those in at least `FREQUENT` of all shingle occurrences (50 at least):
-at most 1 / FREQUENT of them exist, so their list is broadcast. They are found by counting every
+Frequent shingles are those in at least `FREQUENT` of all shingle occurrences (and
+`LEAST_FREQUENT` documents): at most 1 / FREQUENT of them exist, so their list is broadcast. They are found by counting every
 chunk of the corpus exactly and passing on what exceeds half that share of the chunk, which
 misses nothing frequent and errs by half the share at most. The order needs no exact counts.
 
-Verifying. Under each index entry the set with the least name is the pivot, and every other
-set is compared with it (length and position filters first). Entries whose sets are not all
-in one component after that give, in a second round, the pairs between components; there the
-distance to the pivot, a metric, prunes what cannot be similar. Candidates are compared
-shingle by shingle. Nothing else is skipped, so components are exact up to clashes of 64-bit
-names, and no group of near copies is expanded into its pairs.
+Verifying. Under each index entry the set with the least name is the pivot. Every set is first
+compared with the least of its pivots. Entries whose sets are not all in one component after
+that have each set compared with the entry's own pivot. Entries that still are in several
+components give, in a last round, the pairs between components; there the distance to the
+pivot, a metric, prunes what cannot be similar, and so does a sketch: the shingles of a set are
+counted in 256 parts, and two sets share at most the smaller count of each part. Length and
+position filters come before every comparison, and sets are compared shingle by shingle. Nothing else is skipped, so components
+are exact up to clashes of 64-bit names, and no group of near copies is expanded into its pairs.
+Texts to compare travel to their pivot, whose group is dealt out when it is large.
 
 Defined results: words are lower-cased in A-Z only. A text with fewer words than a shingle is
 one shingle; texts that are null or without words have none and are linked with nothing. Null
@@ -36,25 +39,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    ascii_lower, bounded_batches, components, mixed, named_words, sliced, stored, strings, table,
-    text_or_empty,
+    SLICE_BYTES, bounded_batches, components, mixed, named_words, packed, small_side, stored,
+    table, text_or_empty, text_slices,
 )
 
 WORDS = 5
 PERCENT = 75
-FREQUENT = 1e-6
-LEAST_FREQUENT = 50
-CHUNK = 4_000_000
+FREQUENT = 5e-7
+LEAST_FREQUENT = 16
+CHUNK = 8_000_000
+SMALL_GROUP = 64
+PARTS = 256
 
 
-def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     """Ascending distinct shingle names of each text."""
-    found, sizes = named_words(ascii_lower(texts))
+    found, sizes = named_words(texts, lower=True)
     ends = np.cumsum(sizes)
     names = found
     if len(found) >= words:
@@ -64,7 +70,8 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     out = []
     for end, size in zip(ends.tolist(), sizes.tolist()):
         if size >= words:
-            out.append(np.unique(names[end - size : end - words + 1]))
+            own = np.sort(names[end - size : end - words + 1])
+            out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         elif size:
             name = found[end - size : end - size + 1]
             for k in range(end - size + 1, end):
@@ -77,8 +84,6 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
 
 def set_names(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit names of each set."""
-    import xxhash
-
     first = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
     low = np.array([f & 0xFFFFFFFFFFFFFFFF for f in first], np.uint64)
     return low.view(np.int64), np.array([f >> 64 for f in first], np.uint64).view(np.int64)
@@ -88,11 +93,24 @@ def required(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """How many shingles fall into each part; empty if a count does not fit into a byte."""
+    counts = np.bincount((tokens >> np.uint64(56)).astype(np.int64), minlength=PARTS)
+    return counts.astype(np.uint8).tobytes() if len(tokens) and counts.max() < 256 else b""
+
+
+def most_shared(left: bytes, right: bytes) -> tuple[int, int]:
+    """An upper bound of the common shingles, and the two sizes together."""
+    x, y = np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)
+    return int(np.minimum(x, y).sum(dtype=np.int64)), int(x.sum(dtype=np.int64) + y.sum(dtype=np.int64))
+
+
 # --- First scan: sets and frequent shingles ---------------------------------------------
 
 
 def _scan(rows: DataFrame, id_type: str, words: int) -> DataFrame:
-    """Two kinds of rows: documents (id, n, key, check), and chunk counts (key, n) with `counted`."""
+    """Two kinds of rows: documents (id, k1, k2, n, key, check, sketch), and chunk counts (key, n)
+    with `counted`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, id_kind = [], 0, None
@@ -102,23 +120,25 @@ def _scan(rows: DataFrame, id_type: str, words: int) -> DataFrame:
             token, n = np.unique(every, return_counts=True)
             often = n > max(1, FREQUENT / 2 * len(every))
             token, n = token[often], n[often]
+            nothing = pa.array(np.zeros(len(n), np.int64))
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(n), id_kind), pa.array(n), pa.array(token.view(np.int64)),
-                 pa.array(np.zeros(len(n), np.int64)), pa.array(np.ones(len(n), bool))],
-                names=["id", "n", "key", "check", "counted"],
+                [pa.nulls(len(n), id_kind), nothing, nothing, pa.array(n), pa.array(token.view(np.int64)),
+                 nothing, pa.array(np.ones(len(n), bool)), pa.nulls(len(n), pa.binary())],
+                names=["id", "k1", "k2", "n", "key", "check", "counted", "sketch"],
             )
 
         for batch in batches:
             id_kind = batch.column(0).type
-            texts = strings(batch.column(1))
-            for begin, end in sliced(texts):
-                sets = shingle_sets(texts[begin:end], words)
+            texts = batch.column(3)
+            for begin, end in text_slices(texts):
+                sets = shingle_sets(texts.slice(begin, end - begin), words)
                 key, check = set_names(sets)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), pa.array(sizes), pa.array(key),
-                     pa.array(check), pa.array(np.zeros(len(sets), bool))],
-                    names=["id", "n", "key", "check", "counted"],
+                    [*(batch.column(k).slice(begin, end - begin) for k in range(3)), pa.array(sizes),
+                     pa.array(key), pa.array(check), pa.array(np.zeros(len(sets), bool)),
+                     pa.array([sketch(s) for s in sets], pa.binary())],
+                    names=["id", "k1", "k2", "n", "key", "check", "counted", "sketch"],
                 )
                 held += sets
                 size += int(sizes.sum())
@@ -128,7 +148,7 @@ def _scan(rows: DataFrame, id_type: str, words: int) -> DataFrame:
         if size:
             yield counts()
 
-    return rows.mapInArrow(run, f"id {id_type}, n long, key long, check long, counted boolean")
+    return rows.mapInArrow(run, f"id {id_type}, k1 long, k2 long, n long, key long, check long, counted boolean, sketch binary")
 
 
 # --- Second scan: the index -------------------------------------------------------------
@@ -181,9 +201,9 @@ def _index(rows: DataFrame, frequent, words: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, rank = frequent.value
         for batch in batches:
-            texts, seen = strings(batch.column(0)), set()
-            for begin, end in sliced(texts):
-                sets = shingle_sets(texts[begin:end], words)
+            texts, seen = batch.column(0), set()
+            for begin, end in text_slices(texts):
+                sets = shingle_sets(texts.slice(begin, end - begin), words)
                 keys, _ = set_names(sets)
                 parts = []
                 for own, key in zip(sets, keys.tolist()):
@@ -248,110 +268,122 @@ def _possible(n, place, other_n, other_place, percent: int):
 # --- Verifying --------------------------------------------------------------------------
 
 
-def _sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """key, shingles of the wanted keys; a set may come several times."""
+def _compared(pairs: DataFrame, texts: DataFrame, words: int, split: int = 512) -> DataFrame:
+    """a, b, common, either of each pair (a, b); `texts` has key and packed."""
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, seen = strings(batch.column(0)), set()
-            for begin, end in sliced(texts):
-                keys, _ = set_names(shingle_sets(texts[begin:end], words))
-                keep = []
-                for k, key in enumerate(keys.tolist()):
-                    if key not in seen:
-                        seen.add(key)
-                        keep.append(k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[keep]), batch.column(0).slice(begin, end - begin).take(pa.array(keep, pa.int64()))],
-                    names=["key", "text"],
-                )
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot, last, seen = None, None, None
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            keep = [k for k, key in enumerate(keys) if key not in seen and not seen.add(key)]
-            texts = strings(batch.column(1).take(pa.array(keep, pa.int64())))
-            for begin, end in sliced(texts):
-                sets = shingle_sets(texts[begin:end], words)
-                edges = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            a, part, member, key = (batch.column(k).to_numpy() for k in range(4))
+            unpacker = zstandard.ZstdDecompressor()
+            raw = [unpacker.decompress(t.as_buffer()) for t in batch.column(4)]
+            out, at = [], 0
+            while at < len(raw):
+                # A bounded stretch of texts at a time.
+                stop, size = at, 0
+                while stop < len(raw) and (stop == at or size + len(raw[stop]) <= SLICE_BYTES):
+                    size += len(raw[stop])
+                    stop += 1
+                sets = shingle_sets(pa.array(raw[at:stop], pa.binary()).cast(pa.string()), words)
+                for k, own in enumerate(sets, at):
+                    if not member[k]:
+                        pivot, last, seen = own, (a[k], part[k]), None
+                    elif last == (a[k], part[k]) and key[k] != seen:  # a row of the same text may come twice
+                        seen = key[k]
+                        common = _common(pivot, own)
+                        out.append((a[k], key[k], common, len(pivot) + len(own) - common))
+                at = stop
+            if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[k] for k in keep[begin:end]], pa.int64()),
-                     pa.ListArray.from_arrays(edges, np.concatenate(sets).view(np.int64))],
-                    names=["key", "shingles"],
+                    [pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b", "common", "either"]
                 )
 
-    found = rows.mapInArrow(keyed, "key long, text string")
-    return found.join(wanted.hint("shuffle_hash"), "key", "left_semi").mapInArrow(
-        shingled, "key long, shingles array<long>"
+    # Pairs of one pivot are dealt into parts; the pivot's text goes to each of them.
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / split).cast("int").alias("parts"))
+    dealt = pairs.join(parts, "a").select(
+        "a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("member"),
+        F.col("b").alias("key"),
+    )
+    heads = parts.select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("member"),
+        F.col("a").alias("key"),
+    )
+    moved = stored(dealt.unionByName(heads), "to-compare")
+    together = texts.join(small_side(moved), "key").select("a", "part", "member", "key", "packed")
+    return (
+        together.repartition("a", "part").sortWithinPartitions("a", "part", "member", "key")
+        .mapInArrow(run, "a long, b long, common long, either long")
     )
 
 
-def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, similarity of each pair (a, b)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = []
-            for column in batch.columns[2:]:
-                edges, flat = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
-                sides.append([flat[x:y] for x, y in zip(edges[:-1], edges[1:])])
-            sizes = [len(x) + len(y) for x, y in zip(*sides)]
-            inter = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sides)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(inter, pa.int64()), pa.array(np.array(sizes) - inter, pa.int64())],
-                names=["a", "b", "common", "either"],
-            )
-
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return both.mapInArrow(run, "a long, b long, common long, either long")
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two ascending sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    return int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x)) if len(y) else 0
 
 
 def _between(groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components under one entry that the pivot's distances leave possible.
 
-    Rows come sorted by token and component. Within a token each row meets the rows of other
-    components before it; rows are held per token, which the index keeps small (see `entries`).
+    Rows come sorted by token and component. Rows of short entries are compared with the rows a
+    fixed number of places on, for all entries of a batch together; in long ones every row is
+    compared with those of earlier components.
     """
-    near = 1 - percent / 100
-
-    def pairs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, n, place, component, low, high = rows
-        for k in range(1, len(key)):
-            earlier = slice(0, np.searchsorted(component, component[k]))
-            if earlier.stop == 0:
-                continue
-            size, at = n[earlier], place[earlier]
-            smaller, larger = np.minimum(size, n[k]), np.maximum(size, n[k])
-            most = np.minimum(size - at, n[k] - place[k])
-            ok = (
-                (smaller * 100 >= larger * percent)
-                & (most * (100 + percent) >= (size + n[k]) * percent)
-                & (low[earlier] - high[k] <= near + 1e-9) & (low[k] - high[earlier] <= near + 1e-9)
-            )
-            if ok.any():
-                other = key[earlier][ok]
-                mine = np.full(len(other), key[k])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(mine, other)), pa.array(np.maximum(mine, other))], names=["a", "b"]
-                )
+    near = 1 - percent / 100 + 1e-9
+
+    def possible(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        _, _, n, place, _, low, high = rows
+        smaller, larger = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        most = np.minimum(n[i] - place[i], n[j] - place[j])
+        return (
+            (smaller * 100 >= larger * percent) & (most * (100 + percent) >= (n[i] + n[j]) * percent)
+            & (low[i] - high[j] <= near) & (low[j] - high[i] <= near)
+        )
+
+    def pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(parts).combine_chunks()
+        rows = [whole.column(k).to_numpy().astype(np.float64 if k > 4 else np.int64) for k in range(7)]
+        token, key, component = rows[0], rows[1], rows[4]
+        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        sizes = np.diff(np.append(starts, len(token)))
+        short = np.repeat(sizes <= SMALL_GROUP, sizes)
+        found = []
+        for apart in range(1, min(SMALL_GROUP, int(sizes.max()))):
+            i = np.flatnonzero(short[:-apart] & (token[:-apart] == token[apart:]) & (component[:-apart] != component[apart:]))
+            i = i[possible(rows, i, i + apart)]
+            if len(i):
+                found.append((i, i + apart))
+        for begin, size in zip(starts[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist()):
+            own = component[begin : begin + size]
+            for k in range(1, size):
+                earlier = int(np.searchsorted(own, own[k]))
+                i = np.arange(begin, begin + earlier)
+                i = i[possible(rows, i, np.full(earlier, begin + k))]
+                if len(i):
+                    found.append((i, np.full(len(i), begin + k)))
+        if found:
+            a, b = (key[np.concatenate(f)] for f in zip(*found))
+            names = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(names[0]), pa.array(names[1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
+            if not batch.num_rows:
+                continue
             tokens = batch.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(tokens)) + 1).tolist(), len(tokens)]
-            for begin, end in zip(edges[:-1], edges[1:]):
-                part = batch.slice(begin, end - begin)
-                if held and part.num_rows and held[-1].column(0)[0] != part.column(0)[0]:
-                    yield from pairs(_columns(held))
-                    held = []
-                if part.num_rows:
-                    held.append(part)
+            last = len(tokens) - int(np.argmax(np.append(tokens[::-1] != tokens[-1], True)))
+            if last:  # every entry but the batch's last one is complete
+                yield from pairs([*held, batch.slice(0, last)])
+                held = []
+            elif held and held[-1].column(0)[0].as_py() != tokens[0]:
+                yield from pairs(held)
+                held = []
+            held.append(batch.slice(last))
         if held:
-            yield from pairs(_columns(held))
+            yield from pairs(held)
 
     ordered = groups.select("token", "key", "n", "place", "component", "low", "high")
     return (
@@ -360,25 +392,30 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _columns(held: list[pa.RecordBatch]) -> list[np.ndarray]:
-    whole = pa.Table.from_batches(held).combine_chunks()
-    return [whole.column(k).to_numpy() for k in range(1, 7)]
+def _by_sketch(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sketches leave possible."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for k, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                if x and y:
+                    common, both = most_shared(x, y)
+                    if common * (100 + percent) < both * percent:
+                        continue
+                keep.append(k)
+            if keep:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).take(pa.array(keep, pa.int64())) for c in (0, 1)], names=["a", "b"]
+                )
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    words: int = WORDS, percent: int = PERCENT,
-) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (the smallest id reachable by links)."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    texts = rows.select("text")
-    scan = stored(_scan(rows, docs.schema[id_col].dataType.simpleString(), words), "shingled")
-    members = scan.filter("not counted").drop("counted")
+    left = sketches.select(F.col("key").alias("a"), F.col("sketch").alias("left"))
+    right = sketches.select(F.col("key").alias("b"), F.col("sketch").alias("right"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
-    # Frequent shingles, in the order of their counts.
-    total = members.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+def _frequent(scan: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles in ascending order, and the rank of each by its count."""
     least = max(LEAST_FREQUENT, int(FREQUENT * total))
     often = (
         scan.filter("counted").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
@@ -388,60 +425,113 @@ def near_duplicates(
     rank = np.empty(len(token), np.int64)
     rank[np.lexsort((token, count))] = np.arange(len(token))
     order = np.argsort(token)
-    frequent = spark.sparkContext.broadcast((token[order], rank[order]))
+    return token[order], rank[order]
 
-    index = stored(_with_pivots(_index(texts, frequent, words, percent)), "index")
+
+def _placed(index: DataFrame, labels: DataFrame) -> DataFrame:
+    """Index entries with the component of their set and of their pivot."""
+    of_key = labels.select(F.col("node").alias("key"), "component")
+    of_pivot = labels.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
+    return index.join(of_key, "key", "left").join(of_pivot, "pivot", "left").withColumns(
+        {
+            "component": F.coalesce("component", "key"),
+            "pivot_component": F.coalesce("pivot_component", "pivot"),
+        }
+    )
+
+
+def _open_entries(placed: DataFrame, name: str) -> DataFrame:
+    """The rows of entries that are in several components."""
+    several = placed.groupBy("token").agg(
+        F.min(F.least("component", "pivot_component")).alias("least"),
+        F.max(F.greatest("component", "pivot_component")).alias("most"),
+    ).filter(F.col("least") != F.col("most"))
+    return stored(placed.join(stored(several.select("token"), f"{name}-tokens"), "token", "left_semi"), name)
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    words: int = WORDS, percent: int = PERCENT,
+) -> DataFrame:
+    """One row per document: id, n_shingles, component_id (the smallest id reachable by links)."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).select(
+        "id", F.xxhash64(F.col("id").cast("string")).alias("k1"), F.xxhash64("text").alias("k2"), "text"
+    )
+    scan = stored(_scan(rows, docs.schema[id_col].dataType.simpleString(), words), "shingled")
+    members = scan.filter("not counted")
+    total = members.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    frequent = spark.sparkContext.broadcast(_frequent(scan, total))
+    # A class of equal sets, the row whose text stands for it, and its smallest id.
+    classes = stored(
+        members.filter("n > 0").groupBy("key", "n", "check").agg(
+            F.min("id").alias("low"), F.min(F.struct("k1", "k2")).alias("row")
+        ),
+        "classes",
+    )
+
+    index = stored(_with_pivots(_index(rows.select("text"), frequent, words, percent)), "index")
     possible = _possible(F.col("n"), F.col("place"), F.col("pivot_n"), F.col("pivot_place"), percent)
-    stars = stored(
-        index.filter(possible).select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct(), "stars"
+    # The texts that may have to be compared, once per class.
+    wanted = index.select("key").union(index.select(F.col("pivot").alias("key"))).distinct()
+    wanted = stored(
+        classes.join(wanted, "key", "left_semi").select("key", F.col("row.k1").alias("k1"), F.col("row.k2").alias("k2")),
+        "wanted",
     )
-    # Candidates of the second round are members of entries too: their sets come along.
-    entry_keys = stored(
-        index.select("key").union(index.select(F.col("pivot").alias("key"))).distinct(), "entry-keys"
+    texts = stored(
+        packed(rows.select("k1", "k2", "text")).join(small_side(wanted), ["k1", "k2"]).select("key", "packed"),
+        "texts",
     )
-    sets = stored(_sets(texts, entry_keys, words), "sets")
     similar = F.col("common") * 100 >= F.col("either") * percent
-    first = stored(_shared(stars, sets), "compared")
-    labels = components(first.filter(similar), "stars")
 
-    # Entries whose members are in several components.
-    of_key = labels.select(F.col("node").alias("key"), "component")
-    distance = first.select(
+    # First every set with the least of its pivots.
+    least = index.filter(possible).groupBy("key").agg(F.min("pivot").alias("a")).select("a", F.col("key").alias("b"))
+    first = stored(_compared(stored(least, "first-pairs"), texts, words), "first-compared")
+    links = first.filter(similar).select("a", "b")
+    labels = components(links, "first")
+
+    # Then, where entries are in several components, every set with the entry's pivot.
+    open_ = _open_entries(_placed(index, labels), "open")
+    pairs = open_.filter(possible).select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
+    pairs = stored(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), "second-pairs")
+    compared = first
+    if not pairs.isEmpty():
+        second = stored(_compared(pairs, texts, words), "second-compared")
+        compared = first.unionByName(second)
+        links = compared.filter(similar).select("a", "b")
+        labels = components(links, "second")
+        open_ = _open_entries(_placed(open_.drop("component", "pivot_component"), labels), "still-open")
+
+    # At last the pairs between components that the pivot's distances leave possible.
+    distance = compared.select(
         F.col("a").alias("pivot"), F.col("b").alias("key"),
         (1 - F.col("common") / F.col("either")).alias("distance"),
     )
-    placed = (
-        index.join(of_key, "key", "left").withColumn("component", F.coalesce("component", "key"))
-        .join(of_key.withColumnsRenamed({"key": "pivot", "component": "pivot_component"}), "pivot", "left")
-        .withColumn("pivot_component", F.coalesce("pivot_component", "pivot"))
-    )
-    mixed_entries = placed.groupBy("token").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("others")
-    ).filter((F.col("others") > 1) & (F.col("least") != F.col("most")))
-    open_ = placed.join(stored(mixed_entries.select("token"), "mixed"), "token", "left_semi").join(
-        distance, ["pivot", "key"], "left"
-    ).select(
+    measured = open_.join(distance, ["pivot", "key"], "left").select(
         "token", "key", "n", "place", "component",
         # Pairs that a filter kept from being compared are less similar than t: farther than that.
         F.coalesce("distance", F.lit(1 - percent / 100)).alias("low"),
         F.coalesce("distance", F.lit(1.0)).alias("high"),
     )
-    second = stored(_between(open_, percent), "between")
-    found = first.filter(similar).select("a", "b")
-    if not second.isEmpty():
-        found = found.union(_shared(second, sets).filter(similar).select("a", "b"))
-        labels = components(found, "links")
+    between = _between(measured, percent).join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    sketches = stored(
+        members.select("k1", "k2", "sketch").join(small_side(wanted), ["k1", "k2"])
+        .select("key", "sketch").dropDuplicates(["key"]),
+        "sketches",
+    )
+    between = stored(_by_sketch(stored(between, "between"), sketches, percent).distinct(), "between-possible")
+    if not between.isEmpty():
+        links = links.union(_compared(between, texts, words).filter(similar).select("a", "b"))
+        labels = components(links, "links")
 
     # From classes of equal sets to documents.
-    classes = members.filter("n > 0").groupBy("key", "n", "check").agg(F.min("id").alias("low"))
-    classes = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
+    of_class = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "component", F.coalesce("component", "key")
     )
-    lowest = Win.partitionBy("component")
-    classes = stored(
-        classes.select("key", "n", "check", F.min("low").over(lowest).alias("component_id")), "classes"
-    )
-    linked = members.filter("n > 0").join(classes, ["key", "n", "check"]).select(
+    lowest = stored(of_class.groupBy("component").agg(F.min("low").alias("component_id")), "lowest")
+    of_class = stored(of_class.join(lowest, "component").select("key", "n", "check", "component_id"), "labelled")
+    linked = members.filter("n > 0").join(of_class, ["key", "n", "check"]).select(
         "id", F.col("n").alias("n_shingles"), "component_id"
     )
     alone = members.filter("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))

@@ -129,6 +129,17 @@ def test_prefixes_lose_no_pair():
         assert len(np.intersect1d(left, right)), (trial, len(a), len(b), len(often))
 
 
+def test_sketches_bound_what_sets_share():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        base = rng.integers(0, 2**64, rng.integers(1, 3000), dtype=np.uint64)
+        x = np.unique(base[: rng.integers(1, len(base) + 1)])
+        y = np.unique(np.concatenate([base[rng.integers(0, len(base)) :], rng.integers(0, 2**64, 50, dtype=np.uint64)]))
+        common, both = jaccard_join.most_shared(jaccard_join.sketch(x), jaccard_join.sketch(y))
+        assert common >= len(np.intersect1d(x, y)) and both == len(x) + len(y)
+    assert jaccard_join.sketch(np.arange(300, dtype=np.uint64)) == b""  # a count over 255
+
+
 # --- Repeated passages ------------------------------------------------------------------
 
 
