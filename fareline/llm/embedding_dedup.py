@@ -113,11 +113,16 @@ def home_list(a: np.ndarray, b: np.ndarray, dimension: int) -> np.ndarray:
     return (dimension * PIVOTS + first) * PIVOTS + second
 
 
-def _root(parent: np.ndarray, a: int) -> int:
-    while parent[a] != a:
-        parent[a] = parent[parent[a]]
-        a = parent[a]
-    return a
+def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the trees of every pair (i, j); `root` keeps the smallest member of each tree."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return
+        np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+        while (root[root] != root).any():
+            root[:] = root[root]
 
 
 def _compared(
@@ -128,8 +133,7 @@ def _compared(
     split = side.max() > 0  # rows of two blocks: pairs across them only
     rows = np.flatnonzero(side == 0) if split else np.arange(len(node))
     columns = np.flatnonzero(side == 1) if split else rows
-    links, parent = np.zeros(len(node), np.int64), np.arange(len(node))
-    edges: list[tuple[int, int]] = []
+    links, root = np.zeros(len(node), np.int64), np.arange(len(node))
     for begin in range(0, len(rows), 512):
         part = rows[begin : begin + 512]
         i, j = np.nonzero(vectors[part] @ vectors[columns].T >= threshold)
@@ -142,14 +146,10 @@ def _compared(
         i, j = i[home], j[home]
         np.add.at(links, i, weight[j])
         np.add.at(links, j, weight[i])
-        # Every row hangs on the first it links with; what is left joins trees.
-        for x, y in zip(i.tolist(), j.tolist()):
-            x, y = _root(parent, x), _root(parent, y)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                edges.append((x, y))
+        _merge(root, i, j)
     some = np.flatnonzero(links)
-    a, b = np.array(edges, np.int64).reshape(-1, 2).T
+    a = np.flatnonzero(root != np.arange(len(root)))
+    b = root[a]
     return (
         np.concatenate([node[some], node[a]]),
         np.concatenate([links[some], np.zeros(len(a), np.int64)]),
