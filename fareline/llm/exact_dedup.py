@@ -37,16 +37,12 @@ def exact_duplicates(
     `carry` adds the input row as struct `row`. `full_hash` is null for documents settled by
     length and prefix, unless `digest_all` asks for the digest of every text.
     """
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        text_or_empty(text_col).alias("text"),
-        *([F.struct("*").alias("row")] if carry else []),
-    )
+    whole = F.struct("*").alias("row") if carry else text_or_empty(text_col).alias("text")
+    rows = docs.select(F.col(id_col).alias("id"), whole)
+    # With the row carried, its text is moved once, inside of it.
+    text = F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")) if carry else F.col("text")
     keyed = rows.withColumns(
-        {
-            "length": F.octet_length("text"),
-            "prefix": F.xxhash64(F.substring("text", 1, prefix_chars)),
-        }
+        {"length": F.octet_length(text), "prefix": F.xxhash64(F.substring(text, 1, prefix_chars))}
     )
     # Written, so that the join below has a plain exchange on both sides and can be split.
     shared = stored(
@@ -55,7 +51,7 @@ def exact_duplicates(
         ),
         "same-prefix",
     )
-    hashed = F.sha2(F.col("text").cast("binary"), 256)
+    hashed = F.sha2(text.cast("binary"), 256)
     settled = keyed.join(shared.hint("shuffle_hash"), ["length", "prefix"], "left").select(
         "id",
         *(["row"] if carry else []),

@@ -542,7 +542,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The row with the smallest id of every component, with the columns of the input."""
     numbered = stored(
         docs.select(
-            F.struct("*").alias("row"), F.col(text_col).alias("text"),
+            F.struct("*").alias("row"),
             F.struct(
                 F.col(id_col).isNull().alias("lacks"), F.col(id_col).alias("id"),
                 F.monotonically_increasing_id().alias("nth"),
@@ -550,7 +550,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         ),
         "numbered",
     )
-    found = near_duplicates(numbered, "name", "text")
+    found = near_duplicates(numbered.select("name", F.col("row")[text_col].alias("text")), "name", "text")
     stay = found.filter(F.col("id.nth") == F.col("component_id.nth")).select(F.col("id.nth").alias("nth"))
     return numbered.join(stay, F.col("name.nth") == F.col("nth"), "left_semi").select("row.*")
 
