@@ -11,8 +11,8 @@ decides about one more copy. The document on the boundary is taken if that bring
 nearer to its target.
 
 Defined results: null texts have size 0; null is a source of its own, last in order. Rows with
-the same id and text share a hash and are taken or left together. Without words every target
-is 0. The same rows always give the same mix. Extra columns are carried in a struct, so their
+the same id and text share a hash and are taken or left together. A source without words has
+the target 0, and its rows, which fit into that, are taken once. The same rows always give the same mix. Extra columns are carried in a struct, so their
 names cannot clash.
 """
 
