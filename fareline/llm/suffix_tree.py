@@ -1,26 +1,30 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Growing. A string of words is frequent if it makes up at least `P_MIN` of the training tokens;
-its parts then are frequent too, so strings of one length are counted in one scan that looks
-only at extensions of the frequent strings one word shorter. At most `1 / P_MIN` strings of a
-length can be frequent, whatever the size of the corpus; only these are collected, numbered and
-broadcast. Words themselves are counted without any limit, in Spark.
+Growing. Every string of 1 to `DEPTH + 1` words of the training documents is counted, however
+rare: a passage has the same evidence in a small corpus and in a large one. Blocks (see below)
+deal out their distinct strings by name; the sums go back to the blocks for strings that several
+blocks have. No list of strings passes the driver or is broadcast.
 
-Retaining. Frequent strings of up to `DEPTH` words are candidate contexts. A context stays if
-its divergence from its suffix (the context without its first word), the sum over next words
-of n * ln(P(w | context) / P(w | suffix)), reaches `LEAST_GAIN`, or if a longer retained
-context ends with it.
+Retaining. Strings of up to `DEPTH` words are candidate contexts. A context stays if its
+divergence from its suffix (the context without its first word), the sum over next words of
+n * ln(P(w | context) / P(w | suffix)), reaches `LEAST_GAIN`, or if a longer retained context
+ends with it. A block that knows the counts of its strings has its share of every sum; it
+decides alone about contexts that no other block has, the others are summed by name.
 
 Next words. The root is the smoothed word distribution (c + 0.5) / (N + 0.5 (V + 1)). A context
-s gives P(w | s) = (n(s w) + MASS * P(w | suffix of s)) / (n(s) + MASS), where n(s w) is the
-count of s w if that is frequent, else 0, and n(s) is the sum of these. A word is scored by the
-longest retained context in front of it. Documents begin without context; their end is a token.
+s gives P(w | s) = (n(s w) + MASS * P(w | suffix of s)) / (n(s) + MASS), with n(s) the count of
+s in training, all its next words included. A word is scored by the longest retained context in
+front of it. Documents begin without context; their end is a token.
+
+A caller may ask for a small tree with `p_min` above 0: strings that make up less than that
+share of the training tokens then count 0, n(s) is the sum over the others, and the strings are
+broadcast (at most `1 / p_min` of each length). The query does not do so.
 
 Texts are read once. The task that reads them stores blocks of about `BLOCK_TOKENS` tokens: the
 distinct words of a block, and its tokens as places among them. Counting, growing and scoring
 read the blocks. A block asks once for every distinct word in it, and the answers come back to
 the block's task; neither tokens nor answers pass the driver. Words go by 64-bit names (see
-`named_words`).
+`named_words`), strings by the mixed names of their words.
 
 Defined results: a null text is empty and has the end token only. Every row is scored, so
 repeated rows and repeated or null ids give a row each; a null id counts as the text "" for the
@@ -35,24 +39,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    bounded_batches, named_words, stored, table, text_or_empty, text_slices,
+    bounded_batches, mixed, named_words, stored, table, text_or_empty, text_slices,
 )
 
 DEPTH = 3
-P_MIN = 1e-6
+P_MIN = 0.0  # every string counts
 LEAST_GAIN = 8.0
 MASS = 4.0
 FOLDS, HELD_OUT = 5, 1
 BLOCK_TOKENS = 1_000_000
 SLICE_TOKENS = 200_000
-WORD_BITS = 21  # room for the number of a frequent word, at most 1 / P_MIN
+WORD_BITS = 31  # room for the number of a word, frequent or of one block
 
 END = np.int64(np.uint64(xxhash.xxh3_64_intdigest(b"\n")).view(np.int64))  # the name of no word but by a clash
 
@@ -236,7 +242,7 @@ def _longer(blocks: DataFrame, levels: list[Strings], least: int) -> Strings:
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
     counted = blocks.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    # At most 1 / P_MIN rows: each makes up P_MIN of the tokens.
+    # At most 1 / p_min rows: each makes up p_min of the tokens.
     rows = counted.filter(F.col("n") >= least).toArrow().sort_by("key")
     shared.unpersist()
     keys, counts = rows["key"].to_numpy(), rows["n"].to_numpy()
@@ -249,7 +255,7 @@ def _longer(blocks: DataFrame, levels: list[Strings], least: int) -> Strings:
 
 def grow(
     blocks: DataFrame, counts: DataFrame, n: int, v: int,
-    depth: int = DEPTH, p_min: float = P_MIN, least_gain: float = LEAST_GAIN,
+    depth: int, p_min: float, least_gain: float = LEAST_GAIN,
 ) -> list[Strings]:
     """Frequent strings of 1 to depth + 1 words, with the contexts to use marked."""
     least = max(1, int(np.ceil(p_min * n)))
@@ -297,9 +303,175 @@ def probabilities(levels: list[Strings], words: np.ndarray, sizes: np.ndarray, b
     return out
 
 
+# --- Every string ----------------------------------------------------------------------
+
+
+@dataclass
+class Own:
+    """The strings of one block: numbers, names and training counts by length."""
+
+    levels: list[Strings]
+    names: list[np.ndarray]
+    counts: list[np.ndarray]
+    edges: np.ndarray  # where each length begins when the strings are numbered through
+
+
+def own_strings(block: Block, depth: int) -> Own:
+    words, first = block.tokens.astype(np.int64), firsts(block.sizes)
+    train = ~np.repeat(block.held_out, block.sizes)
+    none = np.zeros(len(block.words), np.int64)
+    levels, names = [Strings(np.arange(len(block.words)), none, none)], [block.words.view(np.uint64)]
+    counts, numbers = [np.bincount(words[train], minlength=len(block.words))], words
+    for _ in range(depth):
+        at = candidates(numbers, words, first)
+        keys, where, number = np.unique(
+            numbers[at - 1] << WORD_BITS | words[at], return_index=True, return_inverse=True
+        )
+        levels.append(Strings(keys, np.zeros(len(keys), np.int64), numbers[at[where]]))
+        names.append(mixed(names[-1][keys >> WORD_BITS], names[0][keys & ((1 << WORD_BITS) - 1)]))
+        counts.append(np.bincount(number[train[at]], minlength=len(keys)))
+        numbers = np.full(len(words), -1)
+        numbers[at] = number
+    return Own(levels, names, counts, np.cumsum([0, *map(len, names)]))
+
+
+def string_counts(blocks: DataFrame, depth: int) -> DataFrame:
+    """block, place, n: counts in training of the strings of several blocks, where they are not 0."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, block in _unpacked(batch):
+                own = own_strings(block, depth)
+                for names, counts, edge in zip(own.names, own.counts, own.edges):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(names.view(np.int64)), pa.array(np.full(len(names), number)),
+                            pa.array(edge + np.arange(len(names))), pa.array(counts),
+                        ],
+                        names=["name", "block", "place", "own"],
+                    )
+
+    dealt = blocks.mapInArrow(run, "name long, block long, place long, own long")
+    # A name has at most a row per block.
+    alike = Win.partitionBy("name")
+    summed = dealt.withColumn("n", F.sum("own").over(alike)).withColumn("held_by", F.count("*").over(alike))
+    return summed.filter("n > 0 AND held_by > 1").select("block", "place", "n")
+
+
+def _counted(
+    own: Own, found: pa.Table, n: int, v: int, least_gain: float
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Set counts, n(s) and the contexts that this block alone has and keeps. By length: what
+    other blocks have too, and the block's gains.
+
+    Contexts of other blocks too that end a context kept here have the gain infinity.
+    """
+    counts, others = np.concatenate(own.counts), np.zeros(int(own.edges[-1]), bool)
+    counts[found["place"].to_numpy()] = found["n"].to_numpy()
+    others[found["place"].to_numpy()] = True
+    shared = np.split(others, own.edges[1:-1])
+    for level, a, b in zip(own.levels, own.edges, own.edges[1:]):
+        level.counts = level.total = counts[a:b]
+    below, gains = (own.levels[0].counts + 0.5) / (n + 0.5 * (v + 1)), []
+    for contexts, pairs, mine in zip(own.levels, own.levels[1:], own.counts[1:]):
+        context, suffix = pairs.keys >> WORD_BITS, below[pairs.suffix]
+        below = (pairs.counts + MASS * suffix) / (contexts.total[context] + MASS)
+        gains.append(np.bincount(context, mine * np.log(below / suffix), len(contexts.keys)))
+    above = np.zeros(0, np.int64)
+    for contexts, too, gain in zip(reversed(own.levels[:-1]), reversed(shared[:-1]), reversed(gains)):
+        gain[above] = np.inf
+        contexts.retained = (gain >= least_gain) & (contexts.counts > 0) & ~too
+        above = contexts.suffix[contexts.retained]
+    return shared, gains
+
+
+def shared_gains(blocks: DataFrame, answers: DataFrame, n: int, v: int, depth: int, least_gain: float) -> DataFrame:
+    """length, name, suffix, block, place, gain: contexts that other blocks have too."""
+
+    def run(block_row: pa.Table, found: pa.Table) -> pa.Table:
+        number, block = next(_unpacked(block_row.combine_chunks()))
+        own = own_strings(block, depth)
+        (shared, gains), out = _counted(own, found, n, v, least_gain), []
+        for k, gain in enumerate(gains):
+            at = np.flatnonzero(shared[k])
+            suffix = own.names[k - 1][own.levels[k].suffix[at]] if k else np.zeros(len(at), np.uint64)
+            out.append((np.full(len(at), k + 1), own.names[k][at], suffix, own.edges[k] + at, gain[at]))
+        length, name, suffix, place, gain = (np.concatenate(o) for o in zip(*out))
+        return pa.table(
+            {
+                "length": length, "name": name.view(np.int64), "suffix": suffix.view(np.int64),
+                "block": np.full(len(name), number), "place": place, "gain": gain,
+            }
+        )
+
+    fields = "length long, name long, suffix long, block long, place long, gain double"
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, fields)
+
+
+def retained_names(shared: DataFrame, depth: int, least_gain: float) -> DataFrame:
+    """length, name of the contexts to use among those of several blocks."""
+    sums = stored(
+        shared.groupBy("length", "name").agg(F.first("suffix").alias("suffix"), F.sum("gain").alias("gain")),
+        "context-gains",
+    )
+    kept, above = None, None
+    for length in range(depth, 0, -1):
+        here = sums.filter(F.col("length") == length)
+        stays = F.col("gain") >= least_gain
+        if above is not None:
+            ends = above.select(F.col("suffix").alias("name"), F.lit(True).alias("ends")).distinct()
+            here, stays = here.join(ends, "name", "left"), stays | F.col("ends").isNotNull()
+        above = stored(here.filter(stays).select("length", "name", "suffix"), "contexts")
+        kept = above if kept is None else kept.union(above)
+    return kept.select("length", "name")
+
+
+def _whole_scores(blocks: DataFrame, n: int, v: int, depth: int, least_gain: float, fields: str) -> DataFrame:
+    answers = stored(string_counts(blocks, depth), "string-counts")
+    shared = stored(shared_gains(blocks, answers, n, v, depth, least_gain), "shared-contexts")
+    used = shared.join(retained_names(shared, depth, least_gain), ["length", "name"], "left_semi")
+    # A retained context is marked by the count -1.
+    told = answers.union(used.select("block", "place", F.lit(-1).cast("long").alias("n")))
+    base_total = n + 0.5 * (v + 1)
+
+    def run(block_row: pa.Table, told: pa.Table) -> pa.Table:
+        _, block = next(_unpacked(block_row.combine_chunks()))
+        own = own_strings(block, depth)
+        mark = pc.equal(told["n"], -1)
+        _counted(own, told.filter(pc.invert(mark)), n, v, least_gain)
+        kept = np.zeros(int(own.edges[-1]), bool)
+        kept[told.filter(mark)["place"].to_numpy()] = True
+        for level, a, b in zip(own.levels[:-1], own.edges, own.edges[1:]):
+            level.retained |= kept[a:b]
+        return _scored(block, own.levels[0].counts, own.levels, np.arange(len(block.words)), n, base_total)
+
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, fields)
+
+
 # --- Scoring ---------------------------------------------------------------------------
 
 
+def _scored(
+    block: Block, count: np.ndarray, levels: list[Strings], number: np.ndarray, n: int, base_total: float
+) -> pa.Table:
+    """A row per document, from the counts of the block's words and their numbers in the tree."""
+    base_of, parts = (count + 0.5) / base_total, []
+    for place, sizes in block.slices():
+        base, starts = base_of[place], np.cumsum(sizes) - sizes
+        better = probabilities(levels, number[place], sizes, base)
+        parts.append((
+            np.add.reduceat((count[place] > 0).astype(np.int64), starts),
+            np.add.reduceat(np.log10(base), starts), np.add.reduceat(np.log10(better), starts),
+        ))
+    known, base_score, score = (np.concatenate(p) for p in zip(*parts))
+    return pa.table(
+        {
+            "id": block.ids, "held_out": block.held_out, "n_tokens": block.sizes, "n_known": known,
+            "train_tokens": np.full(len(known), n), "base_score": base_score, "score": score,
+        }
+    )
+
+
 def _asked(blocks: DataFrame) -> DataFrame:
     """word, block, place: the distinct words of each block."""
 
@@ -335,6 +507,9 @@ def scores(
     blocks = stored(_blocks(rows, id_type), "token-blocks")
     counts = stored(word_counts(blocks), "word-counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    fields = SCORES.replace("id string", f"id {id_type}")
+    if p_min * n <= 1:
+        return _whole_scores(blocks, n, v, depth, least_gain, fields)
     levels = spark.sparkContext.broadcast(grow(blocks, counts, n, v, depth, p_min, least_gain))
     answers = _asked(blocks).join(counts, "word").select("block", "place", "n")
     base_total = n + 0.5 * (v + 1)
@@ -343,24 +518,8 @@ def scores(
         _, block = next(_unpacked(own.combine_chunks()))
         count = np.zeros(len(block.words), np.int64)
         count[found["place"].to_numpy()] = found["n"].to_numpy()
-        base_of, number = (count + 0.5) / base_total, lookup(levels.value[0].keys, block.words)
-        parts = []
-        for place, sizes in block.slices():
-            base, starts = base_of[place], np.cumsum(sizes) - sizes
-            better = probabilities(levels.value, number[place], sizes, base)
-            parts.append((
-                np.add.reduceat((count[place] > 0).astype(np.int64), starts),
-                np.add.reduceat(np.log10(base), starts), np.add.reduceat(np.log10(better), starts),
-            ))
-        known, base_score, score = (np.concatenate(p) for p in zip(*parts))
-        return pa.table(
-            {
-                "id": block.ids, "held_out": block.held_out, "n_tokens": block.sizes, "n_known": known,
-                "train_tokens": np.full(len(known), n), "base_score": base_score, "score": score,
-            }
-        )
+        return _scored(block, count, levels.value, lookup(levels.value[0].keys, block.words), n, base_total)
 
-    fields = SCORES.replace("id string", f"id {id_type}")
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, fields)
 
 

@@ -39,6 +39,36 @@ def test_scores_equal_the_plain_tree(spark, monkeypatch, block, p_min, gain):
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-9)
 
 
+@pytest.mark.parametrize("block", [50, 500, 2_000_000])
+def test_every_string_counts(spark, monkeypatch, block):
+    """Contexts of one block and of several, whatever the blocks are."""
+    monkeypatch.setattr(suffix_tree, "BLOCK_TOKENS", block)
+    rows = plain.pairs(plain.sample(spark).select("doc_id", "text").limit(60))
+    fixed = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffix_tree.scores(fixed, held(fixed), least_gain=2.0).collect()
+    expected = plain.suffix_tree(rows, suffix_tree.DEPTH, 0, 2.0, suffix_tree.MASS)
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.score == pytest.approx(expected[r.id][5], rel=1e-9)
+
+
+def test_rare_strings_count_in_a_large_corpus(spark):
+    """With 3.2 million training tokens, a millionth of them is more than three."""
+    rows, k = [], 0
+    for text, out in [("x " * 3_200_000, False), ("ab cd ef gh", False), ("ab cd ef gh", True)]:
+        while (zlib.crc32(str(k).encode()) % 5 == 1) != out:
+            k += 1
+        rows.append((k, text))
+        k += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.id: r for r in suffix_tree.scores(docs, held(docs)).collect()}
+    expected = plain.suffix_tree(rows, suffix_tree.DEPTH, 0, suffix_tree.LEAST_GAIN, suffix_tree.MASS)
+    for i, r in found.items():
+        assert r.score == pytest.approx(expected[i][5], rel=1e-9)
+    last = found[rows[2][0]]
+    assert last.held_out and last.score > last.base_score + 5
+
+
 def test_scores_of_odd_rows(spark):
     docs = plain.edge(spark, clashing=True)
     found = suffix_tree.scores(docs, held(docs)).collect()
