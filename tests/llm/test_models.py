@@ -69,6 +69,19 @@ def test_rare_strings_count_in_a_large_corpus(spark):
     assert last.held_out and last.score > last.base_score + 5
 
 
+def test_rare_next_words_keep_their_share(spark):
+    """Most of what follows `ab` are words met three times, less than a millionth of the tokens."""
+    train, out = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5 != 1], 5
+    while zlib.crc32(str(out).encode()) % 5 != 1:
+        out += 1
+    tail = [f"t{k}" for k in range(60)]
+    seen = " ".join(f"ab {w}" for w in tail * 3) + " ab often" * 60
+    rows = [(train[0], "x " * 3_200_000), (train[1], seen), (out, " ".join(f"ab {w}" for w in tail))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    last = next(r for r in suffix_tree.scores(docs, held(docs)).collect() if r.held_out)
+    assert last.score > last.base_score
+
+
 def test_scores_of_odd_rows(spark):
     docs = plain.edge(spark, clashing=True)
     found = suffix_tree.scores(docs, held(docs)).collect()
