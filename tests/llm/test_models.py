@@ -268,6 +268,14 @@ def test_a_difference_from_the_library_stops_the_job():
         model.encode_chunks(["▁there", "▁another", "▁working"])
 
 
+@pytest.mark.parametrize("chunk", ["there", "another", "\n", "é", "▁"])
+def test_chunks_without_a_mark_are_compared(chunk):
+    model = sentence_pieces.Model(open(PIECES, "rb").read())
+    found = model.encode_chunks([chunk])
+    with pytest.raises(ValueError, match="the library encodes"):
+        model.compare([chunk], [[*found[0], found[0][0]]])
+
+
 def test_pieces_keep_columns(spark):
     docs = plain.edge(spark, clashing=True)
     found = sentence_pieces.encode(docs, PIECES)
