@@ -225,8 +225,21 @@ def digests(docs: DataFrame, model_file: str, text_col: str = "text") -> DataFra
 
 
 def encode_and_decode(docs: DataFrame, model_file: str, text_col: str = "text") -> DataFrame:
-    """The columns of `docs`, the ids as `piece_ids`, and the text decoded from them."""
-    return _mapped(docs, model_file, text_col, "piece_ids array<int>, decoded_text string", _both)
+    """The columns of `docs`, the ids as `piece_ids`, and the text decoded as `decoded_text`.
+
+    Columns of these names stay as they are; the new ones then are `piece_ids_2` and so on.
+    """
+    ids_as, decoded_as = _free("piece_ids", docs), _free("decoded_text", docs)
+    return _mapped(docs, model_file, text_col, f"{ids_as} array<int>, {decoded_as} string", _both)
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    """`name`, numbered if the table has such a column in any case."""
+    taken, out, nth = {c.lower() for c in docs.columns}, name, 1
+    while out in taken:
+        nth += 1
+        out = f"{name}_{nth}"
+    return out
 
 
 def _both(model: Model, ids: list[np.ndarray]) -> list[pa.Array]:

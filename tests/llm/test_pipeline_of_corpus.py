@@ -64,6 +64,17 @@ def test_stages_on_odd_tables(spark, which):
     assert (last.count() == 0) == (which == "empty")
 
 
+def test_documents_with_the_names_of_the_last_stage(spark):
+    docs = plain.edge(spark).selectExpr("*", "'p' AS piece_ids", "'d' AS Decoded_Text", "1 AS decoded_text_2")
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[-2:]:
+        docs = stored(stage(spark, docs, plain.SF), "stage")
+    assert docs.columns == [*columns, "piece_ids_2", "decoded_text_3"]
+    rows = docs.collect()
+    assert rows and all((r.piece_ids, r.Decoded_Text, r.decoded_text_2) == ("p", "d", 1) for r in rows)
+    assert all(list(r.piece_ids_2) and r.decoded_text_3 is not None for r in rows)
+
+
 def test_mixed_rows_are_whole_rows(spark):
     docs = plain.edge(spark)
     rows = {tuple(r) for r in docs.collect()}
