@@ -453,7 +453,13 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words: int = WORDS, percent: int = PERCENT,
 ) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (the smallest id reachable by links)."""
+    """One row per document: id, n_shingles, component_id (the smallest id reachable by links).
+
+    `percent` is 67 to 100. The index leaves out sets of one and two shingles, which may be
+    similar to unequal ones up to 66, and looks at one size class up, too few under 50.
+    """
+    if not 67 <= percent <= 100:
+        raise ValueError(f"percent must be 67 to 100, not {percent}: the index would miss links")
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).select(

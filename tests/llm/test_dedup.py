@@ -275,3 +275,9 @@ def test_sha_of_the_query_is_of_the_whole_text(spark):
     row = exact_dedup.op10_exact_dedup(spark, plain.SF).orderBy("doc_id").first()
     text = plain.sample(spark).filter(f"doc_id = {row.doc_id}").first().text
     assert row.text_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("percent", [0, 49, 66, 101])
+def test_jaccard_refuses_percents_it_does_not_cover(spark, percent):
+    with pytest.raises(ValueError, match="percent must be"):
+        jaccard_join.near_duplicates(plain.edge(spark), percent=percent)
