@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fareline.llm import (
     embedding_dedup, exact_dedup, jaccard_join, mixing, quality, sentence_pieces, substring_dedup,
-    suffix_tree, token_files, warc,
+    suffix_tree, token_files, url_filter, warc,
 )
 
 QUERIES = {
@@ -18,10 +18,12 @@ QUERIES = {
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_sentence_pieces": sentence_pieces.op9_sentence_pieces,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op13_url_filter": url_filter.op13_url_filter,
 }
 
 ORACLE_SQL = {
     "op3_warc": warc.OP3_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
+    "op13_url_filter": url_filter.OP13_SQL,
 }
