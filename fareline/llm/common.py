@@ -260,10 +260,10 @@ def named_words(texts: pa.Array | list[str], lower: bool = False) -> tuple[np.nd
     return np.concatenate(found) if found else np.empty(0, np.uint64), sizes
 
 
-def word_places(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words begin and end; `breaks` are places where a text begins."""
+def word_places(data: np.ndarray, breaks: np.ndarray, gaps: np.ndarray = _SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end; `breaks` are places where a text begins, `gaps` bytes between words."""
     solid = np.zeros(len(data) + 2, bool)
-    np.logical_not(_SPACES[data], out=solid[1:-1])
+    np.logical_not(gaps[data], out=solid[1:-1])
     starts = solid[1:-1] & ~solid[:-2]
     ends = solid[1:-1] & ~solid[2:]  # the last byte of a word
     inside = breaks[(breaks > 0) & (breaks < len(data))]
