@@ -76,3 +76,9 @@ def trip_key(vendor: Column, pickup: Column, dropoff: Column, origin: Column, de
 def pick(index: Column, words: tuple[str, ...]) -> Column:
     """Word at a 1-based position."""
     return F.element_at(F.array(*[F.lit(word) for word in words]), index)
+
+
+def row_hash(names: list[str]) -> Column:
+    """64-bit hash of a row. The places of its NULLs are part of it: a hash alone passes over them."""
+    empty = F.concat(*[F.when(F.col(name).isNull(), "1").otherwise("0") for name in names])
+    return F.xxhash64(*names, empty)

@@ -32,22 +32,30 @@ def bronze_zones(raw_zones: DataFrame) -> DataFrame:
     )
 
 
-def changed_files(raw: DataFrame, target: DataFrame) -> DataFrame:
-    """_source_file of the files whose newest load is not the target's; one row per file.
+def newest_loads(rows: DataFrame) -> DataFrame:
+    """source_file, newest: the microsecond of the newest load of each file."""
+    return rows.groupBy(F.col("_source_file").alias("source_file")).agg(
+        F.unix_micros(F.max("_loaded_at")).alias("newest")
+    )
+
+
+def changed_files(landed: DataFrame, kept: DataFrame) -> DataFrame:
+    """source_file of the files whose newest load is not the target's; one row per file.
 
+    Both sides hold source_file and newest, as `newest_loads` or a table's manifest gives them.
     The mark is kept per file: if a refresh dies after some of its files, the others are
-    still behind and are found by the next one. `gone` marks files without rows in `raw`.
+    still behind and are found by the next one. `gone` marks files without rows in `landed`.
     """
-    def newest(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("_source_file").agg(F.max("_loaded_at").alias(name))
-
-    marks = newest(raw, "landed").join(newest(target, "kept"), "_source_file", "full")
+    marks = landed.select("source_file", F.col("newest").alias("landed")).join(
+        kept.select("source_file", F.col("newest").alias("kept")), "source_file", "full"
+    )
     gone = F.col("landed").isNull()
     return marks.filter(gone | F.col("kept").isNull() | (F.col("landed") > F.col("kept"))).select(
-        "_source_file", gone.alias("gone")
+        "source_file", gone.alias("gone")
     )
 
 
 def newer_rows(raw: DataFrame, target: DataFrame) -> DataFrame:
     """Rows of the files that were loaded again after the target took them, or never taken."""
-    return raw.join(changed_files(raw, target), "_source_file", "left_semi")
+    changed = changed_files(newest_loads(raw), newest_loads(target))
+    return raw.join(changed, raw["_source_file"] == changed["source_file"], "left_semi")

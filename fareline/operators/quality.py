@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from fareline import words as W
 from fareline.functions import columns as C
 from fareline.operators import silver
+from fareline.schemas import TRIP_COLUMNS
+from fareline.sources import tables
 
 RESULT_COLUMNS = ["check", "offenders"]
 
@@ -51,6 +53,27 @@ def file_count_gaps(raw: DataFrame, bronze: DataFrame) -> DataFrame:
     return both.filter(~F.col("raw_rows").eqNullSafe(F.col("bronze_rows")))
 
 
+def content_gaps(landed: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Files whose rows differ between the landing table and bronze, also where their counts agree.
+
+    `landed` holds the figures of the landing table's manifest, taken when its files were written; bronze is scanned
+    once. Compared are multisets of the source columns: order does not matter, copies do.
+    """
+    kept = bronze.groupBy(F.col("_source_file").alias("source_file")).agg(
+        F.count("*").alias("bronze_rows"),
+        *[figure.alias(f"kept_{name}") for name, figure in tables.content(TRIP_COLUMNS).items()],
+    )
+    both = landed.select("source_file", F.col("rows").alias("raw_rows"), "content_sum", "content_xor").join(
+        kept, "source_file", "full_outer"
+    )
+    same = (
+        F.col("raw_rows").eqNullSafe(F.col("bronze_rows"))
+        & F.col("content_sum").eqNullSafe(F.col("kept_content_sum"))
+        & F.col("content_xor").eqNullSafe(F.col("kept_content_xor"))
+    )
+    return both.filter(~same).select(F.col("source_file").alias("_source_file"), "raw_rows", "bronze_rows")
+
+
 def split_gap(bronze: DataFrame, valid: DataFrame, rejected: DataFrame) -> DataFrame:
     """One row when bronze is not valid plus rejected."""
 

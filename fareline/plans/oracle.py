@@ -531,6 +531,9 @@ def statements() -> dict[str, str]:
         "requested_periods": """SELECT CAST(m AS DATE) AS source_period, 'trips_' || strftime(m, '%Y-%m') || '.parquet' AS source_file
             FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), max(o_orderdate), INTERVAL 1 MONTH)) AS m FROM orders)""",
         "file_inventory_verdict": chain("verdicts", "SELECT source_period, source_file, size_bytes, verdict FROM verdicts"),
+        "landing_inventory": chain("verdicts", """SELECT source_file, verdict,
+            CAST(n * CASE WHEN date_part('month', source_period) = 3 THEN 101 ELSE 100 END AS BIGINT) AS size_bytes,
+            CASE WHEN n IS NOT NULL THEN true END AS has_time FROM verdicts"""),
         "availability_verdict": chain("verdicts", "SELECT source_period, source_file, verdict FROM verdicts WHERE n IS NULL"),
         "change_detection": chain("verdicts", "SELECT source_file, verdict, rows_loaded FROM verdicts WHERE n IS NOT NULL"),
         "forced_reload": chain("verdicts", "SELECT source_file, 'LOAD' AS verdict, CAST(NULL AS BIGINT) AS rows_loaded FROM verdicts WHERE n IS NOT NULL"),
@@ -544,7 +547,9 @@ def statements() -> dict[str, str]:
                  WHEN 'FAILED' THEN 'missing although it is an old month' ELSE 'not published yet' END AS message FROM verdicts"""),
         "run_summary": chain("files verdicts", "SELECT CAST(sum(n) AS BIGINT) AS trip_rows FROM verdicts"),
         "parquet_by_name_load": chain("raw", f"""SELECT {TRIP_COLUMNS.rsplit(',', 1)[0]},
-            CASE WHEN _source_file >= 'trips_1998' THEN cbd_congestion_fee END AS cbd_congestion_fee FROM raw"""),
+            CASE WHEN _source_file >= 'trips_1998' THEN cbd_congestion_fee END AS cbd_congestion_fee,
+            CASE WHEN _source_file >= 'trips_1998' THEN 'new.parquet' ELSE 'old.parquet' END AS _source_file,
+            true AS stamps_in_order FROM raw"""),
         "csv_zone_load": chain("zones bronze", _with_trips(
             "(SELECT locationid, nullif(borough, '') AS borough, nullif(zone, '') AS zone, nullif(service_zone, '') AS service_zone FROM zones)",
             "locationid", "bronze", "pulocationid")),
@@ -558,7 +563,7 @@ def statements() -> dict[str, str]:
         "replace_by_file": chain("raw", _per_file("(SELECT * FROM raw WHERE _source_file <> 'trips_1996-05.parquet' OR vendorid < 6)")),
         "full_replace_small": chain("zones bronze", _with_trips(
             "(SELECT locationid, service_zone FROM zones WHERE locationid % 53 <> 0)", "locationid", "bronze", "dolocationid")),
-        "bronze_projection": chain("bronze", "SELECT * FROM bronze"),
+        "bronze_projection": chain("bronze", "SELECT *, true AS stamps_in_order FROM bronze"),
         "bronze_period": chain("bronze", "SELECT _source_file, _source_period, count(*) AS rows FROM bronze GROUP BY ALL"),
         "bronze_new_rows": chain("raw target", _per_file("(SELECT * FROM raw WHERE _loaded_at > (SELECT max(_loaded_at) FROM target))")),
         "bronze_incremental": chain("target", _per_file(
@@ -621,6 +626,13 @@ def statements() -> dict[str, str]:
             FROM (SELECT _source_file AS f, count(*) AS n FROM raw GROUP BY 1) r
             FULL JOIN (SELECT _source_file AS f, count(*) AS n FROM target GROUP BY 1) t ON r.f = t.f
             WHERE coalesce(r.n, 0) <> coalesce(t.n, 0)"""),
+        "reconcile_contents": chain("raw bronze", f"""SELECT r.f AS _source_file, r.n AS raw_rows, b.n AS bronze_rows
+            FROM (SELECT DISTINCT _source_file AS f FROM (
+                SELECT _source_file, {TRIP_COLUMNS} FROM (SELECT * REPLACE (CASE WHEN pulocationid % 9 = 2
+                    AND _source_file = 'trips_1996-05.parquet' THEN total_amount + 1 ELSE total_amount END AS total_amount) FROM raw)
+                EXCEPT ALL SELECT _source_file, {TRIP_COLUMNS} FROM bronze)) d
+            JOIN (SELECT _source_file AS f, count(*) AS n FROM raw GROUP BY 1) r ON r.f = d.f
+            JOIN (SELECT _source_file AS f, count(*) AS n FROM bronze GROUP BY 1) b ON b.f = d.f"""),
         "reconcile_bronze_silver": chain("evaluated", f"""SELECT * FROM (SELECT count(*) AS bronze_rows,
             count(*) FILTER (WHERE rejection_reason IS NULL) AS valid_rows,
             count(*) FILTER (WHERE rejection_reason <> '{SOURCE.duplicate}') AS rejected_rows FROM evaluated)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import threading
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fareline import words as W
 from fareline.operators import bronze, gold, quality, silver
-from fareline.schemas import SEEDS, TRIP_FILE_PREFIX, ZONE_FILE
+from fareline.schemas import SEEDS, TRIP_COLUMNS, TRIP_FILE_PREFIX, ZONE_FILE
 from fareline.session import sized_for
 from fareline.sources import landing, ledger, tables
 from fareline.sources.store import Store
@@ -64,14 +66,17 @@ def load_zones(store: Store, request: Request) -> tuple:
     return _attempt(request, ZONE_FILE, None, W.LOADED, count, size, started, "ok")
 
 
-def load_files(store: Store, request: Request, wanted: list) -> Iterator[list[tuple]]:
-    """Replace the rows of the wanted files; yields the attempts as they end.
+Log = Callable[[list[tuple]], None]
 
-    Files whose footer cannot be read fail at once. The others are loaded in one job; if that
-    fails, one by one, so that one bad file does not keep the others out.
+
+def load_files(store: Store, request: Request, wanted: list, log: Log) -> None:
+    """Replace the rows of the wanted files; `log` takes the attempts as they end.
+
+    Files whose footer cannot be read fail at once. The others are loaded in one job. If that
+    fails the batch is halved and both halves run at the same time, so one bad file among n
+    costs some 2 log2(n) jobs more and keeps none of the others out.
     """
     started = _now()
-    path = store.path("yellow_trips")
     folder = request.landing.rstrip("/")
     files = {w.source_file: f"{folder}/{w.source_file}" for w in wanted}
     schemas, broken = landing.footers(store.spark, list(files.values()))
@@ -79,38 +84,41 @@ def load_files(store: Store, request: Request, wanted: list) -> Iterator[list[tu
     def failed(one, message: str) -> tuple:
         return _attempt(request, one.source_file, one.source_period, W.FAILED, None, one.size_bytes, started, message)
 
-    bad = [w for w in wanted if files[w.source_file] in broken]
-    if bad:
-        yield [failed(w, broken[files[w.source_file]]) for w in bad]
-    good = [w for w in wanted if files[w.source_file] in schemas]
-    if not good:
-        return
-    try:
-        yield _replaced(store, request, good, [files[w.source_file] for w in good], schemas, path, started)
-    except Exception as error:
-        if len(good) == 1:
-            yield [failed(good[0], str(error))]
+    log([failed(w, broken[files[w.source_file]]) for w in wanted if files[w.source_file] in broken])
+
+    def load(batch: list) -> None:
+        try:
+            ended = _replaced(store, request, batch, [files[w.source_file] for w in batch], schemas, started)
+        except Exception as error:
+            if len(batch) == 1:
+                log([failed(batch[0], str(error))])
+                return
+            half = len(batch) // 2
+            with ThreadPoolExecutor(2) as pool:
+                list(pool.map(load, [batch[:half], batch[half:]]))
             return
-        for one in good:
-            yield from load_files(store, request, [one])
+        log(ended)
+
+    good = [w for w in wanted if files[w.source_file] in schemas]
+    if good:
+        load(good)
+
 
+def landing_figures() -> dict:
+    """Figures kept of every landed file: rows, newest load, and a fingerprint of its contents."""
+    return {**tables.marks(), **tables.content([*TRIP_COLUMNS])}
 
-def _replaced(store, request: Request, wanted: list, paths: list[str], schemas: dict, path: str, started) -> list[tuple]:
-    """Replace the rows of files in one job; the counts are those of the written partitions."""
+
+def _replaced(store, request: Request, wanted: list, paths: list[str], schemas: dict, started) -> list[tuple]:
+    """Replace the rows of files in one commit; the counts are those of the written parts."""
     batch = landing.read_trip_files(store.spark, paths, schemas)
-    tables.replace_by_file(batch, path)
     names = [w.source_file for w in wanted]
-    written = store.read("yellow_trips").filter(F.col("_source_file").isin(names))
-    # A file that came without rows is not in the batch; what is there of it is older.
-    fresh = written.filter(F.col("_loaded_at") >= F.lit(started)).groupBy("_source_file").count()
-    counts = {r["_source_file"]: r["count"] for r in fresh.collect()}
-    for name in set(names) - set(counts):
-        tables.empty_file(batch, path, name)
+    # A file that came without rows is not among the parts; its older rows go in the same commit.
+    written = tables.replace_by_file(batch, store.path("yellow_trips"), figures=landing_figures(), names=names)
     return [
         _attempt(
             request, w.source_file, w.source_period, W.LOADED,
-            counts.get(w.source_file, 0),
-            w.size_bytes, started, "ok",
+            written.get(w.source_file, {}).get("rows", 0), w.size_bytes, started, "ok",
         )
         for w in wanted
     ]
@@ -120,26 +128,38 @@ def land(store: Store, request: Request) -> DataFrame:
     """Bring the requested files into the landing tables; returns this run's ledger rows.
 
     Rows are appended to the ledger when their attempt ends, so a run that dies later leaves
-    what it did until then.
+    what it did until then. If the landing directory cannot be listed, every requested month
+    is a failed attempt.
     """
     spark = store.spark
     attempts: list[tuple] = []
+    one_at_a_time = threading.Lock()
 
     def log(rows: list[tuple]) -> None:
         if rows:
-            attempts.extend(rows)
-            tables.append(ledger.entries(spark, rows).coalesce(1), store.path("ingestion_log"))
+            with one_at_a_time:
+                attempts.extend(rows)
+                tables.append(ledger.entries(spark, rows), store.path("ingestion_log"))
 
     log([load_zones(store, request)])
-    verdicts = landing.load_verdicts(
-        landing.requested_periods(spark, request.first, request.last, request.prefix),
-        landing.inventory(spark, request.landing),
-        ledger.latest_loads(store.read("ingestion_log")),
-        tables.rows_per_file(store.read("yellow_trips")),
-        request.today,
-        request.force,
-    )
-    decided = verdicts.orderBy("source_period").collect()  # one row per requested month
+    periods = landing.requested_periods(spark, request.first, request.last, request.prefix)
+    started = _now()
+    try:
+        verdicts = landing.load_verdicts(
+            periods,
+            landing.inventory(spark, request.landing),
+            ledger.latest_loads(store.read("ingestion_log")),
+            tables.rows_present(spark, store.path("yellow_trips")),
+            request.today,
+            request.force,
+        )
+        decided = verdicts.orderBy("source_period").collect()  # one row per requested month
+    except Exception as error:
+        log([
+            _attempt(request, month.source_file, month.source_period, W.FAILED, None, None, started, str(error))
+            for month in periods.orderBy("source_period").collect()
+        ])
+        return ledger.entries(spark, attempts)
     log([
         _attempt(
             request, row.source_file, row.source_period, row.verdict,
@@ -147,8 +167,7 @@ def land(store: Store, request: Request) -> DataFrame:
         )
         for row in decided if row.verdict != landing.LOAD
     ])
-    for ended in load_files(store, request, [r for r in decided if r.verdict == landing.LOAD]):
-        log(ended)
+    load_files(store, request, [r for r in decided if r.verdict == landing.LOAD], log)
     return ledger.entries(spark, attempts)
 
 
@@ -158,7 +177,7 @@ def land(store: Store, request: Request) -> DataFrame:
 def check(store: Store, layer: str, words: W.Words = W.SOURCE) -> None:
     """Run a layer's checks, keep their result, and stop the run on any offender."""
     results = quality.layer_results(layer, store.read, words).withColumn("layer", F.lit(layer))
-    tables.replace_by_file(results.coalesce(1), store.path("check_results"), key="layer")
+    tables.replace_by_file(results.coalesce(1), store.path("check_results"), key="layer", names=[layer])
     quality.gate(layer, store.read("check_results").filter(F.col("layer") == layer))
 
 
@@ -172,25 +191,28 @@ def _sized(store: Store):
 
 
 def build_bronze(store: Store, full_refresh: bool = False) -> None:
-    raw, target = store.read("yellow_trips"), "bronze_yellow_trips"
     with _sized(store):
-        if full_refresh or not store.has(target):
-            tables.overwrite(bronze.bronze_trips(raw), store.path(target), partition_by="_source_file")
+        if full_refresh or not store.has("bronze_yellow_trips"):
+            tables.overwrite(
+                bronze.bronze_trips(store.read("yellow_trips")), store.path("bronze_yellow_trips"),
+                partition_by="_source_file", figures=tables.marks(),
+            )
         else:
-            _refresh_bronze(store, raw, target)
+            refresh_bronze_trips(store)
         store.write("bronze_taxi_zones", bronze.bronze_zones(store.read("taxi_zones")))
 
 
-def _refresh_bronze(store: Store, raw: DataFrame, target: str) -> None:
-    """Replace the changed files alone; their names prune the partitions that are read."""
-    changed = bronze.changed_files(raw, store.read(target)).collect()  # one row per file
-    names = [r["_source_file"] for r in changed if not r.gone]
+def refresh_bronze_trips(store: Store) -> None:
+    """Replace the changed files in one commit.
+
+    Which files changed is in the manifests of both tables; only the changed ones are opened.
+    """
+    landed, target = store.path("yellow_trips"), store.path("bronze_yellow_trips")
+    changed = bronze.changed_files(tables.parts(store.spark, landed), tables.parts(store.spark, target))
+    names = [r["source_file"] for r in changed.collect()]  # one row per file
     if names:
-        batch = raw.filter(F.col("_source_file").isin(names))
-        tables.replace_by_file(bronze.bronze_trips(batch), store.path(target))
-    for row in changed:
-        if row.gone:
-            tables.empty_file(store.read(target), store.path(target), row["_source_file"])
+        batch = store.read("yellow_trips").filter(F.col("_source_file").isin(names))
+        tables.replace_by_file(bronze.bronze_trips(batch), target, figures=tables.marks(), names=names)
 
 
 def build_silver(store: Store, words: W.Words = W.SOURCE) -> None:
@@ -233,6 +255,7 @@ def build(store: Store, words: W.Words = W.SOURCE, full_refresh: bool = False) -
         check(store, "silver", words)
         build_gold(store, words)
         check(store, "gold", words)
+    store.vacuum()
 
 
 def run(spark: SparkSession, root: str, request: Request) -> DataFrame:

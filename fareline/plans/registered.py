@@ -57,7 +57,9 @@ class Built:
         # Rows of a month come from all over the join; bring them together before writing by
         # file. Rebalancing splits a month that is too large for one task.
         raw = standin.raw_trips(self.spark, self.sf_dir).hint("rebalance", "_source_file")
-        tables.overwrite(raw, self.store.path("yellow_trips"), partition_by="_source_file")
+        tables.overwrite(
+            raw, self.store.path("yellow_trips"), partition_by="_source_file", figures=pipeline.landing_figures()
+        )
         self.store.write("taxi_zones", standin.raw_zones(self.spark, self.sf_dir))
 
     def raw(self) -> Store:
@@ -153,6 +155,30 @@ def file_inventory_verdict(spark, d):
     return _verdicts(spark, d, False).select("source_period", "source_file", "size_bytes", "verdict")
 
 
+def _text_files(spark, d) -> str:
+    """A directory with a file per month, named as the months are; a trip has 100 bytes, in March 101."""
+    folder = scratch_path(spark, "published")
+    codes = F.concat_ws("|", F.col("vendorid").cast("string"), F.col("pulocationid").cast("string"))
+    line = F.rpad(codes, F.when(F.col("_source_file").contains("-03."), 100).otherwise(99), F.lit("."))
+    lines = _raw(spark, d).select("_source_file", line.alias("line"))
+    lines.repartition("_source_file").write.partitionBy("_source_file").text(f"{folder}/parts")
+    tables.name_files(spark, f"{folder}/parts", f"{folder}/landing")
+    return f"{folder}/landing"
+
+
+@query
+def landing_inventory(spark, d):
+    """The files of a directory with their sizes, and what to do with each; no content is read."""
+    raw = _raw(spark, d)
+    found = landing.inventory(spark, _text_files(spark, d))
+    verdicts = landing.load_verdicts(
+        landing.requested_periods(spark, FIRST, LAST, standin.FILE_PREFIX),
+        found, ledger.latest_loads(standin.ledger(raw)), standin.present_rows(raw), TODAY,
+    )
+    stamped = found.select("source_file", F.col("modified_at").isNotNull().alias("has_time"))
+    return verdicts.join(stamped, "source_file", "left").select("source_file", "size_bytes", "verdict", "has_time")
+
+
 @query
 def availability_verdict(spark, d):
     missing = _verdicts(spark, d, False).filter(F.col("size_bytes").isNull())
@@ -198,7 +224,9 @@ def ledger_listing(spark, d):
 
 @query
 def rows_per_file(spark, d):
-    return tables.rows_per_file(_raw(spark, d))
+    """Counted when the files were written, and kept in the table's manifest."""
+    landed = layers(spark, d).raw()
+    return tables.rows_present(spark, landed.path("yellow_trips"))
 
 
 def _run_results(spark, d) -> DataFrame:
@@ -232,10 +260,16 @@ def parquet_by_name_load(spark, d):
     new = raw.filter(~early).withColumn("passenger_count", F.col("passenger_count").cast("double"))
     new = new.withColumnRenamed("airport_fee", "Airport_fee").withColumn("extra_column", F.lit(1))
     for name, part in (("old", old), ("new", new)):
-        part.drop("_source_file", "_file_last_modified", "_loaded_at").write.parquet(f"{folder}/{name}")
-    rows = landing.read_trip_files(spark, [f"{folder}/old", f"{folder}/new"])
+        rows = part.drop("_source_file", "_file_last_modified", "_loaded_at").withColumn("file", F.lit(f"{name}.parquet"))
+        rows.write.partitionBy("file").parquet(f"{folder}/{name}")
+        tables.name_files(spark, f"{folder}/{name}", f"{folder}/landing")
+    paths = [r["path"] for r in landing.inventory(spark, f"{folder}/landing").select("path").collect()]  # a row per file
+    rows = landing.read_trip_files(spark, paths)
+    stamps = F.col("_file_last_modified").isNotNull() & (F.col("_file_last_modified") <= F.col("_loaded_at"))
     return rows.select(
-        *[F.col(field.name).alias(field.name.lower()) for field in landing.TRIP_FIELDS.fields]
+        *[F.col(field.name).alias(field.name.lower()) for field in landing.TRIP_FIELDS.fields],
+        F.regexp_replace("_source_file", "-[0-9]+[.]", ".").alias("_source_file"),
+        F.coalesce(stamps, F.lit(False)).alias("stamps_in_order"),
     )
 
 
@@ -276,16 +310,13 @@ def seed_load(spark, d):
 
 @query
 def replace_by_file(spark, d):
-    """One file delivered again with half of its rows: only that file changes."""
+    """One file delivered again with half of its rows: only that file is written, the others are shared."""
     raw = _raw(spark, d)
     path = scratch_path(spark, "replace")
-    tables.overwrite(raw, path, partition_by="_source_file")
+    tables.clone(spark, layers(spark, d).store.path("yellow_trips"), path)
     again = raw.filter((F.col("_source_file") == "trips_1996-05.parquet") & (F.col("vendorid") < 6))
     tables.replace_by_file(again, path)
-    stored = spark.read.parquet(path)
-    return stored.groupBy("_source_file").agg(
-        F.count("*").alias("rows"), F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total")
-    )
+    return _per_file(tables.read(spark, path))
 
 
 @query
@@ -295,7 +326,7 @@ def full_replace_small(spark, d):
     zones = layers(spark, d).raw().read("taxi_zones")
     tables.overwrite(zones, path)
     tables.overwrite(standin.partial_zones(zones), path)
-    kept = spark.read.parquet(path).select("locationid", "service_zone")
+    kept = tables.read(spark, path).select("locationid", "service_zone")
     return gold.with_trips(kept, "locationid", _bronze(spark, d), "dolocationid")
 
 
@@ -304,7 +335,9 @@ def full_replace_small(spark, d):
 
 @query
 def bronze_projection(spark, d):
-    return _plain(_bronze(spark, d))
+    rows = _bronze(spark, d)
+    stamps = F.coalesce(F.col("_bronze_loaded_at") >= F.col("_loaded_at"), F.lit(False))
+    return _plain(rows.withColumn("stamps_in_order", stamps))
 
 
 @query
@@ -336,14 +369,22 @@ def _beside(spark, d, name: str) -> Store:
 def _stopped(spark, d) -> Store:
     """A store whose bronze table stopped at the high-water mark."""
     store = _beside(spark, d, "refresh")
-    tables.overwrite(_incremental(spark, d)[1], store.path("bronze_yellow_trips"), partition_by="_source_file")
+    tables.overwrite(
+        _incremental(spark, d)[1], store.path("bronze_yellow_trips"), partition_by="_source_file",
+        figures=tables.marks(),
+    )
     return store
 
 
 @query
 def bronze_new_rows(spark, d):
-    raw, target = _incremental(spark, d)
-    return _per_file(bronze.newer_rows(raw, target))
+    """The changed files are told by the manifests; only they are opened."""
+    store = _stopped(spark, d)
+    changed = bronze.changed_files(
+        tables.parts(spark, store.path("yellow_trips")), tables.parts(spark, store.path("bronze_yellow_trips"))
+    )
+    names = [r["source_file"] for r in changed.collect()]  # one row per file
+    return _per_file(store.read("yellow_trips").filter(F.col("_source_file").isin(names)))
 
 
 @query
@@ -629,6 +670,20 @@ def reconcile_raw_bronze(spark, d):
     return quality.file_count_gaps(raw, target)
 
 
+@query
+def reconcile_contents(spark, d):
+    """One file came again with as many rows, some of them others, one with the same rows in another order."""
+    landed = layers(spark, d).bronze()
+    path = scratch_path(spark, "contents")
+    tables.clone(spark, landed.path("yellow_trips"), path)
+    raw, file = landed.read("yellow_trips"), F.col("_source_file")
+    dearer = F.when(F.col("pulocationid") % 9 == 2, F.col("total_amount") + 1).otherwise(F.col("total_amount"))
+    other = raw.filter(file == "trips_1996-05.parquet").withColumn("total_amount", dearer)
+    same = raw.filter(file == "trips_1997-02.parquet").orderBy("pulocationid", "dolocationid")
+    tables.replace_by_file(other.unionByName(same), path, figures=pipeline.landing_figures())
+    return quality.content_gaps(tables.parts(spark, path), landed.read("bronze_yellow_trips"))
+
+
 @query
 def reconcile_bronze_silver(spark, d):
     store = layers(spark, d).silver()

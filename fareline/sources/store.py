@@ -10,8 +10,9 @@ from fareline.sources import tables
 
 REJECTED = "silver_yellow_trips_rejected"
 EVALUATED = "silver_yellow_trips_evaluated"
-# Tables that grow by partition or by append: read by declared schema, empty until written.
-GROWING = {"yellow_trips": RAW_TRIPS, "ingestion_log": LEDGER, "check_results": CHECK_RESULTS}
+# Tables that grow by part or by append: read by declared schema, empty until written.
+GROWING = {"yellow_trips": RAW_TRIPS, "check_results": CHECK_RESULTS}
+LOGS = {"ingestion_log": LEDGER}
 
 
 class Store:
@@ -30,24 +31,23 @@ class Store:
         return self.elsewhere.get(table) or self.layout.path(table)
 
     def has(self, table: str) -> bool:
-        if table in GROWING:
-            return tables.exists(self.spark, self.path(table))
-        return tables.finished(self.spark, self.path(table))
+        if table in LOGS:
+            return tables.folder_exists(self.spark, self.path(table))
+        return tables.exists(self.spark, self.path(table))
 
     def read(self, table: str) -> DataFrame:
         if table == REJECTED:
             return self._evaluated(rejected=True)
         if table == EVALUATED:
             return self._evaluated()
-        if table in GROWING:
-            schema = GROWING[table]
-            if not self.has(table):
-                return self.spark.createDataFrame([], schema)
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        return self.spark.read.parquet(self.path(table))
+        if table in LOGS and self.has(table):
+            return self.spark.read.schema(LOGS[table]).parquet(self.path(table))
+        if table in GROWING or table in LOGS:
+            return tables.read(self.spark, self.path(table), {**GROWING, **LOGS}[table])
+        return tables.read(self.spark, self.path(table))
 
-    def write(self, table: str, df: DataFrame) -> None:
-        tables.overwrite(df, self.path(table))
+    def write(self, table: str, df: DataFrame, partition_by: str | None = None) -> None:
+        tables.overwrite(df, self.path(table), partition_by)
 
     def write_evaluated(self, evaluated: DataFrame) -> None:
         """Valid and rejected rows go to two partitions: each reader opens only its own."""
@@ -61,17 +61,20 @@ class Store:
         return self._evaluated(rejected=False)
 
     def _evaluated(self, rejected: bool | None = None) -> DataFrame:
-        rows = self.spark.read.parquet(self.path(EVALUATED))
+        rows = tables.read(self.spark, self.path(EVALUATED))
         if rejected is not None:
             rows = rows.filter(F.col("_rejected") == rejected)
         return rows.drop("_rejected")
 
+    def vacuum(self) -> None:
+        """Drop the versions of all tables that no recent manifest names."""
+        for table in TABLES:
+            if table not in LOGS and table not in self.elsewhere:
+                tables.vacuum(self.spark, self.path(table))
+
     def register_views(self) -> None:
         """Temp views under the table names, for SQL reports over the finished layers."""
         for table in [*TABLES, REJECTED]:
             stored = EVALUATED if table == REJECTED else table
             if self.has(stored):
                 self.read(table).createOrReplaceTempView(table)
-
-
-

@@ -1,32 +1,31 @@
-"""Bronze refresh driven by new files in the landing table instead of a high-water mark."""
+"""Bronze refresh driven by commits of the landing table instead of a schedule."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from fareline.operators.bronze import bronze_trips
-from fareline.schemas import RAW_TRIPS
+from fareline.plans import pipeline
 from fareline.sources import tables
 from fareline.sources.store import Store
 
 
 def refresh_bronze(store: Store, checkpoint: str) -> StreamingQuery:
-    """Process everything that arrived since the checkpoint, then stop.
+    """Process every version committed since the checkpoint, then stop.
 
-    A batch only says which source files changed. Their rows are read again as a whole, so
-    that a file spread over two batches is never replaced by half of itself.
+    The stream reads manifests, so it sees only what is committed. A batch says that something
+    changed; which files did is told by the marks of both tables, as in the batch refresh, so
+    a version that was replaced or vacuumed in the meantime is not missed.
     """
-    spark = store.spark
 
-    def replace(batch: DataFrame, _: int) -> None:
-        changed = batch.select("_source_file").distinct()
-        rows = store.read("yellow_trips").join(changed, "_source_file", "left_semi")
-        tables.replace_by_file(bronze_trips(rows), store.path("bronze_yellow_trips"))
+    def refresh(batch: DataFrame, _: int) -> None:
+        if not batch.isEmpty():
+            pipeline.refresh_bronze_trips(store)
 
+    manifests = tables.manifests_folder(store.path("yellow_trips"))
     return (
-        spark.readStream.schema(RAW_TRIPS).parquet(store.path("yellow_trips"))
-        .writeStream.foreachBatch(replace)
+        store.spark.readStream.schema("number long, changed array<string>").json(manifests)
+        .writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -133,6 +133,8 @@ def test_reload_without_rows_empties_only_that_file(spark, place):
     assert statuses(results)["2025-02"] == ("LOADED", 0)
     counts = {r.source_file[-15:-8]: r.rows_present for r in tables.rows_per_file(store.read("yellow_trips")).collect()}
     assert counts == {"2025-01": 30}
+    kept = tables.rows_present(spark, store.path("yellow_trips"))
+    assert {r.source_file[-15:-8]: r.rows_present for r in kept.collect()} == counts
 
 
 def test_failed_check_stops_the_build(spark, place):
@@ -202,17 +204,54 @@ def test_latest_load_and_listing_order(spark):
     assert len(listed[0].message) == 2000
 
 
-def test_ledger_rows_are_written_when_an_attempt_ends(spark, place, monkeypatch):
+def test_a_directory_that_cannot_be_listed_fails_every_month(spark, place, monkeypatch, capsys):
     folder, root = place
 
     def lost(*_):
         raise OSError("the folder cannot be listed")
 
     monkeypatch.setattr(landing, "inventory", lost)
-    with pytest.raises(OSError):
+    with pytest.raises(pipeline.LoadFailed) as failure:
         pipeline.run(spark, root, request(folder))
-    kept = rows(Store(spark, root).read("ingestion_log"), "source_file", "status", "rows_loaded", "file_size_bytes")
-    assert kept == [("taxi_zone_lookup.csv", W.LOADED, 5, os.path.getsize(f"{folder}/taxi_zone_lookup.csv"))]
+    kept = rows(Store(spark, root).read("ingestion_log"), "source_file", "status", "rows_loaded", "message")
+    assert kept == [
+        ("taxi_zone_lookup.csv", W.LOADED, 5, "ok"),
+        ("yellow_tripdata_2025-01.parquet", W.FAILED, None, "the folder cannot be listed"),
+        ("yellow_tripdata_2025-02.parquet", W.FAILED, None, "the folder cannot be listed"),
+    ]
+    report(failure.value.results)
+    printed = capsys.readouterr().out.splitlines()
+    assert [line.split("\t")[1] for line in printed] == [W.LOADED, W.FAILED, W.FAILED, "0"]
+
+
+def test_missing_directory(spark, place):
+    _, root = place
+    with pytest.raises(pipeline.LoadFailed) as failure:
+        pipeline.run(spark, root, request("/nowhere/at/all"))
+    assert {s for s, _ in statuses(failure.value.results).values()} == {W.FAILED}
+    assert Store(spark, root).read("ingestion_log").count() == 3
+
+
+def test_a_bad_batch_is_halved(spark, place, monkeypatch):
+    """One bad file among 24 costs two jobs for each halving, and keeps none of the others out."""
+    folder, root = place
+    for nth in range(24):
+        month_file(folder, f"{2020 + nth // 12}-{nth % 12 + 1:02}", 3 + nth)
+    bad, real, calls = "yellow_tripdata_2020-09.parquet", landing.read_trip_files, []
+
+    def read(spark, paths, schemas=None):
+        calls.append(len(paths))
+        df = real(spark, paths, schemas)
+        broken = F.raise_error(F.lit("a page is damaged")).cast("string")
+        return df.withColumn("_source_file", F.when(F.col("_source_file") == bad, broken).otherwise(F.col("_source_file")))
+
+    monkeypatch.setattr(landing, "read_trip_files", read)
+    results = pipeline.land(Store(spark, root), request(folder, first=date(2020, 1, 1), last=date(2021, 12, 1)))
+    found = {r.source_file: (r.status, r.rows_loaded) for r in results.collect()}
+    assert found.pop(bad)[0] == W.FAILED and found.pop("taxi_zone_lookup.csv") == (W.LOADED, 5)
+    assert sorted(found.values()) == [(W.LOADED, 3 + nth) for nth in range(24) if nth != 8]
+    assert len(calls) <= 1 + 2 * 5 and sorted(calls)[-1] == 24
+    assert Store(spark, root).read("yellow_trips").count() == sum(3 + nth for nth in range(24) if nth != 8)
 
 
 def test_report_prints_every_file(spark, capsys):
@@ -232,7 +271,7 @@ def test_bronze_heals_after_a_crash_between_two_files(spark, place):
     pipeline.land(store, request(folder))
     raw = store.read("yellow_trips")
     first = raw.filter(F.col("_source_file").contains("2025-01"))  # the crash came after this one
-    tables.replace_by_file(bronze.bronze_trips(first), store.path("bronze_yellow_trips"))
+    tables.replace_by_file(bronze.bronze_trips(first), store.path("bronze_yellow_trips"), figures=tables.marks())
     pipeline.build_bronze(store)
     counts = rows(store.read("bronze_yellow_trips").groupBy("_source_file").count(), "_source_file", "count")
     assert [n for _, n in counts] == [31, 22]
@@ -284,11 +323,18 @@ def test_quarantine_reads_only_its_partition(spark, place):
     assert store.read(REJECTED).count() == 0
 
 
-def test_unfinished_bronze_is_rebuilt(spark, place):
+def test_bronze_that_was_never_committed_is_built(spark, place, monkeypatch):
     folder, root = place
     store = Store(spark, root)
     pipeline.land(store, request(folder))
-    pipeline.build_bronze(store)
-    os.rename(f"{store.path('bronze_yellow_trips')}/_SUCCESS", f"{store.path('bronze_yellow_trips')}/_crashed")
+
+    def lost(*_):
+        raise OSError("the driver died")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_commit", lost)
+        with pytest.raises(OSError):
+            pipeline.build_bronze(store)
+    assert not store.has("bronze_yellow_trips")
     pipeline.build_bronze(store)
     assert store.read("bronze_yellow_trips").count() == 50
