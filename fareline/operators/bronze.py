@@ -39,7 +39,7 @@ def newest_loads(rows: DataFrame) -> DataFrame:
     )
 
 
-def changed_files(landed: DataFrame, kept: DataFrame) -> DataFrame:
+def changed_marks(landed: DataFrame, kept: DataFrame) -> DataFrame:
     """source_file of the files whose newest load is not the target's; one row per file.
 
     Both sides hold source_file and newest, as `newest_loads` or a table's manifest gives them.
@@ -55,7 +55,11 @@ def changed_files(landed: DataFrame, kept: DataFrame) -> DataFrame:
     )
 
 
+def changed_files(raw: DataFrame, target: DataFrame) -> DataFrame:
+    """The same of two tables' rows: _source_file and gone."""
+    return changed_marks(newest_loads(raw), newest_loads(target)).withColumnRenamed("source_file", "_source_file")
+
+
 def newer_rows(raw: DataFrame, target: DataFrame) -> DataFrame:
     """Rows of the files that were loaded again after the target took them, or never taken."""
-    changed = changed_files(newest_loads(raw), newest_loads(target))
-    return raw.join(changed, raw["_source_file"] == changed["source_file"], "left_semi")
+    return raw.join(changed_files(raw, target), "_source_file", "left_semi")

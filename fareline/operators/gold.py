@@ -119,19 +119,34 @@ def without_reversals(fact: DataFrame) -> DataFrame:
     return fact.filter(~F.col("has_reversal"))
 
 
+def of_days(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """Fact rows (or sums per day and period) joined to the calendar days of their pickup.
+
+    The fact is stored by the month of its files, and a valid trip begins in that month, so the month of a day
+    is a key as well: a calendar that is narrowed down to some days prunes the fact's partitions
+    while the query runs.
+    """
+    day = (fact["pickup_date_key"] == days["date_key"]) & (
+        fact["_source_period"] == C.month_start(days["full_date"])
+    )
+    return fact.join(days, day)
+
+
 def star_report(fact: DataFrame, zones: DataFrame, times: DataFrame, dates: DataFrame) -> DataFrame:
-    """Trips and revenue per pickup borough and day period, working days, no reversed trips."""
+    """Trips and revenue per pickup borough and day period, working days, no reversed trips.
+
+    `dates` may be narrowed down, to a month for instance; only the fact's partitions of its days are opened.
+    """
     per_key = without_reversals(fact).groupBy(
-        "pickup_zone_key", "pickup_time_key", "pickup_date_key"
+        "_source_period", "pickup_zone_key", "pickup_time_key", "pickup_date_key"
     ).agg(
         F.count("*").alias("n"),
         F.sum("total_amount").alias("revenue"),
         F.sum("trip_distance_miles").alias("miles"),
         F.count("trip_distance_miles").alias("n_miles"),
     )
-    workdays = dates.filter(~F.col("is_weekend"))
     return (
-        per_key.join(workdays, per_key.pickup_date_key == workdays.date_key)
+        of_days(per_key, dates.filter(~F.col("is_weekend")))
         .join(zones, F.col("pickup_zone_key") == zones.zone_key)
         .join(times, F.col("pickup_time_key") == times.time_key)
         .groupBy("borough", "day_period")
@@ -188,8 +203,12 @@ def derived(fact: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def net_revenue(fact: DataFrame, by: list[str]) -> DataFrame:
-    return without_reversals(fact).groupBy(*by).agg(
+def net_revenue(fact: DataFrame, by: list[str], days: DataFrame | None = None) -> DataFrame:
+    """Trips and revenue without reversed trips; of `days` alone where a part of the calendar is given."""
+    rows = without_reversals(fact)
+    if days is not None:
+        rows = of_days(rows, days.select("date_key", "full_date"))
+    return rows.groupBy(*by).agg(
         F.count("*").alias("trips"),
         F.sum("total_amount").cast("decimal(38,2)").alias("revenue"),
     )

@@ -12,6 +12,7 @@ from fareline import words as W
 from fareline.functions import columns as C
 from fareline.operators.skew import HOT_ROWS, hot_keys
 from fareline.schemas import MONEY
+from fareline.session import scratch_path
 
 # Source column -> silver name, for the columns that are only renamed and cast.
 CODES = {
@@ -153,12 +154,12 @@ def _is_negative() -> Column:
 
 
 def hot_trips(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Trips with too many rows for one task, and whether they have a reversal."""
+    """Trips with too many rows for one task to rank."""
     parts = [
         F.col("vendor_id"), F.unix_timestamp("pickup_datetime"), F.unix_timestamp("dropoff_datetime"),
         F.col("pickup_location_id"), F.col("dropoff_location_id"),
     ]
-    return hot_keys(rows, "trip_id", parts, [F.max(_is_negative()).alias("has_reversal")], hot_rows)
+    return hot_keys(rows, "trip_id", parts, hot_rows)
 
 
 def dedup_rank(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -212,50 +213,65 @@ def _rank_by_counting(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_duplicates(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Adds `has_reversal` and `is_repeat` (a valid row that loses against another valid one).
+def keep_key(*last: str) -> Column:
+    """The same order as `keep_order`, as a struct: the row to keep has the least one."""
+    total, loaded, file = KEEP_FIRST
+    parts = [
+        F.col(total).isNotNull(), -F.col(total),
+        F.col(loaded).isNotNull(), -F.unix_micros(loaded),
+        F.col(file).isNull(), F.col(file),
+    ]
+    for name in KEEP_THEN:
+        parts += [F.col(name).isNull(), F.col(name)]
+    return F.struct(*[part.alias(f"k{i}") for i, part in enumerate(parts)], *last)
 
-    Ordinary trips take one shuffle and one sort on the trip key: valid rows sort first, so
-    position 1 of the trip is the row to keep. A trip that holds a large share of all rows
-    would make one task sort that share; its rows are ranked inside their scan slice first,
-    and only the best row of each slice meets the others.
+
+def notable_trips(rows: DataFrame) -> DataFrame:
+    """trip_id, valid_rows, reversed: trips with several valid rows or a reversal.
+
+    Counts and a flag per key, combined on the map side: a trip of any size comes in as one row
+    per task, and nothing is sorted.
     """
     valid = F.col("broken_rule").isNull()
-    hot = hot_trips(rows, hot_rows)
-    is_hot = rows.trip_id.eqNullSafe(hot.trip_id)
-
-    # Both windows have one partitioning and one order, so a single window operator runs them.
-    trip = Win.partitionBy("trip_id").orderBy(F.desc("_valid"), *keep_order())
-    whole_trip = trip.rowsBetween(Win.unboundedPreceding, Win.unboundedFollowing)
-    ordinary = (
-        rows.withColumn("_valid", valid)
-        .join(F.broadcast(hot), is_hot, "left_anti")
-        .withColumns(
-            {
-                "_place": F.row_number().over(trip),
-                "has_reversal": F.max(_is_negative()).over(whole_trip),
-            }
-        )
+    counts = rows.groupBy("trip_id").agg(
+        F.count_if(valid).alias("valid_rows"), F.max(_is_negative()).alias("reversed")
     )
+    return counts.filter((F.col("valid_rows") > 1) | F.col("reversed"))
 
-    slice_best = Win.partitionBy("trip_id", "_slice").orderBy(F.desc("_valid"), *keep_order())
-    finalists = Win.partitionBy("trip_id", "_heat").orderBy(F.desc("_valid"), *keep_order())
-    large = (
-        rows.withColumn("_valid", valid)
-        .join(F.broadcast(hot), is_hot)
-        .select(rows["*"], "_valid", hot.has_reversal)
-        .withColumn("_slice", F.spark_partition_id())
-        .withColumn("_slice_place", F.row_number().over(slice_best))
-        # Losers stay spread over their slices; the best of each slice share heat -1.
-        .withColumn("_heat", F.when(F.col("_slice_place") == 1, -1).otherwise(F.col("_slice")))
-        .withColumn("_final_place", F.row_number().over(finalists))
-        .withColumn("_place", F.greatest("_slice_place", "_final_place"))
+
+def with_duplicates(rows: DataFrame, scratch: str | None = None) -> DataFrame:
+    """Adds `has_reversal` and `is_repeat` (a valid row that loses against another valid one).
+
+    Trips with something to tell are found by counting, and joined to their rows: the one exchange
+    of whole rows, which adaptive execution splits where a trip is large. Of the valid rows of
+    trips that have several, the one to keep is the least key in the total order, an aggregate
+    that is combined on the map side as well. All other rows are done by then. `scratch` is a folder for the two
+    written steps.
+    """
+    spark = rows.sparkSession
+    scratch = scratch or scratch_path(spark, "duplicates")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
+    # Written, so that both sides of the join are plain exchanges, which can be split.
+    notable = stored(notable_trips(rows).withColumnRenamed("trip_id", "notable_id"), "notable")
+    known = rows.join(notable, rows["trip_id"].eqNullSafe(notable["notable_id"]), "left").select(
+        *rows.columns,
+        F.coalesce("reversed", F.lit(False)).alias("has_reversal"),
+        (F.col("broken_rule").isNull() & (F.coalesce("valid_rows", F.lit(0)) > 1)).alias("_contested"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    known = stored(known, "known")
+    contested = known.filter("_contested")
+    kept = contested.groupBy("trip_id").agg(F.min(keep_key("_row")).getField("_row").alias("_kept"))
+    judged = contested.join(kept.select("_kept"), F.col("_row") == F.col("_kept"), "left").withColumn(
+        "is_repeat", F.col("_kept").isNull()
     )
-    out = [*rows.columns, "has_reversal", "_valid", "_place"]
-    return (
-        ordinary.select(out).unionByName(large.select(out))
-        .withColumn("is_repeat", F.col("_valid") & (F.col("_place") > 1))
-        .drop("_valid", "_place")
+    out = [*rows.columns, "has_reversal", "is_repeat"]
+    return known.filter("not _contested").withColumn("is_repeat", F.lit(False)).select(out).unionByName(
+        judged.select(out)
     )
 
 
@@ -266,9 +282,9 @@ def with_reason(rows: DataFrame, words: W.Words = W.SOURCE) -> DataFrame:
     return rows.withColumn("rejection_reason", reason)
 
 
-def evaluate(bronze: DataFrame, words: W.Words = W.SOURCE, hot_rows: int = HOT_ROWS) -> DataFrame:
+def evaluate(bronze: DataFrame, words: W.Words = W.SOURCE, scratch: str | None = None) -> DataFrame:
     """Every bronze row, typed, with its key, reversal flag and rejection reason."""
-    judged = with_reason(with_duplicates(prepared(bronze, words), hot_rows), words)
+    judged = with_reason(with_duplicates(prepared(bronze, words), scratch), words)
     return judged.select(EVALUATED_COLUMNS)
 
 

@@ -474,6 +474,7 @@ SILVER_RULE = """NOT (total_amount BETWEEN 0 AND 1000) OR fare_amount < 0 OR dro
     OR NOT (trip_distance_miles > 0 AND trip_distance_miles <= 200) OR trip_duration_minutes <= 0
     OR passenger_count < 1 OR passenger_count > 6"""
 
+MAY = "(SELECT * FROM fact WHERE strftime(pickup_datetime, '%Y-%m') = '1996-05') fact"
 STAR = f"""SELECT borough, day_period, count(*) AS trips, CAST(sum(total_amount) AS DECIMAL(38,2)) AS revenue,
         CAST({_half_up(f"sum({_cents('trip_distance_miles')})", "nullif(count(trip_distance_miles), 0) * 100", 2)} AS {MONEY}) AS mean_miles
     FROM fact, dzones z, times t, dates d
@@ -610,6 +611,8 @@ def statements() -> dict[str, str]:
             FROM fact GROUP BY ALL"""),
         "additive_measures": chain("fact", _additive("pickup_time_key, rate_code_key")),
         "net_revenue": chain("fact", _net("_source_period")),
+        "net_revenue_month": chain("fact", _net("_source_period").replace("FROM fact", f"FROM {MAY}")),
+        "star_report_month": chain("fact dzones times dates", STAR.replace("FROM fact", f"FROM {MAY}")),
         "check_not_null": chain("broken", _union(
             f"SELECT '{c}' AS \"check\", count(*) - count({c}) AS offenders FROM broken"
             for c in ("trip_id", "vendor_id", "payment_type_id", "total_amount"))),

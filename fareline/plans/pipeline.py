@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fareline import words as W
 from fareline.operators import bronze, gold, quality, silver
 from fareline.schemas import SEEDS, TRIP_COLUMNS, TRIP_FILE_PREFIX, ZONE_FILE
-from fareline.session import sized_for
+from fareline.session import scratch_path, sized_for
 from fareline.sources import landing, ledger, tables
 from fareline.sources.store import Store
 
@@ -208,7 +208,7 @@ def refresh_bronze_trips(store: Store) -> None:
     Which files changed is in the manifests of both tables; only the changed ones are opened.
     """
     landed, target = store.path("yellow_trips"), store.path("bronze_yellow_trips")
-    changed = bronze.changed_files(tables.parts(store.spark, landed), tables.parts(store.spark, target))
+    changed = bronze.changed_marks(tables.parts(store.spark, landed), tables.parts(store.spark, target))
     names = [r["source_file"] for r in changed.collect()]  # one row per file
     if names:
         batch = store.read("yellow_trips").filter(F.col("_source_file").isin(names))
@@ -216,14 +216,17 @@ def refresh_bronze_trips(store: Store) -> None:
 
 
 def build_silver(store: Store, words: W.Words = W.SOURCE) -> None:
+    """Evaluated rows and silver, both by month; a month's silver is written from its own files."""
     now = F.current_timestamp().alias("_silver_loaded_at")
+    scratch = scratch_path(store.spark, "silver")
     with _sized(store):
-        judged = silver.evaluate(store.read("bronze_yellow_trips"), words)
+        judged = silver.evaluate(store.read("bronze_yellow_trips"), words, scratch)
         store.write_evaluated(judged.select("*", now))
-        valid = store.accepted()
+        tables.drop_folder(store.spark, scratch)
         store.write(
             "silver_yellow_trips",
-            silver.repaired(valid).select(*silver.SILVER_COLUMNS, "_silver_loaded_at"),
+            silver.repaired(store.accepted()).select(*silver.SILVER_COLUMNS, "_silver_loaded_at"),
+            partition_by="_source_period",
         )
         store.write("silver_taxi_zones", silver.silver_zones(store.read("bronze_taxi_zones")))
 
@@ -241,7 +244,7 @@ def build_gold(store: Store, words: W.Words = W.SOURCE) -> None:
     }
     with _sized(store):
         for name, model in models.items():
-            store.write(name, model())
+            store.write(name, model(), "_source_period" if name == "fct_trips" else None)
 
 
 def build(store: Store, words: W.Words = W.SOURCE, full_refresh: bool = False) -> None:

@@ -380,7 +380,7 @@ def _stopped(spark, d) -> Store:
 def bronze_new_rows(spark, d):
     """The changed files are told by the manifests; only they are opened."""
     store = _stopped(spark, d)
-    changed = bronze.changed_files(
+    changed = bronze.changed_marks(
         tables.parts(spark, store.path("yellow_trips")), tables.parts(spark, store.path("bronze_yellow_trips"))
     )
     names = [r["source_file"] for r in changed.collect()]  # one row per file
@@ -607,6 +607,23 @@ def net_revenue(spark, d):
     return gold.net_revenue(_gold(spark, d).read("fct_trips"), ["_source_period"])
 
 
+def _one_month(dates: DataFrame) -> DataFrame:
+    return dates.filter(F.col("year_month") == "1996-05")
+
+
+@query
+def star_report_month(spark, d):
+    """The report for one month of the calendar; the fact's other partitions stay closed."""
+    read = _gold(spark, d).read
+    return gold.star_report(read("fct_trips"), read("dim_zone"), read("dim_time"), _one_month(read("dim_date")))
+
+
+@query
+def net_revenue_month(spark, d):
+    read = _gold(spark, d).read
+    return gold.net_revenue(read("fct_trips"), ["_source_period"], _one_month(read("dim_date")))
+
+
 # --- Checks ----------------------------------------------------------------------------
 
 

@@ -50,11 +50,16 @@ class Store:
         tables.overwrite(df, self.path(table), partition_by)
 
     def write_evaluated(self, evaluated: DataFrame) -> None:
-        """Valid and rejected rows go to two partitions: each reader opens only its own."""
+        """Valid and rejected rows, and those of different months, go to different partitions.
+
+        Each reader opens only its own. The rows of a month are brought together first, so that
+        there are few files; a month that is too large for one task is split.
+        """
         tables.overwrite(
-            evaluated.withColumn("_rejected", F.col("rejection_reason").isNotNull()),
+            evaluated.withColumn("_rejected", F.col("rejection_reason").isNotNull())
+            .hint("rebalance", "_rejected", "_source_period"),
             self.path(EVALUATED),
-            partition_by="_rejected",
+            partition_by=["_rejected", "_source_period"],
         )
 
     def accepted(self) -> DataFrame:

@@ -15,6 +15,7 @@ from fareline import session, standin
 from fareline.functions.medians import grouped_median
 from fareline.operators import bronze as bronze_layer
 from fareline.operators import gold, profile, quality, silver
+from fareline.sources import tables
 from fareline.words import ENGLISH, SOURCE
 
 START = GOOD["tpep_pickup_datetime"]
@@ -69,6 +70,49 @@ def test_star_report_leaves_out_weekends_and_reversals(spark):
     assert [tuple(r) for r in report.collect()] == [("Bronx", "Mañana", 2, Decimal("34.00"), Decimal("1.76"))]
 
 
+def test_reports_of_one_month_open_one_partition(spark, tmp_path):
+    months = [
+        {"tpep_pickup_datetime": datetime(2025, m, 7, 8), "tpep_dropoff_datetime": datetime(2025, m, 7, 9),
+         "_source_file": f"yellow_tripdata_2025-{m:02}.parquet", "DOLocationID": m}
+        for m in range(1, 7)
+    ]
+    rows_ = trips(spark, *months)
+    path = str(tmp_path / "fact")
+    tables.overwrite(gold.fact_trips(rows_), path, "_source_period")
+    tables.overwrite(gold.dim_date(rows_), str(tmp_path / "dates"))
+    may = tables.read(spark, str(tmp_path / "dates")).filter("year_month = '2025-05'")
+    zones = spark.createDataFrame([(100, "Bronx")], "zone_key int, borough string")
+    for report, expected in (
+        (gold.star_report(tables.read(spark, path), zones, gold.dim_time(spark), may), 1),
+        (gold.net_revenue(tables.read(spark, path), ["_source_period"], may), 1),
+    ):
+        assert report.count() == expected
+        plan = report._jdf.queryExecution().executedPlan()
+        assert "dynamicpruning" in plan.toString()
+        # The scan's own figure of partitions it has opened.
+        report.collect()
+        scans = [m for m in _partitions_read(plan) if m >= 0]
+        assert 1 in scans
+
+
+def _partitions_read(plan):
+    """`number of partitions read` of all file scans of an executed plan."""
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        metric = node.metrics().get("numPartitions")
+        if node.nodeName().startswith("Scan") and metric.isDefined():
+            found.append(metric.get().value())
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
 def test_ratios_use_rows_where_both_parts_are_known(spark):
     fact = gold.fact_trips(trips(spark, {}, {**apart(1), "trip_distance": 0.0}))
     row = gold.derived(fact, ["vendor_key"]).first()

@@ -6,11 +6,12 @@ from decimal import Decimal
 import pytest
 from conftest import SF
 from helpers import GOOD, bronze, rows
+from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from fareline import standin
 from fareline.functions import columns as C
-from fareline.operators import silver
+from fareline.operators import silver, skew
 from fareline.words import ENGLISH, SOURCE
 
 START = GOOD["tpep_pickup_datetime"]
@@ -132,13 +133,11 @@ GROUPS = {
 }
 
 
-@pytest.mark.parametrize("hot_rows", [silver.HOT_ROWS, 1])
-def test_duplicates(spark, hot_rows):
-    """Every group on the ordinary path and, with a limit of one row, on the path for hot trips."""
+def test_duplicates(spark):
     changes = [
         {"DOLocationID": i, **change} for i, (group, _) in enumerate(GROUPS.values()) for change in group
     ]
-    judged = silver.evaluate(bronze(spark, *changes), ENGLISH, hot_rows).collect()
+    judged = silver.evaluate(bronze(spark, *changes), ENGLISH).collect()
     for i, (name, (_, expected)) in enumerate(GROUPS.items()):
         got = [
             (r.total_amount if r.total_amount is None else float(r.total_amount), r.rejection_reason,
@@ -163,11 +162,47 @@ def skewed(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-def test_hot_path_equals_ordinary_path(skewed):
-    plain = silver.evaluate(skewed, ENGLISH)
-    hot = silver.evaluate(skewed, ENGLISH, hot_rows=20)
+def test_aggregates_equal_a_window_over_whole_trips(skewed):
+    """The plain way: sort all rows of a trip, valid ones first, and keep the first."""
+    trip = Win.partitionBy("trip_id").orderBy(F.col("broken_rule").isNotNull(), *silver.keep_order())
+    whole = trip.rowsBetween(Win.unboundedPreceding, Win.unboundedFollowing)
+    plain = silver.with_reason(
+        silver.prepared(skewed, ENGLISH).withColumns(
+            {
+                "has_reversal": F.max(F.coalesce(F.col("total_amount") < 0, F.lit(False))).over(whole),
+                "is_repeat": F.col("broken_rule").isNull() & (F.row_number().over(trip) > 1),
+            }
+        ),
+        ENGLISH,
+    ).select(silver.EVALUATED_COLUMNS)
+    found = silver.evaluate(skewed, ENGLISH)
+    assert plain.exceptAll(found).isEmpty() and found.exceptAll(plain).isEmpty()
     assert silver.hot_trips(silver.prepared(skewed), 20).count() > 1
-    assert plain.exceptAll(hot).isEmpty() and hot.exceptAll(plain).isEmpty()
+
+
+def test_ten_million_rows_of_one_trip(spark):
+    """Copies and near copies of one trip, dealt out over all tasks; no task gathers them."""
+    one = silver.prepared(bronze(spark, {}), ENGLISH)
+    many = one.crossJoin(spark.range(0, 10_000_000, 1, 8)).withColumn(
+        "total_amount", F.when(F.col("id") % 1000 == 0, None).otherwise((F.col("id") % 997).cast("decimal(18,2)"))
+    ).withColumn("tip_amount", (F.col("id") % 7).cast("decimal(18,2)")).drop("id")
+    reversed_ = one.withColumns({"total_amount": F.lit(-1).cast("decimal(18,2)"), "broken_rule": F.lit("negative_total")})
+    judged = silver.with_duplicates(many.unionByName(reversed_))
+    kept = judged.groupBy("has_reversal", "is_repeat").agg(
+        F.count("*").alias("n"), F.count("total_amount").alias("known"), F.min("tip_amount").alias("tip")
+    )
+    assert rows(kept, "has_reversal", "is_repeat", "n") == [(True, False, 2), (True, True, 9_999_999)]
+    # A missing total ranks first; of those the smallest tip.
+    valid = judged.filter("not is_repeat and broken_rule is null")
+    assert [(r.total_amount, r.tip_amount) for r in valid.collect()] == [(None, Decimal("0.00"))]
+
+
+def test_buckets_follow_the_rows(spark):
+    assert skew.buckets_for(10**12, skew.HOT_ROWS) * skew.HOT_ROWS >= 16 * 10**12
+    rows_ = spark.createDataFrame([(k % 40, k % 40) for k in range(400)] + [(99, 99)] * 50 + [(None, None)] * 30, "a int, b int")
+    keyed = rows_.withColumn("key", F.col("a").cast("string"))
+    hot = skew.hot_keys(keyed, "key", [F.col("b")], 20)
+    assert sorted((r.key for r in hot.collect()), key=str) == ["99", None]
 
 
 def test_rank_by_counting_equals_window_rank(skewed):
@@ -192,7 +227,7 @@ def test_ties_do_not_depend_on_input_order_or_path(spark):
         for hot_rows in (silver.HOT_ROWS, 1):
             data = bronze(spark, *order).repartition(3)
             ranked = silver.dedup_rank(silver.prepared(data), hot_rows)
-            judged = silver.evaluate(data, ENGLISH, hot_rows).drop("_loaded_at")
+            judged = silver.evaluate(data, ENGLISH).drop("_loaded_at")
             seen.add((
                 tuple(rows(ranked, "vendor_id", "pickup_datetime", "pickup_location_id", "dedup_rank")),
                 tuple(rows(judged, *judged.columns)),

@@ -119,7 +119,7 @@ def test_clones_share_files_until_they_are_replaced(spark, path, tmp_path):
 def test_marks_and_counts_open_no_file(spark, path, tmp_path):
     copy = str(tmp_path / "bronze")
     tables.overwrite(trips(spark, a=3, b=4), copy, "_source_file", tables.marks())
-    changed = bronze.changed_files(tables.parts(spark, path), tables.parts(spark, copy))
+    changed = bronze.changed_marks(tables.parts(spark, path), tables.parts(spark, copy))
     for df in (changed, tables.rows_present(spark, path)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "FileScan" not in plan and "parquet" not in plan.replace("trips_", "")
