@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from fareline.functions import columns as C
 from fareline.operators import silver
 from fareline.schemas import TRIP_COLUMNS
 from fareline.sources import tables
+from fareline.sources.store import Store
 
 RESULT_COLUMNS = ["check", "offenders"]
 
@@ -285,29 +287,45 @@ def count_rows(offenders: DataFrame, name: str) -> DataFrame:
     return _results(offenders.agg(F.count("*").alias("n")), name, F.col("n"))
 
 
-def table_results(
-    name: str, checks: TableChecks, read: Callable[[str], DataFrame], row_tests: dict[str, Column] | None = None
-) -> list[DataFrame]:
-    table = read(name)
+def row_tests(name: str, words: W.Words = W.SOURCE) -> dict[str, Column]:
+    """Tests of a table that look at one row at a time: name of the check -> true for an offender."""
+    checks = next(found[name] for found in declared(words).values() if name in found)
     tests = {f"{name}.not_null.{c}": F.col(c).isNull() for c in checks.not_null}
     tests |= {f"{name}.accepted.{c}": ~F.col(c).isin(*v) for c, v in checks.accepted.items()}
-    tests |= row_tests or {}
-    out = [count_row_tests(table, tests)] if tests else []
-    if checks.references:
-        parents = {c: (read(parent), key) for c, (parent, key) in checks.references.items()}
-        out.append(count_orphans(table, parents, name))
-    return out
+    return tests | ({"silver_rules": silver_rule()} if name == "silver_yellow_trips" else {})
 
 
-def layer_results(layer: str, read: Callable[[str], DataFrame], words: W.Words = W.SOURCE) -> DataFrame:
-    """(check, offenders) for every check of a layer, reconciliations included."""
+def observed(name: str, words: W.Words = W.SOURCE) -> dict[str, Column]:
+    """Aggregates for the job that writes a table: offenders of its row tests, rows, and money."""
+    found = {check: F.count_if(test) for check, test in row_tests(name, words).items()}
+    if name == "silver_yellow_trips_evaluated":
+        # Rejected rows are a part of this table; their tests are counted over that part.
+        part = row_tests("silver_yellow_trips_rejected", words)
+        found |= {check: F.count_if(F.col("_rejected") & test) for check, test in part.items()}
+        found["rejected"] = F.count_if("_rejected")
+    if name in ("silver_yellow_trips", "fct_trips"):
+        found["total_amount"] = F.sum("total_amount")
+    return {"rows": F.count("*"), **found}
+
+
+def _several(layer: str, read: Callable[[str], DataFrame], words: W.Words) -> list[DataFrame]:
+    """Checks of a layer that compare rows with each other or with another table."""
     parts, unique = [], {}
     for name, checks in declared(words)[layer].items():
-        row_tests = {"silver_rules": silver_rule()} if name == "silver_yellow_trips" else None
-        parts += table_results(name, checks, read, row_tests)
+        if checks.references:
+            parents = {c: (read(parent), key) for c, (parent, key) in checks.references.items()}
+            parts.append(count_orphans(read(name), parents, name))
         unique |= {f"{name}.unique.{c}": (read(name), c) for c in checks.unique}
-    if unique:
-        parts.append(count_repeats(unique))
+    return parts + ([count_repeats(unique)] if unique else [])
+
+
+def layer_results(layer: str, read: Callable[[str], DataFrame], words: W.Words = W.SOURCE) -> DataFrame:
+    """(check, offenders) for every check of a layer, reconciliations included, by reading its tables."""
+    parts = []
+    for name in declared(words)[layer]:
+        if tests := row_tests(name, words):
+            parts.append(count_row_tests(read(name), tests))
+    parts += _several(layer, read, words)
     if layer == "bronze":
         gaps = file_count_gaps(read("yellow_trips"), read("bronze_yellow_trips"))
         parts.append(count_rows(gaps, "raw_equals_bronze"))
@@ -321,6 +339,39 @@ def layer_results(layer: str, read: Callable[[str], DataFrame], words: W.Words =
     return reduce(DataFrame.unionByName, parts)
 
 
+def stored_results(layer: str, store: Store, words: W.Words = W.SOURCE) -> DataFrame:
+    """The same for the stored tables of a layer, from what was counted when they were written.
+
+    Row tests, row counts and totals come from the manifests of the versions that are checked; no
+    table is scanned for them. Only uniqueness and references read rows. A table that was
+    written without its figures is read, as `layer_results` does.
+    """
+    lines, parts = [], []
+    for name in declared(words)[layer]:
+        tests, figures = row_tests(name, words), store.figures(name)
+        lines += [(check, figures[check]) for check in tests if check in figures]
+        if unknown := {check: test for check, test in tests.items() if check not in figures}:
+            parts.append(count_row_tests(store.read(name), unknown))
+
+    def total(table: str, figure: str):
+        return store.figures(table).get(figure)
+
+    if layer == "bronze":
+        landed, kept = store.part_rows("yellow_trips"), store.part_rows("bronze_yellow_trips")
+        lines.append(("raw_equals_bronze", sum(landed.get(f) != kept.get(f) for f in landed.keys() | kept.keys())))
+    if layer == "silver":
+        split = (total("silver_yellow_trips", "rows"), total("silver_yellow_trips_evaluated", "rejected"))
+        gap = None in split or sum(split) != sum(store.part_rows("bronze_yellow_trips").values())
+        lines.append(("bronze_equals_silver_and_rejected", int(gap)))
+    if layer == "gold":
+        clean, fact = ([total(t, f) for f in ("rows", "total_amount")] for t in ("silver_yellow_trips", "fct_trips"))
+        # As in SQL, a total that is not known does not differ.
+        gap = clean[0] != fact[0] or (None not in (clean[1], fact[1]) and Decimal(clean[1]) != Decimal(fact[1]))
+        lines.append(("silver_equals_gold", int(gap)))
+    counted = store.spark.createDataFrame(lines, "`check` string, offenders bigint")
+    return reduce(DataFrame.unionByName, [counted, *parts, *_several(layer, store.read, words)])
+
+
 class ChecksFailed(RuntimeError):
     """A layer has offenders; nothing after it may be built."""
 

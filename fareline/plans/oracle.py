@@ -7,6 +7,7 @@ trips and then the layers; `chain` puts the needed part of the chain in front.
 from __future__ import annotations
 
 from fareline import words as W
+from fareline.operators.quality import declared
 from fareline.schemas import PAYMENT_TYPES, RATE_CODES, VENDORS
 
 SOURCE, ENGLISH = W.SOURCE, W.ENGLISH
@@ -63,7 +64,7 @@ def _broken_rule(words: W.Words) -> str:
 
 
 def _steps(words: W.Words, typed_from: str = "bronze") -> dict[str, str]:
-    return {
+    steps = {
         "src": """
             SELECT l.*, s.sgn FROM lineitem l, (VALUES (1, 0), (1, 7), (1, 8), (-1, 8)) s(sgn, r)
             WHERE (s.r = 0 AND l.l_partkey % 499 NOT IN (7, 8)) OR (s.r = 8 AND l.l_partkey % 499 = 8)
@@ -237,6 +238,8 @@ def _steps(words: W.Words, typed_from: str = "bronze") -> dict[str, str]:
         "target": """
             SELECT * FROM bronze WHERE _loaded_at <= TIMESTAMP '2001-01-01' AND vendorid <> 7""",
     }
+    steps["bfact"] = steps["fact"].replace("FROM silver", "FROM broken")
+    return steps
 
 
 # Steps each step reads from.
@@ -245,7 +248,7 @@ NEEDS = {
     "ranked": ["ruled"], "evaluated": ["ranked"], "trips": ["evaluated"], "silver": ["trips"],
     "szones": ["zones"], "fact": ["silver"], "dates": ["silver"], "dzones": ["szones"],
     "files": ["bronze"], "ledger": ["files"], "verdicts": ["files"], "faulty": ["silver"],
-    "broken": ["faulty"], "target": ["bronze"],
+    "broken": ["faulty"], "bfact": ["broken"], "target": ["bronze"],
 }
 
 
@@ -488,40 +491,89 @@ def _orphan_line(column: str, parent: str, key: str) -> str:
         WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = b.{column})"""
 
 
-def _gate_damaged() -> str:
-    """Silver checks over the broken trips, zones that lack some ids and repeat others, and two
-    reasons gone wrong. Every count is written out over the damaged rows."""
-    zones = "(SELECT * FROM szones WHERE location_id % 53 <> 0 UNION ALL SELECT * FROM szones WHERE location_id % 53 <> 0 AND location_id % 40 = 1)"
-    trips, lines = "silver_yellow_trips", []
-
-    def count(name: str, table: str, where: str) -> None:
-        lines.append(f"SELECT '{name}' AS \"check\", count(*) AS offenders FROM {table} WHERE {where}")
+def _damaged_tables() -> dict[str, str]:
+    """Every table of the layers, with the faults the query puts in."""
+
+    def unless(condition: str, column: str) -> str:
+        return f"CASE WHEN NOT coalesce({condition}, false) THEN {column} END AS {column}"
+
+    def twice(table: str, key: str, condition: str, *replaced: str) -> str:
+        rows = f"(SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE {condition})"
+        return f"(SELECT * REPLACE ({', '.join(replaced)}) FROM {rows})"
+
+    zones = twice("zones", "locationid", "locationid % 40 = 1", unless("locationid % 53 = 0", "locationid"))
+    found = {
+        "yellow_trips": f"(SELECT * REPLACE ({unless('pulocationid % 50 = 7', '_loaded_at')}, {unless('pulocationid % 61 = 5', '_source_file')}) FROM raw)",
+        "taxi_zones": zones, "bronze_taxi_zones": f"(SELECT *, 1 AS _loaded_at FROM {zones})",
+        "bronze_yellow_trips": f"""(SELECT * REPLACE ({unless('pulocationid % 50 = 7', '_source_period')}),
+            CASE WHEN NOT coalesce(pulocationid % 61 = 5, false) THEN 1 END AS _bronze_loaded_at
+            FROM bronze WHERE vendorid <> 7 OR date_part('year', _source_period) <> 1996)""",
+        "silver_yellow_trips_evaluated": f"""(SELECT * REPLACE ({unless('pickup_location_id % 47 = 3', 'trip_id')},
+            CASE WHEN rejection_reason = {_quoted(SOURCE.no_movement)} THEN 'unheard of' ELSE rejection_reason END AS rejection_reason) FROM evaluated)""",
+        "silver_yellow_trips": "broken",
+        "silver_taxi_zones": twice(
+            "(SELECT * FROM szones WHERE location_id % 53 <> 0)", "location_id", "location_id % 40 = 1",
+            unless("location_id % 45 = 2", "borough")),
+        "fct_trips": f"""(SELECT * REPLACE (
+            CASE WHEN pickup_zone_key % 90 = 11 THEN 77 ELSE pickup_time_key END AS pickup_time_key,
+            {unless('pickup_zone_key % 71 = 4', 'dropoff_date_key')}, {unless('pickup_zone_key % 67 = 6', 'total_amount')}) FROM bfact)""",
+    }
+    for name, table, key, label in (
+        ("ref_vendors", "vendors", "vendor", "vendor_name"), ("ref_rate_codes", "rates", "rate_code", "rate_code_name"),
+        ("ref_payment_types", "payments", "payment_type", "payment_type_name"),
+    ):
+        codes = f"(SELECT {key}_key AS {key}_id, {label} FROM {table})"
+        found[name] = twice(codes, key, f"{key}_id = 1", unless(f"{key}_id = 2", label), unless(f"{key}_id = 6", f"{key}_id"))
+    for name, table, key, also in (
+        ("dim_date", "dates", "date_key", "full_date"), ("dim_time", "times", "time_key", "day_period"),
+        ("dim_zone", "dzones", "zone_key", "borough"), ("dim_vendor", "vendors", "vendor_key", None),
+        ("dim_rate_code", "rates", "rate_code_key", None), ("dim_payment_type", "payments", "payment_type_key", None),
+    ):
+        faults = [unless(f"{key} % 31 = 3", also)] if also else []
+        found[name] = twice(table, key, f"{key} % 40 = 1", *faults, unless(f"{key} % 53 = 5", key))
+    found["silver_yellow_trips_rejected"] = f"(SELECT * FROM {found['silver_yellow_trips_evaluated']} WHERE rejection_reason IS NOT NULL)"
+    return found
 
-    def repeated(name: str, table: str, column: str) -> None:
-        count(name, f"(SELECT {column} FROM {table} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)", "true")
 
-    count("silver_yellow_trips_evaluated.not_null.trip_id", "evaluated", "trip_id IS NULL")
-    count("silver_yellow_trips_evaluated.accepted.rejection_reason", "evaluated", f"rejection_reason = {_quoted(SOURCE.no_movement)}")
-    count("silver_yellow_trips_rejected.not_null.rejection_reason", "evaluated", f"rejection_reason = {_quoted(SOURCE.over_24h)}")
-    for c in (
-        "trip_id pickup_datetime dropoff_datetime vendor_id rate_code_id pickup_location_id dropoff_location_id "
-        "payment_type_id total_amount has_reversal"
-    ).split():
-        count(f"{trips}.not_null.{c}", "broken", f"{c} IS NULL")
-    repeated(f"{trips}.unique.trip_id", "broken", "trip_id")
-    for c, parent in (
-        ("vendor_id", "SELECT vendor_key FROM vendors"), ("rate_code_id", "SELECT rate_code_key FROM rates"),
-        ("pickup_location_id", f"SELECT location_id FROM {zones}"), ("dropoff_location_id", f"SELECT location_id FROM {zones}"),
-        ("payment_type_id", "SELECT payment_type_key FROM payments"),
-    ):
-        count(f"{trips}.references.{c}", "broken", f"{c} IS NOT NULL AND {c} NOT IN ({parent})")
+def _gate_damaged() -> str:
+    """Every check of every layer, written out over the damaged tables."""
+    tables, lines = _damaged_tables(), []
+
+    def count(name: str, rows: str, where: str = "true") -> None:
+        lines.append(f"SELECT '{name}' AS \"check\", count(*) AS offenders FROM {rows} WHERE {where}")
+
+    for layer in declared().values():
+        for name, checks in layer.items():
+            for c in checks.not_null:
+                count(f"{name}.not_null.{c}", tables[name], f"{c} IS NULL")
+            for c, allowed in checks.accepted.items():
+                count(f"{name}.accepted.{c}", tables[name], f"{c} NOT IN ({', '.join(map(_quoted, allowed))})")
+            for c in checks.unique:
+                count(f"{name}.unique.{c}", f"(SELECT {c} FROM {tables[name]} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+            for c, (parent, key) in checks.references.items():
+                count(
+                    f"{name}.references.{c}", f"{tables[name]} c",
+                    f"c.{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {tables[parent]} p WHERE p.{key} = c.{c})",
+                )
     count("silver_rules", "broken", SILVER_RULE)
-    for c in "location_id borough zone_name service_zone".split():
-        count(f"silver_taxi_zones.not_null.{c}", zones, f"{c} IS NULL")
-    repeated("silver_taxi_zones.unique.location_id", zones, "location_id")
+    files = "(SELECT _source_file AS f, count(*) AS n FROM {} GROUP BY 1)"
+    count(
+        "raw_equals_bronze",
+        f"{files.format(tables['yellow_trips'])} r FULL JOIN {files.format(tables['bronze_yellow_trips'])} b ON r.f IS NOT DISTINCT FROM b.f",
+        "r.n IS DISTINCT FROM b.n",
+    )
+
+    def rows(name: str) -> str:
+        return f"(SELECT count(*) FROM {tables[name]})"
+
     count(
         "bronze_equals_silver_and_rejected", "(SELECT 1)",
-        "(SELECT count(*) FROM bronze) <> (SELECT count(*) FROM broken) + (SELECT count(*) FROM evaluated WHERE rejection_reason IS NOT NULL)",
+        f"{rows('bronze_yellow_trips')} <> {rows('silver_yellow_trips')} + {rows('silver_yellow_trips_rejected')}",
+    )
+    total = "(SELECT sum(total_amount) FROM {})"
+    count(
+        "silver_equals_gold", "(SELECT 1)",
+        f"{rows('silver_yellow_trips')} <> {rows('fct_trips')} OR {total.format('broken')} <> {total.format(tables['fct_trips'])}",
     )
     return " UNION ALL ".join(lines)
 
@@ -647,7 +699,8 @@ def statements() -> dict[str, str]:
             CAST(sum(total_amount) FILTER (WHERE NOT has_reversal) AS DECIMAL(28,2)) AS gold_total FROM fact
             HAVING count(*) <> count(*) FILTER (WHERE NOT has_reversal)"""),
         "quality_gate": chain("raw zones vendors rates payments evaluated silver szones fact dates times dzones", _gate()),
-        "quality_gate_damaged": chain("bronze vendors rates payments evaluated broken szones", _gate_damaged()),
+        "quality_gate_damaged": chain(
+            "raw zones bronze vendors rates payments evaluated broken bfact szones dates times dzones", _gate_damaged()),
         "profile_completeness": chain("bronze", _completeness()),
         "profile_categories": chain("bronze", _categories()),
         "profile_duplicates": chain("bronze", _duplicates()),

@@ -59,8 +59,8 @@ def load_zones(store: Store, request: Request) -> tuple:
     path = f"{request.landing.rstrip('/')}/{ZONE_FILE}"
     try:
         size = tables.file_bytes(store.spark, path)
-        store.write("taxi_zones", landing.read_zone_file(store.spark, path))
-        count = store.read("taxi_zones").count()
+        put(store, "taxi_zones", landing.read_zone_file(store.spark, path))
+        count = store.figures("taxi_zones")["rows"]
     except Exception as error:
         return _attempt(request, ZONE_FILE, None, W.FAILED, None, size, started, str(error))
     return _attempt(request, ZONE_FILE, None, W.LOADED, count, size, started, "ok")
@@ -105,8 +105,12 @@ def load_files(store: Store, request: Request, wanted: list, log: Log) -> None:
 
 
 def landing_figures() -> dict:
-    """Figures kept of every landed file: rows, newest load, and a fingerprint of its contents."""
-    return {**tables.marks(), **tables.content([*TRIP_COLUMNS])}
+    """Figures kept of every landed file: rows, offenders of row tests, newest load, a fingerprint of its contents."""
+    return {**quality.observed("yellow_trips"), **tables.marks(), **tables.content([*TRIP_COLUMNS])}
+
+
+def bronze_figures() -> dict:
+    return {**quality.observed("bronze_yellow_trips"), **tables.marks()}
 
 
 def _replaced(store, request: Request, wanted: list, paths: list[str], schemas: dict, started) -> list[tuple]:
@@ -176,14 +180,19 @@ def land(store: Store, request: Request) -> DataFrame:
 
 def check(store: Store, layer: str, words: W.Words = W.SOURCE) -> None:
     """Run a layer's checks, keep their result, and stop the run on any offender."""
-    results = quality.layer_results(layer, store.read, words).withColumn("layer", F.lit(layer))
+    results = quality.stored_results(layer, store, words).withColumn("layer", F.lit(layer))
     tables.replace_by_file(results.coalesce(1), store.path("check_results"), key="layer", names=[layer])
     quality.gate(layer, store.read("check_results").filter(F.col("layer") == layer))
 
 
+def put(store: Store, table: str, df: DataFrame, words: W.Words = W.SOURCE, partition_by: str | None = None) -> None:
+    """Write a table, and count the offenders of its row tests on the way."""
+    store.write(table, df, partition_by, quality.observed(table, words))
+
+
 def build_seeds(store: Store) -> None:
     for name in SEEDS:
-        store.write(name, landing.seed(store.spark, name))
+        put(store, name, landing.seed(store.spark, name))
 
 
 def _sized(store: Store):
@@ -195,11 +204,11 @@ def build_bronze(store: Store, full_refresh: bool = False) -> None:
         if full_refresh or not store.has("bronze_yellow_trips"):
             tables.overwrite(
                 bronze.bronze_trips(store.read("yellow_trips")), store.path("bronze_yellow_trips"),
-                partition_by="_source_file", figures=tables.marks(),
+                partition_by="_source_file", figures=bronze_figures(),
             )
         else:
             refresh_bronze_trips(store)
-        store.write("bronze_taxi_zones", bronze.bronze_zones(store.read("taxi_zones")))
+        put(store, "bronze_taxi_zones", bronze.bronze_zones(store.read("taxi_zones")))
 
 
 def refresh_bronze_trips(store: Store) -> None:
@@ -212,7 +221,7 @@ def refresh_bronze_trips(store: Store) -> None:
     names = [r["source_file"] for r in changed.collect()]  # one row per file
     if names:
         batch = store.read("yellow_trips").filter(F.col("_source_file").isin(names))
-        tables.replace_by_file(bronze.bronze_trips(batch), target, figures=tables.marks(), names=names)
+        tables.replace_by_file(bronze.bronze_trips(batch), target, figures=bronze_figures(), names=names)
 
 
 def build_silver(store: Store, words: W.Words = W.SOURCE) -> None:
@@ -221,14 +230,11 @@ def build_silver(store: Store, words: W.Words = W.SOURCE) -> None:
     scratch = scratch_path(store.spark, "silver")
     with _sized(store):
         judged = silver.evaluate(store.read("bronze_yellow_trips"), words, scratch)
-        store.write_evaluated(judged.select("*", now))
+        store.write_evaluated(judged.select("*", now), quality.observed("silver_yellow_trips_evaluated", words))
         tables.drop_folder(store.spark, scratch)
-        store.write(
-            "silver_yellow_trips",
-            silver.repaired(store.accepted()).select(*silver.SILVER_COLUMNS, "_silver_loaded_at"),
-            partition_by="_source_period",
-        )
-        store.write("silver_taxi_zones", silver.silver_zones(store.read("bronze_taxi_zones")))
+        clean = silver.repaired(store.accepted()).select(*silver.SILVER_COLUMNS, "_silver_loaded_at")
+        put(store, "silver_yellow_trips", clean, words, "_source_period")
+        put(store, "silver_taxi_zones", silver.silver_zones(store.read("bronze_taxi_zones")), words)
 
 
 def build_gold(store: Store, words: W.Words = W.SOURCE) -> None:
@@ -244,7 +250,7 @@ def build_gold(store: Store, words: W.Words = W.SOURCE) -> None:
     }
     with _sized(store):
         for name, model in models.items():
-            store.write(name, model(), "_source_period" if name == "fct_trips" else None)
+            put(store, name, model(), words, "_source_period" if name == "fct_trips" else None)
 
 
 def build(store: Store, words: W.Words = W.SOURCE, full_refresh: bool = False) -> None:

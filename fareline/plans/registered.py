@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from fareline.operators import bronze, gold, profile, quality, silver
 from fareline.plans import pipeline
 from fareline.session import prepare, scratch_path
 from fareline.sources import landing, ledger, tables
-from fareline.sources.store import REJECTED, Store
+from fareline.sources.store import EVALUATED, REJECTED, Store
 from fareline.streaming.bronze_stream import refresh_bronze
 
 TODAY = date(2001, 12, 15)
@@ -60,7 +61,7 @@ class Built:
         tables.overwrite(
             raw, self.store.path("yellow_trips"), partition_by="_source_file", figures=pipeline.landing_figures()
         )
-        self.store.write("taxi_zones", standin.raw_zones(self.spark, self.sf_dir))
+        pipeline.put(self.store, "taxi_zones", standin.raw_zones(self.spark, self.sf_dir))
 
     def raw(self) -> Store:
         self._once("raw", self._land)
@@ -371,7 +372,7 @@ def _stopped(spark, d) -> Store:
     store = _beside(spark, d, "refresh")
     tables.overwrite(
         _incremental(spark, d)[1], store.path("bronze_yellow_trips"), partition_by="_source_file",
-        figures=tables.marks(),
+        figures=pipeline.bronze_figures(),
     )
     return store
 
@@ -722,31 +723,84 @@ def reconcile_silver_gold(spark, d):
 @query
 def quality_gate(spark, d):
     """Every check of every layer with its number of offenders."""
-    read = _gold(spark, d).read
-    out = None
-    for layer in ("raw", "bronze", "silver", "gold"):
-        part = quality.layer_results(layer, read)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return _gate(_gold(spark, d))
+
+
+def _gate(store: Store) -> DataFrame:
+    return reduce(
+        DataFrame.unionByName, [quality.stored_results(layer, store) for layer in ("raw", "bronze", "silver", "gold")]
+    )
+
+
+def _damaged(spark, d) -> Store:
+    """A store in which every kind of check of every layer has offenders, written as the job writes it."""
+    good, store = layers(spark, d).gold(), Store(spark, scratch_path(spark, "damaged"))
+    zone = F.col("pulocationid")
+
+    def unless(condition, column):
+        return F.when(~condition, F.col(column)).alias(column)
+
+    def repeated(rows: DataFrame, condition) -> DataFrame:
+        return rows.unionByName(rows.filter(condition))
+
+    raw = good.read("yellow_trips").withColumns(
+        {"_loaded_at": unless(zone % 50 == 7, "_loaded_at"), "_source_file": unless(zone % 61 == 5, "_source_file")}
+    )
+    tables.overwrite(raw, store.path("yellow_trips"), "_source_file", pipeline.landing_figures())
+    for name in ("taxi_zones", "bronze_taxi_zones"):
+        zones = repeated(good.read(name), "locationid % 40 = 1")
+        pipeline.put(store, name, zones.withColumn("locationid", unless(F.col("locationid") % 53 == 0, "locationid")))
+    for name, key, label in (
+        ("ref_vendors", "vendor_id", "vendor_name"), ("ref_rate_codes", "rate_code_id", "rate_code_name"),
+        ("ref_payment_types", "payment_type_id", "payment_type_name"),
+    ):
+        codes = repeated(good.read(name), F.col(key) == 1)
+        pipeline.put(store, name, codes.withColumn(label, unless(F.col(key) == 2, label)).withColumn(key, unless(F.col(key) == 6, key)))
+    kept = good.read("bronze_yellow_trips").filter((F.col("vendorid") != 7) | (F.year("_source_period") != 1996))
+    kept = kept.withColumns(
+        {
+            "_source_period": unless(zone % 50 == 7, "_source_period"),
+            "_bronze_loaded_at": unless(zone % 61 == 5, "_bronze_loaded_at"),
+        }
+    )
+    tables.overwrite(kept, store.path("bronze_yellow_trips"), "_source_file", pipeline.bronze_figures())
+
+    reason = F.col("rejection_reason")
+    judged = good.read(EVALUATED).withColumns(
+        {
+            "rejection_reason": F.when(reason == W.SOURCE.no_movement, "unheard of").otherwise(reason),
+            "trip_id": unless(F.col("pickup_location_id") % 47 == 3, "trip_id"),
+        }
+    )
+    store.write_evaluated(judged, quality.observed(EVALUATED))
+    trips = _broken(spark, d)
+    pipeline.put(store, "silver_yellow_trips", trips, partition_by="_source_period")
+    places = repeated(standin.partial_zones(good.read("silver_taxi_zones"), "location_id"), "location_id % 40 = 1")
+    pipeline.put(store, "silver_taxi_zones", places.withColumn("borough", unless(F.col("location_id") % 45 == 2, "borough")))
+
+    at = F.col("pickup_zone_key")
+    fact = gold.fact_trips(trips).withColumns(
+        {
+            "pickup_time_key": F.when(at % 90 == 11, 77).otherwise(F.col("pickup_time_key")),
+            "dropoff_date_key": unless(at % 71 == 4, "dropoff_date_key"),
+            "total_amount": unless(at % 67 == 6, "total_amount"),
+        }
+    )
+    pipeline.put(store, "fct_trips", fact, partition_by="_source_period")
+    for name, key, also in (
+        ("dim_date", "date_key", "full_date"), ("dim_time", "time_key", "day_period"), ("dim_zone", "zone_key", "borough"),
+        ("dim_vendor", "vendor_key", None), ("dim_rate_code", "rate_code_key", None), ("dim_payment_type", "payment_type_key", None),
+    ):
+        rows = repeated(good.read(name), F.col(key) % 40 == 1)
+        rows = rows.withColumn(also, unless(F.col(key) % 31 == 3, also)) if also else rows
+        pipeline.put(store, name, rows.withColumn(key, unless(F.col(key) % 53 == 5, key)))
+    return store
 
 
 @query
 def quality_gate_damaged(spark, d):
-    """The silver checks over tables in which every kind of check has offenders."""
-    store = layers(spark, d).silver()
-    zones = standin.partial_zones(store.read("silver_taxi_zones"), "location_id")
-    reason = F.col("rejection_reason")
-    damaged = {
-        "silver_yellow_trips": _broken(spark, d),
-        "silver_taxi_zones": zones.unionByName(zones.filter("location_id % 40 = 1")),
-        "silver_yellow_trips_evaluated": store.read("silver_yellow_trips_evaluated").withColumn(
-            "rejection_reason", F.when(reason == W.SOURCE.no_movement, "unheard of").otherwise(reason)
-        ),
-        REJECTED: store.read(REJECTED).withColumn(
-            "rejection_reason", F.when(reason != W.SOURCE.over_24h, reason)
-        ),
-    }
-    return quality.layer_results("silver", lambda name: damaged[name] if name in damaged else store.read(name))
+    """Every check over tables in which every kind of check has offenders."""
+    return _gate(_damaged(spark, d))
 
 
 # --- Profiles --------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareline.schemas import CHECK_RESULTS, LEDGER, RAW_TRIPS, TABLES, Layout
@@ -46,10 +46,21 @@ class Store:
             return tables.read(self.spark, self.path(table), {**GROWING, **LOGS}[table])
         return tables.read(self.spark, self.path(table))
 
-    def write(self, table: str, df: DataFrame, partition_by: str | None = None) -> None:
-        tables.overwrite(df, self.path(table), partition_by)
+    def write(
+        self, table: str, df: DataFrame, partition_by: str | None = None, observed: dict[str, Column] | None = None
+    ) -> None:
+        tables.overwrite(df, self.path(table), partition_by, observed=observed)
 
-    def write_evaluated(self, evaluated: DataFrame) -> None:
+    def figures(self, table: str) -> dict:
+        """What was counted when the table was written."""
+        return tables.figures(self.spark, self.path(EVALUATED if table == REJECTED else table))
+
+    def part_rows(self, table: str) -> dict[str, int]:
+        """Rows of every file of a table that is kept by file."""
+        found = tables.current(self.spark, self.path(table))
+        return {part.value: part.figures["rows"] for part in found.parts} if found else {}
+
+    def write_evaluated(self, evaluated: DataFrame, observed: dict[str, Column] | None = None) -> None:
         """Valid and rejected rows, and those of different months, go to different partitions.
 
         Each reader opens only its own. The rows of a month are brought together first, so that
@@ -60,6 +71,7 @@ class Store:
             .hint("rebalance", "_rejected", "_source_period"),
             self.path(EVALUATED),
             partition_by=["_rejected", "_source_period"],
+            observed=observed,
         )
 
     def accepted(self) -> DataFrame:

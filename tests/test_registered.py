@@ -8,6 +8,7 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as contract
+from fareline.operators import quality
 from fareline.plans import oracle, registered
 
 CHECKED = [
@@ -53,3 +54,29 @@ def test_query_equals_its_twin(spark, duck, name):
 
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
+
+
+@pytest.fixture(scope="module")
+def damaged(spark):
+    return registered._damaged(spark, SF)
+
+
+@pytest.mark.parametrize("layer", ["raw", "bronze", "silver", "gold"])
+def test_checks_counted_while_writing_equal_checks_that_read(spark, damaged, layer):
+    counted, read = quality.stored_results(layer, damaged), quality.layer_results(layer, damaged.read)
+    assert counted.exceptAll(read).isEmpty() and read.exceptAll(counted).isEmpty()
+    kinds = {r["check"].split(".")[1] if "." in r["check"] else r["check"] for r in counted.filter("offenders > 0").collect()}
+    declared = {r["check"].split(".")[1] if "." in r["check"] else r["check"] for r in counted.collect()}
+    assert kinds == declared  # every kind of check has found offenders
+
+
+def test_row_tests_counts_and_totals_scan_nothing(spark, damaged):
+    """What is left to read are the keys and the references, once each."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # whole paths in plans
+    for layer, table, scans in (
+        ("raw", "yellow_trips", 0), ("bronze", "bronze_yellow_trips", 0), ("silver", "silver_yellow_trips_evaluated", 0),
+        ("silver", "silver_yellow_trips", 2), ("gold", "fct_trips", 2),
+    ):
+        plan = quality.stored_results(layer, damaged)._jdf.queryExecution().executedPlan()
+        assert plan.toString().count(f"/{table}/data") == scans, (layer, table)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
