@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline import words as W
@@ -83,38 +83,38 @@ def categories(bronze: DataFrame) -> DataFrame:
 def duplicates(bronze: DataFrame, words: W.Words = W.SOURCE) -> DataFrame:
     """Repeated rows, repeated trip keys, and keys repeated in several files.
 
-    Files per key come from a second, smaller grouping instead of a distinct count.
+    Rows are counted per value of all columns; these groups are rolled up to trip keys, and those to
+    totals: one scan, each step combined on the map side, so neither copies of one row nor the
+    rows of one key (or without a key) meet in a task. Whether a key is in several files is told by the least
+    and the greatest hash of its files.
     """
     exact, by_key, across = words.duplicate_kinds
-    whole = bronze.groupBy(*TRIP_COLUMNS).agg(F.count("*").alias("n"))
-    keys = (
-        bronze.groupBy(*KEY, "_source_file").agg(F.count("*").alias("m"))
-        .groupBy(*KEY).agg(F.sum("m").alias("n"), F.count("_source_file").alias("files"))
+    file = F.xxhash64("_source_file")
+    same = bronze.groupBy(*TRIP_COLUMNS).agg(
+        F.count("*").alias("n"), F.min(file).alias("first"), F.max(file).alias("last")
     )
+    surplus = F.col("n") - 1
+    keys = same.groupBy(*KEY).agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.count_if(surplus > 0).alias("exact_groups"), F.sum(surplus).alias("exact_surplus"),
+    )
+    several = (surplus > 0) & (F.col("first") != F.col("last"))
 
-    def summary(groups: DataFrame, kind: str) -> DataFrame:
-        return groups.agg(
-            F.lit(kind).alias("kind"),
-            F.count("*").alias("groups"),
-            F.sum(F.col("n") - 1).alias("surplus_rows"),
+    def kind(name: str, groups: Column, rows: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("kind"), F.coalesce(groups, F.lit(0)).cast("bigint").alias("groups"), rows.alias("surplus_rows")
         )
 
-    repeated = keys.filter("n > 1")
-    several = F.col("files") > 1
-    # Both key figures come out of one pass over the groups.
-    key_rows = repeated.agg(
-        F.count("*").alias("g1"), F.sum(F.col("n") - 1).alias("s1"),
-        F.count_if(several).alias("g2"),
-        F.sum(F.when(several, F.col("n") - 1).otherwise(0)).alias("s2"),
-    ).select(
-        F.inline(
-            F.array(
-                F.struct(F.lit(by_key).alias("kind"), F.col("g1").alias("groups"), F.col("s1").alias("surplus_rows")),
-                F.struct(F.lit(across).alias("kind"), F.col("g2").alias("groups"), F.col("s2").alias("surplus_rows")),
-            )
-        )
+    # A kind without any group has no surplus at all, rather than one of 0.
+    def over(condition: Column) -> Column:
+        return F.sum(F.when(condition, surplus))
+
+    totals = keys.agg(
+        kind(exact, F.sum("exact_groups"), F.sum(F.when(F.col("exact_groups") > 0, F.col("exact_surplus")))).alias("a"),
+        kind(by_key, F.count_if(surplus > 0), over(surplus > 0)).alias("b"),
+        kind(across, F.count_if(several), F.when(F.count_if(surplus > 0) > 0, F.coalesce(over(several), F.lit(0)))).alias("c"),
     )
-    return summary(whole.filter("n > 1"), exact).unionByName(key_rows)
+    return totals.select(F.inline(F.array("a", "b", "c")))
 
 
 def orphan_zones(bronze: DataFrame, zones: DataFrame) -> DataFrame:

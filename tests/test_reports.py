@@ -1,5 +1,6 @@
 """Gold, checks, profiles and the grouped median."""
 
+import math
 import random
 import statistics
 from collections import defaultdict
@@ -12,7 +13,7 @@ from helpers import GOOD, bronze, rows
 from pyspark.sql import functions as F
 
 from fareline import session, standin
-from fareline.functions.medians import grouped_median
+from fareline.functions.medians import digits, grouped_median
 from fareline.operators import bronze as bronze_layer
 from fareline.operators import gold, profile, quality, silver
 from fareline.sources import tables
@@ -119,6 +120,40 @@ def test_ratios_use_rows_where_both_parts_are_known(spark):
     assert (row.miles_per_hour, row.tip_percent, row.mean_amount) == (Decimal("15.0000"), Decimal("20.0000"), Decimal("14.0000"))
 
 
+def test_digits_order_values_as_the_values_do(spark):
+    rng = random.Random(9)
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, -1.7976931348623157e308]
+    values += [float("inf"), -float("inf")] + [s * 2.0**k for s in (1, -1) for k in range(-1074, 1024, 3)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", F.array(*digits(F.col("v"))).alias("d"))
+    ordered = [tuple(r.d) for r in sorted(df.collect(), key=lambda r: r.v)]
+    assert ordered == sorted(ordered)
+
+
+def test_median_of_a_million_values_of_any_size(spark):
+    n = 1_000_000
+    place = F.pmod(F.col("id") * 7919, F.lit(n))  # each once
+    size = F.pow(F.lit(10.0), place.cast("double") / n * 600 - 300)
+    data = spark.range(0, n, 1, 8).select(
+        F.when(place % 4 == 0, -size).otherwise(size).alias("v"), F.lit(1).alias("n"), F.lit("a").alias("k")
+    )
+    data = data.unionByName(spark.createDataFrame([(-1e300, 1, "b"), (1e300, 1, "b"), (7.5, 2, "c"), (None, 5, "c")], "v double, n int, k string"))
+    counted = data.groupBy("k", "v").agg(F.sum("n").alias("n"))
+    got = {r.k: r["median"] for r in grouped_median(counted, ["k"], "v", "n", exact=None).collect()}
+    expected = sorted((-1 if i % 4 == 0 else 1) * 10.0 ** (i / n * 600 - 300) for i in range(n))
+    assert len(set(expected)) == n
+    assert got["a"] == pytest.approx((expected[n // 2 - 1] + expected[n // 2]) / 2, rel=1e-9)
+    assert got["b"] == 0.0 and got["c"] == 7.5
+
+
+def test_duplicates_take_one_scan(spark):
+    rows_ = bronze(spark, *[{}] * 3, {"_source_file": "yellow_tripdata_2025-02.parquet"}, {"tip_amount": 9.0}, {"VendorID": None}, {"VendorID": None, "extra": 1.0})
+    assert [tuple(r)[1:] for r in profile.duplicates(rows_).collect()] == [(1, 3), (2, 5), (1, 4)]
+    plan = profile.duplicates(rows_)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1
+    assert [tuple(r)[1:] for r in profile.duplicates(rows_.limit(1)).collect()] == [(0, None), (0, None), (0, None)]
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_grouped_median_against_brute_force(spark, seed):
     rng = random.Random(seed)
