@@ -86,27 +86,17 @@ def gather(store: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return store[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)]
 
 
-class PieceCache:
-    """Ids of text pieces, kept per Python worker; at `limit` pieces it starts afresh.
-
-    `encode_many` maps a list of distinct pieces to a list of id lists.
-    """
+class _Pieces:
+    """Ids of pieces, one after another, and where those of each piece are."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list], limit: int = 400_000):
-        self.encode_many, self.limit = encode_many, limit
-        self.clear()
-
-    def clear(self) -> None:
+    def __init__(self):
         self.row: dict[str, int] = {}
         self.ids = np.empty(1 << 16, np.int32)
         self.starts = np.empty(1 << 14, np.int64)
         self.lengths = np.empty(1 << 14, np.int64)
         self.used = 0
 
-    def _append(self, pieces: list[str]) -> None:
-        encoded = self.encode_many(pieces)
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.int32, int(lengths.sum()))
+    def add(self, pieces: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         first, last = len(self.row), len(self.row) + len(pieces)
         self.ids = _grown(self.ids, self.used + len(flat))
         self.starts, self.lengths = _grown(self.starts, last), _grown(self.lengths, last)
@@ -116,19 +106,48 @@ class PieceCache:
         self.used += len(flat)
         self.row.update(zip(pieces, range(first, last)))
 
+    def get(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.fromiter(map(self.row.__getitem__, pieces), np.int64, len(pieces))
+        lengths = self.lengths[rows]
+        return gather(self.ids, self.starts[rows], lengths), lengths
+
+
+class PieceCache:
+    """Ids of text pieces, kept per Python worker in two generations of `limit` / 2 pieces.
+
+    Pieces are found in the young generation, or move there from the old one. When the young one
+    is full it becomes the old one, and what has not been used since goes.
+    `encode_many` takes a list of distinct pieces and returns them in any order, with all their
+    ids in that order and the number of ids of each.
+    """
+
+    def __init__(
+        self, encode_many: Callable[[list[str]], tuple[list[str], np.ndarray, np.ndarray]], limit: int = 520_000
+    ):
+        self.encode_many, self.limit = encode_many, limit
+        self.young, self.old = _Pieces(), _Pieces()
+
     def __call__(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each piece."""
         if not pieces:
             return np.empty(0, np.int32), np.empty(0, np.int64)
-        fresh = set(pieces).difference(self.row)
-        if fresh and len(self.row) + len(fresh) > self.limit:
-            self.clear()
-            fresh = set(pieces)
-        if fresh:
-            self._append(list(fresh))
-        rows = np.fromiter(map(self.row.__getitem__, pieces), np.int64, len(pieces))
-        lengths = self.lengths[rows]
-        return gather(self.ids, self.starts[rows], lengths), lengths
+        missing = set(pieces).difference(self.young.row)
+        if missing and len(self.young.row) + len(missing) > self.limit // 2:
+            self.young, self.old = _Pieces(), self.young
+            missing = set(pieces)
+        known = [p for p in missing if p in self.old.row]
+        if known:
+            self.young.add(known, *self.old.get(known))
+            missing.difference_update(known)
+        if missing:
+            self.young.add(*self.encode_many(list(missing)))
+        return self.young.get(pieces)
+
+
+def flattened(pieces: list[str], encoded: list[list[int]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Id lists of pieces as `PieceCache` takes them."""
+    lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+    return pieces, np.fromiter((i for ids in encoded for i in ids), np.int32, int(lengths.sum())), lengths
 
 
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
@@ -160,6 +179,63 @@ def encode_texts(
         yield [o[0] if len(o) == 1 else np.concatenate(o) if o else ids[:0] for o in out]
 
 
+def encode_words(
+    texts: pa.Array, whole: bytes, joints: Callable[[np.ndarray], np.ndarray], cache: PieceCache
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For bounded slices of texts: where the slice begins, all its ids, and the number of ids of each text.
+
+    Words are found in the bytes, cut where `joints` marks a byte that begins another piece, and told apart by Arrow;
+    only the distinct pieces of a slice are looked up. A-Z is lower-cased. In texts that hold
+    the bytes `whole` nothing is lower-cased or cut.
+    """
+    for begin, end in text_slices(texts, SLICE_BYTES // 2):
+        data, edges = text_bytes(texts.slice(begin, end - begin))
+        folded, cuts = LOWER[data], joints(data)
+        for k in _holding(data, edges, whole):
+            folded[edges[k] : edges[k + 1]] = data[edges[k] : edges[k + 1]]
+            cuts[edges[k] : edges[k + 1]] = False
+        sizes, found, at = np.zeros(end - begin, np.int64), [], 0
+        while at < len(folded):
+            # Very long texts in parts that end with white space.
+            stop = min(at + 2 * SLICE_BYTES, len(folded))
+            if stop < len(folded):
+                spaces = np.flatnonzero(_SPACES[folded[at:stop]])
+                stop = at + int(spaces[-1]) + 1 if len(spaces) else len(folded)
+            part = folded[at:stop]
+            first, last = np.searchsorted(edges, [at, stop], "left")
+            starts, ends = word_places(part, edges[first:last] - at)
+            inside = cuts[at:stop].copy()
+            inside[starts] = False  # a text begins there
+            extra = np.flatnonzero(inside)
+            starts, ends = _merged(starts, extra, len(part)), _merged(ends, extra, len(part))
+            offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+            packed = gather(part, starts, ends - starts)
+            words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(packed)).dictionary_encode()
+            ids, lengths = cache(words.dictionary.to_pylist())
+            which = words.indices.to_numpy()
+            found.append(gather(ids, (np.cumsum(lengths) - lengths)[which], lengths[which]))
+            owner = np.searchsorted(edges, starts + at, "right") - 1
+            sizes += np.bincount(owner, lengths[which], minlength=end - begin + 1)[: end - begin].astype(np.int64)
+            at = stop
+        yield begin, np.concatenate(found) if found else np.empty(0, np.int32), sizes
+
+
+def _merged(places: np.ndarray, more: np.ndarray, size: int) -> np.ndarray:
+    """Both lists of places up to `size`, in order."""
+    mark = np.zeros(size + 1, bool)
+    mark[places] = True
+    mark[more] = True
+    return np.flatnonzero(mark)
+
+
+def _holding(data: np.ndarray, edges: np.ndarray, mark: bytes) -> list[int]:
+    """The texts that hold the bytes of `mark`."""
+    hit = np.ones(max(0, len(data) - len(mark) + 1), bool)
+    for k, byte in enumerate(mark):
+        hit &= data[k : k + len(hit)] == byte
+    return np.unique(np.searchsorted(edges, np.flatnonzero(hit), "right") - 1).tolist()
+
+
 def strings(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 

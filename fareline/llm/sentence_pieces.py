@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fareline.llm.common import (
-    PieceCache, bounded_batches, encode_texts, strings, table, text_or_empty,
+    PieceCache, bounded_batches, encode_texts, flattened, strings, table, text_or_empty,
 )
 
 MARK = "▁"
@@ -80,7 +80,7 @@ class Model:
         stop = re.escape(alone)
         self.chunks = re.compile(f"[{stop}]|{MARK}*[^{MARK}{stop}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.cut_at = re.compile(f"(?<=[^{MARK}]){MARK}")
-        self.cache = PieceCache(self.encode_chunks)
+        self.cache = PieceCache(lambda chunks: flattened(chunks, self.encode_chunks(chunks)))
 
     def symbols(self, chunk: str) -> list[int]:
         """One number per character: its piece id, or size + code point."""

@@ -9,7 +9,9 @@ ids before a file are summed from `part` and `n_tokens` alone, without reading a
 
 Texts are cut at ASCII white space, which the tokenizer drops, and A-Z is lower-cased, as the
 tokenizer does itself (not where a text may hold a special token, which is matched before);
-every distinct word is then encoded once per worker and looked up for whole batches.
+so are words before punctuation behind a letter, where the tokenizer's own parts end. Distinct
+pieces are kept per worker and looked up for whole batches. New ones are encoded many at a time: those
+of plain small letters joined by spaces and told apart by their word ends, all others one by one.
 
 Defined results: a null text is empty and has the end id only; null ids come first; rows with
 the same id are ordered by a hash of the text; rows equal in both are interchangeable. An
@@ -18,21 +20,19 @@ empty table gives an empty dataset.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
-from fareline.llm.common import (
-    PieceCache, ascii_lower, bounded_batches, encode_texts, strings, table, text_or_empty,
-)
+from fareline.llm.common import PieceCache, bounded_batches, encode_words, flattened, table, text_or_empty
 from fareline.session import scratch_path
 
 END_ID = 1
@@ -45,23 +45,76 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 SCHEMA = "part int, doc_id long, token_offset long, n_tokens int, ids array<int>"
-_WORDS = re.compile(r"[^\t-\r ]+")
-_SPACE = re.compile(r"[\t-\r ]")
+MARK = "<|"  # special tokens begin with it
+# Pieces that are one part before merging: small letters that no normalisation changes.
+_PLAIN = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"
+_LETTERS, _STOPS = np.zeros(256, bool), np.zeros(256, bool)
+_LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_STOPS[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+WORD_END = "</w>"
+JOINED = 2_000
 _caches: dict[int, PieceCache] = {}
 
 
-def _cache(definition: str) -> PieceCache:
-    """The worker's cache for a tokenizer definition; it outlives the task."""
-    key = hash(definition)
-    if key not in _caches:
+class Words:
+    """Ids of many words from few calls of the tokenizer."""
+
+    def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(definition)
+        self.library = Tokenizer.from_str(definition)
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and numbers of ids of plain words joined by spaces; each has one word end. None if not."""
+        ids = np.array(self._encoded([" ".join(words)])[0], np.int32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return None
+        return ids, np.diff(ends, prepend=0)
+
+    def __call__(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        plain = pc.match_substring_regex(pa.array(words, pa.string()), _PLAIN).to_numpy(zero_copy_only=False)
+        order, found, rest = [], [], np.flatnonzero(~plain).tolist()
+        places = np.flatnonzero(plain)
+        for begin in range(0, len(places), JOINED):
+            here = places[begin : begin + JOINED].tolist()
+            some = [words[k] for k in here]
+            ids = self.together(some)
+            if ids is None:
+                rest += here
+            else:
+                order += some
+                found.append(ids)
+        others = [words[k] for k in rest]
+        _, flat, lengths = flattened(others, self._encoded(others))
+        found.append((flat, lengths))
+        return order + others, np.concatenate([f for f, _ in found]), np.concatenate([n for _, n in found])
+
+
+def stops_after_letters(data: np.ndarray) -> np.ndarray:
+    """Bytes that are ASCII punctuation right behind a letter: the tokenizer's parts end there.
+
+    Letters are those of ASCII, and of Latin-1 in two bytes (0xC3 and another, but for the two signs).
+    """
+    letter = _LETTERS[data]
+    signs = (data == 0x97) | (data == 0xB7)
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & ~signs[1:]
+    out = np.zeros(len(data), bool)
+    out[1:] = letter[:-1] & _STOPS[data[1:]]
+    return out
 
-        def encode_many(words: list[str]) -> list[list[int]]:
-            return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-        _caches[key] = PieceCache(encode_many)
+def _cache(definition: str) -> PieceCache:
+    """The worker's cache for a tokenizer definition; it outlives the task."""
+    key = hash(definition)
+    if key not in _caches:
+        _caches[key] = PieceCache(Words(definition))
     return _caches[key]
 
 
@@ -75,25 +128,21 @@ def encode(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> DataFr
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         cache, part, offset = _cache(definition.value), TaskContext.get().partitionId(), 0
-        tail = np.array([end_id], np.int32)
         for batch in batches:
-            at = 0
-            texts = [t if "<|" in t else ascii_lower([t])[0] for t in strings(batch.column(1))]
-            for ids in encode_texts(texts, _WORDS, _SPACE, cache):
-                flat = np.concatenate([x for own in ids for x in (own, tail)])
-                lengths = np.fromiter((len(own) + 1 for own in ids), np.int64, len(ids))
+            for at, ids, sizes in encode_words(batch.column(1), MARK.encode(), stops_after_letters, cache):
+                flat = np.insert(ids, np.cumsum(sizes), end_id)
+                lengths = sizes + 1
                 ends = np.cumsum(lengths)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(ids), part, np.int32)),
-                        batch.column(0).slice(at, len(ids)),
+                        pa.array(np.full(len(lengths), part, np.int32)),
+                        batch.column(0).slice(at, len(lengths)),
                         pa.array(offset + ends - lengths),
                         pa.array(lengths.astype(np.int32)),
                         pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), flat),
                     ],
                     names=["part", "doc_id", "token_offset", "n_tokens", "ids"],
                 )
-                at += len(ids)
                 offset += int(ends[-1])
 
     return docs.mapInArrow(run, SCHEMA)
