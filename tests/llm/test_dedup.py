@@ -7,6 +7,7 @@ import random
 import numpy as np
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 from fareline.llm import embedding_dedup, exact_dedup, jaccard_join, substring_dedup
 
@@ -259,6 +260,46 @@ def test_vectors_recall_and_components(spark, monkeypatch, block):
     assert total > 1000 and sum(f[1] for f in found.values()) >= 0.99 * total
 
 
+@pytest.mark.parametrize("dimension", [1, 2, 3, 8, 64])
+def test_recall_whatever_dimensions_the_vectors_fill(spark, dimension):
+    """Vectors of 64 numbers that fill some dimensions only, half of them in pairs near the threshold."""
+    rng = np.random.default_rng(dimension)
+    inside = embedding_dedup.unit(rng.normal(size=(400, dimension)))
+    noise = rng.normal(size=inside.shape)
+    noise -= (noise * inside).sum(axis=1, keepdims=True) * inside
+    near = 0.953 * inside + np.sqrt(1 - 0.953**2) * noise / np.maximum(np.linalg.norm(noise, axis=1, keepdims=True), 1e-9)
+    turned = np.linalg.qr(rng.normal(size=(64, 64)))[0][:dimension]
+    data = np.concatenate([inside, near]) @ turned
+    rows = [(i, v.tolist()) for i, v in enumerate(data)]
+    expected = {r[0]: r for r in plain_links(rows)}
+    found = {r.id: (r.id, r.n_links, r.component_id) for r in embedding_dedup.near_vectors(vectors(spark, rows)).collect()}
+    total = sum(e[1] for e in expected.values())
+    assert all(found[i][1] <= expected[i][1] for i in expected)
+    assert total >= 790 and sum(f[1] for f in found.values()) >= 0.97 * total
+
+
+def test_short_vectors_without_a_place_in_the_sample(spark, monkeypatch):
+    """Their reference points are random, but not closer together than vectors that link."""
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", 0)
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 2)))]
+    expected = plain_links(rows)
+    found = embedding_dedup.near_vectors(vectors(spark, rows)).collect()
+    assert plain.sorted_rows((r.id, r.n_links, r.component_id) for r in found) == plain.sorted_rows(expected)
+
+
+def test_vectors_with_clashing_columns_and_long_vectors(spark):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(6, 20_000))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, base + 0.01 * rng.normal(size=base.shape)]))]
+    names = ["node", "low", "weight", "hash", "list", "block", "with", "side", "pivots", "vector", "id", "n_links"]
+    extra = vectors(spark, rows)
+    for name in names:
+        extra = extra.withColumn(name, F.lit("x"))
+    found = embedding_dedup.near_vectors(extra).collect()
+    assert plain.sorted_rows((r.id, r.n_links, r.component_id) for r in found) == plain.sorted_rows(plain_links(rows))
+
+
 def test_pairs_at_the_threshold_share_pivots():
     rng = np.random.default_rng(11)
     a = embedding_dedup.unit(rng.normal(size=(2000, 64)))
