@@ -19,6 +19,7 @@ from fareline.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 32 << 20
 SLICE_CHARS = 2_000_000
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a step to the shared folder and read it back: later jobs survive lost executors."""
+    """Write a step to the shared folder and read it back: later jobs survive lost executors.
+
+    What the step has shuffled is not needed once it is written; Spark is told to drop such files
+    when a query ends, not when the driver happens to collect its garbage.
+    """
     path = scratch_path(df.sparkSession, name)
+    df.sparkSession.conf.set(DROP_SHUFFLES, "true")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -329,10 +330,28 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
 
     Rows come sorted by token and component. Rows of short entries are compared with the rows a
     fixed number of places on, for all entries of a batch together; in long ones every row is
-    compared with those of earlier components.
+    compared with those of earlier components. Sketches come with the rows, so pairs they rule
+    out are never put out.
     """
     near = 1 - percent / 100 + 1e-9
 
+    def sketched(whole: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Pairs that share enough of their sketches; rows without one may share anything."""
+        keep = np.ones(len(i), bool)
+        sketches = whole.column(7)
+        known = pc.binary_length(sketches).to_numpy() == PARTS
+        both = np.flatnonzero(known[i] & known[j])
+        for begin in range(0, len(both), 4096):
+            at = both[begin : begin + 4096]
+            x, y = (
+                np.frombuffer(b"".join(sketches.take(pa.array(side[at])).to_pylist()), np.uint8).reshape(-1, PARTS)
+                for side in (i, j)
+            )
+            common = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            sizes = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
+            keep[at] = common * (100 + percent) >= sizes * percent
+        return keep
+
     def possible(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
         _, _, n, place, _, low, high = rows
         smaller, larger = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
@@ -364,7 +383,14 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
                 if len(i):
                     found.append((i, np.full(len(i), begin + k)))
         if found:
-            a, b = (key[np.concatenate(f)] for f in zip(*found))
+            i, j = (np.concatenate(f) for f in zip(*found))
+            # A pair may meet under many entries of the batch: it is looked at once.
+            _, once = np.unique(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])]), axis=1, return_index=True)
+            i, j = i[once], j[once]
+            keep = sketched(whole, i, j)
+            if not keep.any():
+                return
+            a, b = key[i[keep]], key[j[keep]]
             names = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(names[0]), pa.array(names[1])], names=["a", "b"])
 
@@ -385,35 +411,13 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from pairs(held)
 
-    ordered = groups.select("token", "key", "n", "place", "component", "low", "high")
+    ordered = groups.select("token", "key", "n", "place", "component", "low", "high", "sketch")
     return (
         ordered.repartition("token").sortWithinPartitions("token", "component")
         .mapInArrow(run, "a long, b long").distinct()
     )
 
 
-def _by_sketch(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that their sketches leave possible."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for k, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                if x and y:
-                    common, both = most_shared(x, y)
-                    if common * (100 + percent) < both * percent:
-                        continue
-                keep.append(k)
-            if keep:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).take(pa.array(keep, pa.int64())) for c in (0, 1)], names=["a", "b"]
-                )
-
-    left = sketches.select(F.col("key").alias("a"), F.col("sketch").alias("left"))
-    right = sketches.select(F.col("key").alias("b"), F.col("sketch").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
-
-
 def _frequent(scan: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles in ascending order, and the rank of each by its count."""
     least = max(LEAST_FREQUENT, int(FREQUENT * total))
@@ -520,13 +524,13 @@ def near_duplicates(
         F.coalesce("distance", F.lit(1 - percent / 100)).alias("low"),
         F.coalesce("distance", F.lit(1.0)).alias("high"),
     )
-    between = _between(measured, percent).join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    measured = stored(measured, "measured")
+    some = stored(measured.select("key").distinct(), "measured-keys")
     sketches = stored(
-        members.select("k1", "k2", "sketch").join(small_side(wanted), ["k1", "k2"])
-        .select("key", "sketch").dropDuplicates(["key"]),
-        "sketches",
+        members.select("key", "sketch").join(small_side(some), "key", "left_semi").dropDuplicates(["key"]), "sketches"
     )
-    between = stored(_by_sketch(stored(between, "between"), sketches, percent).distinct(), "between-possible")
+    between = _between(measured.join(small_side(sketches), "key", "left"), percent)
+    between = stored(between.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "between")
     if not between.isEmpty():
         links = links.union(_compared(between, texts, words).filter(similar).select("a", "b"))
         labels = components(links, "links")
