@@ -56,6 +56,8 @@ FREQUENT = 5e-7
 LEAST_FREQUENT = 16
 CHUNK = 8_000_000
 SMALL_GROUP = 64
+GROUP_ROWS = 16_384
+MOST_PAIRS = 2_000_000
 PARTS = 256
 
 
@@ -328,10 +330,12 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 def _between(groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components under one entry that the pivot's distances leave possible.
 
-    Rows come sorted by token and component. Rows of short entries are compared with the rows a
-    fixed number of places on, for all entries of a batch together; in long ones every row is
-    compared with those of earlier components. Sketches come with the rows, so pairs they rule
-    out are never put out.
+    Sets that share one entry share many, and these mostly have the same pivot. So entries are
+    brought together by pivot, a pivot's entries dealt into parts of some `GROUP_ROWS` rows, and
+    a pair is put out once for all entries of a part. Rows come sorted by part, token and
+    component. Rows of short entries are compared with the rows a fixed number of places on, for
+    all entries of a batch together; in long ones every row is compared with those of earlier
+    components. Sketches come with the rows, so pairs they rule out are never put out.
     """
     near = 1 - percent / 100 + 1e-9
 
@@ -368,12 +372,22 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
         starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         sizes = np.diff(np.append(starts, len(token)))
         short = np.repeat(sizes <= SMALL_GROUP, sizes)
-        found = []
+        found, kept = [], []
+
+        def settle() -> None:
+            """Look once at each pair found so far and keep what the sketches allow."""
+            i, j = (np.concatenate(f) for f in zip(*found))
+            found.clear()
+            names = np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])])
+            names, once = np.unique(names, axis=1, return_index=True)
+            kept.append(names[:, sketched(whole, i[once], j[once])])
+
         for apart in range(1, min(SMALL_GROUP, int(sizes.max()))):
             i = np.flatnonzero(short[:-apart] & (token[:-apart] == token[apart:]) & (component[:-apart] != component[apart:]))
             i = i[possible(rows, i, i + apart)]
             if len(i):
                 found.append((i, i + apart))
+        waiting = sum(len(i) for i, _ in found)
         for begin, size in zip(starts[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist()):
             own = component[begin : begin + size]
             for k in range(1, size):
@@ -382,16 +396,14 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
                 i = i[possible(rows, i, np.full(earlier, begin + k))]
                 if len(i):
                     found.append((i, np.full(len(i), begin + k)))
+                    waiting += len(i)
+                if waiting > MOST_PAIRS:
+                    settle()
+                    waiting = 0
         if found:
-            i, j = (np.concatenate(f) for f in zip(*found))
-            # A pair may meet under many entries of the batch: it is looked at once.
-            _, once = np.unique(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])]), axis=1, return_index=True)
-            i, j = i[once], j[once]
-            keep = sketched(whole, i, j)
-            if not keep.any():
-                return
-            a, b = key[i[keep]], key[j[keep]]
-            names = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            settle()
+        if kept:
+            names = np.unique(np.concatenate(kept, axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(names[0]), pa.array(names[1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,21 +411,25 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = batch.column(0).to_numpy()
-            last = len(tokens) - int(np.argmax(np.append(tokens[::-1] != tokens[-1], True)))
-            if last:  # every entry but the batch's last one is complete
+            parts = batch.column(8).to_numpy()
+            last = len(parts) - int(np.argmax(np.append(parts[::-1] != parts[-1], True)))
+            if last:  # every part but the batch's last one is complete
                 yield from pairs([*held, batch.slice(0, last)])
                 held = []
-            elif held and held[-1].column(0)[0].as_py() != tokens[0]:
+            elif held and held[-1].column(8)[0].as_py() != parts[0]:
                 yield from pairs(held)
                 held = []
             held.append(batch.slice(last))
         if held:
             yield from pairs(held)
 
-    ordered = groups.select("token", "key", "n", "place", "component", "low", "high", "sketch")
+    dealt = groups.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("parts"))
+    ordered = groups.join(dealt, "pivot").select(
+        "token", "key", "n", "place", "component", "low", "high", "sketch",
+        F.xxhash64("pivot", F.pmod(F.xxhash64("token"), "parts")).alias("part"),
+    )
     return (
-        ordered.repartition("token").sortWithinPartitions("token", "component")
+        ordered.repartition("part").sortWithinPartitions("part", "token", "component")
         .mapInArrow(run, "a long, b long").distinct()
     )
 
@@ -519,7 +535,7 @@ def near_duplicates(
         (1 - F.col("common") / F.col("either")).alias("distance"),
     )
     measured = open_.join(distance, ["pivot", "key"], "left").select(
-        "token", "key", "n", "place", "component",
+        "token", "pivot", "key", "n", "place", "component",
         # Pairs that a filter kept from being compared are less similar than t: farther than that.
         F.coalesce("distance", F.lit(1 - percent / 100)).alias("low"),
         F.coalesce("distance", F.lit(1.0)).alias("high"),

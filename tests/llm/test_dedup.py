@@ -110,6 +110,28 @@ def test_near_copies_in_groups(spark, monkeypatch, frequent):
     assert len({c for _, _, c in expected}) < len(rows)
 
 
+@pytest.mark.parametrize("limits", [(16_384, 2_000_000), (20, 40)])
+def test_near_copies_mostly_below_the_threshold(spark, monkeypatch, limits):
+    """One large group whose pairs mostly miss the threshold by little: sketches and pivots leave
+    many to the last round. The small limits deal the entries of a pivot out and settle pairs
+    several times in one part."""
+    for name, value in zip(("GROUP_ROWS", "MOST_PAIRS"), limits):
+        monkeypatch.setattr(jaccard_join, name, value)
+    random.seed(17)
+    base = [f"b{k}" for k in range(300)]
+    rows = []
+    for doc_id in range(300):
+        text = list(base)
+        for _ in range(random.randint(6, 12)):
+            text[random.randrange(len(text))] = f"n{random.randrange(10**6)}"
+        rows.append((doc_id, " ".join(text), "en", "a", 1))
+    random.shuffle(rows)
+    expected = plain.jaccard([(r[0], r[1]) for r in rows])
+    assert 1 < len({c for _, _, c in expected}) < len(rows)
+    docs = spark.createDataFrame(rows, plain.DOCUMENTS).repartition(3)
+    assert components(jaccard_join.near_duplicates(docs)) == plain.sorted_rows(expected)
+
+
 def test_prefixes_lose_no_pair():
     """Any two similar sets share an index entry, whatever the frequent shingles are."""
     rng = np.random.default_rng(5)
