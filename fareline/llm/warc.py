@@ -2,15 +2,24 @@
 
 Writing. Payload digests are counted first; of equal payloads the row with the smallest page id
 becomes a `response`, the others `revisit` records without payload. Each task trains a
-dictionary on the first records of its partition and writes one archive: the skippable frame
-with the dictionary, then a frame per record. The file goes through Spark's text writer, so
+dictionary on the first records of an archive and writes the skippable frame with the
+dictionary, then a frame per record. The files go through Spark's text writer, so
 only files of finished tasks appear and any file system works; its line separator is an empty
-skippable frame, which every Zstandard reader passes over.
-
-Reading. An archive is a row of Spark's `binaryFile` source. The reader takes the dictionary
-from the leading frame, walks the frames by their block headers, decodes each alone, and checks
-the version line, required fields, `Content-Length`, the end of the record, and both digests.
-Anything wrong raises ValueError with the file and the offset.
+skippable frame, which every Zstandard reader passes over. An archive ends after
+`ARCHIVE_BYTES` (or with the record that reaches them) and after `ARCHIVE_FRAMES` frames, so
+files stay small enough to be read back whole however large a partition is. The writer begins
+a file every `ARCHIVE_FRAMES` lines; an archive that its bytes end earlier is filled up with
+empty lines, 8 bytes each.
+
+Reading. An archive is a row of Spark's `binaryFile` source, so one from elsewhere may have 2 GiB
+at most. The reader takes the dictionary from the leading frame, plain or itself compressed,
+walks the frames by their block headers, decodes each alone, and checks
+the version line, required fields, `Content-Length`, the end of the record, and the digests.
+Anything wrong raises ValueError with the file and the offset. `read_records` reads any archive,
+whatever its types of record and ids; `read_archives` gives the pages of archives that
+`write_archives` wrote, and passes over records of other standard types. Names of fields have no
+case, and `WARC-Concurrent-To` may repeat. Digests are checked if their algorithm is known,
+in base32 or hexadecimal digits.
 
 Defined results: a null payload is empty; equal payloads count from `revisit_from` bytes on,
 shorter ones are all responses. Rows that repeat id and payload of a response are responses
@@ -26,6 +35,7 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -42,10 +52,13 @@ FRAME_MAGIC = 0xFD2FB528
 EMPTY_FRAME = "P*M\x18\x00\x00\x00\x00"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 REQUIRED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
+OTHER_TYPES = ("warcinfo", "resource", "request", "metadata", "conversion", "continuation")
+ALGORITHMS = ("md5", "sha1", "sha256", "sha512")
 
 DICTIONARY_BYTES = 32 << 10
 SAMPLE_RECORDS, SAMPLE_BYTES = 256, 2 << 20
 LEVEL = 3
+ARCHIVE_BYTES, ARCHIVE_FRAMES = 128 << 20, 16_384
 RECORD_FIELDS = (
     "page_id long, record_type string, target_uri string, refers_to long, "
     "payload_bytes long, payload_digest string"
@@ -87,17 +100,19 @@ def record(
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def _compressed(records: Iterator[bytes]) -> Iterator[bytes]:
-    """The frames of one archive; the dictionary comes from its first records."""
+def _compressed(records: Iterator[bytes], most_bytes: int | None = None, most_frames: int | None = None) -> Iterator[bytes]:
+    """The frames of one archive; the dictionary comes from its first records. Takes no more
+    records than the limits allow, but at least one."""
     first, held = [], 0
     for data in records:
         first.append(data)
         held += len(data)
-        if len(first) >= SAMPLE_RECORDS or held >= SAMPLE_BYTES:
+        if len(first) >= min(SAMPLE_RECORDS, (most_frames or SAMPLE_RECORDS + 1) - 1) or held >= SAMPLE_BYTES:
             break
     if not first:
         return
     options = {"level": LEVEL, "write_content_size": True, "write_checksum": True}
+    count = size = 0
     try:
         dictionary = zstandard.train_dictionary(DICTIONARY_BYTES, first, level=LEVEL)
         dictionary.precompute_compress(level=LEVEL)
@@ -107,16 +122,44 @@ def _compressed(records: Iterator[bytes]) -> Iterator[bytes]:
         data = dictionary.as_bytes()
         yield struct.pack("<II", DICTIONARY_MAGIC, len(data)) + data
         compressor = zstandard.ZstdCompressor(dict_data=dictionary, **options)
-    for source in (first, records):
-        for data in source:
-            yield compressor.compress(data)
+        count = 1
+    for data in first:
+        frame = compressor.compress(data)
+        yield frame
+        count, size = count + 1, size + len(frame)
+    while (most_bytes is None or size < most_bytes) and (most_frames is None or count < most_frames):
+        data = next(records, None)
+        if data is None:
+            break
+        frame = compressor.compress(data)
+        yield frame
+        count, size = count + 1, size + len(frame)
+
+
+def _archives(records: Iterator[bytes], most_bytes: int, most_frames: int) -> Iterator[bytes]:
+    """The lines of archives one after another, `most_frames` for each but the last."""
+    while (head := next(records, None)) is not None:
+        count = 0
+        for frame in _compressed(chain([head], records), most_bytes, most_frames):
+            yield frame
+            count += 1
+        head = next(records, None)
+        if head is None:
+            return
+        records = chain([head], records)
+        yield from (b"" for _ in range(most_frames - count))
 
 
 def write_archives(
     pages: DataFrame, path: str, revisit_from: int = 0, date: str = "2020-01-01T00:00:00Z",
     id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
+    archive_bytes: int = ARCHIVE_BYTES, archive_frames: int = ARCHIVE_FRAMES,
 ) -> None:
-    """One archive per partition below `path`."""
+    """Archives below `path`, one or more for each partition with pages.
+
+    An archive of over `archive_bytes` holds what its dictionary was trained on, or one record more."""
+    if archive_frames < 2:
+        raise ValueError("an archive has room for a dictionary and a record at least")
     bounded_batches(pages.sparkSession)
     payload = F.coalesce(F.col(payload_col).cast("string").cast("binary"), F.lit(b""))
     rows = pages.select(
@@ -146,7 +189,7 @@ def write_archives(
                     yield record(page_id, url, payload, digest, first, revisit, date)
 
         frames, held = [], 0
-        for frame in _compressed(records()):
+        for frame in _archives(records(), archive_bytes, archive_frames):
             frames.append(frame)
             held += len(frame)
             if held > 4 << 20:
@@ -157,7 +200,8 @@ def write_archives(
 
     frames = joined.mapInArrow(run, "frame binary")
     # The cast keeps the bytes as they are, and the writer puts them out unchanged.
-    frames.select(F.col("frame").cast("string")).write.option("lineSep", EMPTY_FRAME).text(path)
+    lines = frames.select(F.col("frame").cast("string")).write.option("lineSep", EMPTY_FRAME)
+    lines.option("maxRecordsPerFile", archive_frames).text(path)
 
 
 def frame_end(data: memoryview, at: int) -> int:
@@ -188,7 +232,13 @@ def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
             if at + 8 + size > len(view):
                 raise ValueError(f"offset {at}: a skippable frame is cut off")
             if at == 0 and magic == DICTIONARY_MAGIC:
-                dictionary = zstandard.ZstdCompressionDict(bytes(view[8 : 8 + size]))
+                content = bytes(view[8 : 8 + size])
+                if content[:4] == struct.pack("<I", FRAME_MAGIC):
+                    try:
+                        content = zstandard.ZstdDecompressor().decompressobj().decompress(content)
+                    except zstandard.ZstdError as error:
+                        raise ValueError(f"offset 0: the dictionary cannot be decompressed: {error}") from error
+                dictionary = zstandard.ZstdCompressionDict(content)
                 decoder = zstandard.ZstdDecompressor(dict_data=dictionary)
             at += 8 + size
             continue
@@ -203,8 +253,19 @@ def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
         at = end
 
 
+def matches(stated: str, data: bytes) -> bool:
+    """Whether data has the digest stated as `algorithm:digits`; true if the algorithm is unknown."""
+    algorithm, _, digits = stated.partition(":")
+    algorithm = algorithm.lower().replace("-", "")
+    if algorithm not in ALGORITHMS:
+        return True
+    found = hashlib.new(algorithm, data).digest()
+    return digits.upper().rstrip("=") in (base64.b32encode(found).decode().rstrip("="), found.hex().upper())
+
+
 def parse(data: bytes) -> tuple[dict[str, str], bytes]:
-    """Header fields and block of one record, checked."""
+    """Header fields (by lower-case name; repeated ones joined by a comma) and block of one
+    record, checked."""
     head, gap, rest = data.partition(b"\r\n\r\n")
     lines = head.decode("utf-8").split("\r\n")
     if not gap or lines[0] not in ("WARC/1.0", "WARC/1.1"):
@@ -212,20 +273,21 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     fields = {}
     for line in lines[1:]:
         name, colon, value = line.partition(":")
-        if not colon or not name or name in fields:
+        name, value = name.lower(), value.strip()
+        if not colon or not name or name in fields and name != "warc-concurrent-to":
             raise ValueError(f"bad header line {line[:80]!r}")
-        fields[name] = value.strip()
+        fields[name] = f"{fields[name]}, {value}" if name in fields else value
     for name in REQUIRED:
-        if name not in fields:
+        if name.lower() not in fields:
             raise ValueError(f"{name} is missing")
-    if not fields["Content-Length"].isdecimal():
-        raise ValueError(f"Content-Length is {fields['Content-Length']!r}")
-    length = int(fields["Content-Length"])
+    stated = fields["content-length"]
+    if not (stated.isascii() and stated.isdecimal()):
+        raise ValueError(f"Content-Length is {stated!r}")
+    length = int(stated)
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         raise ValueError(f"Content-Length is {length}, the block and its end have {len(rest)} bytes")
     block = rest[:length]
-    digest = fields.get("WARC-Block-Digest")
-    if digest is not None and digest != f"sha1:{base32_sha1(block)}":
+    if not matches(fields.get("warc-block-digest", ""), block):
         raise ValueError("the block does not match its digest")
     return fields, block
 
@@ -239,13 +301,16 @@ def _page(uri: str) -> int | None:
 
 def page_record(data: bytes) -> tuple:
     """(page id, type, uri, page referred to, payload bytes, digest, payload) of a record."""
-    fields, block = parse(data)
-    kind = fields["WARC-Type"]
+    return _page_fields(*parse(data))
+
+
+def _page_fields(fields: dict[str, str], block: bytes) -> tuple:
+    kind = fields["warc-type"]
     http, gap, payload = block.partition(b"\r\n\r\n")
     stated = re.search(rb"(?mi)^Content-Length: *(\d+)\r?$", http)
     if not gap or not stated:
         raise ValueError("the block holds no HTTP response with a length")
-    digest = fields.get("WARC-Payload-Digest", "").removeprefix("sha1:")
+    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
     if kind == "response":
         if len(payload) != int(stated[1]):
             raise ValueError(f"HTTP states {int(stated[1])} bytes, the payload has {len(payload)}")
@@ -253,43 +318,84 @@ def page_record(data: bytes) -> tuple:
             raise ValueError("the payload does not match its digest")
         refers = None
     elif kind == "revisit":
-        if payload or "WARC-Refers-To" not in fields:
+        if payload or "warc-refers-to" not in fields:
             raise ValueError("a revisit record has a payload, or refers to nothing")
-        refers, payload = _page(fields["WARC-Refers-To"]), None
+        refers, payload = _page(fields["warc-refers-to"]), None
     else:
         raise ValueError(f"unexpected record type {kind}")
     return (
-        _page(fields["WARC-Record-ID"]), kind, fields.get("WARC-Target-URI"), refers,
+        _page(fields["warc-record-id"]), kind, fields.get("warc-target-uri"), refers,
         int(stated[1]), digest, payload,
     )
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """A row per record; `payloads` adds the payload (null for revisit records)."""
-    fields = RECORD_FIELDS + (", payload binary" if payloads else "")
-    width = 7 if payloads else 6
+def _read(spark: SparkSession, path: str, make, kinds: dict[str, pa.DataType], fields: str) -> DataFrame:
+    """A row for each record that `make` (file, offset, fields, block) does not answer with None."""
     bounded_batches(spark)
 
+    def rows_of(name: str, content: bytes) -> Iterator[tuple[tuple, int]]:
+        for offset, data in _named(frames(content), name):
+            try:
+                row = make(name, offset, *parse(data))
+            except ValueError as error:
+                raise ValueError(f"{name}, offset {offset}: {error}") from error
+            if row is not None:
+                yield row, len(data)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds.values())]
+        return pa.RecordBatch.from_arrays(arrays, names=list(kinds))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1)):
                 rows, held = [], 0
-                for offset, data in _named(frames(content.as_py()), name.as_py()):
-                    try:
-                        rows.append(page_record(data)[:width])
-                    except ValueError as error:
-                        raise ValueError(f"{name.as_py()}, offset {offset}: {error}") from error
-                    held += len(data)
+                for row, size in rows_of(name.as_py(), content.as_py()):
+                    rows.append(row)
+                    held += size
                     if held > 8 << 20:
-                        yield _batch(rows, width)
+                        yield batch_of(rows)
                         rows, held = [], 0
                 if rows:
-                    yield _batch(rows, width)
+                    yield batch_of(rows)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(run, fields)
 
 
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """A row per record of any archive: file, offset of its frame, type, id, date, target, all
+    header fields by lower-case name, and the block."""
+
+    def make(name: str, offset: int, fields: dict[str, str], block: bytes) -> tuple:
+        return (
+            name, offset, fields["warc-type"], fields["warc-record-id"], fields["warc-date"],
+            fields.get("warc-target-uri"), list(fields.items()), block,
+        )
+
+    text = pa.string()
+    kinds = {
+        "file": text, "offset": pa.int64(), "record_type": text, "record_id": text, "date": text,
+        "target_uri": text, "fields": pa.map_(text, text), "block": pa.binary(),
+    }
+    return _read(
+        spark, path, make, kinds,
+        "file string, offset long, record_type string, record_id string, date string, "
+        "target_uri string, fields map<string,string>, block binary",
+    )
+
+
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """A row per page record; `payloads` adds the payload (null for revisit records)."""
+    width = len(_PAGE_KINDS) - (not payloads)
+
+    def make(name: str, offset: int, fields: dict[str, str], block: bytes) -> tuple | None:
+        return None if fields["warc-type"] in OTHER_TYPES else _page_fields(fields, block)[:width]
+
+    kinds = dict(list(_PAGE_KINDS.items())[:width])
+    return _read(spark, path, make, kinds, RECORD_FIELDS + (", payload binary" if payloads else ""))
+
+
 def _named(found: Iterator, name: str) -> Iterator:
     try:
         yield from found
@@ -297,15 +403,10 @@ def _named(found: Iterator, name: str) -> Iterator:
         raise ValueError(f"{name}, {error}") from error
 
 
-_TYPES = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-_NAMES = [
-    "page_id", "record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest", "payload",
-]
-
-
-def _batch(rows: list[tuple], width: int) -> pa.RecordBatch:
-    arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), _TYPES)]
-    return pa.RecordBatch.from_arrays(arrays, names=_NAMES[:width])
+_PAGE_KINDS = {
+    "page_id": pa.int64(), "record_type": pa.string(), "target_uri": pa.string(), "refers_to": pa.int64(),
+    "payload_bytes": pa.int64(), "payload_digest": pa.string(), "payload": pa.binary(),
+}
 
 
 def op3_warc(spark, sf_dir: str) -> DataFrame:

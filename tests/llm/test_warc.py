@@ -125,3 +125,46 @@ def test_damaged_records_are_refused(old, new, message):
     assert bad != good
     with pytest.raises(ValueError, match=message):
         warc.page_record(bad)
+
+
+@pytest.mark.parametrize("limits", [(1 << 40, 16), (2_000, 16), (1, 16), (1 << 40, 2)])
+def test_archives_end_at_their_limits(spark, limits):
+    """A partition gives as many archives as the limits ask for, each readable alone."""
+    rows = [(k, f"http://x/{k}", f"<html>{k} " + "word " * k) for k in range(60)]
+    path = scratch_path(spark, "archives")
+    warc.write_archives(pages(spark, rows).coalesce(1), path, archive_bytes=limits[0], archive_frames=limits[1])
+    assert got(warc.read_archives(spark, path)) == expected(rows)
+    files = spark.read.format("binaryFile").load(path).collect()
+    assert len(files) >= 60 // limits[1]
+    assert sum(len(list(warc.frames(bytes(f.content)))) for f in files) == 60
+
+
+def foreign(kind, fields, block):
+    head = "".join(f"{name}: {value}\r\n" for name, value in fields)
+    start = f"WARC/1.0\r\nwarc-type: {kind}\r\nWARC-Date: 2024-05-01T00:00:00Z\r\n{head}content-length: {len(block)}\r\n\r\n"
+    return start.encode() + block + b"\r\n\r\n"
+
+
+def test_archives_of_others(spark, tmp_path):
+    """Other record types and ids, names of fields in any case, a compressed dictionary."""
+    block = b"software: x\r\n" * 40
+    sha256 = hashlib.sha256(block).hexdigest()
+    page = b"<p>one</p>"
+    records = [
+        foreign("warcinfo", [("warc-record-id", "<urn:uuid:1>"), ("WARC-Block-Digest", f"sha256:{sha256}")], block),
+        foreign("request", [("WARC-RECORD-ID", "<urn:uuid:2>"), ("WARC-Concurrent-To", "<urn:uuid:1>"), ("WARC-Concurrent-To", "<urn:uuid:3>")], b"GET / HTTP/1.1\r\n\r\n"),
+        foreign("metadata", [("WARC-Record-ID", "<urn:uuid:4>"), ("WARC-Block-Digest", "other:123")], b""),
+        warc.record(7, None, page, warc.base32_sha1(page), None, False, "2020-01-01T00:00:00Z"),
+    ]
+    dictionary = zstandard.train_dictionary(4096, [f"{k} WARC/1.1\r\nWARC-Type: response {k * k}".encode() * 9 for k in range(300)])
+    packed = zstandard.ZstdCompressor().compress(dictionary.as_bytes())
+    data = struct.pack("<II", warc.DICTIONARY_MAGIC, len(packed)) + packed
+    compressor = zstandard.ZstdCompressor(dict_data=dictionary)
+    (tmp_path / "a.warc.zst").write_bytes(data + b"".join(compressor.compress(r) for r in records))
+    found = sorted(warc.read_records(spark, str(tmp_path)).collect(), key=lambda r: r.offset)
+    assert [r.record_type for r in found] == ["warcinfo", "request", "metadata", "response"]
+    assert [r.record_id for r in found] == ["<urn:uuid:1>", "<urn:uuid:2>", "<urn:uuid:4>", "<urn:page:7>"]
+    assert bytes(found[0].block) == block and found[1].fields["warc-concurrent-to"] == "<urn:uuid:1>, <urn:uuid:3>"
+    assert [(r.page_id, bytes(r.payload)) for r in warc.read_archives(spark, str(tmp_path)).collect()] == [(7, page)]
+    with pytest.raises(ValueError, match="block does not match"):
+        warc.parse(records[0].replace(b"software: x", b"software: y"))
