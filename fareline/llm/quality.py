@@ -7,7 +7,8 @@
    class; an abstention says nothing). It begins with documents as poor where any vote is poor.
 3. A linear scorer over hashed features (words, word shapes, whether a word repeats one just
    before it) is fitted to the posteriors by logistic loss. It is fitted on a bounded sample:
-   about `SAMPLE` documents, those with the smallest hash of id and text.
+   at most `SAMPLE` distinct documents, those with the smallest hash of id and text; rows equal
+   in both count as one document with their number as its weight.
 4. Every document is scored; those under `CUT` are rejected. A document's score is linear in
    the shares of its features, so long and short texts compare.
 
@@ -178,16 +179,21 @@ def decode(codes: np.ndarray) -> np.ndarray:
 # --- The hashed scorer ------------------------------------------------------------------
 
 
-def fit(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, goal: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
+def fit(
+    rows: np.ndarray, columns: np.ndarray, values: np.ndarray, goal: np.ndarray, steps: int = 300,
+    times: np.ndarray | None = None,
+) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam on the logistic loss with soft goals.
 
-    The two classes count equally, so that the rarer one is learned.
+    The two classes count equally, so that the rarer one is learned; `times` says how often each
+    document counts.
     """
     weights, bias = np.zeros(1 << BITS), 0.0
-    good = goal.sum()
-    if not len(goal) or min(good, len(goal) - good) < 1e-6 * len(goal):
+    times = np.ones(len(goal)) if times is None else times
+    good, total = (goal * times).sum(), times.sum()
+    if not len(goal) or min(good, total - good) < 1e-6 * total:
         return weights, bias
-    sample = np.where(goal > 0.5, 0.5 / good, 0.5 / (len(goal) - good))
+    sample = times * np.where(goal > 0.5, 0.5 / good, 0.5 / (total - good))
     m, v, bm, bv = np.zeros_like(weights), np.zeros_like(weights), 0.0, 0.0
     for step in range(1, steps + 1):
         margin = np.bincount(rows, weights[columns] * values, len(goal)) + bias
@@ -242,10 +248,15 @@ def train(rows: DataFrame) -> dict:
         shares = pa.ListArray.from_arrays(edges, (n / s.sizes[doc]).astype(np.float32))
         return {"code": pa.array(code(s.votes())), "columns": lists, "shares": shares}
 
-    sampled = rows.filter(F.col("tie").bitwiseAND(F.lit(2**63 - 1)) <= limit).select("tie", "text")
+    # One row per distinct document, combined before it is shuffled, however often it is repeated.
+    hashed = rows.select(F.col("tie").bitwiseAND(F.lit(2**63 - 1)).alias("tie"), "text")
+    sampled = hashed.filter(F.col("tie") <= limit).groupBy("tie").agg(
+        F.count("*").alias("times"), F.first("text").alias("text")
+    )
     sample = (
-        _mapped(sampled, 1, gathered, "tie long, code long, columns array<int>, shares array<float>")
-        .toArrow().sort_by([("tie", "ascending"), ("code", "ascending")]).combine_chunks()
+        _mapped(sampled, 2, gathered, "tie long, times long, code long, columns array<int>, shares array<float>")
+        .toArrow()  # about SAMPLE rows at most
+        .sort_by("tie").slice(0, SAMPLE).combine_chunks()
     )
     weights, bias = np.zeros(1 << BITS), 0.0
     if sample.num_rows and voted.any():
@@ -255,8 +266,9 @@ def train(rows: DataFrame) -> dict:
         weights, bias = fit(
             np.repeat(np.arange(len(goal)), lengths), columns.flatten().to_numpy().astype(np.int64),
             shares.flatten().to_numpy().astype(np.float64), goal,
+            times=sample["times"].to_numpy().astype(np.float64),
         )
-    return {"prior": prior, "accuracy": accuracy, "posterior": posterior, "weights": weights, "bias": bias}
+    return {"prior": prior, "accuracy": accuracy, "posterior": posterior, "weights": weights, "bias": bias, "sampled": sample.num_rows}
 
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:

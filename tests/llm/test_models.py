@@ -147,6 +147,34 @@ def test_classifier_with_odd_rows(spark):
     assert quality.classify(plain.empty(spark)).count() == 0
 
 
+def test_sample_stays_bounded_with_repeated_rows(spark, monkeypatch):
+    """The row of least hash repeated 3,000 times is one document of the sample."""
+    monkeypatch.setattr(quality, "SAMPLE", 100)
+    docs = spark.read.parquet(f"{plain.SF}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    tie = F.xxhash64("doc_id", "text")
+    hashed = docs.select(tie.alias("tie"), "text")
+    least = hashed.orderBy(F.col("tie").bitwiseAND(F.lit(2**63 - 1))).limit(1)
+    many = hashed.unionByName(least.crossJoin(spark.range(3000)).select("tie", "text"))
+    model = quality.train(many)
+    assert 1 <= model["sampled"] <= 100
+
+
+def test_weights_stand_for_repeated_documents():
+    """Fitting with counts equals fitting on the repeated rows."""
+    rng = np.random.default_rng(3)
+    count = 40
+    doc = np.repeat(np.arange(count), 5)
+    column, value = rng.integers(0, 30, len(doc)), rng.random(len(doc))
+    goal, times = rng.random(count), rng.integers(1, 5, count)
+    weights, bias = quality.fit(doc, column, value, goal, times=times.astype(float))
+    order = np.repeat(np.arange(count), times)
+    repeated = [np.flatnonzero(doc == d) for d in order]
+    again, bias_again = quality.fit(
+        np.repeat(np.arange(len(order)), 5), column[np.concatenate(repeated)], value[np.concatenate(repeated)], goal[order]
+    )
+    assert np.allclose(weights, again, atol=1e-6) and abs(bias - bias_again) < 1e-6
+
+
 def test_estimation_finds_accuracies():
     rng = np.random.default_rng(1)
     good = rng.random(40_000) < 0.8
