@@ -65,6 +65,13 @@ UNKNOWN_RATE = 99
 
 COPIES_PER_TASK = 1_000_000
 
+# The columns that make up the trip key, and what rows are gathered by: times count to the second.
+KEY_PARTS = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id"]
+TRIP_PARTS = ["_start", "_end", "pickup_location_id", "dropoff_location_id", "vendor_id"]
+# Wide rows that a task sorts in memory; small tables are dealt out in tasks of the lesser number.
+ROWS_PER_TASK = 500_000
+LEAST_ROWS_PER_TASK = 50_000
+
 
 def typed(bronze: DataFrame) -> DataFrame:
     """Snake-case names and proper types; values are not corrected yet."""
@@ -162,17 +169,48 @@ def hot_trips(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return hot_keys(rows, "trip_id", parts, hot_rows)
 
 
+def gathered(rows: DataFrame) -> DataFrame:
+    """Rows with a key, those of a trip in one task, tasks in the order of their pickups.
+
+    Exchanged by the parts of the key, as `_start`, `_end` and typed columns; the key itself
+    follows from them and is left out.
+    """
+    parts = rows.drop("trip_id").withColumns(
+        {"_start": F.unix_timestamp("pickup_datetime"), "_end": F.unix_timestamp("dropoff_datetime")}
+    )
+    return parts.repartitionByRange(_tasks(rows), *TRIP_PARTS)
+
+
+def _tasks(rows: DataFrame) -> int:
+    n = rows.count()  # in the footers of stored rows
+    configured = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(configured, -(-n // LEAST_ROWS_PER_TASK)), -(-n // ROWS_PER_TASK))
+
+
+def _apart(rows: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary trips; and those without a key, or of trips too large for one task, if there are any."""
+    keyless = C.any_of([F.col(name).isNull() for name in KEY_PARTS])
+    hot = [r["trip_id"] for r in hot_trips(rows.filter(~keyless), hot_rows).collect()]  # one per `hot_rows` rows
+    if not hot and rows.filter(keyless).isEmpty():
+        return rows, None
+    if not hot:
+        return rows.filter(~keyless), rows.filter(keyless)
+    large = F.broadcast(rows.sparkSession.createDataFrame([(key,) for key in hot], "hot_id string"))
+    is_large = rows["trip_id"] == large["hot_id"]
+    return rows.filter(~keyless).join(large, is_large, "left_anti"), rows.filter(keyless).unionByName(
+        rows.filter(~keyless).join(large, is_large, "left_semi")
+    )
+
+
 def dedup_rank(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Position of each row among the rows of its trip that are as valid as itself."""
-    rows = rows.withColumn("_valid", F.col("broken_rule").isNull())
-    hot = hot_trips(rows, hot_rows)
-    is_hot = rows.trip_id.eqNullSafe(hot.trip_id)
-    group = Win.partitionBy("trip_id", "_valid").orderBy(*keep_order())
-    ordinary = rows.join(F.broadcast(hot), is_hot, "left_anti").withColumn(
-        "dedup_rank", F.row_number().over(group).cast("bigint")
-    )
-    large = rows.join(F.broadcast(hot), is_hot, "left_semi")
-    return ordinary.unionByName(_rank_by_counting(large)).drop("_valid")
+    ordinary, large = _apart(rows.withColumn("_valid", F.col("broken_rule").isNull()), hot_rows)
+    group = Win.partitionBy(*TRIP_PARTS, "_valid").orderBy(*keep_order())
+    ranked = gathered(ordinary).withColumn("dedup_rank", F.row_number().over(group).cast("bigint"))
+    ranked = with_key(ranked).select(*rows.columns, "dedup_rank")
+    if large is None:
+        return ranked
+    return ranked.unionByName(_rank_by_counting(large).drop("_valid"))
 
 
 def _rank_by_counting(rows: DataFrame) -> DataFrame:
@@ -239,10 +277,31 @@ def notable_trips(rows: DataFrame) -> DataFrame:
     return counts.filter((F.col("valid_rows") > 1) | F.col("reversed"))
 
 
-def with_duplicates(rows: DataFrame, scratch: str | None = None) -> DataFrame:
+def with_duplicates(rows: DataFrame, scratch: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds `has_reversal` and `is_repeat` (a valid row that loses against another valid one).
 
-    Trips with something to tell are found by counting, and joined to their rows: the one exchange
+    Whole rows are exchanged once: a trip's rows come together by the parts of the key and are ranked
+    where they are. Rows without a key, all one group, and trips too large for one task are
+    judged by aggregates instead, in the same total order.
+    """
+    ordinary, large = _apart(rows, hot_rows)
+    trip = Win.partitionBy(*TRIP_PARTS)
+    valid = F.col("broken_rule").isNull()
+    first = F.row_number().over(trip.orderBy(~valid, *keep_order())) == 1
+    judged = with_key(
+        gathered(ordinary).withColumn("is_repeat", valid & ~first)
+        .withColumn("has_reversal", F.max(_is_negative()).over(trip))
+    ).select(*rows.columns, "has_reversal", "is_repeat")
+    if large is None:
+        return judged
+    # Joins deal these rows out; those of a month are brought together again.
+    return judged.unionByName(_judged_by_counting(large, scratch).hint("rebalance", "_source_period"))
+
+
+def _judged_by_counting(rows: DataFrame, scratch: str | None = None) -> DataFrame:
+    """The same without gathering a trip in one task.
+
+    Trips with something to tell are found by counting, and joined to their rows: an exchange
     of whole rows, which adaptive execution splits where a trip is large. Of the valid rows of
     trips that have several, the one to keep is the least key in the total order, an aggregate
     that is combined on the map side as well. All other rows are done by then. `scratch` is a folder for the two

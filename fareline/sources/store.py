@@ -63,12 +63,11 @@ class Store:
     def write_evaluated(self, evaluated: DataFrame, observed: dict[str, Column] | None = None) -> None:
         """Valid and rejected rows, and those of different months, go to different partitions.
 
-        Each reader opens only its own. The rows of a month are brought together first, so that
-        there are few files; a month that is too large for one task is split.
+        Each reader opens only its own. The evaluation leaves rows in the order of their pickups, so a
+        task has few months; they are not exchanged again.
         """
         tables.overwrite(
-            evaluated.withColumn("_rejected", F.col("rejection_reason").isNotNull())
-            .hint("rebalance", "_rejected", "_source_period"),
+            evaluated.withColumn("_rejected", F.col("rejection_reason").isNotNull()),
             self.path(EVALUATED),
             partition_by=["_rejected", "_source_period"],
             observed=observed,

@@ -197,6 +197,38 @@ def test_ten_million_rows_of_one_trip(spark):
     assert [(r.total_amount, r.tip_amount) for r in valid.collect()] == [(None, Decimal("0.00"))]
 
 
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_whole_rows_are_exchanged_once(spark, tmp_path):
+    """Trips with a key are ranked where the one exchange brings them, without steps on disk."""
+    data = silver.prepared(bronze(spark, {}, {"total_amount": 3.0}, {"VendorID": 2}), ENGLISH)
+    judged = silver.with_duplicates(data, str(tmp_path / "steps"))
+    assert exchanges(judged) == 1 and not (tmp_path / "steps").exists()
+    assert exchanges(silver.dedup_rank(data)) == 1
+    assert rows(judged, "vendor_id", "total_amount", "is_repeat") == [
+        (1, Decimal("14.00"), False), (1, Decimal("3.00"), True), (2, Decimal("14.00"), False),
+    ]
+
+
+def test_the_exchange_leaves_out_what_follows_from_the_rest(spark):
+    data = silver.prepared(bronze(spark, {}, {"total_amount": -3.0}), ENGLISH)
+    assert "trip_id" not in silver.gathered(data).columns
+    flags = silver.with_duplicates(data).select("trip_id", "total_amount", "has_reversal")
+    plan = flags._jdf.queryExecution().optimizedPlan().toString()
+    assert "tip_amount" not in plan.split("RepartitionByExpression")[1].split("Project")[1].splitlines()[0]
+    assert {r.trip_id for r in flags.collect()} == {data.first().trip_id}
+    assert rows(flags, "has_reversal") == [(True,), (True,)]
+
+
+def test_trips_brought_together_by_month_are_the_same(spark):
+    plain, together = standin.raw_trips(spark, SF), standin.raw_trips(spark, SF, by_month=True)
+    assert plain.exceptAll(together).isEmpty() and together.exceptAll(plain).isEmpty()
+    plan = together._jdf.queryExecution().optimizedPlan().toString()
+    assert "tip_amount" not in plan.split("RebalancePartitions")[1]
+
+
 def test_buckets_follow_the_rows(spark):
     assert skew.buckets_for(10**12, skew.HOT_ROWS) * skew.HOT_ROWS >= 16 * 10**12
     rows_ = spark.createDataFrame([(k % 40, k % 40) for k in range(400)] + [(99, 99)] * 50 + [(None, None)] * 30, "a int, b int")
