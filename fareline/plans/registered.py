@@ -55,9 +55,8 @@ class Built:
             self.done.add(step)
 
     def _land(self) -> None:
-        # Rows of a month come from all over the join; bring them together before writing by
-        # file. Rebalancing splits a month that is too large for one task.
-        raw = standin.raw_trips(self.spark, self.sf_dir).hint("rebalance", "_source_file")
+        # Rows of a month come from all over the join; they are brought together before writing by file.
+        raw = standin.raw_trips(self.spark, self.sf_dir, by_month=True)
         tables.overwrite(
             raw, self.store.path("yellow_trips"), partition_by="_source_file", figures=pipeline.landing_figures()
         )

@@ -15,6 +15,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Layers are wide rows: a task that reads or gathers this much sorts it in memory when it writes.
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.parquet.compression.codec": "zstd",
     # Wide projections generate methods the JVM would never compile; let Spark split them.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

@@ -22,8 +22,13 @@ def _hundredths(units: Column) -> Column:
     return units.cast("double") / F.lit(100.0)
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips as they would sit in the landing table."""
+def raw_trips(spark: SparkSession, sf_dir: str, by_month: bool = False) -> DataFrame:
+    """Trips as they would sit in the landing table.
+
+    `by_month` brings the rows of a file's month together, before most columns are derived: what is
+    exchanged are the few columns that all others follow from. A month that is too large for one
+    task is split.
+    """
     # One scan: copies and reversals are extra array elements, not extra scans.
     signs = F.expr(
         "case l_partkey % 499 when 7 then array(1, 1) when 8 then array(1, -1) else array(1) end"
@@ -41,15 +46,21 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F") & (F.col("l_quantity") < 10)
         ).alias("neg"),
     )
+    src = src.withColumn(
+        "file_month",
+        F.trunc(
+            F.when(F.col("l_partkey") % 211 == 0, F.add_months("o_orderdate", 1)).otherwise(F.to_date("o_orderdate")),
+            "MM",
+        ),
+    )
+    if by_month:
+        src = src.hint("rebalance", "file_month")
     h, cents, part, sgn = F.col("h"), F.col("cents"), F.col("l_partkey"), F.col("sgn")
     flex = h % 5 == 0  # rows that leave several columns out
     src = src.withColumn(
         "dur",
         F.when(h % 97 == 0, 0).when(h % 101 == 0, -60).when(h % 499 == 0, 90000)
         .otherwise(60 + (h * 13) % 5400),
-    ).withColumn(
-        "file_month",
-        F.trunc(F.when(part % 211 == 0, F.add_months("o_orderdate", 1)).otherwise(F.to_date("o_orderdate")), "MM"),
     ).withColumn("pickup", F.expr("timestampadd(SECOND, cast((h * 97) % 86400 as int), o_orderdate)"))
 
     def unless_flex(value: Column) -> Column:
