@@ -14,6 +14,7 @@ from fareline import words as W
 from fareline.functions import columns as C
 from fareline.operators import silver
 from fareline.schemas import TRIP_COLUMNS
+from fareline.session import scratch_path
 from fareline.sources import tables
 from fareline.sources.store import Store
 
@@ -262,7 +263,12 @@ def count_orphans(child: DataFrame, references: dict[str, tuple[DataFrame, str]]
 
 
 def count_repeats(columns: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Repeated values of many columns, also of different tables, from a single shuffle."""
+    """Repeated values of many columns, also of different tables.
+
+    Values are counted by a hash first, so only hashes are exchanged; values whose hash occurs again, few in
+    a sound table, are then counted themselves. The hashes that do are written, so that their
+    size is known and small ones go to the rows instead of the rows to them.
+    """
     names = list(columns)
     values = reduce(
         DataFrame.unionByName,
@@ -271,13 +277,16 @@ def count_repeats(columns: dict[str, tuple[DataFrame, str]]) -> DataFrame:
             for i, (table, column) in enumerate(columns.values())
         ],
     )
+    spark, path = values.sparkSession, scratch_path(values.sparkSession, "repeats")
+    values = values.filter(F.col("value").isNotNull()).withColumn("hash", F.xxhash64("value"))
+    seen = values.groupBy("i", "hash").agg(F.count("*").alias("copies")).filter("copies > 1").select("i", "hash")
+    seen.write.parquet(path)
     repeated = (
-        values.filter(F.col("value").isNotNull())
+        values.join(spark.read.schema(seen.schema).parquet(path), ["i", "hash"], "left_semi")
         .groupBy("i", "value").agg(F.count("*").alias("copies"))
         .select("i", F.when(F.col("copies") > 1, 1).otherwise(0).alias("n"))
     )
     # Every column gets a line, also one of an empty table.
-    spark = values.sparkSession
     zero = spark.createDataFrame([(i, 0) for i in range(len(names))], "i int, n int")
     lines = repeated.unionByName(zero).groupBy("i").agg(F.sum("n").alias("n"))
     return _results(lines, C.pick(F.col("i") + 1, tuple(names)), F.col("n"))

@@ -224,6 +224,16 @@ class TestChecks:
         both = quality.count_repeats({"x": (df, "a"), "y": (df.filter("a = 2"), "a"), "z": (df.filter("false"), "a")})
         assert self.offenders(both) == {"x": 1, "y": 0, "z": 0}
 
+    def test_repeats_are_looked_for_by_hash(self, spark, tmp_path, monkeypatch):
+        """Only hashes that occur again are kept, and values that share one are told apart."""
+        monkeypatch.setattr(quality, "scratch_path", lambda spark, name: str(tmp_path / name))
+        df = spark.createDataFrame([("p",), ("q",), ("q",), ("r",), (None,), (None,)], "a string")
+        assert rows(quality.count_repeats({"x": (df, "a")}), "offenders") == [(1,)]
+        assert spark.read.parquet(str(tmp_path / "repeats")).count() == 1
+        monkeypatch.setattr(quality, "scratch_path", lambda spark, name: str(tmp_path / "again"))
+        monkeypatch.setattr(quality.F, "xxhash64", lambda *columns: F.lit(0))
+        assert rows(quality.count_repeats({"x": (df, "a")}), "offenders") == [(1,)]
+
     def test_references_ignore_null(self, spark):
         child = spark.createDataFrame([(1, 1), (2, 1), (None, 9), (2, 9)], "a int, b int")
         parent = spark.createDataFrame([(1,)], "id int")
