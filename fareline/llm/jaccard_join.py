@@ -20,9 +20,12 @@ misses nothing frequent and errs by half the share at most. The order needs no e
 Verifying. Under each index entry the set with the least name is the pivot. Every set is first
 compared with the least of its pivots. Entries whose sets are not all in one component after
 that have each set compared with the entry's own pivot. Entries that still are in several
-components give, in a last round, the pairs between components; there the distance to the
+components give pairs between components; there the distance to the
 pivot, a metric, prunes what cannot be similar, and so does a sketch: the shingles of a set are
-counted in 256 parts, and two sets share at most the smaller count of each part. Length and
+counted in 256 parts, and two sets share at most the smaller count of each part. First only the few
+pairs of two components whose sketches agree most are compared: nearly all components that belong together
+are joined by these, however many pairs they have. What is left between components after that is
+compared pair by pair in a last round. Length and
 position filters come before every comparison, and sets are compared shingle by shingle. Nothing else is skipped, so components
 are exact up to clashes of 64-bit names, and no group of near copies is expanded into its pairs.
 Texts to compare travel to their pivot, whose group is dealt out when it is large.
@@ -58,6 +61,7 @@ CHUNK = 8_000_000
 SMALL_GROUP = 64
 GROUP_ROWS = 16_384
 MOST_PAIRS = 2_000_000
+LIKELY = 4
 PARTS = 256
 
 
@@ -327,9 +331,20 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x)) if len(y) else 0
 
 
-def _between(groups: DataFrame, percent: int) -> DataFrame:
+def _most_alike(components: np.ndarray, share: np.ndarray, most: int) -> np.ndarray:
+    """Places of the `most` pairs with the largest share of every two components, given as columns."""
+    order = np.lexsort((-share, components[1], components[0]))
+    of = components[:, order]
+    new = np.concatenate([[True], (of[:, 1:] != of[:, :-1]).any(axis=0)])
+    starts = np.flatnonzero(new)
+    return order[np.arange(len(order)) - starts[np.cumsum(new) - 1] < most]
+
+
+def _between(groups: DataFrame, percent: int, likely: int = 0) -> DataFrame:
     """Pairs of different components under one entry that the pivot's distances leave possible.
 
+    With `likely`, only so many pairs of every two components of a part: those whose sketches agree most.
+
     Sets that share one entry share many, and these mostly have the same pivot. So entries are
     brought together by pivot, a pivot's entries dealt into parts of some `GROUP_ROWS` rows, and
     a pair is put out once for all entries of a part. Rows come sorted by part, token and
@@ -339,9 +354,9 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
     """
     near = 1 - percent / 100 + 1e-9
 
-    def sketched(whole: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Pairs that share enough of their sketches; rows without one may share anything."""
-        keep = np.ones(len(i), bool)
+    def sketched(whole: pa.Table, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that share enough of their sketches, and the share; rows without one may share anything."""
+        keep, share = np.ones(len(i), bool), np.ones(len(i))
         sketches = whole.column(7)
         known = pc.binary_length(sketches).to_numpy() == PARTS
         both = np.flatnonzero(known[i] & known[j])
@@ -354,7 +369,8 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
             common = np.minimum(x, y).sum(axis=1, dtype=np.int64)
             sizes = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
             keep[at] = common * (100 + percent) >= sizes * percent
-        return keep
+            share[at] = common / sizes
+        return keep, share
 
     def possible(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
         _, _, n, place, _, low, high = rows
@@ -380,7 +396,16 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
             found.clear()
             names = np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])])
             names, once = np.unique(names, axis=1, return_index=True)
-            kept.append(names[:, sketched(whole, i[once], j[once])])
+            i, j = i[once], j[once]
+            allowed, share = sketched(whole, i, j)
+            sides = np.stack([np.minimum(component[i], component[j]), np.maximum(component[i], component[j])])
+            kept.append(alike(names[:, allowed], sides[:, allowed], share[allowed]))
+
+        def alike(names: np.ndarray, sides: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, ...]:
+            if not likely or not len(share):
+                return names, sides, share
+            best = _most_alike(sides, share, likely)
+            return names[:, best], sides[:, best], share[best]
 
         for apart in range(1, min(SMALL_GROUP, int(sizes.max()))):
             i = np.flatnonzero(short[:-apart] & (token[:-apart] == token[apart:]) & (component[:-apart] != component[apart:]))
@@ -403,7 +428,9 @@ def _between(groups: DataFrame, percent: int) -> DataFrame:
         if found:
             settle()
         if kept:
-            names = np.unique(np.concatenate(kept, axis=1), axis=1)
+            names, sides, share = (np.concatenate(k, axis=-1) for k in zip(*kept))
+            names, once = np.unique(names, axis=1, return_index=True)
+            names = alike(names, sides[:, once], share[once])[0]
             yield pa.RecordBatch.from_arrays([pa.array(names[0]), pa.array(names[1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -535,7 +562,7 @@ def near_duplicates(
         (1 - F.col("common") / F.col("either")).alias("distance"),
     )
     measured = open_.join(distance, ["pivot", "key"], "left").select(
-        "token", "pivot", "key", "n", "place", "component",
+        "token", "pivot", "key", "n", "place", "component", "pivot_component",
         # Pairs that a filter kept from being compared are less similar than t: farther than that.
         F.coalesce("distance", F.lit(1 - percent / 100)).alias("low"),
         F.coalesce("distance", F.lit(1.0)).alias("high"),
@@ -545,11 +572,24 @@ def near_duplicates(
     sketches = stored(
         members.select("key", "sketch").join(small_side(some), "key", "left_semi").dropDuplicates(["key"]), "sketches"
     )
-    between = _between(measured.join(small_side(sketches), "key", "left"), percent)
-    between = stored(between.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "between")
-    if not between.isEmpty():
-        links = links.union(_compared(between, texts, words).filter(similar).select("a", "b"))
-        labels = components(links, "links")
+
+    def between(rows: DataFrame, likely: int = 0) -> DataFrame:
+        sketched = rows.drop("pivot_component").join(small_side(sketches), "key", "left")
+        return _between(sketched, percent, likely)
+
+    # The likely ones first; if there are none, there are no pairs at all.
+    likely = stored(between(measured, LIKELY), "likely")
+    if not likely.isEmpty():
+        likely = stored(likely.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "third-pairs")
+        third = stored(_compared(likely, texts, words), "third-compared")
+        compared = compared.unionByName(third)
+        links = compared.filter(similar).select("a", "b")
+        labels = components(links, "third")
+        apart = _open_entries(_placed(measured.drop("component", "pivot_component"), labels), "apart")
+        rest = stored(between(apart).join(compared.select("a", "b"), ["a", "b"], "left_anti"), "between")
+        if not rest.isEmpty():
+            links = links.union(_compared(rest, texts, words).filter(similar).select("a", "b"))
+            labels = components(links, "links")
 
     # From classes of equal sets to documents.
     of_class = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(

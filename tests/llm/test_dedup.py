@@ -132,6 +132,35 @@ def test_near_copies_mostly_below_the_threshold(spark, monkeypatch, limits):
     assert components(jaccard_join.near_duplicates(docs)) == plain.sorted_rows(expected)
 
 
+def test_few_pairs_join_a_large_group(spark, monkeypatch):
+    """Sets that miss their pivot but not the others of their group cost a few pairs each, not one with every member."""
+    random.seed(29)
+    base = [f"b{k}" for k in range(300)]
+    rows = []
+    for doc_id in range(300):
+        text = list(base)
+        for at in random.sample(range(300), random.randint(1, 7)):
+            text[at] = f"n{random.randrange(10**6)}"
+        rows.append((doc_id, " ".join(text), "en", "a", 1))
+    compared, whole = [], jaccard_join._compared
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return whole(pairs, *more)
+
+    monkeypatch.setattr(jaccard_join, "_compared", counted)
+    found = components(jaccard_join.near_duplicates(spark.createDataFrame(rows, plain.DOCUMENTS)))
+    assert found == plain.sorted_rows(plain.jaccard([(r[0], r[1]) for r in rows]))
+    assert sum(compared) < 12 * len(rows), compared
+
+
+def test_most_alike_pairs_of_two_components():
+    sides = np.array([[1, 1, 2, 1, 1], [5, 5, 5, 5, 5]])
+    share = np.array([0.2, 0.4, 0.1, 0.5, 0.3])
+    assert sorted(jaccard_join._most_alike(sides, share, 2).tolist()) == [1, 2, 3]
+    assert len(jaccard_join._most_alike(sides[:, :0], share[:0], 2)) == 0
+
+
 def test_prefixes_lose_no_pair():
     """Any two similar sets share an index entry, whatever the frequent shingles are."""
     rng = np.random.default_rng(5)
