@@ -18,7 +18,7 @@ from fareline import words as W
 from fareline.functions import columns as C
 from fareline.operators import bronze, gold, profile, quality, silver
 from fareline.plans import pipeline
-from fareline.session import prepare, scratch_path
+from fareline.session import gathering, prepare, scratch_path
 from fareline.sources import landing, ledger, tables
 from fareline.sources.store import EVALUATED, REJECTED, Store
 from fareline.streaming.bronze_stream import refresh_bronze
@@ -57,9 +57,10 @@ class Built:
     def _land(self) -> None:
         # Rows of a month come from all over the join; they are brought together before writing by file.
         raw = standin.raw_trips(self.spark, self.sf_dir, by_month=True)
-        tables.overwrite(
-            raw, self.store.path("yellow_trips"), partition_by="_source_file", figures=pipeline.landing_figures()
-        )
+        with gathering(self.spark):
+            tables.overwrite(
+                raw, self.store.path("yellow_trips"), partition_by="_source_file", figures=pipeline.landing_figures()
+            )
         pipeline.put(self.store, "taxi_zones", standin.raw_zones(self.spark, self.sf_dir))
 
     def raw(self) -> Store:

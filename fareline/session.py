@@ -64,6 +64,23 @@ def sized_for(spark: SparkSession, stored_bytes: int, most: int = MOST_PARTITION
         spark.conf.set(setting, before)
 
 
+# What a task gathers of rows that are widened afterwards: a row of the landing table takes some twenty times
+# the bytes of the few columns it is derived from, and a task sorts them when it writes by file.
+NARROW_BYTES = 8 << 20
+
+
+@contextmanager
+def gathering(spark: SparkSession, size: int = NARROW_BYTES) -> Iterator[None]:
+    """Let tasks gather at most `size` exchanged bytes, for the steps inside."""
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the cluster names in `spark.checkpoint.dir`.
 

@@ -52,6 +52,21 @@ def test_query_equals_its_twin(spark, duck, name):
     assert kinds[0] == kinds[1]
 
 
+def test_landing_gathers_little_per_task(spark, monkeypatch):
+    """The exchanged columns are few and widened afterwards, so a task of the landing takes fewer bytes of them."""
+    setting, seen, whole = "spark.sql.adaptive.advisoryPartitionSizeInBytes", [], registered.tables.overwrite
+
+    def watched(*given, **more):
+        seen.append(spark.conf.get(setting))
+        return whole(*given, **more)
+
+    monkeypatch.setattr(registered.tables, "overwrite", watched)
+    before = spark.conf.get(setting)
+    landed = registered.Built(registered.prepare(spark), SF).raw()
+    assert int(seen[0]) <= 8 << 20 and spark.conf.get(setting) == before == "16m"
+    assert landed.read("yellow_trips").count() == registered.standin.raw_trips(spark, SF).count()
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
 
