@@ -4,8 +4,10 @@
    document that is alone in its group has no equal and is settled here.
 2. Only documents of groups with two or more members have their whole text hashed (SHA-256).
 3. The full hashes are counted with map-side combining, and the row to keep is a `max`, so a
-   group of any size never meets in one task; it is joined back on the hash, a join that
-   adaptive execution may split.
+   group of any size never meets in one task; it is joined back on the hash.
+
+Texts are not exchanged while the groups of a step are few (`common.small_side`): they go to the rows.
+Beyond that both joins exchange rows, and adaptive execution may split them.
 
 Only DataFrame functions are used.
 
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareline.llm.common import stored, table, text_or_empty
+from fareline.llm.common import small_side, stored, table, text_or_empty
 
 PREFIX_CHARS = 256
 
@@ -44,7 +46,7 @@ def exact_duplicates(
     keyed = rows.withColumns(
         {"length": F.octet_length(text), "prefix": F.xxhash64(F.substring(text, 1, prefix_chars))}
     )
-    # Written, so that the join below has a plain exchange on both sides and can be split.
+    # Written, so that its size is known, and a join that exchanges rows has plain exchanges and can be split.
     shared = stored(
         keyed.groupBy("length", "prefix").count().filter("count > 1").select(
             "length", "prefix", F.lit(True).alias("shared")
@@ -52,7 +54,7 @@ def exact_duplicates(
         "same-prefix",
     )
     hashed = F.sha2(text.cast("binary"), 256)
-    settled = keyed.join(shared.hint("shuffle_hash"), ["length", "prefix"], "left").select(
+    settled = keyed.join(small_side(shared), ["length", "prefix"], "left").select(
         "id",
         *(["row"] if carry else []),
         F.coalesce("shared", F.lit(False)).alias("shared"),
@@ -71,7 +73,7 @@ def exact_duplicates(
         *carried, "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "full_hash",
     )
-    compared = settled.filter("shared").join(groups, "full_hash").select(
+    compared = settled.filter("shared").join(small_side(groups), "full_hash").select(
         *carried, "id", F.col("top.id").alias("keep_id"), "group_size",
         (F.col("nth") == F.col("top.nth")).alias("kept"), "full_hash",
     )

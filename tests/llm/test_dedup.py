@@ -9,7 +9,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from fareline.llm import embedding_dedup, exact_dedup, jaccard_join, substring_dedup
+from fareline.llm import common, embedding_dedup, exact_dedup, jaccard_join, substring_dedup
 
 
 @pytest.mark.parametrize("clashing", [False, True])
@@ -41,6 +41,22 @@ def test_equal_prefix_and_length_is_not_equal(spark):
     assert {(r.id, r.keep_id, r.group_size) for r in found} == {(k, 6 + k % 3, 3) for k in range(9)}
 
 
+@pytest.mark.parametrize("few", [250_000, 0])
+def test_rows_of_exact_copies_stay_where_they_are_while_groups_are_few(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "SMALL_ROWS", few)
+    rows = [(k, "p" * 300 + str(k % 7 if k % 2 else k), "en", "a", 1) for k in range(60)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = exact_dedup.without_copies(spark.createDataFrame(rows, plain.DOCUMENTS).repartition(3))
+        exchanges = kept._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        found = plain.sorted_rows((r.doc_id, r.text) for r in kept.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    last = {r[1]: r[0] for r in rows}
+    assert found == plain.sorted_rows((i, t) for t, i in last.items())
+    assert (exchanges == 0) == (few > 0)
+
+
 def test_exact_copies_run_without_python(spark):
     plan = exact_dedup.exact_duplicates(plain.edge(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
