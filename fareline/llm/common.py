@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -38,6 +39,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_worker_caches: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A dict that an operator's tasks keep in their Python worker, until those of another one want the memory."""
+    _worker_caches.append({})
+    return _worker_caches[-1]
+
+
+def drop_caches() -> None:
+    """Free what earlier operators left in this worker, which outlives the step that filled it."""
+    if any(_worker_caches):
+        for cache in _worker_caches:
+            cache.clear()
+        gc.collect()  # a cache and its encoder refer to each other
+        pa.default_memory_pool().release_unused()
+
+
 SMALL_ROWS = 250_000
 
 
@@ -272,7 +291,7 @@ def unpacked(texts: pa.Array) -> pa.Array:
 
 # --- Words by name ---------------------------------------------------------------------
 
-_names: dict[str, int] = {}
+_names: dict[str, int] = worker_cache()
 MOST_NAMES = 500_000
 
 

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    SLICE_BYTES, bounded_batches, components, mixed, named_words, packed, small_side, stored,
+    SLICE_BYTES, bounded_batches, components, drop_caches, mixed, named_words, packed, small_side, stored,
     table, text_or_empty, text_slices,
 )
 
@@ -120,6 +120,7 @@ def _scan(rows: DataFrame, id_type: str, words: int) -> DataFrame:
     with `counted`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         held, size, id_kind = [], 0, None
 
         def counts() -> pa.RecordBatch:
@@ -206,6 +207,7 @@ def _index(rows: DataFrame, frequent, words: int, percent: int) -> DataFrame:
     """token, key, n, place; a batch gives equal sets once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         tokens, rank = frequent.value
         for batch in batches:
             texts, seen = batch.column(0), set()
@@ -279,6 +281,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int, split: int = 512)
     """a, b, common, either of each pair (a, b); `texts` has key and packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         pivot, last, seen = None, None, None
         for batch in batches:
             a, part, member, key = (batch.column(k).to_numpy() for k in range(4))
@@ -434,6 +437,7 @@ def _between(groups: DataFrame, percent: int, likely: int = 0) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(names[0]), pa.array(names[1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:

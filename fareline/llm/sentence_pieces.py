@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fareline.llm.common import (
-    PieceCache, bounded_batches, encode_texts, flattened, strings, table, text_or_empty,
+    PieceCache, bounded_batches, encode_texts, flattened, strings, table, text_or_empty, worker_cache,
 )
 
 MARK = "▁"
 LONG_CHUNK = 64
-_models: dict[int, "Model"] = {}
+_models: dict[int, "Model"] = worker_cache()
 
 
 class Model:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
-from fareline.llm.common import PieceCache, bounded_batches, encode_words, flattened, table, text_or_empty
+from fareline.llm.common import PieceCache, bounded_batches, encode_words, flattened, table, text_or_empty, worker_cache
 from fareline.session import scratch_path
 
 END_ID = 1
@@ -53,7 +53,7 @@ _LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _STOPS[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 WORD_END = "</w>"
 JOINED = 2_000
-_caches: dict[int, PieceCache] = {}
+_caches: dict[int, PieceCache] = worker_cache()
 
 
 class Words:

@@ -356,3 +356,18 @@ def test_token_files_are_pruned_by_id(spark):
     assert "EqualTo(doc_id,7)" in one._jdf.queryExecution().toString() and one.count() == 1
     files = spark.read.format("binaryFile").load(path).filter("path LIKE '%.orc'").collect()
     assert files and all(bytes(f.content[:3]) == b"ORC" for f in files)
+
+
+def test_workers_forget_what_other_operators_kept():
+    """Python workers outlive a step; the next one's tasks free the caches that are not theirs."""
+    from fareline.llm import common
+
+    with open(PIECES, "rb") as file:
+        proto = file.read()
+    first = list(sentence_pieces.model_of(proto).encode(["some words"]))
+    common.names(["some", "words"])
+    assert sentence_pieces._models and common._names
+    common.drop_caches()
+    assert not sentence_pieces._models and not common._names
+    again = list(sentence_pieces.model_of(proto).encode(["some words"]))
+    assert [[a.tolist() for a in s] for s in first] == [[a.tolist() for a in s] for s in again]
