@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,10 +49,11 @@ def worker_cache() -> dict:
     return _worker_caches[-1]
 
 
-def drop_caches() -> None:
-    """Free what earlier operators left in this worker, which outlives the step that filled it."""
-    if any(_worker_caches):
-        for cache in _worker_caches:
+def drop_caches(keep: dict | None = None) -> None:
+    """Free what earlier operators left in this worker, which outlives the step that filled it; `keep` stays."""
+    others = [cache for cache in _worker_caches if cache and cache is not keep]
+    if others:
+        for cache in others:
             cache.clear()
         gc.collect()  # a cache and its encoder refer to each other
         pa.default_memory_pool().release_unused()
@@ -131,18 +133,24 @@ class _Pieces:
         self.used += len(flat)
         self.row.update(zip(pieces, range(first, last)))
 
-    def get(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.fromiter(map(self.row.__getitem__, pieces), np.int64, len(pieces))
+    def find(self, pieces: list[str]) -> np.ndarray:
+        """The row of each piece, -1 where there is none."""
+        return np.fromiter(map(self.row.get, pieces, repeat(-1)), np.int64, len(pieces))
+
+    def get(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self.lengths[rows]
         return gather(self.ids, self.starts[rows], lengths), lengths
 
 
+NEW_PIECES = 50_000
+
+
 class PieceCache:
     """Ids of text pieces, kept per Python worker in two generations of `limit` / 2 pieces.
 
     Pieces are found in the young generation, or move there from the old one. When the young one
-    is full it becomes the old one, and what has not been used since goes.
-    `encode_many` takes a list of distinct pieces and returns them in any order, with all their
+    is full it becomes the old one, and what has not been used since goes. New pieces are encoded
+    `NEW_PIECES` at a time. `encode_many` takes a list of distinct pieces and returns them in any order, with all their
     ids in that order and the number of ids of each.
     """
 
@@ -156,17 +164,22 @@ class PieceCache:
         """All ids one after another, and the number of ids of each piece."""
         if not pieces:
             return np.empty(0, np.int32), np.empty(0, np.int64)
-        missing = set(pieces).difference(self.young.row)
-        if missing and len(self.young.row) + len(missing) > self.limit // 2:
-            self.young, self.old = _Pieces(), self.young
-            missing = set(pieces)
-        known = [p for p in missing if p in self.old.row]
-        if known:
-            self.young.add(known, *self.old.get(known))
-            missing.difference_update(known)
-        if missing:
-            self.young.add(*self.encode_many(list(missing)))
-        return self.young.get(pieces)
+        rows = self.young.find(pieces)
+        absent = np.flatnonzero(rows < 0)
+        if len(absent):
+            missing = dict.fromkeys(pieces[k] for k in absent.tolist())
+            if len(self.young.row) + len(missing) > self.limit // 2:
+                self.young, self.old = _Pieces(), self.young
+                absent, missing = np.arange(len(pieces)), dict.fromkeys(pieces)
+            wanted = list(missing)
+            before = self.old.find(wanted)
+            known = np.flatnonzero(before >= 0)
+            self.young.add([wanted[k] for k in known.tolist()], *self.old.get(before[known]))
+            new = [wanted[k] for k in np.flatnonzero(before < 0).tolist()]
+            for begin in range(0, len(new), NEW_PIECES):
+                self.young.add(*self.encode_many(new[begin : begin + NEW_PIECES]))
+            rows[absent] = self.young.find([pieces[k] for k in absent.tolist()])
+        return self.young.get(rows)
 
 
 def flattened(pieces: list[str], encoded: list[list[int]]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -234,9 +247,10 @@ def encode_words(
             extra = np.flatnonzero(inside)
             starts, ends = _merged(starts, extra, len(part)), _merged(ends, extra, len(part))
             offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
-            packed = gather(part, starts, ends - starts)
+            packed = part[~_SPACES[part]]
             words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(packed)).dictionary_encode()
-            ids, lengths = cache(words.dictionary.to_pylist())
+            # Through NumPy, as to_pylist makes a scalar of every word.
+            ids, lengths = cache(words.dictionary.to_numpy(zero_copy_only=False).tolist())
             which = words.indices.to_numpy()
             found.append(gather(ids, (np.cumsum(lengths) - lengths)[which], lengths[which]))
             owner = np.searchsorted(edges, starts + at, "right") - 1

@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import plain
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -371,3 +372,28 @@ def test_workers_forget_what_other_operators_kept():
     assert not sentence_pieces._models and not common._names
     again = list(sentence_pieces.model_of(proto).encode(["some words"]))
     assert [[a.tolist() for a in s] for s in first] == [[a.tolist() for a in s] for s in again]
+
+
+def test_a_cache_looks_known_pieces_up_once():
+    """A lookup hashes a known piece once; results stay right over generations, repeats included."""
+    from fareline.llm import common
+
+    class Piece(str):
+        hashed = 0
+
+        def __hash__(self):
+            Piece.hashed += 1
+            return str.__hash__(self)
+
+    def many(pieces):
+        return common.flattened(pieces, [[len(p), ord(p[0])] for p in pieces])
+
+    cache = common.PieceCache(many, limit=40)
+    cache(["a", "bb", "a"])
+    ids, lengths = cache([Piece("bb"), Piece("a")])
+    assert ids.tolist() == [2, 98, 1, 97] and lengths.tolist() == [2, 2] and Piece.hashed == 2
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        pieces = [chr(97 + k) * (k % 5 + 1) for k in rng.integers(0, 26, 30).tolist()]
+        ids, lengths = cache(pieces)
+        assert ids.tolist() == [i for p in pieces for i in (len(p), ord(p[0]))] and set(lengths.tolist()) == {2}
