@@ -49,8 +49,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    SLICE_BYTES, bounded_batches, components, drop_caches, mixed, named_words, packed, small_side, stored,
-    table, text_or_empty, text_slices,
+    SLICE_BYTES, bounded_batches, components, mixed, named_words, packed, small_side, stored,
+    table, text_or_empty, text_slices, tidy,
 )
 
 WORDS = 5
@@ -120,7 +120,6 @@ def _scan(rows: DataFrame, id_type: str, words: int) -> DataFrame:
     with `counted`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_caches()
         held, size, id_kind = [], 0, None
 
         def counts() -> pa.RecordBatch:
@@ -156,7 +155,7 @@ def _scan(rows: DataFrame, id_type: str, words: int) -> DataFrame:
         if size:
             yield counts()
 
-    return rows.mapInArrow(run, f"id {id_type}, k1 long, k2 long, n long, key long, check long, counted boolean, sketch binary")
+    return rows.mapInArrow(tidy(run), f"id {id_type}, k1 long, k2 long, n long, key long, check long, counted boolean, sketch binary")
 
 
 # --- Second scan: the index -------------------------------------------------------------
@@ -207,7 +206,6 @@ def _index(rows: DataFrame, frequent, words: int, percent: int) -> DataFrame:
     """token, key, n, place; a batch gives equal sets once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_caches()
         tokens, rank = frequent.value
         for batch in batches:
             texts, seen = batch.column(0), set()
@@ -231,7 +229,7 @@ def _index(rows: DataFrame, frequent, words: int, percent: int) -> DataFrame:
                     names=["token", "key", "n", "place"],
                 )
 
-    return rows.mapInArrow(run, "token long, key long, n int, place int")
+    return rows.mapInArrow(tidy(run), "token long, key long, n int, place int")
 
 
 def _with_pivots(index: DataFrame) -> DataFrame:
@@ -264,7 +262,7 @@ def _with_pivots(index: DataFrame) -> DataFrame:
                 )
 
     fields = "token long, key long, n int, place int, pivot long, pivot_n int, pivot_place int"
-    return index.repartition("token").sortWithinPartitions("token", "key").mapInArrow(run, fields)
+    return index.repartition("token").sortWithinPartitions("token", "key").mapInArrow(tidy(run), fields)
 
 
 def _possible(n, place, other_n, other_place, percent: int):
@@ -281,7 +279,6 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int, split: int = 512)
     """a, b, common, either of each pair (a, b); `texts` has key and packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_caches()
         pivot, last, seen = None, None, None
         for batch in batches:
             a, part, member, key = (batch.column(k).to_numpy() for k in range(4))
@@ -322,7 +319,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int, split: int = 512)
     together = texts.join(small_side(moved), "key").select("a", "part", "member", "key", "packed")
     return (
         together.repartition("a", "part").sortWithinPartitions("a", "part", "member", "key")
-        .mapInArrow(run, "a long, b long, common long, either long")
+        .mapInArrow(tidy(run), "a long, b long, common long, either long")
     )
 
 
@@ -437,7 +434,6 @@ def _between(groups: DataFrame, percent: int, likely: int = 0) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(names[0]), pa.array(names[1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_caches()
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
@@ -461,7 +457,7 @@ def _between(groups: DataFrame, percent: int, likely: int = 0) -> DataFrame:
     )
     return (
         ordered.repartition("part").sortWithinPartitions("part", "token", "component")
-        .mapInArrow(run, "a long, b long").distinct()
+        .mapInArrow(tidy(run), "a long, b long").distinct()
     )
 
 

@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    LOWER, bounded_batches, drop_caches, mixed, named_words, strings, table, text_bytes,
-    text_or_empty, text_slices, word_names, word_places,
+    LOWER, bounded_batches, mixed, named_words, strings, table, text_bytes,
+    text_or_empty, text_slices, tidy, word_names, word_places,
 )
 
 BITS = 16
@@ -211,7 +211,6 @@ def _mapped(rows: DataFrame, text: int, make, schema: str) -> DataFrame:
     """Rows with the arrays that `make` gives for each slice in place of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_caches()
         for batch in batches:
             texts = batch.column(text)
             for begin, end in text_slices(texts, SLICE):
@@ -222,7 +221,7 @@ def _mapped(rows: DataFrame, text: int, make, schema: str) -> DataFrame:
                     names=[*batch.schema.names[:text], *arrays, *batch.schema.names[text + 1 :]],
                 )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def train(rows: DataFrame) -> dict:

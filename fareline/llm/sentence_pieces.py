@@ -9,7 +9,8 @@ neighbours is a piece; symbols that are no piece fall back to bytes. Two forms o
 
 No piece holds a space mark behind another character (checked when a model is loaded), and
 characters that are in no longer piece never merge, so a text falls into chunks that merge
-independently: marks and the word behind them. Distinct chunks are merged once per worker, and
+independently: marks and the word behind them. Texts are cut with spaces in place of marks, as
+strings without marks take less memory. Distinct chunks are merged once per worker, and
 each is compared with the library's own encoding there, in batches, before it is used; a
 difference stops the job. Decoding is the library's.
 
@@ -30,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fareline.llm.common import (
-    PieceCache, bounded_batches, encode_texts, flattened, strings, table, text_or_empty, worker_cache,
+    SLICE_BYTES, PieceCache, bounded_batches, encode_texts, flattened, strings, table, text_or_empty,
+    text_slices, tidy, worker_cache,
 )
 
 MARK = "▁"
@@ -78,9 +80,11 @@ class Model:
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p in self.id_of))
         self.alone = alone[:1]
         stop = re.escape(alone)
-        self.chunks = re.compile(f"[{stop}]|{MARK}*[^{MARK}{stop}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.cut_at = re.compile(f"(?<=[^{MARK}]){MARK}")
-        self.cache = PieceCache(lambda chunks: flattened(chunks, self.encode_chunks(chunks)))
+        self.chunks = re.compile(f"[{stop}]| *[^ {stop}]+| +" if alone else " *[^ ]+| +")
+        self.cut_at = re.compile("(?<=[^ ]) ")
+        self.cache = PieceCache(
+            lambda chunks: flattened(chunks, self.encode_chunks([c.replace(" ", MARK) for c in chunks]))
+        )
 
     def symbols(self, chunk: str) -> list[int]:
         """One number per character: its piece id, or size + code point."""
@@ -199,8 +203,8 @@ class Model:
     def encode(self, texts: list[str]) -> Iterator[list[np.ndarray]]:
         """Ids of whole texts with begin and end ids, for a bounded slice of texts at a time."""
         head, tail = np.array([self.begin], np.int32), np.array([self.end], np.int32)
-        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
-        for ids in encode_texts(marked, self.chunks, self.cut_at, self.cache):
+        spaced = [" " + t.replace(MARK, " ") if t else "" for t in texts]
+        for ids in encode_texts(spaced, self.chunks, self.cut_at, self.cache):
             yield [np.concatenate([head, own, tail]) for own in ids]
 
 
@@ -211,6 +215,15 @@ def model_of(proto: bytes) -> Model:
     return _models[key]
 
 
+def encoded_batch(model: Model, texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Where a bounded slice of texts begins, and the ids of its texts; only the slice is held as strings."""
+    for begin, end in text_slices(texts, SLICE_BYTES // 4):
+        at = begin
+        for ids in model.encode(strings(texts.slice(begin, end - begin))):
+            yield at, ids
+            at += len(ids)
+
+
 def encode(
     docs: DataFrame, model_file: str, text_col: str = "text", ids_as: str = "piece_ids"
 ) -> DataFrame:
@@ -274,18 +287,16 @@ def _mapped(docs: DataFrame, model_file: str, text_col: str, fields: str, make)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(proto.value)
         for batch in batches:
-            at, texts = 0, strings(batch.column(batch.num_columns - 1))
-            for ids in model.encode(texts):
+            for at, ids in encoded_batch(model, batch.column(batch.num_columns - 1)):
                 own = batch.slice(at, len(ids))
                 yield pa.RecordBatch.from_arrays(
                     [*own.columns[:-1], *make(model, ids)], names=[*batch.schema.names[:-1], *names]
                 )
-                at += len(ids)
 
     from pyspark.sql.types import StructType, _parse_datatype_string
 
     schema = StructType([*docs.schema.fields, *_parse_datatype_string(fields).fields])
-    return docs.select("*", text_or_empty(text_col).alias("_whole_text")).mapInArrow(run, schema)
+    return docs.select("*", text_or_empty(text_col).alias("_whole_text")).mapInArrow(tidy(run, keep=_models), schema)
 
 
 def op9_sentence_pieces(spark, sf_dir: str) -> DataFrame:

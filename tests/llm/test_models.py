@@ -374,6 +374,39 @@ def test_workers_forget_what_other_operators_kept():
     assert [[a.tolist() for a in s] for s in first] == [[a.tolist() for a in s] for s in again]
 
 
+def test_tasks_leave_their_worker_without_free_memory(monkeypatch):
+    """A task begins without the caches of other operators but with its own, and gives free memory back."""
+    from fareline.llm import common
+
+    with open(PIECES, "rb") as file:
+        model = sentence_pieces.model_of(file.read())
+    common.names(["some", "words"])
+    released = []
+    monkeypatch.setattr(common, "release", lambda: released.append(True))
+    found = common.tidy(lambda batches: (b for b in batches), keep=sentence_pieces._models)(iter([1, 2]))
+    assert next(found) == 1 and not released
+    assert model in sentence_pieces._models.values() and not common._names
+    found.close()
+    assert released == [True]  # also if the task ends before its rows do
+
+
+def test_pieces_hold_a_bounded_slice_of_a_batch(monkeypatch):
+    """Of a batch of long texts only a slice becomes strings, and few new chunks are encoded at once."""
+    from fareline.llm import common
+
+    with open(PIECES, "rb") as file:
+        model = sentence_pieces.Model(file.read())
+    texts = [" ".join(f"w{k}x{i}" for i in range(20_000)) for k in range(16)]
+    sizes, news, whole, encode_chunks = [], [], common.strings, model.encode_chunks
+    monkeypatch.setattr(sentence_pieces, "strings", lambda c: sizes.append(c.nbytes) or whole(c))
+    monkeypatch.setattr(model, "encode_chunks", lambda c: news.append(len(c)) or encode_chunks(c))
+    monkeypatch.setattr(common, "NEW_PIECES", 5_000)
+    found = [ids for _, some in sentence_pieces.encoded_batch(model, pa.array(texts)) for ids in some]
+    assert max(sizes) < 2_000_000 and max(news) <= 5_000
+    for text, ids in zip(texts, found, strict=True):
+        assert ids.tolist() == model.library.encode(text, add_bos=True, add_eos=True)
+
+
 def test_a_cache_looks_known_pieces_up_once():
     """A lookup hashes a known piece once; results stay right over generations, repeats included."""
     from fareline.llm import common
