@@ -91,9 +91,9 @@ def small_side(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= SMALL_ROWS else rows.hint("shuffle_hash")
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Limit the Arrow batches sent to Python by bytes, so that long texts don't add up."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def text_or_empty(name: str) -> Column:

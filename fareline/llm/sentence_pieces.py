@@ -276,7 +276,8 @@ def _digests(model: Model, ids: list[np.ndarray]) -> list[pa.Array]:
 
 def _mapped(docs: DataFrame, model_file: str, text_col: str, fields: str, make) -> DataFrame:
     """`docs` with the columns that `make` computes from the ids, a batch at a time."""
-    bounded_batches(docs.sparkSession)
+    # The JVM holds a batch in both directions beside the worker's; a few slices are enough.
+    bounded_batches(docs.sparkSession, 2 * SLICE_BYTES)
     with open(model_file, "rb") as file:
         proto = docs.sparkSession.sparkContext.broadcast(file.read())
     names = [f.split()[0] for f in fields.split(", ")]
