@@ -91,6 +91,22 @@ def small_side(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= SMALL_ROWS else rows.hint("shuffle_hash")
 
 
+def staying(named: DataFrame, names: DataFrame) -> DataFrame:
+    """The structs `row` of `named`, with their fields as columns, without those whose `name` leaves.
+
+    `names` has id (a name), leave, rows; of several rows with one name one stays. Names it lacks
+    stay with all rows. Only names that leave or repeat are written, no row is.
+    """
+    changed = stored(names.filter(F.col("leave") | (F.col("rows") > 1)).select("id", "leave"), "not-as-they-are")
+    same = F.col("name") == F.col("changed.id")
+    stay = named.join(small_side(changed).alias("changed"), same, "left_anti")
+    several = changed.filter("not leave")
+    if not several.isEmpty():
+        once = named.join(small_side(several).alias("changed"), same, "left_semi").dropDuplicates(["name"])
+        stay = stay.unionByName(once)
+    return stay.select("row.*")
+
+
 def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Limit the Arrow batches sent to Python by bytes, so that long texts don't add up."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

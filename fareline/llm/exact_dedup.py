@@ -9,6 +9,7 @@
 Texts are not exchanged while the groups of a step are few (`common.small_side`): they go to the rows.
 Beyond that both joins exchange rows, and adaptive execution may split them.
 
+Whole rows are never written: `without_copies` looks up those that go while it reads the input again.
 Only DataFrame functions are used.
 
 Defined results: a null text counts as an empty one. Of equal texts the row with the largest
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareline.llm.common import small_side, stored, table, text_or_empty
+from fareline.llm.common import small_side, staying, stored, table, text_or_empty
 
 PREFIX_CHARS = 256
 
@@ -31,18 +32,14 @@ def exact_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     prefix_chars: int = PREFIX_CHARS,
-    carry: bool = False,
     digest_all: bool = False,
 ) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, full_hash.
 
-    `carry` adds the input row as struct `row`. `full_hash` is null for documents settled by
+    `full_hash` is null for documents settled by
     length and prefix, unless `digest_all` asks for the digest of every text.
     """
-    whole = F.struct("*").alias("row") if carry else text_or_empty(text_col).alias("text")
-    rows = docs.select(F.col(id_col).alias("id"), whole)
-    # With the row carried, its text is moved once, inside of it.
-    text = F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")) if carry else F.col("text")
+    rows, text = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")), F.col("text")
     keyed = rows.withColumns(
         {"length": F.octet_length(text), "prefix": F.xxhash64(F.substring(text, 1, prefix_chars))}
     )
@@ -56,7 +53,6 @@ def exact_duplicates(
     hashed = F.sha2(text.cast("binary"), 256)
     settled = keyed.join(small_side(shared), ["length", "prefix"], "left").select(
         "id",
-        *(["row"] if carry else []),
         F.coalesce("shared", F.lit(False)).alias("shared"),
         (hashed if digest_all else F.when(F.col("shared"), hashed)).alias("full_hash"),
         F.monotonically_increasing_id().alias("nth"),
@@ -68,21 +64,31 @@ def exact_duplicates(
         ),
         "same-text",
     )
-    carried = ["row"] if carry else []
     alone = settled.filter("not shared").select(
-        *carried, "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+        "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "full_hash",
     )
     compared = settled.filter("shared").join(small_side(groups), "full_hash").select(
-        *carried, "id", F.col("top.id").alias("keep_id"), "group_size",
+        "id", F.col("top.id").alias("keep_id"), "group_size",
         (F.col("nth") == F.col("top.nth")).alias("kept"), "full_hash",
     )
     return alone.unionByName(compared)
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the columns of the input."""
-    return exact_duplicates(docs, id_col, text_col, carry=True).filter("kept").select("row.*")
+    """The rows that stay, with the columns of the input, which is read once more for them.
+
+    A row goes by its id and the digest of its text, so that no whole row is written.
+    """
+    named = docs.select(
+        F.struct("*").alias("row"),
+        F.struct(F.col(id_col).alias("id"), F.sha2(text_or_empty(text_col).cast("binary"), 256).alias("hash")).alias("name"),
+    )
+    found = exact_duplicates(docs, id_col, text_col).filter("full_hash IS NOT NULL")
+    names = found.groupBy(F.struct("id", F.col("full_hash").alias("hash")).alias("id")).agg(
+        (~F.max("kept")).alias("leave"), F.count("*").alias("rows")
+    )
+    return staying(named, names)
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    SLICE_BYTES, bounded_batches, components, mixed, named_words, packed, small_side, stored,
+    SLICE_BYTES, bounded_batches, components, mixed, named_words, packed, small_side, staying, stored,
     table, text_or_empty, text_slices, tidy,
 )
 
@@ -605,20 +605,25 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row with the smallest id of every component, with the columns of the input."""
-    numbered = stored(
-        docs.select(
-            F.struct("*").alias("row"),
-            F.struct(
-                F.col(id_col).isNull().alias("lacks"), F.col(id_col).alias("id"),
-                F.monotonically_increasing_id().alias("nth"),
-            ).alias("name"),
-        ),
-        "numbered",
+    """The row with the smallest id of every component, with the columns of the input.
+
+    A row goes by its id and the hash of its text, so no whole row is written: those that go are
+    looked up while the input is read once more. Of rows equal in id and text one stays, unless
+    the text has no words; rows of a component with one id are told by the hash.
+    """
+    named = docs.select(
+        F.struct("*").alias("row"),
+        F.struct(
+            F.col(id_col).isNull().alias("lacks"), F.col(id_col).alias("id"),
+            F.xxhash64(text_or_empty(text_col)).alias("hash"),
+        ).alias("name"),
+    )
+    found = near_duplicates(named.select("name", F.col("row")[text_col].alias("text")), "name", "text")
+    names = found.filter("n_shingles > 0").groupBy("id").agg(
+        F.first("component_id").alias("component_id"), F.count("*").alias("rows")
     )
-    found = near_duplicates(numbered.select("name", F.col("row")[text_col].alias("text")), "name", "text")
-    stay = found.filter(F.col("id.nth") == F.col("component_id.nth")).select(F.col("id.nth").alias("nth"))
-    return numbered.join(stay, F.col("name.nth") == F.col("nth"), "left_semi").select("row.*")
+    leave = F.col("id") != F.col("component_id")
+    return staying(named, names.select("id", leave.alias("leave"), "rows"))
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -57,6 +57,18 @@ def test_rows_of_exact_copies_stay_where_they_are_while_groups_are_few(spark, mo
     assert (exchanges == 0) == (few > 0)
 
 
+def test_exact_copies_write_no_whole_row(spark, monkeypatch):
+    """Rows that stay come from the input; equal rows and null ids included."""
+    written = []
+    for module in (exact_dedup, common):
+        monkeypatch.setattr(module, "stored", lambda df, name, store=module.stored: written.append(df.schema.json()) or store(df, name))
+    rows = [(3, "x", "a"), (3, "x", "a"), (1, "x", "b"), (None, "y", "c"), (None, "y", "c"), (5, "", "d"), (6, None, "e"), (7, "z", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, payload string").repartition(3)
+    kept = exact_dedup.without_copies(docs).collect()
+    assert plain.sorted_rows(map(tuple, kept)) == plain.sorted_rows([(3, "x", "a"), (None, "y", "c"), (6, None, "e"), (7, "z", None)])
+    assert written and not any("payload" in schema for schema in written)
+
+
 def test_exact_copies_run_without_python(spark):
     plan = exact_dedup.exact_duplicates(plain.edge(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
@@ -92,6 +104,23 @@ def test_near_copies_of_odd_rows(spark, clashing):
     assert set(ids) == {0, 1, 2, 3, 5, 6, 9, 11, 12, 13} and len(ids) == 10
 
 
+def test_near_copies_write_no_whole_row(spark, monkeypatch):
+    """Rows that stay come from the input; equal rows, null ids and texts without words included."""
+    written = []
+    for module in (jaccard_join, common):
+        monkeypatch.setattr(module, "stored", lambda df, name, store=module.stored: written.append(df.schema.json()) or store(df, name))
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(3, text, "a"), (3, text, "a"), (3, text, "b"), (4, text + " more", "c"), (None, text, "d"),
+            (None, "one alone", "e"), (None, "one alone", "e"), (7, None, "f"), (7, "", "f"), (7, None, "f"), (9, "other", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, payload string").repartition(3)
+    kept = [tuple(r) for r in jaccard_join.one_of_each(docs).collect()]
+    assert len(kept) == 6 and all(k in rows for k in kept)
+    assert plain.sorted_rows((i, t) for i, t, _ in kept) == plain.sorted_rows(
+        [(3, text), (None, "one alone"), (7, None), (7, ""), (7, None), (9, "other")]
+    )
+    assert written and not any("payload" in schema for schema in written)
+
+
 def test_near_copies_of_all_documents(spark):
     docs = plain.sample(spark)
     assert components(jaccard_join.near_duplicates(docs)) == plain.sorted_rows(plain.jaccard(plain.pairs(docs)))
