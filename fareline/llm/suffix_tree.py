@@ -2,14 +2,17 @@
 
 Growing. Every string of 1 to `DEPTH + 1` words of the training documents is counted, however
 rare: a passage has the same evidence in a small corpus and in a large one. Blocks (see below)
-deal out their distinct strings by name; the sums go back to the blocks for strings that several
-blocks have. No list of strings passes the driver or is broadcast.
+deal out the names of their distinct strings in parts by name; the sums go back to the blocks for
+strings that several blocks have. A block sends a part as one row and finds the answer's places by
+their order, so places do not travel, and lengths go one after another, so that the exchange of
+one is dropped before the next. No list of strings passes the driver or is broadcast.
 
 Retaining. Strings of up to `DEPTH` words are candidate contexts. A context stays if its
 divergence from its suffix (the context without its first word), the sum over next words of
 n * ln(P(w | context) / P(w | suffix)), reaches `LEAST_GAIN`, or if a longer retained context
 ends with it. A block that knows the counts of its strings has its share of every sum; it
-decides alone about contexts that no other block has, the others are summed by name.
+decides alone about contexts that no other block has, the others are summed by name, long ones
+first, as each that stays keeps its suffix.
 
 Next words. The root is the smoothed word distribution (c + 0.5) / (N + 0.5 (V + 1)). A context
 s gives P(w | s) = (n(s w) + MASS * P(w | suffix of s)) / (n(s) + MASS), with n(s) the count of
@@ -38,17 +41,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    bounded_batches, mixed, named_words, stored, table, text_or_empty, text_slices,
+    bounded_batches, mixed, named_words, release, stored, table, text_or_empty, text_slices, tidy,
 )
 
 DEPTH = 3
@@ -56,8 +59,10 @@ P_MIN = 0.0  # every string counts
 LEAST_GAIN = 8.0
 MASS = 4.0
 FOLDS, HELD_OUT = 5, 1
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 500_000
 SLICE_TOKENS = 200_000
+PART_TOKENS = 2_000_000
+COUNTED_TOGETHER = ((1, 2), (3,), (4,))  # lengths whose names are on the disk at the same time
 WORD_BITS = 31  # room for the number of a word, frequent or of one block
 
 END = np.int64(np.uint64(xxhash.xxh3_64_intdigest(b"\n")).view(np.int64))  # the name of no word but by a clash
@@ -172,7 +177,8 @@ def _blocks(rows: DataFrame, id_type: str) -> DataFrame:
             [
                 pa.array([number], pa.int64()), whole(pa.concat_arrays([h[0] for h in held])),
                 whole(pa.concat_arrays([h[1] for h in held])), whole(pa.array(sizes)),
-                whole(pa.array(words[order])), pa.array([zstandard.compress(rank[place].tobytes(), 1)], pa.binary()),
+                whole(pa.array(words[order])),
+                pa.array([_planes(rank[place])], pa.binary()),
             ],
             names=["block", "ids", "held_out", "sizes", "words", "tokens"],
         )
@@ -195,7 +201,12 @@ def _blocks(rows: DataFrame, id_type: str) -> DataFrame:
         f"block long, ids array<{id_type}>, held_out array<boolean>, sizes array<int>, "
         "words array<long>, tokens binary"
     )
-    return rows.select("id", "held_out", "text").mapInArrow(run, fields)
+    return rows.select("id", "held_out", "text").mapInArrow(tidy(run), fields)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit numbers, byte by byte of each."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def _unpacked(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, Block]]:
@@ -203,7 +214,8 @@ def _unpacked(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, Block]]:
         row = [batch.column(c)[k] for c in range(6)]
         yield row[0].as_py(), Block(
             row[1].values, row[2].values.to_numpy(zero_copy_only=False), row[3].values.to_numpy().astype(np.int64),
-            row[4].values.to_numpy(), np.frombuffer(zstandard.decompress(row[5].as_buffer()), np.int32),
+            row[4].values.to_numpy(),
+            np.frombuffer(zstandard.decompress(row[5].as_buffer()), np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel(),
         )
 
 
@@ -288,7 +300,11 @@ def retain(levels: list[Strings], n: int, v: int, least_gain: float) -> None:
 def probabilities(levels: list[Strings], words: np.ndarray, sizes: np.ndarray, base: np.ndarray) -> np.ndarray:
     """Of each token, from its number as a frequent word and its base probability."""
     first = firsts(sizes)
-    numbers = numbered(levels, words, first)
+    return _smoothed(levels, numbered(levels, words, first), first, base)
+
+
+def _smoothed(levels: list[Strings], numbers: list[np.ndarray], first: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Of each token, from the numbers of the strings that end at it."""
     out = base.copy()
     place = np.flatnonzero(~first)
     for contexts, pairs, context, pair in zip(levels, levels[1:], numbers, numbers[1:]):
@@ -308,142 +324,201 @@ def probabilities(levels: list[Strings], words: np.ndarray, sizes: np.ndarray, b
 
 @dataclass
 class Own:
-    """The strings of one block: numbers, names and training counts by length."""
+    """The strings of one block by length: names, training counts, and the number that ends at each token."""
 
     levels: list[Strings]
     names: list[np.ndarray]
     counts: list[np.ndarray]
-    edges: np.ndarray  # where each length begins when the strings are numbered through
+    numbers: list[np.ndarray]
 
 
 def own_strings(block: Block, depth: int) -> Own:
     words, first = block.tokens.astype(np.int64), firsts(block.sizes)
     train = ~np.repeat(block.held_out, block.sizes)
+    # Numbers within a block are 32 bits wide.
     none = np.zeros(len(block.words), np.int64)
     levels, names = [Strings(np.arange(len(block.words)), none, none)], [block.words.view(np.uint64)]
-    counts, numbers = [np.bincount(words[train], minlength=len(block.words))], words
+    counts, numbers = [np.bincount(words[train], minlength=len(block.words))], [block.tokens]
     for _ in range(depth):
-        at = candidates(numbers, words, first)
-        keys, where, number = np.unique(
-            numbers[at - 1] << WORD_BITS | words[at], return_index=True, return_inverse=True
-        )
-        levels.append(Strings(keys, np.zeros(len(keys), np.int64), numbers[at[where]]))
+        at = candidates(numbers[-1], words, first)
+        # Numbered by first appearance, the same in every step.
+        number, keys = pd.factorize(numbers[-1][at - 1].astype(np.int64) << WORD_BITS | words[at])
+        where = np.empty(len(keys), np.int64)
+        where[number] = at
+        levels.append(Strings(keys, none[:0], numbers[-1][where]))
         names.append(mixed(names[-1][keys >> WORD_BITS], names[0][keys & ((1 << WORD_BITS) - 1)]))
-        counts.append(np.bincount(number[train[at]], minlength=len(keys)))
-        numbers = np.full(len(words), -1)
-        numbers[at] = number
-    return Own(levels, names, counts, np.cumsum([0, *map(len, names)]))
+        counts.append(np.bincount(number[train[at]], minlength=len(keys)).astype(np.int32))
+        numbers.append(np.full(len(words), -1, np.int32))
+        numbers[-1][at] = number
+    return Own(levels, names, counts, numbers)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Counts, mostly small."""
+    large = values[values >= 255].astype(np.int64)
+    small = np.minimum(values, 255).astype(np.uint8)
+    return zstandard.compress(np.int64(len(small)).tobytes() + small.tobytes() + large.tobytes(), 1)
+
+
+def _counts(packed: pa.Buffer) -> np.ndarray:
+    raw = zstandard.decompress(packed)
+    size = 8 + int(np.frombuffer(raw, np.int64, 1)[0])
+    values = np.frombuffer(raw, np.uint8, size - 8, 8).astype(np.int64)
+    values[values == 255] = np.frombuffer(raw[size:], np.int64)
+    return values
+
+
+def _dealt(names: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the names part by part, and the number of names of each part."""
+    part = (names >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    # NumPy sorts 16 bits by counting.
+    order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.uint32), kind="stable")
+    return order, np.bincount(part.astype(np.int64), minlength=parts)
+
+
+ASKED = "block long, length int, part int, names binary, amounts binary"
+TOLD = "block long, length int, part int, mark boolean, told binary"
+
+
+def _asking(number: int, length: int, names: np.ndarray, amounts: np.ndarray, parts: int, pack) -> pa.Table:
+    """A row for each part that the block has names of: these and their amounts."""
+    order, sizes = _dealt(names, parts)
+    names, amounts, ends = names[order], amounts[order], np.cumsum(sizes)
+    some = np.flatnonzero(sizes)
+    ranges = [slice(ends[k] - sizes[k], ends[k]) for k in some]
+    return pa.table(
+        [
+            pa.array(np.full(len(some), number)), pa.array(np.full(len(some), length, np.int32)),
+            pa.array(some.astype(np.int32)), pa.array([names[r].tobytes() for r in ranges], pa.binary()),
+            pa.array([pack(amounts[r]) for r in ranges], pa.binary()),
+        ],
+        names=["block", "length", "part", "names", "amounts"],
+    )
 
 
-def string_counts(blocks: DataFrame, depth: int) -> DataFrame:
-    """block, place, n: counts in training of the strings of several blocks, where they are not 0."""
+def _answered(asked: DataFrame, mark: bool, answer, unpack) -> DataFrame:
+    """For each row asked, what `answer` makes of all amounts under the number of their name."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("block").combine_chunks()
+        names = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["names"]]
+        number, _ = pd.factorize(np.concatenate(names))
+        told = answer(number, np.concatenate([unpack(x.as_buffer()) for x in rows["amounts"]]))[number]
+        ends = np.cumsum([len(x) for x in names])
+        out = rows.select(["block", "length", "part"]).append_column("mark", pa.array(np.full(len(rows), mark)))
+        packed = [_packed(x) for x in np.split(told, ends[:-1])]
+        release()
+        return out.append_column("told", pa.array(packed, pa.binary()))
+
+    return asked.groupBy("length", "part").applyInArrow(run, TOLD)
+
+
+def _told(told: pa.Table, length: int, mark: bool, names: np.ndarray, parts: int) -> np.ndarray:
+    """The answers for names that the block asked about."""
+    rows = told.filter(pc.and_(pc.equal(told["length"], length), pc.equal(told["mark"], mark))).sort_by("part")
+    out = np.zeros(len(names), np.int64)
+    if len(rows):
+        out[_dealt(names, parts)[0]] = np.concatenate([_counts(x.as_buffer()) for x in rows["told"].combine_chunks()])
+    return out
+
+
+def string_counts(blocks: DataFrame, lengths: tuple[int, ...], parts: int) -> DataFrame:
+    """Counts in training of the strings that several blocks have, 0 for the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, block in _unpacked(batch):
-                own = own_strings(block, depth)
-                for names, counts, edge in zip(own.names, own.counts, own.edges):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(names.view(np.int64)), pa.array(np.full(len(names), number)),
-                            pa.array(edge + np.arange(len(names))), pa.array(counts),
-                        ],
-                        names=["name", "block", "place", "own"],
-                    )
-
-    dealt = blocks.mapInArrow(run, "name long, block long, place long, own long")
-    # A name has at most a row per block.
-    alike = Win.partitionBy("name")
-    summed = dealt.withColumn("n", F.sum("own").over(alike)).withColumn("held_by", F.count("*").over(alike))
-    return summed.filter("n > 0 AND held_by > 1").select("block", "place", "n")
-
-
-def _counted(
-    own: Own, found: pa.Table, n: int, v: int, least_gain: float
-) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Set counts, n(s) and the contexts that this block alone has and keeps. By length: what
-    other blocks have too, and the block's gains.
-
-    Contexts of other blocks too that end a context kept here have the gain infinity.
-    """
-    counts, others = np.concatenate(own.counts), np.zeros(int(own.edges[-1]), bool)
-    counts[found["place"].to_numpy()] = found["n"].to_numpy()
-    others[found["place"].to_numpy()] = True
-    shared = np.split(others, own.edges[1:-1])
-    for level, a, b in zip(own.levels, own.edges, own.edges[1:]):
-        level.counts = level.total = counts[a:b]
+                own = own_strings(block, max(lengths) - 1)
+                for length in lengths:
+                    names, counts = own.names[length - 1], own.counts[length - 1]
+                    yield from _asking(number, length, names, counts, parts, _packed).to_batches()
+                del own, names, counts
+
+    def sums(number: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        # A name has at most a row per block.
+        return np.where(np.bincount(number) > 1, np.bincount(number, counts).astype(np.int64), 0)
+
+    return _answered(blocks.mapInArrow(tidy(run), ASKED), False, sums, _counts)
+
+
+def _set_counts(own: Own, told: pa.Table, parts: int) -> list[np.ndarray]:
+    """Set counts and n(s). By length: which strings other blocks have too."""
+    shared = []
+    for k, (level, names, mine) in enumerate(zip(own.levels, own.names, own.counts)):
+        counts = _told(told, k + 1, False, names, parts)
+        shared.append(counts > 0)
+        level.counts = level.total = np.where(shared[-1], counts, mine)
+    return shared
+
+
+def _retained(
+    own: Own, shared: list[np.ndarray], told: pa.Table, n: int, v: int, least_gain: float, parts: int, down_to: int = 0
+) -> np.ndarray | None:
+    """Mark the contexts to use that are longer than `down_to`, and return the block's gains of
+    those of that length: infinity for those that end a context used."""
     below, gains = (own.levels[0].counts + 0.5) / (n + 0.5 * (v + 1)), []
     for contexts, pairs, mine in zip(own.levels, own.levels[1:], own.counts[1:]):
         context, suffix = pairs.keys >> WORD_BITS, below[pairs.suffix]
         below = (pairs.counts + MASS * suffix) / (contexts.total[context] + MASS)
-        gains.append(np.bincount(context, mine * np.log(below / suffix), len(contexts.keys)))
+        shorter = len(gains) + 1 < down_to  # not asked for
+        gains.append(None if shorter else np.bincount(context, mine * np.log(below / suffix), len(contexts.keys)))
     above = np.zeros(0, np.int64)
-    for contexts, too, gain in zip(reversed(own.levels[:-1]), reversed(shared[:-1]), reversed(gains)):
+    for k in range(len(gains) - 1, -1, -1):
+        contexts, gain, too = own.levels[k], gains[k], shared[k]
         gain[above] = np.inf
+        if k + 1 == down_to:
+            return gain
         contexts.retained = (gain >= least_gain) & (contexts.counts > 0) & ~too
+        contexts.retained[too] = _told(told, k + 1, True, own.names[k][too], parts) > 0
         above = contexts.suffix[contexts.retained]
-    return shared, gains
+    return None
 
 
-def shared_gains(blocks: DataFrame, answers: DataFrame, n: int, v: int, depth: int, least_gain: float) -> DataFrame:
-    """length, name, suffix, block, place, gain: contexts that other blocks have too."""
+def retained_contexts(
+    blocks: DataFrame, told: DataFrame, length: int, n: int, v: int, depth: int, least_gain: float, parts: int
+) -> DataFrame:
+    """Which contexts of a length that several blocks have are to be used."""
 
-    def run(block_row: pa.Table, found: pa.Table) -> pa.Table:
+    def run(block_row: pa.Table, told: pa.Table) -> pa.Table:
         number, block = next(_unpacked(block_row.combine_chunks()))
         own = own_strings(block, depth)
-        (shared, gains), out = _counted(own, found, n, v, least_gain), []
-        for k, gain in enumerate(gains):
-            at = np.flatnonzero(shared[k])
-            suffix = own.names[k - 1][own.levels[k].suffix[at]] if k else np.zeros(len(at), np.uint64)
-            out.append((np.full(len(at), k + 1), own.names[k][at], suffix, own.edges[k] + at, gain[at]))
-        length, name, suffix, place, gain = (np.concatenate(o) for o in zip(*out))
-        return pa.table(
-            {
-                "length": length, "name": name.view(np.int64), "suffix": suffix.view(np.int64),
-                "block": np.full(len(name), number), "place": place, "gain": gain,
-            }
-        )
-
-    fields = "length long, name long, suffix long, block long, place long, gain double"
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, fields)
+        shared = _set_counts(own, told, parts)
+        gain, too = _retained(own, shared, told, n, v, least_gain, parts, length), shared[length - 1]
+        out = _asking(number, length, own.names[length - 1][too], gain[too], parts, np.ndarray.tobytes)
+        del own, shared, gain, too
+        release()
+        return out
 
+    def sums(number: np.ndarray, gains: np.ndarray) -> np.ndarray:
+        return (np.bincount(number, gains) >= least_gain).astype(np.int64)
 
-def retained_names(shared: DataFrame, depth: int, least_gain: float) -> DataFrame:
-    """length, name of the contexts to use among those of several blocks."""
-    sums = stored(
-        shared.groupBy("length", "name").agg(F.first("suffix").alias("suffix"), F.sum("gain").alias("gain")),
-        "context-gains",
-    )
-    kept, above = None, None
-    for length in range(depth, 0, -1):
-        here = sums.filter(F.col("length") == length)
-        stays = F.col("gain") >= least_gain
-        if above is not None:
-            ends = above.select(F.col("suffix").alias("name"), F.lit(True).alias("ends")).distinct()
-            here, stays = here.join(ends, "name", "left"), stays | F.col("ends").isNotNull()
-        above = stored(here.filter(stays).select("length", "name", "suffix"), "contexts")
-        kept = above if kept is None else kept.union(above)
-    return kept.select("length", "name")
+    asked = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, ASKED)
+    return _answered(asked, True, sums, lambda amounts: np.frombuffer(amounts, np.float64))
 
 
 def _whole_scores(blocks: DataFrame, n: int, v: int, depth: int, least_gain: float, fields: str) -> DataFrame:
-    answers = stored(string_counts(blocks, depth), "string-counts")
-    shared = stored(shared_gains(blocks, answers, n, v, depth, least_gain), "shared-contexts")
-    used = shared.join(retained_names(shared, depth, least_gain), ["length", "name"], "left_semi")
-    # A retained context is marked by the count -1.
-    told = answers.union(used.select("block", "place", F.lit(-1).cast("long").alias("n")))
+    sizes = F.aggregate("sizes", F.lit(0).cast("long"), lambda total, size: total + size)
+    parts = 1 + (blocks.agg(F.sum(sizes)).first()[0] or 0) // PART_TOKENS
+    lengths = [tuple(k for k in some if k <= depth + 1) for some in COUNTED_TOGETHER]
+    lengths += [(k,) for k in range(1 + max(map(max, COUNTED_TOGETHER)), depth + 2)]
+    told = None
+    for some in filter(None, lengths):
+        counts = stored(string_counts(blocks, some, parts), "string-counts")
+        told = counts if told is None else told.union(counts)
+    for length in range(depth, 0, -1):
+        told = told.union(
+            stored(retained_contexts(blocks, told, length, n, v, depth, least_gain, parts), "retained")
+        )
     base_total = n + 0.5 * (v + 1)
 
     def run(block_row: pa.Table, told: pa.Table) -> pa.Table:
         _, block = next(_unpacked(block_row.combine_chunks()))
         own = own_strings(block, depth)
-        mark = pc.equal(told["n"], -1)
-        _counted(own, told.filter(pc.invert(mark)), n, v, least_gain)
-        kept = np.zeros(int(own.edges[-1]), bool)
-        kept[told.filter(mark)["place"].to_numpy()] = True
-        for level, a, b in zip(own.levels[:-1], own.edges, own.edges[1:]):
-            level.retained |= kept[a:b]
-        return _scored(block, own.levels[0].counts, own.levels, np.arange(len(block.words)), n, base_total)
+        _retained(own, _set_counts(own, told, parts), told, n, v, least_gain, parts)
+        out = _scored(block, own.levels[0].counts, own.levels, own.numbers, n, base_total)
+        del own
+        release()
+        return out
 
     return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, fields)
 
@@ -452,13 +527,19 @@ def _whole_scores(blocks: DataFrame, n: int, v: int, depth: int, least_gain: flo
 
 
 def _scored(
-    block: Block, count: np.ndarray, levels: list[Strings], number: np.ndarray, n: int, base_total: float
+    block: Block, count: np.ndarray, levels: list[Strings], numbers: np.ndarray | list[np.ndarray],
+    n: int, base_total: float,
 ) -> pa.Table:
-    """A row per document, from the counts of the block's words and their numbers in the tree."""
-    base_of, parts = (count + 0.5) / base_total, []
+    """A row per document, from the counts of the block's words and their numbers in the tree, or
+    the numbers of the strings that end at each token."""
+    base_of, parts, done = (count + 0.5) / base_total, [], 0
     for place, sizes in block.slices():
         base, starts = base_of[place], np.cumsum(sizes) - sizes
-        better = probabilities(levels, number[place], sizes, base)
+        if isinstance(numbers, list):
+            here = [k[done : done + len(place)] for k in numbers]
+            better, done = _smoothed(levels, here, firsts(sizes), base), done + len(place)
+        else:
+            better = probabilities(levels, numbers[place], sizes, base)
         parts.append((
             np.add.reduceat((count[place] > 0).astype(np.int64), starts),
             np.add.reduceat(np.log10(base), starts), np.add.reduceat(np.log10(better), starts),

@@ -53,6 +53,28 @@ def test_every_string_counts(spark, monkeypatch, block):
         assert r.score == pytest.approx(expected[r.id][5], rel=1e-9)
 
 
+def test_strings_travel_in_parts_of_a_block(spark, monkeypatch):
+    """A written row holds the strings that a block has of a part, not one string."""
+    monkeypatch.setattr(suffix_tree, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(suffix_tree, "PART_TOKENS", 1000)
+    written, store = {}, suffix_tree.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(suffix_tree, "stored", counted)
+    rows = plain.pairs(plain.sample(spark).select("doc_id", "text").limit(60))
+    fixed = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffix_tree.scores(fixed, held(fixed), least_gain=2.0).collect()
+    expected = plain.suffix_tree(rows, suffix_tree.DEPTH, 0, 2.0, suffix_tree.MASS)
+    assert all(r.score == pytest.approx(expected[r.id][5], rel=1e-9) for r in found) and len(found) == len(rows)
+    parts = 1 + sum(r.n_tokens for r in found) // 1000
+    most = written["token-blocks"] * (parts + 1) * (suffix_tree.DEPTH + 1)
+    assert parts > 1 and written["token-blocks"] > 3 and sum(n for name, n in written.items() if name not in ("token-blocks", "word-counts")) <= 2 * most
+
+
 def test_rare_strings_count_in_a_large_corpus(spark):
     """With 3.2 million training tokens, a millionth of them is more than three."""
     rows, k = [], 0
