@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.llm.common import (
-    bounded_batches, mixed, named_words, release, stored, table, text_or_empty, text_slices, tidy,
+    bounded_batches, mixed, named_words, stored, table, text_or_empty, text_slices, tidy,
 )
 
 DEPTH = 3
@@ -62,6 +62,7 @@ FOLDS, HELD_OUT = 5, 1
 BLOCK_TOKENS = 500_000
 SLICE_TOKENS = 200_000
 PART_TOKENS = 2_000_000
+FORCED = 1 << 61  # stands for the gain infinity
 COUNTED_TOGETHER = ((1, 2), (3,), (4,))  # lengths whose names are on the disk at the same time
 WORD_BITS = 31  # room for the number of a word, frequent or of one block
 
@@ -205,8 +206,13 @@ def _blocks(rows: DataFrame, id_type: str) -> DataFrame:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """32-bit numbers, byte by byte of each."""
-    return zstandard.compress(values.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    """Numbers packed with the first bytes of all, then the second ones."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def _numbers(packed: pa.Buffer, kind) -> np.ndarray:
+    found = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    return found.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
 
 def _unpacked(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, Block]]:
@@ -215,7 +221,7 @@ def _unpacked(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, Block]]:
         yield row[0].as_py(), Block(
             row[1].values, row[2].values.to_numpy(zero_copy_only=False), row[3].values.to_numpy().astype(np.int64),
             row[4].values.to_numpy(),
-            np.frombuffer(zstandard.decompress(row[5].as_buffer()), np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel(),
+            _numbers(row[5].as_buffer(), np.int32),
         )
 
 
@@ -368,46 +374,77 @@ def _counts(packed: pa.Buffer) -> np.ndarray:
     return values
 
 
-def _dealt(names: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the names part by part, and the number of names of each part."""
+def _gains(gains: np.ndarray) -> bytes:
+    """Gains to 2 ** -32, so that they take five bytes and their sum does not follow the order."""
+    whole = np.where(np.isinf(gains), FORCED, np.rint(np.where(np.isinf(gains), 0, gains) * 2.0**32)).astype(np.int64)
+    return _planes(whole << 1 ^ whole >> 63)
+
+
+def _gains_back(packed: pa.Buffer) -> np.ndarray:
+    folded = _numbers(packed, np.int64)
+    whole = folded >> 1 ^ -(folded & 1)
+    return np.where(whole == FORCED, np.inf, whole / 2.0**32)
+
+
+def _names(names: np.ndarray) -> bytes:
+    """Ascending names, as differences."""
+    return _planes(np.diff(names, prepend=np.uint64(0)))
+
+
+def _names_back(packed: pa.Buffer) -> np.ndarray:
+    return np.cumsum(_numbers(packed, np.uint64), dtype=np.uint64)
+
+
+def _dealt(names: np.ndarray, parts: int, mark: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the names part by part, for marks in ascending order, and the names of each part."""
     part = (names >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-    # NumPy sorts 16 bits by counting.
-    order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.uint32), kind="stable")
+    # NumPy sorts 16 bits by counting. Parts are ranges of names.
+    by_part = part.astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+    order = np.argsort(names) if mark else np.argsort(by_part, kind="stable")
     return order, np.bincount(part.astype(np.int64), minlength=parts)
 
 
-ASKED = "block long, length int, part int, names binary, amounts binary"
-TOLD = "block long, length int, part int, mark boolean, told binary"
+ASKED = "block long, length int, part long, names binary, amounts binary"
+TOLD = "block long, length int, part long, mark boolean, told binary"
 
 
-def _asking(number: int, length: int, names: np.ndarray, amounts: np.ndarray, parts: int, pack) -> pa.Table:
-    """A row for each part that the block has names of: these and their amounts."""
-    order, sizes = _dealt(names, parts)
+def _asking(number: int, length: int, names: np.ndarray, amounts: np.ndarray, parts: int, mark: bool) -> pa.Table:
+    """A row for each part that the block has names of: these and their counts, or gains for marks."""
+    order, sizes = _dealt(names, parts, mark)
     names, amounts, ends = names[order], amounts[order], np.cumsum(sizes)
     some = np.flatnonzero(sizes)
     ranges = [slice(ends[k] - sizes[k], ends[k]) for k in some]
+    pack_names, pack = (_names, _gains) if mark else (np.ndarray.tobytes, _packed)
+    return _asked_rows(number, length, some, [pack_names(names[r]) for r in ranges], [pack(amounts[r]) for r in ranges])
+
+
+def _asked_rows(number: int, length: int, part: np.ndarray, names: list[bytes], amounts: list[bytes]) -> pa.Table:
     return pa.table(
         [
-            pa.array(np.full(len(some), number)), pa.array(np.full(len(some), length, np.int32)),
-            pa.array(some.astype(np.int32)), pa.array([names[r].tobytes() for r in ranges], pa.binary()),
-            pa.array([pack(amounts[r]) for r in ranges], pa.binary()),
+            pa.array(np.full(len(part), number)), pa.array(np.full(len(part), length, np.int32)),
+            pa.array(part.astype(np.int64)), pa.array(names, pa.binary()), pa.array(amounts, pa.binary()),
         ],
         names=["block", "length", "part", "names", "amounts"],
     )
 
 
-def _answered(asked: DataFrame, mark: bool, answer, unpack) -> DataFrame:
-    """For each row asked, what `answer` makes of all amounts under the number of their name."""
+def _answered(asked: DataFrame, mark: bool, answer) -> DataFrame:
+    """For each row asked, what `answer` makes of all amounts under the number of their name.
+
+    Rows of a part below 0 are a block's own and go back to it as they are.
+    """
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("block").combine_chunks()
-        names = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["names"]]
+        out = rows.select(["block", "length", "part"]).append_column("mark", pa.array(np.full(len(rows), mark)))
+        if rows["part"][0].as_py() < 0:
+            return out.append_column("told", rows["amounts"])
+        unpack_names, unpack = (_names_back, _gains_back) if mark else (lambda x: np.frombuffer(x, np.uint64), _counts)
+        names = [unpack_names(x.as_buffer()) for x in rows["names"]]
         number, _ = pd.factorize(np.concatenate(names))
         told = answer(number, np.concatenate([unpack(x.as_buffer()) for x in rows["amounts"]]))[number]
         ends = np.cumsum([len(x) for x in names])
-        out = rows.select(["block", "length", "part"]).append_column("mark", pa.array(np.full(len(rows), mark)))
         packed = [_packed(x) for x in np.split(told, ends[:-1])]
-        release()
         return out.append_column("told", pa.array(packed, pa.binary()))
 
     return asked.groupBy("length", "part").applyInArrow(run, TOLD)
@@ -415,10 +452,12 @@ def _answered(asked: DataFrame, mark: bool, answer, unpack) -> DataFrame:
 
 def _told(told: pa.Table, length: int, mark: bool, names: np.ndarray, parts: int) -> np.ndarray:
     """The answers for names that the block asked about."""
-    rows = told.filter(pc.and_(pc.equal(told["length"], length), pc.equal(told["mark"], mark))).sort_by("part")
+    rows = told.filter(pc.and_(pc.equal(told["length"], length), pc.equal(told["mark"], mark)))
+    rows = rows.filter(pc.greater_equal(rows["part"], 0)).sort_by("part")
     out = np.zeros(len(names), np.int64)
     if len(rows):
-        out[_dealt(names, parts)[0]] = np.concatenate([_counts(x.as_buffer()) for x in rows["told"].combine_chunks()])
+        answers = np.concatenate([_counts(x.as_buffer()) for x in rows["told"].combine_chunks()])
+        out[_dealt(names, parts, mark)[0]] = answers
     return out
 
 
@@ -431,14 +470,14 @@ def string_counts(blocks: DataFrame, lengths: tuple[int, ...], parts: int) -> Da
                 own = own_strings(block, max(lengths) - 1)
                 for length in lengths:
                     names, counts = own.names[length - 1], own.counts[length - 1]
-                    yield from _asking(number, length, names, counts, parts, _packed).to_batches()
+                    yield from _asking(number, length, names, counts, parts, False).to_batches()
                 del own, names, counts
 
     def sums(number: np.ndarray, counts: np.ndarray) -> np.ndarray:
         # A name has at most a row per block.
         return np.where(np.bincount(number) > 1, np.bincount(number, counts).astype(np.int64), 0)
 
-    return _answered(blocks.mapInArrow(tidy(run), ASKED), False, sums, _counts)
+    return _answered(blocks.mapInArrow(tidy(run), ASKED), False, sums)
 
 
 def _set_counts(own: Own, told: pa.Table, parts: int) -> list[np.ndarray]:
@@ -451,49 +490,50 @@ def _set_counts(own: Own, told: pa.Table, parts: int) -> list[np.ndarray]:
     return shared
 
 
-def _retained(
-    own: Own, shared: list[np.ndarray], told: pa.Table, n: int, v: int, least_gain: float, parts: int, down_to: int = 0
-) -> np.ndarray | None:
-    """Mark the contexts to use that are longer than `down_to`, and return the block's gains of
-    those of that length: infinity for those that end a context used."""
-    below, gains = (own.levels[0].counts + 0.5) / (n + 0.5 * (v + 1)), []
-    for contexts, pairs, mine in zip(own.levels, own.levels[1:], own.counts[1:]):
+def _gains_of(own: Own, length: int, n: int, v: int) -> np.ndarray:
+    """The block's gains of the contexts of a length."""
+    below = (own.levels[0].counts + 0.5) / (n + 0.5 * (v + 1))
+    for contexts, pairs in zip(own.levels[:length], own.levels[1:]):
         context, suffix = pairs.keys >> WORD_BITS, below[pairs.suffix]
         below = (pairs.counts + MASS * suffix) / (contexts.total[context] + MASS)
-        shorter = len(gains) + 1 < down_to  # not asked for
-        gains.append(None if shorter else np.bincount(context, mine * np.log(below / suffix), len(contexts.keys)))
-    above = np.zeros(0, np.int64)
-    for k in range(len(gains) - 1, -1, -1):
-        contexts, gain, too = own.levels[k], gains[k], shared[k]
-        gain[above] = np.inf
-        if k + 1 == down_to:
-            return gain
-        contexts.retained = (gain >= least_gain) & (contexts.counts > 0) & ~too
-        contexts.retained[too] = _told(told, k + 1, True, own.names[k][too], parts) > 0
-        above = contexts.suffix[contexts.retained]
-    return None
+    return np.bincount(context, own.counts[length] * np.log(below / suffix), len(contexts.keys))
+
+
+def _set_retained(own: Own, shared: list[np.ndarray], told: pa.Table, length: int, parts: int) -> None:
+    """Mark the contexts of a length to use, those of this block alone and those of others too."""
+    contexts, too, names = own.levels[length - 1], shared[length - 1], own.names[length - 1]
+    alone = told.filter(pc.and_(pc.equal(told["length"], length), pc.less(told["part"], 0)))
+    contexts.retained = _counts(alone["told"][0].as_buffer()) > 0
+    contexts.retained[too] = _told(told, length, True, names[too], parts) > 0
 
 
 def retained_contexts(
     blocks: DataFrame, told: DataFrame, length: int, n: int, v: int, depth: int, least_gain: float, parts: int
 ) -> DataFrame:
-    """Which contexts of a length that several blocks have are to be used."""
+    """Which contexts of a length are to be used; `told` knows about those that are longer.
+
+    A context that ends one to be used has the gain infinity.
+    """
 
     def run(block_row: pa.Table, told: pa.Table) -> pa.Table:
         number, block = next(_unpacked(block_row.combine_chunks()))
-        own = own_strings(block, depth)
+        own = own_strings(block, length)
         shared = _set_counts(own, told, parts)
-        gain, too = _retained(own, shared, told, n, v, least_gain, parts, length), shared[length - 1]
-        out = _asking(number, length, own.names[length - 1][too], gain[too], parts, np.ndarray.tobytes)
-        del own, shared, gain, too
-        release()
-        return out
+        gain, too, contexts = _gains_of(own, length, n, v), shared[length - 1], own.levels[length - 1]
+        if length < depth:
+            _set_retained(own, shared, told, length + 1, parts)
+            longer = own.levels[length]
+            gain[longer.suffix[longer.retained]] = np.inf
+        alone = (gain >= least_gain) & (contexts.counts > 0) & ~too
+        mine = _asked_rows(number, length, np.array([-1 - number]), [b""], [_packed(alone)])
+        return pa.concat_tables([mine, _asking(number, length, own.names[length - 1][too], gain[too], parts, True)])
 
     def sums(number: np.ndarray, gains: np.ndarray) -> np.ndarray:
         return (np.bincount(number, gains) >= least_gain).astype(np.int64)
 
-    asked = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, ASKED)
-    return _answered(asked, True, sums, lambda amounts: np.frombuffer(amounts, np.float64))
+    known = told.filter((F.col("length") <= length + 1) & (~F.col("mark") | (F.col("length") == length + 1)))
+    asked = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, ASKED)
+    return _answered(asked, True, sums)
 
 
 def _whole_scores(blocks: DataFrame, n: int, v: int, depth: int, least_gain: float, fields: str) -> DataFrame:
@@ -514,11 +554,10 @@ def _whole_scores(blocks: DataFrame, n: int, v: int, depth: int, least_gain: flo
     def run(block_row: pa.Table, told: pa.Table) -> pa.Table:
         _, block = next(_unpacked(block_row.combine_chunks()))
         own = own_strings(block, depth)
-        _retained(own, _set_counts(own, told, parts), told, n, v, least_gain, parts)
-        out = _scored(block, own.levels[0].counts, own.levels, own.numbers, n, base_total)
-        del own
-        release()
-        return out
+        shared = _set_counts(own, told, parts)
+        for length in range(1, depth + 1):
+            _set_retained(own, shared, told, length, parts)
+        return _scored(block, own.levels[0].counts, own.levels, own.numbers, n, base_total)
 
     return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, fields)
 

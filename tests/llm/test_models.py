@@ -66,13 +66,24 @@ def test_strings_travel_in_parts_of_a_block(spark, monkeypatch):
 
     monkeypatch.setattr(suffix_tree, "stored", counted)
     rows = plain.pairs(plain.sample(spark).select("doc_id", "text").limit(60))
-    fixed = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    fixed = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     found = suffix_tree.scores(fixed, held(fixed), least_gain=2.0).collect()
     expected = plain.suffix_tree(rows, suffix_tree.DEPTH, 0, 2.0, suffix_tree.MASS)
     assert all(r.score == pytest.approx(expected[r.id][5], rel=1e-9) for r in found) and len(found) == len(rows)
     parts = 1 + sum(r.n_tokens for r in found) // 1000
-    most = written["token-blocks"] * (parts + 1) * (suffix_tree.DEPTH + 1)
-    assert parts > 1 and written["token-blocks"] > 3 and sum(n for name, n in written.items() if name not in ("token-blocks", "word-counts")) <= 2 * most
+    blocks = written["token-blocks"]
+    assert parts > 1 and blocks > 3
+    assert written["string-counts"] <= blocks * parts * (suffix_tree.DEPTH + 1)
+    assert written["retained"] <= blocks * (parts + 1) * suffix_tree.DEPTH
+
+
+def test_gains_and_names_travel_whole():
+    gains = np.array([0.0, -3.25, 8.0, 1e5, np.inf, 1e-9])
+    assert np.allclose(suffix_tree._gains_back(suffix_tree._gains(gains)), gains, rtol=0, atol=2.0**-33)
+    names = np.sort(np.random.default_rng(5).integers(0, 1 << 63, 1000).astype(np.uint64) * 2 + 1)
+    assert (suffix_tree._names_back(suffix_tree._names(names)) == names).all()
+    counts = np.array([0, 1, 254, 255, 256, 10**12])
+    assert (suffix_tree._counts(suffix_tree._packed(counts)) == counts).all()
 
 
 def test_rare_strings_count_in_a_large_corpus(spark):
