@@ -21,8 +21,11 @@ Verifying. Under each index entry the set with the least name is the pivot. Ever
 compared with the least of its pivots. Entries whose sets are not all in one component after
 that have each set compared with the entry's own pivot. Entries that still are in several
 components give pairs between components; there the distance to the
-pivot, a metric, prunes what cannot be similar, and so does a sketch: the shingles of a set are
-counted in 256 parts, and two sets share at most the smaller count of each part. First only the few
+pivot, a metric, prunes what cannot be similar, and so does a sketch. The shingles of a small set are
+counted in 256 parts, and two sets share at most the smaller count of each part. A larger set has one to
+four bits a shingle that tell the parts with an odd number of them; each bit in which two sets differ is
+a shingle that they do not share. Pairs under a pivot are looked at once for all its entries, set by set,
+unless its entries are so short that they give fewer pairs. First only the few
 pairs of two components whose sketches agree most are compared: nearly all components that belong together
 are joined by these, however many pairs they have. What is left between components after that is
 compared pair by pair in a last round. Length and
@@ -42,7 +45,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -60,9 +62,13 @@ LEAST_FREQUENT = 16
 CHUNK = 8_000_000
 SMALL_GROUP = 64
 GROUP_ROWS = 16_384
+BLOCK_SETS = 4_096
 MOST_PAIRS = 2_000_000
 LIKELY = 4
 PARTS = 256
+COUNTED = 256
+TIGHT = 2048
+MOST_FLIPS = 1 << 16
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
@@ -112,11 +118,56 @@ def most_shared(left: bytes, right: bytes) -> tuple[int, int]:
     return int(np.minimum(x, y).sum(dtype=np.int64)), int(x.sum(dtype=np.int64) + y.sum(dtype=np.int64))
 
 
+def flips(tokens: np.ndarray) -> bytes:
+    """A bit for each part that holds an odd number of shingles: two to four parts a shingle, one to two in
+    sets of over `TIGHT` shingles, `MOST_FLIPS` at most."""
+    n = len(tokens)
+    parts = min(MOST_FLIPS, 1 << max(6, ((2 * n if n <= TIGHT else n) - 1).bit_length()))
+    odd = np.bincount((tokens & np.uint64(parts - 1)).astype(np.int64), minlength=parts) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketches_of(tokens: np.ndarray) -> tuple[bytes, bytes]:
+    """Counts of a small set, flips of a large one; those in between have both, as partners may be of either kind."""
+    n = len(tokens)
+    return sketch(tokens) if n <= COUNTED else b"", flips(tokens) if 3 * n > 2 * COUNTED else b""
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a binary column, and where each value begins and its length (0 for null)."""
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8), edges[:-1], np.diff(edges)
+
+
+def flips_apart(flipped: tuple[np.ndarray, ...], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For pairs of rows with flips, given as `_bytes_of` does, a lower bound of the shingles that only one set has.
+
+    The longer flips are folded to the length of the shorter ones: part k joins part k + half.
+    """
+    data, starts, sizes = flipped
+    width, apart = np.minimum(sizes[i], sizes[j]), np.zeros(len(i), np.int64)
+    for short in np.unique(width).tolist():
+        at = np.flatnonzero(width == short)
+        rows, where = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        folded = np.empty((len(rows), short), np.uint8)
+        for size in np.unique(sizes[rows]).tolist():
+            own = np.flatnonzero(sizes[rows] == size)
+            found = data[starts[rows[own], None] + np.arange(size)].reshape(len(own), size // short, short)
+            folded[own] = np.bitwise_xor.reduce(found, axis=1)
+        words, left, right = folded.view(np.uint64), where[: len(at)], where[len(at) :]
+        step = max(1, SLICE_BYTES // short)
+        for k in range(0, len(at), step):
+            differ = words[left[k : k + step]] ^ words[right[k : k + step]]
+            apart[at[k : k + step]] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+    return apart
+
+
 # --- First scan: sets and frequent shingles ---------------------------------------------
 
 
 def _scan(rows: DataFrame, id_type: str, words: int) -> DataFrame:
-    """Two kinds of rows: documents (id, k1, k2, n, key, check, sketch), and chunk counts (key, n)
+    """Two kinds of rows: documents (id, k1, k2, n, key, check, sketch, flips), and chunk counts (key, n)
     with `counted`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,8 +181,8 @@ def _scan(rows: DataFrame, id_type: str, words: int) -> DataFrame:
             nothing = pa.array(np.zeros(len(n), np.int64))
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(len(n), id_kind), nothing, nothing, pa.array(n), pa.array(token.view(np.int64)),
-                 nothing, pa.array(np.ones(len(n), bool)), pa.nulls(len(n), pa.binary())],
-                names=["id", "k1", "k2", "n", "key", "check", "counted", "sketch"],
+                 nothing, pa.array(np.ones(len(n), bool)), pa.nulls(len(n), pa.binary()), pa.nulls(len(n), pa.binary())],
+                names=["id", "k1", "k2", "n", "key", "check", "counted", "sketch", "flips"],
             )
 
         for batch in batches:
@@ -141,11 +192,12 @@ def _scan(rows: DataFrame, id_type: str, words: int) -> DataFrame:
                 sets = shingle_sets(texts.slice(begin, end - begin), words)
                 key, check = set_names(sets)
                 sizes = np.array([len(s) for s in sets], np.int64)
+                sketches = [sketches_of(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k).slice(begin, end - begin) for k in range(3)), pa.array(sizes),
                      pa.array(key), pa.array(check), pa.array(np.zeros(len(sets), bool)),
-                     pa.array([sketch(s) for s in sets], pa.binary())],
-                    names=["id", "k1", "k2", "n", "key", "check", "counted", "sketch"],
+                     *(pa.array([s[k] for s in sketches], pa.binary()) for k in range(2))],
+                    names=["id", "k1", "k2", "n", "key", "check", "counted", "sketch", "flips"],
                 )
                 held += sets
                 size += int(sizes.sum())
@@ -155,7 +207,7 @@ def _scan(rows: DataFrame, id_type: str, words: int) -> DataFrame:
         if size:
             yield counts()
 
-    return rows.mapInArrow(tidy(run), f"id {id_type}, k1 long, k2 long, n long, key long, check long, counted boolean, sketch binary")
+    return rows.mapInArrow(tidy(run), f"id {id_type}, k1 long, k2 long, n long, key long, check long, counted boolean, sketch binary, flips binary")
 
 
 # --- Second scan: the index -------------------------------------------------------------
@@ -340,85 +392,138 @@ def _most_alike(components: np.ndarray, share: np.ndarray, most: int) -> np.ndar
     return order[np.arange(len(order)) - starts[np.cumsum(new) - 1] < most]
 
 
-def _between(groups: DataFrame, percent: int, likely: int = 0) -> DataFrame:
+def _shapes(groups: DataFrame) -> DataFrame:
+    """How the entries of each pivot are dealt: by set, in blocks, if its entries give more pairs than its sets do."""
+    sets = groups.select("pivot", "key").distinct().groupBy("pivot").agg(F.count("*").alias("sets"))
+    return groups.groupBy("pivot", "token").agg(F.count("*").alias("rows")).groupBy("pivot").agg(
+        F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("rows")).alias("of_entries")
+    ).join(sets, "pivot").select(
+        "pivot", (F.col("sets") * F.col("sets") <= F.col("of_entries")).alias("by_set"),
+        F.ceil(F.col("rows") / GROUP_ROWS).alias("parts"), F.ceil(F.col("sets") / BLOCK_SETS).cast("int").alias("blocks"),
+    )
+
+
+def _dealt(groups: DataFrame, shapes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of entries, in parts that a task can hold, with all rows of a part that may have to be compared.
+
+    A pivot's sets mostly share many entries. Where `shapes` says so, the sets take the entries' place:
+    once each, in blocks of some `BLOCK_SETS`, and every two blocks are one entry and part, `side`
+    telling the blocks. Other entries are dealt into parts of some `GROUP_ROWS` rows; the second result
+    names the sets of such a part once each, as rows of side 3.
+    """
+    own, other = F.col("own"), F.col("other")
+    sets = groups.join(shapes.filter("by_set"), "pivot").select(
+        "pivot", "key", "n", "component", "low", "high", "blocks"
+    ).distinct()
+    paired = sets.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    ).select(
+        F.xxhash64("pivot", F.least(own, other), F.greatest(own, other)).alias("part"), "key", "n",
+        F.lit(0).alias("place"), "component", "low", "high",
+        F.when(own == other, 0).when(own < other, 1).otherwise(2).alias("side"),
+    ).withColumn("token", F.col("part"))
+    listed = groups.join(shapes.filter("not by_set"), "pivot").select(
+        F.xxhash64("pivot", F.pmod(F.xxhash64("token"), "parts")).alias("part"), "key", "n",
+        "place", "component", "low", "high", F.lit(0).alias("side"), "token",
+    )
+    nothing = {"n": F.lit(0), "place": F.lit(0), "component": F.col("key"), "low": F.lit(0.0), "high": F.lit(0.0)}
+    named = listed.select("part", "key").distinct().withColumns(nothing | {"side": F.lit(3), "token": F.lit(0).cast("long")})
+    return listed, paired.unionByName(named)
+
+
+def _between(groups: DataFrame, shapes: DataFrame, sketches: DataFrame, percent: int, likely: int = 0) -> DataFrame:
     """Pairs of different components under one entry that the pivot's distances leave possible.
 
     With `likely`, only so many pairs of every two components of a part: those whose sketches agree most.
 
-    Sets that share one entry share many, and these mostly have the same pivot. So entries are
-    brought together by pivot, a pivot's entries dealt into parts of some `GROUP_ROWS` rows, and
-    a pair is put out once for all entries of a part. Rows come sorted by part, token and
-    component. Rows of short entries are compared with the rows a fixed number of places on, for
+    Rows come sorted by part, token, side and component, and a pair is put out once for all entries
+    of a part. Rows of short entries are compared with the rows a fixed number of places on, for
     all entries of a batch together; in long ones every row is compared with those of earlier
-    components. Sketches come with the rows, so pairs they rule out are never put out.
+    components, or of the other side. Sketches come along, once for each set of a part, so pairs they rule
+    out are never put out.
     """
     near = 1 - percent / 100 + 1e-9
 
-    def sketched(whole: pa.Table, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs that share enough of their sketches, and the share; rows without one may share anything."""
-        keep, share = np.ones(len(i), bool), np.ones(len(i))
-        sketches = whole.column(7)
-        known = pc.binary_length(sketches).to_numpy() == PARTS
-        both = np.flatnonzero(known[i] & known[j])
-        for begin in range(0, len(both), 4096):
-            at = both[begin : begin + 4096]
-            x, y = (
-                np.frombuffer(b"".join(sketches.take(pa.array(side[at])).to_pylist()), np.uint8).reshape(-1, PARTS)
-                for side in (i, j)
-            )
-            common = np.minimum(x, y).sum(axis=1, dtype=np.int64)
-            sizes = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
-            keep[at] = common * (100 + percent) >= sizes * percent
-            share[at] = common / sizes
-        return keep, share
-
-    def possible(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        _, _, n, place, _, low, high = rows
-        smaller, larger = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        most = np.minimum(n[i] - place[i], n[j] - place[j])
-        return (
-            (smaller * 100 >= larger * percent) & (most * (100 + percent) >= (n[i] + n[j]) * percent)
-            & (low[i] - high[j] <= near) & (low[j] - high[i] <= near)
-        )
-
     def pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(parts).combine_chunks()
-        rows = [whole.column(k).to_numpy().astype(np.float64 if k > 4 else np.int64) for k in range(7)]
-        token, key, component = rows[0], rows[1], rows[4]
+        rows = [whole.column(k).to_numpy().astype(np.float64 if k in (5, 6) else np.int64) for k in range(8)]
+        names, number = np.unique(rows[1], return_inverse=True)
+        counted, flipped = (_bytes_of(whole.column(k).chunk(0)) for k in (8, 9))
+        # The row that has the sketches of a set; without one, those of any row without sketches will do.
+        holder = np.zeros(len(names), np.int64)
+        has = (counted[2] > 0) | (flipped[2] > 0)
+        holder[number[~has]], holder[number[has]] = np.flatnonzero(~has), np.flatnonzero(has)
+        holder = holder[number]
+        entry = rows[7] < 3
+        token, _, n, place, component, low, high, side, number, holder = (c[entry] for c in (*rows, number, holder))
         starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         sizes = np.diff(np.append(starts, len(token)))
         short = np.repeat(sizes <= SMALL_GROUP, sizes)
         found, kept = [], []
 
+        def possible(i, j) -> np.ndarray:
+            """What length, position and distances leave of some rows, given by places or as a range, and others or one."""
+            smaller, larger = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+            most = np.minimum(n[i] - place[i], n[j] - place[j])
+            return (
+                (smaller * 100 >= larger * percent) & (most * (100 + percent) >= (n[i] + n[j]) * percent)
+                & (low[i] - high[j] <= near) & (low[j] - high[i] <= near) & (component[i] != component[j])
+            )
+
+        def sketched(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Pairs that share enough of their sketches, and the share; rows without one may share anything."""
+            keep, share = np.ones(len(i), bool), np.ones(len(i))
+            total, left, right = n[i] + n[j], holder[i], holder[j]
+            by_flips = (flipped[2][left] > 0) & (flipped[2][right] > 0)
+            at = np.flatnonzero(by_flips)
+            twice = total[at] - flips_apart(flipped, left[at], right[at])
+            keep[at] = twice * (100 + percent) >= 2 * total[at] * percent
+            share[at] = twice / (2 * total[at])
+            data, begins, lengths = counted
+            both = np.flatnonzero(~by_flips & (lengths[left] == PARTS) & (lengths[right] == PARTS))
+            for begin in range(0, len(both), 4096):
+                at = both[begin : begin + 4096]
+                x, y = (data[begins[s[at], None] + np.arange(PARTS)] for s in (left, right))
+                common = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+                keep[at] = common * (100 + percent) >= total[at] * percent
+                share[at] = common / total[at]
+            return keep, share
+
         def settle() -> None:
             """Look once at each pair found so far and keep what the sketches allow."""
             i, j = (np.concatenate(f) for f in zip(*found))
             found.clear()
-            names = np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])])
-            names, once = np.unique(names, axis=1, return_index=True)
+            pair = np.minimum(number[i], number[j]) * len(names) + np.maximum(number[i], number[j])
+            pair, once = np.unique(pair, return_index=True)
             i, j = i[once], j[once]
-            allowed, share = sketched(whole, i, j)
+            allowed, share = sketched(i, j)
             sides = np.stack([np.minimum(component[i], component[j]), np.maximum(component[i], component[j])])
-            kept.append(alike(names[:, allowed], sides[:, allowed], share[allowed]))
+            kept.append(alike(pair[allowed], sides[:, allowed], share[allowed]))
 
-        def alike(names: np.ndarray, sides: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, ...]:
+        def alike(pair: np.ndarray, sides: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, ...]:
             if not likely or not len(share):
-                return names, sides, share
+                return pair, sides, share
             best = _most_alike(sides, share, likely)
-            return names[:, best], sides[:, best], share[best]
+            return pair[best], sides[:, best], share[best]
 
+        waiting = 0
         for apart in range(1, min(SMALL_GROUP, int(sizes.max()))):
-            i = np.flatnonzero(short[:-apart] & (token[:-apart] == token[apart:]) & (component[:-apart] != component[apart:]))
-            i = i[possible(rows, i, i + apart)]
+            i = np.flatnonzero(
+                short[:-apart] & (token[:-apart] == token[apart:]) & ((side[:-apart] == 0) | (side[:-apart] != side[apart:]))
+            )
+            i = i[possible(i, i + apart)]
             if len(i):
                 found.append((i, i + apart))
-        waiting = sum(len(i) for i, _ in found)
+                waiting += len(i)
+            if waiting > MOST_PAIRS:
+                settle()
+                waiting = 0
         for begin, size in zip(starts[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist()):
             own = component[begin : begin + size]
-            for k in range(1, size):
-                earlier = int(np.searchsorted(own, own[k]))
-                i = np.arange(begin, begin + earlier)
-                i = i[possible(rows, i, np.full(earlier, begin + k))]
+            first = int(np.count_nonzero(side[begin : begin + size] == 1))
+            for k in range(max(1, first), size):
+                earlier = first or int(np.searchsorted(own, own[k]))
+                i = begin + np.flatnonzero(possible(slice(begin, begin + earlier), begin + k))
                 if len(i):
                     found.append((i, np.full(len(i), begin + k)))
                     waiting += len(i)
@@ -428,35 +533,36 @@ def _between(groups: DataFrame, percent: int, likely: int = 0) -> DataFrame:
         if found:
             settle()
         if kept:
-            names, sides, share = (np.concatenate(k, axis=-1) for k in zip(*kept))
-            names, once = np.unique(names, axis=1, return_index=True)
-            names = alike(names, sides[:, once], share[once])[0]
-            yield pa.RecordBatch.from_arrays([pa.array(names[0]), pa.array(names[1])], names=["a", "b"])
+            pair, sides, share = (np.concatenate(k, axis=-1) for k in zip(*kept))
+            pair, once = np.unique(pair, return_index=True)
+            pair = alike(pair, sides[:, once], share[once])[0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names[pair // len(names)]), pa.array(names[pair % len(names)])], names=["a", "b"]
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            parts = batch.column(8).to_numpy()
+            parts = batch.column(10).to_numpy()
             last = len(parts) - int(np.argmax(np.append(parts[::-1] != parts[-1], True)))
             if last:  # every part but the batch's last one is complete
                 yield from pairs([*held, batch.slice(0, last)])
                 held = []
-            elif held and held[-1].column(8)[0].as_py() != parts[0]:
+            elif held and held[-1].column(10)[0].as_py() != parts[0]:
                 yield from pairs(held)
                 held = []
             held.append(batch.slice(last))
         if held:
             yield from pairs(held)
 
-    dealt = groups.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("parts"))
-    ordered = groups.join(dealt, "pivot").select(
-        "token", "key", "n", "place", "component", "low", "high", "sketch",
-        F.xxhash64("pivot", F.pmod(F.xxhash64("token"), "parts")).alias("part"),
-    )
+    listed, sketched = _dealt(groups, shapes)
+    sketched = sketched.join(small_side(sketches), "key", "left")
+    every = listed.withColumns({name: F.lit(None).cast("binary") for name in ("sketch", "flips")}).unionByName(sketched)
     return (
-        ordered.repartition("part").sortWithinPartitions("part", "token", "component")
+        every.select("token", "key", "n", "place", "component", "low", "high", "side", "sketch", "flips", "part")
+        .repartition("part").sortWithinPartitions("part", "token", "side", "component")
         .mapInArrow(tidy(run), "a long, b long").distinct()
     )
 
@@ -570,15 +676,12 @@ def near_duplicates(
     measured = stored(measured, "measured")
     some = stored(measured.select("key").distinct(), "measured-keys")
     sketches = stored(
-        members.select("key", "sketch").join(small_side(some), "key", "left_semi").dropDuplicates(["key"]), "sketches"
+        members.select("key", "sketch", "flips").join(small_side(some), "key", "left_semi").dropDuplicates(["key"]), "sketches"
     )
 
-    def between(rows: DataFrame, likely: int = 0) -> DataFrame:
-        sketched = rows.drop("pivot_component").join(small_side(sketches), "key", "left")
-        return _between(sketched, percent, likely)
-
+    shapes = small_side(stored(_shapes(measured), "shapes"))
     # The likely ones first; if there are none, there are no pairs at all.
-    likely = stored(between(measured, LIKELY), "likely")
+    likely = stored(_between(measured, shapes, sketches, percent, LIKELY), "likely")
     if not likely.isEmpty():
         likely = stored(likely.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "third-pairs")
         third = stored(_compared(likely, texts, words), "third-compared")
@@ -586,7 +689,7 @@ def near_duplicates(
         links = compared.filter(similar).select("a", "b")
         labels = components(links, "third")
         apart = _open_entries(_placed(measured.drop("component", "pivot_component"), labels), "apart")
-        rest = stored(between(apart).join(compared.select("a", "b"), ["a", "b"], "left_anti"), "between")
+        rest = stored(_between(apart, shapes, sketches, percent).join(compared.select("a", "b"), ["a", "b"], "left_anti"), "between")
         if not rest.isEmpty():
             links = links.union(_compared(rest, texts, words).filter(similar).select("a", "b"))
             labels = components(links, "links")

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,6 +238,84 @@ def test_sketches_bound_what_sets_share():
     assert jaccard_join.sketch(np.arange(300, dtype=np.uint64)) == b""  # a count over 255
 
 
+def test_flips_bound_what_sets_do_not_share():
+    rng = np.random.default_rng(9)
+    sets = []
+    for _ in range(60):
+        base = np.unique(rng.integers(0, 2**64, rng.integers(200, 3000), dtype=np.uint64))
+        sets += [base, np.unique(np.concatenate([base[rng.integers(0, 40) :], rng.integers(0, 2**64, 30, dtype=np.uint64)]))]
+    i, j = (k.ravel() for k in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    column = pa.array([b"left out", *(jaccard_join.flips(s) for s in sets)], pa.binary())[1:]
+    apart = jaccard_join.flips_apart(jaccard_join._bytes_of(column), i, j)
+    assert all(a <= len(np.setxor1d(sets[x], sets[y])) for a, x, y in zip(apart.tolist(), i.tolist(), j.tolist()))
+    # Sets of any size that share nothing are told apart, and copies are not.
+    total = np.array([len(s) for s in sets])
+    other = (i // 2 != j // 2) & (100 * np.minimum(total[i], total[j]) >= 75 * np.maximum(total[i], total[j]))
+    assert other.any() and ((total[i] + total[j] - apart) * 175 < 150 * (total[i] + total[j]))[other].all()
+    assert not apart[i == j].any()
+
+
+def test_long_texts_that_share_a_passage_alone_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Their counts in 256 parts agree whatever they say; the flips do not. The passage is rare, as in a large corpus."""
+    monkeypatch.setattr(jaccard_join, "LEAST_FREQUENT", 100)
+    random.seed(31)
+    passage = [f"p{k}" for k in range(60)]
+    rows = []
+    for doc_id in range(30):
+        text = [f"w{random.randrange(10**9)}" for _ in range(6000)] + passage
+        rows.append((doc_id, " ".join(text), "en", "a", 1))
+    compared, whole = [], jaccard_join._compared
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return whole(pairs, *more)
+
+    monkeypatch.setattr(jaccard_join, "_compared", counted)
+    found = components(jaccard_join.near_duplicates(spark.createDataFrame(rows, plain.DOCUMENTS)))
+    assert found == plain.sorted_rows((r[0], 6056, r[0]) for r in rows)
+    assert 0 < sum(compared) < 6 * len(rows), compared
+
+
+@pytest.mark.parametrize("block", [4096, 40])
+def test_sets_of_a_pivot_are_dealt_once_each(spark, monkeypatch, block):
+    """A hundred sets that share fifty entries are a hundred rows a block, not five thousand; every two meet once."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block)
+    rows = [(t, 1, k, 400, 7, k, 0.3, 0.3) for t in range(50) for k in range(100)] + [(k // 2, 2, k, 400, 7, k, 0.3, 0.3) for k in range(200, 204)]
+    fields = "token long, pivot long, key long, n int, place int, component long, low double, high double"
+    groups = spark.createDataFrame(rows, fields)
+    listed, named = (df.collect() for df in jaccard_join._dealt(groups, jaccard_join._shapes(groups)))
+    dealt = [r for r in (*listed, *named) if r.side < 3]
+    blocks = -(-100 // block)
+    assert len(dealt) == 100 * blocks + 4 and len(listed) == 4
+    assert {(r.part, r.key) for r in named if r.side == 3} == {(r.part, r.key) for r in listed}
+    entries = collections.defaultdict(list)
+    for r in dealt:
+        entries[r.part, r.token].append((r.key, r.side))
+    met = collections.Counter(
+        (a, b) for own in entries.values() for a, x in own for b, y in own if a < b and (x != y or not x)
+    )
+    assert len(met) == 100 * 99 // 2 + 2 and set(met.values()) == {1}
+
+
+@pytest.mark.parametrize("short", [64, 4])
+def test_near_copies_in_blocks(spark, monkeypatch, short):
+    """One large group whose sets are dealt into blocks of some twenty."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 20)
+    monkeypatch.setattr(jaccard_join, "SMALL_GROUP", short)
+    random.seed(37)
+    base = [f"b{k}" for k in range(300)]
+    rows = []
+    for doc_id in range(200):
+        text = list(base)
+        for at in random.sample(range(300), random.randint(6, 12)):
+            text[at] = f"n{random.randrange(10**6)}"
+        rows.append((doc_id, " ".join(text), "en", "a", 1))
+    expected = plain.jaccard([(r[0], r[1]) for r in rows])
+    assert 1 < len({c for _, _, c in expected}) < len(rows)
+    docs = spark.createDataFrame(rows, plain.DOCUMENTS).repartition(3)
+    assert components(jaccard_join.near_duplicates(docs)) == plain.sorted_rows(expected)
+
+
 # --- Repeated passages ------------------------------------------------------------------
 
 
