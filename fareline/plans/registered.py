@@ -6,7 +6,7 @@ queries read the stored layer they belong to.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date
 from functools import reduce
 
@@ -732,9 +732,14 @@ def _gate(store: Store) -> DataFrame:
     )
 
 
-def _damaged(spark, d) -> Store:
-    """A store in which every kind of check of every layer has offenders, written as the job writes it."""
-    good, store = layers(spark, d).gold(), Store(spark, scratch_path(spark, "damaged"))
+def _damaged_layers(spark, d, store: Store, unread: Callable[[str], None]) -> Iterator[str]:
+    """Layer by layer, tables in which every kind of check of every layer has offenders, written as the job writes them.
+
+    Gives the name of a layer when its tables are there to be checked. `unread` is told of every large table whose
+    rows nothing reads any more: at once where the checks are counted on writing, else when the
+    layer has been checked.
+    """
+    good = layers(spark, d).gold()
     zone = F.col("pulocationid")
 
     def unless(condition, column):
@@ -747,6 +752,7 @@ def _damaged(spark, d) -> Store:
         {"_loaded_at": unless(zone % 50 == 7, "_loaded_at"), "_source_file": unless(zone % 61 == 5, "_source_file")}
     )
     tables.overwrite(raw, store.path("yellow_trips"), "_source_file", pipeline.landing_figures())
+    unread("yellow_trips")
     for name in ("taxi_zones", "bronze_taxi_zones"):
         zones = repeated(good.read(name), "locationid % 40 = 1")
         pipeline.put(store, name, zones.withColumn("locationid", unless(F.col("locationid") % 53 == 0, "locationid")))
@@ -756,6 +762,8 @@ def _damaged(spark, d) -> Store:
     ):
         codes = repeated(good.read(name), F.col(key) == 1)
         pipeline.put(store, name, codes.withColumn(label, unless(F.col(key) == 2, label)).withColumn(key, unless(F.col(key) == 6, key)))
+    yield "raw"
+
     kept = good.read("bronze_yellow_trips").filter((F.col("vendorid") != 7) | (F.year("_source_period") != 1996))
     kept = kept.withColumns(
         {
@@ -764,6 +772,8 @@ def _damaged(spark, d) -> Store:
         }
     )
     tables.overwrite(kept, store.path("bronze_yellow_trips"), "_source_file", pipeline.bronze_figures())
+    unread("bronze_yellow_trips")
+    yield "bronze"
 
     reason = F.col("rejection_reason")
     judged = good.read(EVALUATED).withColumns(
@@ -773,10 +783,13 @@ def _damaged(spark, d) -> Store:
         }
     )
     store.write_evaluated(judged, quality.observed(EVALUATED))
+    unread(EVALUATED)
     trips = _broken(spark, d)
     pipeline.put(store, "silver_yellow_trips", trips, partition_by="_source_period")
     places = repeated(standin.partial_zones(good.read("silver_taxi_zones"), "location_id"), "location_id % 40 = 1")
     pipeline.put(store, "silver_taxi_zones", places.withColumn("borough", unless(F.col("location_id") % 45 == 2, "borough")))
+    yield "silver"
+    unread("silver_yellow_trips")
 
     at = F.col("pickup_zone_key")
     fact = gold.fact_trips(trips).withColumns(
@@ -794,13 +807,26 @@ def _damaged(spark, d) -> Store:
         rows = repeated(good.read(name), F.col(key) % 40 == 1)
         rows = rows.withColumn(also, unless(F.col(key) % 31 == 3, also)) if also else rows
         pipeline.put(store, name, rows.withColumn(key, unless(F.col(key) % 53 == 5, key)))
+    yield "gold"
+    unread("fct_trips")
+
+
+def _damaged(spark, d) -> Store:
+    """A store with all rows of the damaged tables."""
+    store = Store(spark, scratch_path(spark, "damaged"))
+    for _ in _damaged_layers(spark, d, store, unread=lambda table: None):
+        pass
     return store
 
 
 @query
 def quality_gate_damaged(spark, d):
-    """Every check over tables in which every kind of check has offenders."""
-    return _gate(_damaged(spark, d))
+    """Every check over tables in which every kind of check has offenders; a layer is checked before the next is written."""
+    store, found = Store(prepare(spark), scratch_path(spark, "damaged")), scratch_path(spark, "damaged-checks")
+    for layer in _damaged_layers(spark, d, store, unread=lambda table: tables.drop_rows(spark, store.path(table))):
+        results = quality.stored_results(layer, store)
+        results.coalesce(1).write.mode("append").parquet(found)
+    return spark.read.schema(results.schema).parquet(found)
 
 
 # --- Profiles --------------------------------------------------------------------------

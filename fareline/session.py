@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # What a query has shuffled goes when it ends, not when the driver happens to collect its garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # Wide projections generate methods the JVM would never compile; let Spark split them.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

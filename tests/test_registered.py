@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from fareline.operators import quality
@@ -71,6 +72,39 @@ def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
 
 
+def test_damaged_tables_do_not_add_up(spark, tmp_path, monkeypatch):
+    """A large damaged table is there alone: rows that nothing reads any more go before others are written."""
+    registered.layers(spark, SF).gold()
+    large = {"yellow_trips", "bronze_yellow_trips", "silver_yellow_trips_evaluated", "silver_yellow_trips", "fct_trips"}
+    there, whole = [], registered.tables.overwrite
+
+    def watched(df, path, *given, **more):
+        whole(df, path, *given, **more)
+        folders = {os.path.basename(os.path.dirname(f)) for f in glob.glob(f"{tmp_path}/damaged/*/*/data")}
+        there.append(sorted(folders & large))
+
+    monkeypatch.setattr(registered.tables, "overwrite", watched)
+    monkeypatch.setattr(registered, "scratch_path", lambda spark, name: str(tmp_path / name))
+    found = registered.quality_gate_damaged(spark, SF)
+    assert {t for tables in there for t in tables} == large and max(map(len, there)) == 1
+    assert found.count() == found.select("check").distinct().count() == 87
+    assert not any(glob.glob(f"{tmp_path}/damaged/*/{t}/data") for t in large)
+
+
+def test_what_a_query_shuffled_goes_when_it_ends(spark, tmp_path):
+    spark.conf.unset("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    registered.prepare(spark)
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set:
+        files = found.getAllFiles()
+        return {n for n in (files.apply(k).getName() for k in range(files.size())) if n.startswith("shuffle_")}
+
+    before = shuffled()
+    spark.range(10_000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / "rows"))
+    assert not shuffled() - before
+
+
 @pytest.fixture(scope="module")
 def damaged(spark):
     return registered._damaged(spark, SF)
