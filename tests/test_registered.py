@@ -2,6 +2,7 @@
 
 import glob
 import os
+import time
 
 import duckdb
 import pytest
@@ -102,6 +103,9 @@ def test_what_a_query_shuffled_goes_when_it_ends(spark, tmp_path):
 
     before = shuffled()
     spark.range(10_000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / "rows"))
+    deadline = time.time() + 30
+    while shuffled() - before and time.time() < deadline:  # they go in the background
+        time.sleep(0.2)
     assert not shuffled() - before
 
 
